@@ -18,7 +18,8 @@ import pyarrow.compute as pc
 from tidemark.llm.common import filled, hashed, mixed, segment_sum
 
 #: Most distinct pieces held by a worker; they are forgotten together beyond it, which costs time and never changes ids.
-MOST_PIECES = 1_500_000
+MOST_PIECES = 1_200_000
+AT_ONCE = 8_000  # encodings in memory
 SPACES = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 BESIDE_SPACE = f"[ \n][{SPACES}]|[{SPACES}][ \n]"
 LETTER = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]"
@@ -50,7 +51,7 @@ class Encoder:
         self.ids = np.zeros(0, np.uint32)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [e.ids for i in range(0, len(texts), AT_ONCE) for e in self.tokenizer.encode_batch_fast(texts[i : i + AT_ONCE], add_special_tokens=False)]
 
     def places(self, words: pa.Array, before: np.ndarray) -> np.ndarray:
         """Where each distinct piece stands in the store; new pieces are encoded first."""
