@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardup, packing, quality, repetition, secrets, token_files
+from tidemark.llm import neardup, packing, quality, repetition, secrets, token_files, vectors
 from tidemark.llm.common import new_path
 
 
@@ -22,6 +22,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op3_embedding_multi_index": op3_embedding_multi_index,
     "op6_repetition_rules": op6_repetition_rules,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_best_fit_packing": op8_best_fit_packing,
@@ -55,4 +60,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_files": op10_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_embedding_multi_index": vectors.ORACLE}
