@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardup, packing, quality, repetition, secrets, token_files, vectors
+from tidemark.llm import neardup, packing, quality, repetition, secrets, token_files, vectors, warc
 from tidemark.llm.common import new_path
 
 
@@ -26,6 +26,10 @@ def op3_embedding_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_digest(table(spark, sf_dir, "pages"), new_path(spark, "archives"))
+
+
 def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_embedding_multi_index": op3_embedding_multi_index,
+    "op4_warc_archives": op4_warc_archives,
     "op6_repetition_rules": op6_repetition_rules,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_best_fit_packing": op8_best_fit_packing,
