@@ -279,3 +279,17 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     out = signed.select("doc_id", "node").join(named, "node", "left")
     known = F.col("doc_id").isNotNull()
     return out.select("doc_id", F.when(known, F.col("class_id")).alias("class_id"), F.when(known, F.col("component_id")).alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One document of each near-duplicate group, that with the smallest doc_id, with all columns of ``docs``.
+
+    Documents without a doc_id stay. Where rows repeat a kept id and text, one of them stays.
+    """
+    found = near_duplicates(docs, similarity).where("kept and doc_id is not null")
+    keep = stage(found.groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
+    stay = docs.join(keep.select("doc_id"), "doc_id", "left_semi")
+    if not keep.where("rows > 1").isEmpty():
+        again = keep.where("rows > 1").select("doc_id")
+        stay = stay.join(again, "doc_id", "left_anti").unionByName(stay.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return stay.unionByName(docs.where("doc_id is null")).select(*docs.columns)

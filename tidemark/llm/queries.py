@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardup, packing, quality, repetition, secrets, token_files, vectors, warc
+from tidemark.llm import mixing, neardup, packing, quality, repetition, secrets, token_files, urls, vectors, warc
 from tidemark.llm.common import new_path
 
 
@@ -22,6 +22,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op3_embedding_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -30,6 +34,10 @@ def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_digest(table(spark, sf_dir, "pages"), new_path(spark, "archives"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
@@ -56,8 +64,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_source_mixture": op2_source_mixture,
     "op3_embedding_multi_index": op3_embedding_multi_index,
     "op4_warc_archives": op4_warc_archives,
+    "op5_url_filter": op5_url_filter,
     "op6_repetition_rules": op6_repetition_rules,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_best_fit_packing": op8_best_fit_packing,
