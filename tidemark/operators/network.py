@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources.shared import shared_dir
+
 DIRECTIONS = ("upstream", "downstream", "both")
 
 
@@ -77,6 +79,7 @@ def traverse(arcs: DataFrame, start: int, direction: str = "downstream", max_dep
 
     The number of simple paths may be exponential; ``reach`` is the form for large depths.
     """
+    shared_dir(arcs.sparkSession)
     edges = steps(arcs, direction).persist()
     level = arcs.sparkSession.range(1).select(F.lit(start).cast("long").alias("node"), F.lit(0).alias("depth"), F.array(F.lit(start).cast("long")).alias("path"))
     out = level
@@ -91,6 +94,7 @@ def traverse(arcs: DataFrame, start: int, direction: str = "downstream", max_dep
 
 def reach(arcs: DataFrame, start: int, direction: str = "downstream", max_depth: int = 10) -> DataFrame:
     """Nodes that can be reached with their smallest distance, the start at 0: one join and one anti-join a round."""
+    shared_dir(arcs.sparkSession)
     edges = steps(arcs, direction).persist()
     seen = arcs.sparkSession.range(1).select(F.lit(start).cast("long").alias("node"), F.lit(0).alias("distance"))
     front = seen
