@@ -100,10 +100,14 @@ def point_latitude(wkt: Column) -> Column:
 
 
 def scenario_from_path(path: Column) -> Column:
-    """The id in ``scenario/s0020/…`` or elsewhere in the name, lower case; else the cleaned stem, 12 characters."""
-    folder = F.nullif(F.regexp_extract(F.lower(path), r"scenario/(s\d{4})/", 1), F.lit(""))
-    anywhere = F.nullif(F.regexp_extract(F.lower(path), r"(?:^|[^a-z0-9])(s\d{4})(?:[^0-9]|$)", 1), F.lit(""))
-    stem = F.regexp_replace(F.regexp_extract(path, r"([^/]*)$", 1), r"\.[^.]*$", "")
+    """The id in ``scenario/s0020/…``, else one character and four digits of the name, else the cleaned stem.
+
+    Ids are in lower case; the stem is cut to 12 characters.
+    """
+    folder = F.nullif(F.regexp_extract(F.lower(path), r"scenario[/=](s\d{4})/", 1), F.lit(""))
+    base = F.regexp_extract(path, r"([^/]*)$", 1)
+    anywhere = F.nullif(F.lower(F.regexp_extract(base, r"([A-Za-z0-9]\d{4})", 1)), F.lit(""))
+    stem = F.regexp_replace(base, r"\.[^.]*$", "")
     safe = F.substring(F.lower(F.regexp_replace(stem, r"[^A-Za-z0-9._-]+", "_")), 1, 12)
     return F.coalesce(folder, anywhere, F.nullif(safe, F.lit("")), F.lit("scenario"))
 

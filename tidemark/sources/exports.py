@@ -111,7 +111,7 @@ def catalogue_files(files: DataFrame) -> DataFrame:
 
 
 #: Tokens of file names, the strong one first, and files that are no output.
-SV_TOKENS = ("_sv", ("sv", "input"))
+SV_TOKENS = ("_sv", ("statevar", "input"))
 OUTPUT_TOKENS = ("_dv", ("out", "output", "results"))
 GROUNDWATER_FILES = ("cvgroundwaterbudget.dss", "cvgroundwaterout.dss")
 
