@@ -45,7 +45,7 @@ def header_lines(spark, sf):
 
 @query("a1_read_dss_csv", f"{FULL} SELECT scenario, variable, ts, {r('value')} AS value FROM cells WHERE variable IN ('V1', 'V7', 'V10')")
 def a1(spark, sf):
-    wanted = table(spark, sf, "supplier").where("s_suppkey in (1, 7, 10)").select(F.concat(F.lit("V"), F.col("s_suppkey").cast("string")).alias("variable"))
+    wanted = table(spark, sf, "nation").where("n_nationkey in (1, 7, 10)").select(F.concat(F.lit("V"), F.col("n_nationkey").cast("string")).alias("variable"))
     out = X.read_dss_csv(spark, written(spark, sf), wanted)
     return out.select("scenario", "variable", "ts", rounded(F.col("value")).alias("value"))
 
