@@ -3,8 +3,10 @@
 Unit vectors are cut in two halves and each half has a codebook, fitted on a bounded sample; the two nearest codewords
 name the cell of a vector. Every vector is indexed and every vector is a query. For a query, a cell has a lower bound
 on the distance to anything inside it (the distances of both halves to the bisecting planes of their codewords); cells
-are visited in ascending order of that bound until it passes the radius that belongs to the cosine. Beyond it no link
-can lie, so the recall is complete unless ``reach`` is set under 1. What is found is verified in double precision.
+are visited from the lowest bound on until it passes a radius. For a target recall of 1 that is the distance that
+belongs to the cosine, beyond which no link can lie. Under 1 it is the distance that a pair just at the cosine keeps
+to within its two planes with that probability, when its difference points anywhere. What is found is verified in
+double precision.
 
 Equal vectors of a label are one node with a count. Cells with many vectors are cut into blocks, so no task gets all
 vectors of a cell. Links are counted where they are found; only a spanning forest of each block leaves it.
@@ -25,8 +27,9 @@ from tidemark.llm.components import components
 COSINE = 0.98
 #: Most vectors that the codebooks are fitted on: those with the smallest hashes.
 SAMPLE = 4096
-VECTORS_PER_CELL = 16
-MOST_WORDS = 256
+VECTORS_PER_CELL = 64
+MOST_WORDS = 1024
+RECALL = 0.999
 INDEX_BLOCK, QUERY_BLOCK = 1024, 4096
 
 
@@ -72,6 +75,12 @@ def visits(left: np.ndarray, right: np.ndarray, radius: float) -> tuple[np.ndarr
     return q[within], a[within], b[within]
 
 
+def visit_radius(cosine: float, dim: int, recall: float) -> float:
+    """How far cells are visited: the squares of two of ``dim`` parts of a random difference are exponential."""
+    far = 2 - 2 * cosine
+    return float(np.sqrt(far if recall >= 1 else min(far, 2 * far / dim * np.log(1 / (1 - recall))))) + 1e-7
+
+
 def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges from each node to the smallest of its component within the links (a, b)."""
     nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -90,12 +99,12 @@ def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[other], nodes[label[other]]
 
 
-def near_vectors(table: DataFrame, cosine: float = COSINE, reach: float = 1.0, sample: int = SAMPLE) -> DataFrame:
+def near_vectors(table: DataFrame, cosine: float = COSINE, recall: float = RECALL, sample: int = SAMPLE) -> DataFrame:
     """Rows vec_id, n_links, component_id, kept from (vec_id, embedding, label): one for each row.
 
     Only vectors of one label and one length are compared. Vectors that are null, empty, zero or hold null or non-finite
     components, and those with a null label, link with nothing. Rows that repeat an id are counted each; a null id is
-    answered with a null component and kept. ``reach`` scales the radius of the visits (1: complete recall).
+    answered with a null component and kept. ``recall`` is the target of the visits (1: complete).
     """
     rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"), F.col("label").alias("label"))
     squares = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
@@ -112,7 +121,6 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, reach: float = 1.0, s
             words = int(np.clip(np.sqrt(n / max(labels, 1) / VECTORS_PER_CELL), 1, MOST_WORDS))
             books[dim] = tuple(codebook(half, words) for half in (points[:, : dim // 2], points[:, dim // 2 :]))
     held = table.sparkSession.sparkContext.broadcast(books)
-    radius = float(np.sqrt(2 - 2 * cosine)) * reach + 1e-7
 
     def place(batches: Iterator[pa.RecordBatch], all_visits: bool) -> Iterator[pa.RecordBatch]:
         """The cell of each vector, or each cell that its query visits."""
@@ -126,7 +134,7 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, reach: float = 1.0, s
                     points = unit(part.column("embedding").flatten().to_numpy(), dim)
                     (n1, b1), (n2, b2) = bounds(points[:, : dim // 2], left), bounds(points[:, dim // 2 :], right)
                     if all_visits:
-                        at, n1, n2 = visits(b1, b2, radius)
+                        at, n1, n2 = visits(b1, b2, visit_radius(cosine, dim, recall))
                     cell = n1 * len(right) + n2
                 part = part.take(pa.array(at))
                 for x in range(0, part.num_rows, 10_000):
