@@ -2,7 +2,8 @@
 
 Host names often run words together. A unigram model, counted over the words of all pages, splits each label of a host
 by Viterbi into its likeliest words. Multinomial naive Bayes then scores the words of the host and of the path. Its
-counts come from all pages: one class is made of URLs whose host words hold a seed word, the other of the rest.
+counts come from all pages: one class is made of URLs whose host words hold a seed word, the other of the rest. Both
+classes have the same prior, as seeds name only a part of the unwanted hosts.
 
 Hosts and path shapes (paths with numbers folded together) are few against pages, so all work on words is done once
 for each distinct host and shape, and joined back. Nothing that grows with the corpus is broadcast by this code.
@@ -118,7 +119,7 @@ def host_words(hosts: DataFrame, counts: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
     """Rows page_id, host, path, rule, verdict, log_odds (of block; null where a rule decides).
 
-    A null URL or one without ``://`` has an empty host and path, fits no rule and is judged by the priors alone. Rows
+    A null URL or one without ``://`` has an empty host and path, fits no rule and is allowed, as no word speaks against it. Rows
     that repeat are all answered; a null page_id stays null. Other columns are ignored.
     """
     host, path = url_parts(F.col("url").cast("string"))
@@ -135,11 +136,9 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, seeds: tuple[s
     model = tokens.groupBy("token").agg(times(True).alias("bad"), times(False).alias("good"))
     size = model.agg(F.sum("bad"), F.sum("good"), F.count("*")).first()
     bad, good, distinct = (float(x or 0) for x in size)
-    prior = labelled.agg(times(True), times(False)).first()
-    first = math.log((prior[0] or 0) + SMOOTHING) - math.log((prior[1] or 0) + SMOOTHING)
     odds = model.select("token", (F.log((F.col("bad") + SMOOTHING) / (bad + SMOOTHING * (distinct + 1))) - F.log((F.col("good") + SMOOTHING) / (good + SMOOTHING * (distinct + 1)))).alias("odds"))
     scores = stage(tokens.join(odds, "token").groupBy("host", "shape").agg(F.sum("odds").alias("odds")), "url-scores")
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     out = rows.withColumns({"rule": name, "ruled": verdict}).join(scores, ["host", "shape"], "left")
-    log_odds = F.coalesce("odds", F.lit(0.0)) + first
+    log_odds = F.coalesce("odds", F.lit(0.0))
     return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(log_odds > 0, "block").otherwise("allow")).alias("verdict"), F.when(F.col("ruled").isNull(), F.round(log_odds, 6)).alias("log_odds"))
