@@ -320,3 +320,12 @@ def test_signatures_estimate_weighted_jaccard():
     assert (found[0] == found[2]).all()
     true = 326 / (396 * 2 - 326)
     assert abs((found[0] == found[1]).mean() - true) < 0.2
+
+
+def test_packed_sequences_hold_all_ids(spark, tokenizer):
+    docs = documents(spark).limit(40).cache()
+    placed = packing.pack_documents(docs).cache()
+    rows = packing.packed_sequences(docs, placed).collect()
+    assert {r.sequence_id: len(r.ids) for r in rows} == {r.sequence_id: r.n for r in placed.groupBy("sequence_id").agg(packing.F.sum("length").alias("n")).collect()}
+    got = Counter(i for r in rows for i in r.ids)
+    assert got == Counter(i for r in docs.collect() for i in [*plain_ids(tokenizer, r.text), 2])

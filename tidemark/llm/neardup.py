@@ -6,8 +6,9 @@
 3. A shingle weighs its count in the text times an inverse document frequency between 1 and ``1 + IDF_SHARE``. The
    bound keeps near copies near however large their group is (the frequency of what they share grows with the group).
 4. Consistent weighted samples give each text a signature, and ``BANDS`` bands of it give buckets.
-5. In every bucket all texts are compared with its first; links are verified by weighted Jaccard similarity on whole
-   texts. Only buckets whose texts are then still in different components are compared in full, in blocks.
+5. Pairs of a bucket whose signatures agree are verified by weighted Jaccard similarity on whole texts. A large bucket
+   is worked off in rounds, few partners for each text first. Pairs that are by then in one component are left out, as
+   they can't change the groups; the last round compares every pair that is left, block by block.
 6. Connected components of the verified links are the groups.
 
 No pair is left out by a cap. Texts without a word have no shingles and are linked with nothing but equal texts are.
@@ -16,6 +17,7 @@ No pair is left out by a cap. Texts without a word have no shingles and are link
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,10 @@ SAMPLES = BANDS * ROWS
 #: Equal samples (of 64) below which a pair is not verified; at a similarity of 0.8 one pair in 100,000 has fewer.
 LEAST_EQUAL = 36
 BLOCK = 512
+#: Partners of a text in a large bucket in the first round, and how many times more in each further round.
+DEGREE = 8
+SAMPLED_ROUNDS = 2
+TEXT_BLOCK = 256
 PAIRS_PER_TASK_KEY = 256
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -135,26 +141,43 @@ def band_rows(reps: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bits = as_matrix(batch.column("signature")).view(np.uint32).astype(np.uint64).reshape(-1, BANDS, ROWS)
-            h = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), bits.shape[:2]).copy()
-            for j in range(ROWS):
-                h = mixed(h ^ bits[:, :, j]) + BASE
-            yield pa.RecordBatch.from_arrays([pa.array(h.reshape(-1).view(np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), BANDS))], names=["bucket", "node"])
+            h = bucket_hashes(as_matrix(batch.column("signature")))
+            yield pa.RecordBatch.from_arrays([pa.array(h.reshape(-1)), pa.array(np.repeat(batch.column("node").to_numpy(), BANDS))], names=["bucket", "node"])
 
     return reps.select("node", "signature").mapInArrow(cut, "bucket long, node long")
 
 
-def alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes whose signatures agree often enough to be verified."""
+class Weights:
+    """Shingle weights by counter, and the comparison of two texts (shingles ascending, with counts)."""
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                equal = (as_matrix(batch.column("sa")) == as_matrix(batch.column("sb"))).sum(axis=1)
-                yield batch.select(["a", "b"]).filter(pa.array(equal >= LEAST_EQUAL))
+    def __init__(self, idf: np.ndarray, similarity: float):
+        self.idf, self.similarity = idf, similarity
+
+    def of(self, shingle: np.ndarray) -> np.ndarray:
+        return self.idf[(shingle & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.float64)
+
+    def described(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, float, int]]:
+        """For each text its shingles, their counts, their weights, and the sums of weighted and plain counts."""
+        doc, shingle, times = shingles(texts)
+        weight = self.of(shingle)
+        edge = np.searchsorted(doc, np.arange(len(texts) + 1))
+        return [(shingle[x:y], times[x:y], weight[x:y], float((weight[x:y] * times[x:y]).sum()), int(times[x:y].sum())) for x, y in zip(edge[:-1], edge[1:], strict=True)]
+
+    def linked(self, a: tuple, b: tuple) -> bool:
+        """Whether two texts have the weighted Jaccard similarity, or have it with all weights 1."""
+        if not len(a[0]) or not len(b[0]):
+            return False
+        at = np.minimum(np.searchsorted(a[0], b[0]), len(a[0]) - 1)
+        hit = a[0][at] == b[0]
+        both = np.minimum(b[1][hit], a[1][at[hit]])
+        shared, plain = float((b[2][hit] * both).sum()), int(both.sum())
+        return plain > 0 and (shared >= (self.similarity - 1e-9) * (a[3] + b[3] - shared) or plain >= self.similarity * (a[4] + b[4] - plain))
 
-    of = lambda x: reps.select(F.col("node").alias(x), F.col("signature").alias(f"s{x}"))
-    return pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "sa", "sb").mapInArrow(keep, "a long, b long")
+
+def texts_of(nodes: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Rows (node, text): one text of each class; only the rows with the class's own id are taken, not its copies."""
+    wanted = nodes.distinct().join(reps.select("node", F.col("class_id").alias("doc_id")), "node")
+    return docs.join(wanted, ["doc_id", "node"]).select("node", "text")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
@@ -163,83 +186,151 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, idf: np.ndarray
     The second rule keeps the links of pairs that stand just at the bound when shingles are only counted.
     Each text b is sent to its a; an a with many pairs is sent to several tasks, so no task gets all its pairs.
     """
-    held = docs.sparkSession.sparkContext.broadcast(idf)
+    held = docs.sparkSession.sparkContext.broadcast(Weights(idf, similarity))
     dealt = pairs.join(pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS_PER_TASK_KEY).alias("parts")), "a").select("a", F.expr("pmod(xxhash64(b), parts)").cast("int").alias("part"), "b")
     wanted = dealt.select("a", "part", F.lit(1).alias("role"), F.col("b").alias("node")).unionByName(dealt.select("a", "part").distinct().withColumns({"role": F.lit(0), "node": F.col("a")}))
     wanted = stage(wanted, "wanted-texts")
-    nodes = wanted.select("node").distinct().join(reps.select("node", "class_id"), "node")
-    texts = docs.join(nodes.withColumnRenamed("class_id", "doc_id"), ["doc_id", "node"]).select("node", "text")
-    rows = wanted.join(texts, "node").repartition("a", "part").sortWithinPartitions("a", "part", "role")
+    rows = wanted.join(texts_of(wanted.select("node"), docs, reps), "node").repartition("a", "part").sortWithinPartitions("a", "part", "role")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: tuple[np.ndarray, np.ndarray] | None = None
+        own = None
         for batch in batches:
             for part in text_slices(batch):
-                doc, shingle, times = shingles(part.column("text"))
-                weight = held.value[(shingle & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.float64)
-                edge = np.searchsorted(doc, np.arange(part.num_rows + 1))
-                a, b, ok = part.column("a"), part.column("node"), np.zeros(part.num_rows, bool)
-                for i, role in enumerate(part.column("role").to_pylist()):
-                    cut = slice(edge[i], edge[i + 1])
-                    mine = (shingle[cut], times[cut])
-                    if role == 0:
-                        own = mine
-                        continue
-                    at = np.minimum(np.searchsorted(own[0], mine[0]), max(len(own[0]) - 1, 0))
-                    hit = own[0][at] == mine[0] if len(own[0]) else np.zeros(len(mine[0]), bool)
-                    both = np.minimum(mine[1][hit], own[1][at[hit]])
-                    shared, plain = (weight[cut][hit] * both).sum(), both.sum()
-                    size = (weight[cut] * mine[1]).sum() + (held.value[(own[0] & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.float64) * own[1]).sum()
-                    ok[i] = plain > 0 and (shared >= (similarity - 1e-9) * (size - shared) or plain >= similarity * (mine[1].sum() + own[1].sum() - plain))
-                yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(ok))
+                ok = []
+                for role, mine in zip(part.column("role").to_pylist(), held.value.described(part.column("text")), strict=True):
+                    own = mine if role == 0 else own
+                    ok.append(role == 1 and held.value.linked(own, mine))
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("node")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return rows.select("a", "part", "role", "node", "text").mapInArrow(compare, "a long, b long")
 
 
-def leftover_pairs(members: DataFrame, found: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of one bucket that are in different components so far and whose signatures agree; none with the first text.
+def pair_chance(node: np.ndarray) -> np.ndarray:
+    """A number from 0 to 1 for each pair of nodes, the same in every bucket and in either order."""
+    a, b = node.view(np.uint64)[:, None], node.view(np.uint64)[None, :]
+    with np.errstate(over="ignore"):
+        return mixed((a + b) * BASE ^ (a ^ b)) / 2.0**64
+
+
+def bucket_hashes(signature: np.ndarray) -> np.ndarray:
+    """The bucket of each band of each signature."""
+    bits = np.ascontiguousarray(signature).view(np.uint32).astype(np.uint64).reshape(-1, BANDS, ROWS)
+    h = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), bits.shape[:2]).copy()
+    with np.errstate(over="ignore"):
+        for j in range(ROWS):
+            h = mixed(h ^ bits[:, :, j]) + BASE
+    return h.view(np.int64)
+
+
+def open_members(members: DataFrame, found: DataFrame | None, over: int) -> DataFrame:
+    """Members of buckets of more than ``over`` texts with their component, where these are not in one component yet."""
+    rows = members.where(F.col("n") > over)
+    if found is None:
+        return rows.withColumn("component", F.col("node"))
+    rows = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    still = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+    return rows.join(still, "bucket")
+
+
+def in_blocks(rows: DataFrame, size: int) -> DataFrame:
+    """Members once for each pair of blocks (lo, hi) that theirs is part of, so that no task gets a whole large bucket."""
+    rows = rows.withColumn("block", F.expr(f"pmod(xxhash64(node), ceil(n / {size}))"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / size) - 1)))
+    return rows.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "n", "node", "component")
+
+
+BLOCK_KEY = ["bucket", "lo", "hi"]
+
+
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each pair of blocks, from sorted batches."""
+    kept: pa.Table | None = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        now = now if kept is None else pa.concat_tables([kept, now])
+        if not now.num_rows:
+            continue
+        key = np.stack([now.column(k).to_numpy() for k in BLOCK_KEY])
+        cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist()]
+        for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            yield now.slice(x, y - x)
+        kept = now.slice(cuts[-1])
+    if kept is not None:
+        yield kept
+
+
+def candidates_of(run: pa.Table, low: float, high: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs of a run that are in different components, whose chance is from ``low`` to ``high``, whose
+    signatures agree, and that share no earlier band than this one."""
+    if run.num_rows < 2:
+        return
+    node, comp, block = (run.column(c).to_numpy() for c in ("node", "component", "block"))
+    ok = np.triu(comp[:, None] != comp[None, :], 1)
+    if run.column("lo")[0].as_py() != run.column("hi")[0].as_py():
+        ok &= block[:, None] != block[None, :]
+    if low > 0 or high < 1:
+        chance = pair_chance(node)
+        ok &= (chance >= low) & (chance < high)
+    i, j = np.nonzero(ok)
+    if not len(i):
+        return
+    s = np.frombuffer(b"".join(run.column("signature").to_pylist()), np.float32).reshape(-1, SAMPLES)
+    band = int(np.flatnonzero(bucket_hashes(s[:1])[0] == run.column("bucket")[0].as_py())[0])
+    for x in range(0, len(i), 50_000):
+        u, v = i[x : x + 50_000], j[x : x + 50_000]
+        same = s[u] == s[v]
+        keep = (same.sum(axis=1) >= LEAST_EQUAL) & (same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band)
+        if keep.any():
+            yield u[keep], v[keep]
+
+
+def round_pairs(members: DataFrame, found: DataFrame | None, reps: DataFrame, number: int) -> DataFrame:
+    """Pairs (a, b) of a sampled round: each pair of a bucket of n texts with a chance of ``DEGREE ** (number + 1) / n``
+    that the rounds before didn't take. Buckets of few texts are worked off whole."""
+    rows = in_blocks(open_members(members, found, DEGREE**number if number else 1), BLOCK).join(reps.select("node", "signature"), "node")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches):
+            n, node = run.column("n")[0].as_py(), run.column("node").to_numpy()
+            for u, v in candidates_of(run, DEGREE**number / n if number else 0, DEGREE ** (number + 1) / n):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[u], node[v])), pa.array(np.maximum(node[u], node[v]))], names=["a", "b"])
+
+    return rows.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY).select(*BLOCK_KEY, "block", "n", "node", "component", "signature").mapInArrow(compare, "a long, b long").distinct()
+
 
-    A bucket of many texts is cut into blocks, and each pair of blocks is compared by itself.
+def last_links(members: DataFrame, found: DataFrame | None, docs: DataFrame, reps: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """Links (a, b) among all pairs that the sampled rounds left: texts are sent with their blocks and compared there.
+
+    Pairs that fail leave no row behind, and of those that hold only a spanning forest of each pair of blocks does.
     """
-    parts = F.ceil(F.col("n") / BLOCK)
-    rows = members.where("n > 2").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_buckets = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    rows = rows.where("node <> leader").join(mixed_buckets, "bucket").withColumn("block", F.expr(f"pmod(xxhash64(node), ceil(n / {BLOCK}))"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-    rows = rows.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "component").join(reps.select("node", "signature"), "node")
-    keys = ["bucket", "lo", "hi"]
-
-    def pairs_of(run: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        node, comp, block = (run.column(c).to_numpy() for c in ("node", "component", "block"))
-        across = run.column("lo")[0].as_py() != run.column("hi")[0].as_py()
-        s = np.frombuffer(b"".join(run.column("signature").to_pylist()), np.float32).reshape(-1, SAMPLES)
-        a, b = [], []
-        for i in range(len(node) - 1):
-            rest = slice(i + 1, None)
-            ok = (comp[rest] != comp[i]) & ((block[rest] != block[i]) if across else True)
-            j = np.flatnonzero(ok) + i + 1
-            j = j[(s[j] == s[i]).sum(axis=1) >= LEAST_EQUAL]
-            a.append(np.minimum(node[i], node[j]))
-            b.append(np.maximum(node[i], node[j]))
-        return (np.concatenate(a), np.concatenate(b)) if a else (node[:0], node[:0])
+    rows = open_members(members, found, DEGREE**SAMPLED_ROUNDS).persist()
+    nodes = rows.select("node")
+    held = docs.sparkSession.sparkContext.broadcast(Weights(idf, similarity))
+    full = in_blocks(rows, TEXT_BLOCK).join(reps.select("node", "signature"), "node").join(texts_of(nodes, docs, reps), "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: pa.Table | None = None
-        for batch in batches:
-            now = pa.Table.from_batches([batch])
-            now = now if kept is None else pa.concat_tables([kept, now])
-            key = np.stack([now.column(k).to_numpy() for k in keys])
-            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist()]
-            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                a, b = pairs_of(now.slice(x, y - x))
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-            kept = now.slice(cuts[-1]) if now.num_rows else None
-        if kept is not None and kept.num_rows:
-            a, b = pairs_of(kept)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    return rows.repartition(*keys).sortWithinPartitions(*keys, "node").select(*keys, "block", "node", "component", "signature").mapInArrow(compare, "a long, b long").distinct()
+        for run in runs(batches):
+            n, node = run.column("n")[0].as_py(), run.column("node").to_numpy()
+            texts, root = None, {}
+
+            def top(x: int) -> int:
+                while root.get(x, x) != x:
+                    x = root[x]
+                return x
+
+            comp, links = run.column("component").to_numpy(), []
+            for u, v in candidates_of(run, DEGREE**SAMPLED_ROUNDS / n, 1.0):
+                if texts is None:
+                    texts = held.value.described(run.column("text").combine_chunks())
+                for i, j in zip(u.tolist(), v.tolist(), strict=True):
+                    x, y = top(int(comp[i])), top(int(comp[j]))
+                    if x != y and held.value.linked(texts[i], texts[j]):
+                        root[max(x, y)] = min(x, y)
+                        links.append((int(node[i]), int(node[j])))
+            if links:
+                yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return full.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY).select(*BLOCK_KEY, "block", "n", "node", "component", "signature", "text").mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -263,15 +354,22 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     classes = stage(signed.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("class_id"), F.min("signature").alias("signature")), "classes")
     reps = classes.where("signature is not null")
     bands = band_rows(reps)
-    buckets = bands.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    members = stage(bands.join(buckets, "bucket"), "buckets")
-    first = stage(alike(members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), reps), "pairs")
-    links = stage(verified(first, rows, reps, idf, similarity), "links")
-    found = components(links)
-    second = stage(leftover_pairs(members, found, reps), "pairs")
-    if not second.isEmpty():
-        links = links.unionByName(stage(verified(second, rows, reps, idf, similarity), "links"))
-        found = components(links)
+    members = stage(bands.join(bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket"), "buckets")
+    largest = members.agg(F.max("n")).first()[0] or 0
+    links, found = [], None
+    for number in range(SAMPLED_ROUNDS + 1):
+        if number and DEGREE**number >= largest:
+            break
+        if number < SAMPLED_ROUNDS:
+            pairs = stage(round_pairs(members, found, reps, number), "pairs")
+            new = None if pairs.isEmpty() else stage(verified(pairs, rows, reps, idf, similarity), "links")
+        else:
+            new = stage(last_links(members, found, rows, reps, idf, similarity), "links")
+        if new is not None and not new.isEmpty():
+            links.append(new)
+            found = components(reduce(DataFrame.unionByName, links))
+    if found is None:
+        found = members.select("node", F.col("node").alias("component")).limit(0)
     found = found.join(classes.select("node", "class_id"), "node")
     lowest = found.groupBy("component").agg(F.min("class_id").alias("component_id"))
     groups = found.join(lowest, "component").select("node", "component_id")

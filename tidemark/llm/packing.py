@@ -195,3 +195,28 @@ def pack(pieces: DataFrame, limit: int = 1024, group_pieces: int = GROUP_PIECES)
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, limit: int = 1024, end_id: int = 2) -> DataFrame:
     """Pieces of all documents with their places. Empty input gives no rows; rows that repeat are packed each by itself."""
     return pack(cut_pieces(docs, tokenizer, limit, end_id), limit)
+
+
+def packed_sequences(docs: DataFrame, placed: DataFrame, tokenizer: str | None = None, end_id: int = 2) -> DataFrame:
+    """Rows sequence_id, doc_ids, ids: the token ids of each sequence, from documents and the places of their pieces.
+
+    A sequence has at most the packing's limit of ids, so what is gathered for one is bounded. Ids of documents must
+    differ, as pieces find their text by it.
+    """
+    path = tokenizer or default_tokenizer()
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(path)
+        for batch in batches:
+            for part in text_slices(batch):
+                ids, size = own.encode(part.column("text"))
+                ends = np.cumsum(size + 1)
+                full = np.empty(len(ids) + len(size), np.int32)
+                full[ends - 1] = end_id
+                full[np.repeat(np.arange(len(size)), size) + np.arange(len(ids))] = ids
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(full))], names=["doc_id", "all"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, all array<int>")
+    pieces = placed.join(rows, placed.doc_id.eqNullSafe(rows.doc_id)).select("sequence_id", "offset", placed.doc_id, F.slice("all", (F.col("start") + 1).cast("int"), F.col("length").cast("int")).alias("ids"))
+    ordered = pieces.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "doc_id", "ids"))).alias("parts"))
+    return ordered.select("sequence_id", F.transform("parts", lambda p: p["doc_id"]).alias("doc_ids"), F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
