@@ -21,7 +21,10 @@ def joined(parts: list[DataFrame], keys: tuple[str, ...] = ENTITY) -> DataFrame:
 
 
 def reservoir_period_summary(series: DataFrame, reservoirs: DataFrame) -> DataFrame:
-    """One row for each scenario and reservoir: years, exceedances, spill, probabilities, variability, averages."""
+    """One row for each scenario and reservoir: years, exceedances, spill, probabilities, variability, averages.
+
+    Two aggregations serve all columns, one by entity and one by year; both end up partitioned by entity for the join.
+    """
     rows = stats.with_capacity(series, reservoirs)
     both = {"all": None, "september": [9], "april": [4]}
     single = rows.groupBy(*ENTITY).agg(
@@ -31,8 +34,9 @@ def reservoir_period_summary(series: DataFrame, reservoirs: DataFrame) -> DataFr
         rounded(F.avg(stats.in_months([4]))).alias("april_avg_taf"),
         rounded(F.avg(stats.in_months([9]))).alias("september_avg_taf"),
         F.max("capacity_taf").alias("capacity_taf"),
-    )
-    out = joined([single, stats.annual_average(rows), stats.storage_exceedance(series, reservoirs), stats.spill_period(series, reservoirs)])
+        F.percentile("storage", stats.LEVELS).alias("_q"),
+    ).select("*", *stats.capacity_exceedances()).drop("_q")
+    out = joined([single, stats.spill_summary(stats.spill_years(rows))])
     return out.join(stats.period_span(series), "scenario", "left")
 
 

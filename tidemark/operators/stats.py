@@ -166,8 +166,35 @@ def annual_demand_met(annual: DataFrame, mode: str) -> DataFrame:
 def storage_exceedance(series: DataFrame, reservoirs: DataFrame) -> DataFrame:
     """Exceedances of percent of capacity over all months."""
     rows = with_capacity(series, reservoirs).where("storage is not null")
-    out = rows.groupBy(*ENTITY, "capacity_taf").agg(F.percentile("storage", LEVELS).alias("_q"))
-    return out.select(*ENTITY, *(rounded(level(F.col("_q"), (100 - p) / 100) * 100 / F.col("capacity_taf")).alias(f"storage_exc_p{p}") for p in EXCEEDANCES))
+    return rows.groupBy(*ENTITY, "capacity_taf").agg(F.percentile("storage", LEVELS).alias("_q")).select(*ENTITY, *capacity_exceedances())
+
+
+def capacity_exceedances() -> list[Column]:
+    return [rounded(level(F.col("_q"), (100 - p) / 100) * 100 / F.col("capacity_taf")).alias(f"storage_exc_p{p}") for p in EXCEEDANCES]
+
+
+def spill_years(rows: DataFrame) -> DataFrame:
+    """First level of the period's spill: one row for each water year of rows with capacity; also the mean storage."""
+    spills = F.col("spill") > 0
+    own = F.when(spills, F.col("spill"))
+    return rows.groupBy(*YEAR).agg(
+        F.sum(own).alias("_sum"), F.count(own).alias("_n"), F.min(own).alias("_min"), F.max(own).alias("_max"), F.coalesce(F.sum(spill_volume_taf(own)), F.lit(0.0)).alias("_volume"),
+        F.sum(F.when(spills, pct_of_capacity(F.col("storage"), F.col("capacity_taf")))).alias("_at"), F.count(F.when(spills, F.col("storage"))).alias("_at_n"), F.avg("storage").alias("_mean"),
+    )
+
+
+def spill_summary(years: DataFrame) -> DataFrame:
+    """Second level: one row for each entity, with the mean of the yearly mean storage as annual_avg_taf."""
+    out = years.groupBy(*ENTITY).agg(
+        F.count("_max").alias("spill_years_count"), F.count("*").alias("_years"), F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"), F.min("_min").alias("_min"), F.max("_max").alias("_max"),
+        F.avg("_volume").alias("_vavg"), F.stddev_samp("_volume").alias("_vstd"), F.max("_volume").alias("_vmax"), F.percentile("_max", [0.5, 0.9, 1.0]).alias("_q"), F.sum("_at").alias("_at"), F.sum("_at_n").alias("_at_n"), F.avg("_mean").alias("_mean"),
+    )
+    zero = lambda c: F.coalesce(rounded(c), F.lit(0.0))
+    return out.select(
+        *ENTITY, "spill_years_count", rounded(F.col("spill_years_count") * 100.0 / F.col("_years")).alias("spill_frequency_pct"), zero(F.try_divide("_sum", "_n")).alias("spill_mean_cfs"), zero(F.col("_max")).alias("spill_peak_cfs"),
+        zero(F.col("_vavg")).alias("annual_spill_avg_taf"), F.coalesce(variation(F.col("_vavg"), F.col("_vstd")), F.lit(0.0)).alias("annual_spill_cv"), zero(F.col("_vmax")).alias("annual_spill_max_taf"),
+        *(zero(F.get("_q", F.lit(i))).alias(f"annual_max_spill_q{p}") for i, p in enumerate((50, 90, 100))), rounded(F.try_divide("_at", "_at_n")).alias("storage_at_spill_avg_pct"), rounded(F.col("_min")).alias("spill_threshold_cfs"), rounded(F.col("_mean")).alias("annual_avg_taf"),
+    )
 
 
 def spill_period(series: DataFrame, reservoirs: DataFrame) -> DataFrame:
@@ -175,13 +202,7 @@ def spill_period(series: DataFrame, reservoirs: DataFrame) -> DataFrame:
 
     Years are those of the entity's rows. The threshold is the smallest spill that was found.
     """
-    spills = F.col("spill") > 0
-    own = F.when(spills, F.col("spill"))
-    rows = with_capacity(series, reservoirs)
-    years = rows.groupBy(*YEAR).agg(F.sum(own).alias("_sum"), F.count(own).alias("_n"), F.min(own).alias("_min"), F.max(own).alias("_max"), F.coalesce(F.sum(spill_volume_taf(own)), F.lit(0.0)).alias("_volume"), F.sum(F.when(spills, pct_of_capacity(F.col("storage"), F.col("capacity_taf")))).alias("_at"), F.count(F.when(spills, F.col("storage"))).alias("_at_n"))
-    out = years.groupBy(*ENTITY).agg(F.count("_max").alias("spill_years_count"), F.count("*").alias("_years"), F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"), F.min("_min").alias("_min"), F.max("_max").alias("_max"), F.avg("_volume").alias("_vavg"), F.stddev_samp("_volume").alias("_vstd"), F.max("_volume").alias("_vmax"), F.percentile("_max", [0.5, 0.9, 1.0]).alias("_q"), F.sum("_at").alias("_at"), F.sum("_at_n").alias("_at_n"))
-    zero = lambda c: F.coalesce(rounded(c), F.lit(0.0))
-    return out.select(*ENTITY, "spill_years_count", rounded(F.col("spill_years_count") * 100.0 / F.col("_years")).alias("spill_frequency_pct"), zero(F.try_divide("_sum", "_n")).alias("spill_mean_cfs"), zero(F.col("_max")).alias("spill_peak_cfs"), zero(F.col("_vavg")).alias("annual_spill_avg_taf"), F.coalesce(variation(F.col("_vavg"), F.col("_vstd")), F.lit(0.0)).alias("annual_spill_cv"), zero(F.col("_vmax")).alias("annual_spill_max_taf"), *(zero(F.get("_q", F.lit(i))).alias(f"annual_max_spill_q{p}") for i, p in enumerate((50, 90, 100))), rounded(F.try_divide("_at", "_at_n")).alias("storage_at_spill_avg_pct"), rounded(F.col("_min")).alias("spill_threshold_cfs"))
+    return spill_summary(spill_years(with_capacity(series, reservoirs))).drop("annual_avg_taf")
 
 
 def share_of(hit: Column, months: Sequence[int] | None) -> Column:
