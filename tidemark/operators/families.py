@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import SHORTAGE_FLOOR, clip, ratio_or, rounded
@@ -40,18 +40,45 @@ def reservoir_period_summary(series: DataFrame, reservoirs: DataFrame) -> DataFr
     return out.join(stats.period_span(series), "scenario", "left")
 
 
+def raw(value: str) -> list[Column]:
+    """Mean, deviation and percentiles of a yearly total, under names of its own."""
+    v = F.col(value)
+    return [F.avg(v).alias(f"_{value}_avg"), F.stddev_samp(v).alias(f"_{value}_std"), F.percentile(v, stats.LEVELS).alias(f"_{value}_q")]
+
+
+def mean_of(value: str) -> Column:
+    return rounded(F.col(f"_{value}_avg"))
+
+
+def variation_of(value: str) -> Column:
+    return stats.variation(F.col(f"_{value}_avg"), F.col(f"_{value}_std"))
+
+
+def passed(value: str, prefix: str) -> list[Column]:
+    return [rounded(stats.level(F.col(f"_{value}_q"), (100 - p) / 100)).alias(f"{prefix}_exc_p{p}") for p in stats.EXCEEDANCES]
+
+
+def with_pumping(rows: DataFrame) -> DataFrame:
+    """Pumping as given, else demand less delivery and not under 0."""
+    return rows.withColumn("pumping", F.coalesce("pumping", clip(F.col("demand") - F.coalesce("delivery", F.lit(0.0)), 0)))
+
+
 def farm_period_summary(series: DataFrame) -> DataFrame:
-    """Yearly demand, delivery and pumping of each unit, shortage (null without any data) and reliability."""
-    rows = series.withColumn("pumping", F.coalesce("pumping", clip(F.col("demand") - F.coalesce("delivery", F.lit(0.0)), 0)))
-    annual = stats.annual_totals(rows, ["demand", "delivery", "pumping", "shortage"])
-    seen = rows.groupBy(*ENTITY).agg(F.count("shortage").alias("_n"))
-    demand = stats.annual_summary(annual, "demand", "demand").drop("annual_demand_min_taf", "annual_demand_max_taf")
-    others = [stats.annual_summary(annual, v, n).select(*ENTITY, f"annual_{n}_avg_taf", f"annual_{n}_cv") for v, n in (("delivery", "sw_delivery"), ("pumping", "gw_pumping"))]
-    share = annual.groupBy(*ENTITY).agg(rounded(F.avg(ratio_or(F.col("shortage") * 100, F.col("demand"), 0.0))).alias("annual_shortage_pct_of_demand"))
-    shortage = stats.annual_shortage_summary(annual).select(*ENTITY, "annual_shortage_avg_taf", "shortage_years_count", "shortage_frequency_pct").join(share, list(ENTITY))
-    out = joined([demand, *others, shortage, seen])
-    block = ["annual_shortage_avg_taf", "shortage_years_count", "shortage_frequency_pct", "annual_shortage_pct_of_demand"]
-    out = out.withColumns({c: F.when(F.col("_n") > 0, F.col(c)) for c in block}).drop("_n")
+    """Yearly demand, delivery and pumping of each unit, shortage (null without any data) and reliability.
+
+    One aggregation by year and one over the years serve all columns.
+    """
+    rows = with_pumping(series)
+    values = ["demand", "delivery", "pumping", "shortage"]
+    annual = rows.groupBy(*stats.YEAR).agg(*(F.coalesce(F.sum(v), F.lit(0.0)).alias(v) for v in values), F.count("shortage").alias("_seen"))
+    short = F.col("shortage") > SHORTAGE_FLOOR
+    out = annual.groupBy(*ENTITY).agg(*raw("demand"), *raw("delivery"), *raw("pumping"), F.avg("shortage").alias("_s_avg"), F.count_if(short).alias("_s_years"), F.count("*").alias("_years"), F.sum("_seen").alias("_seen"), F.avg(ratio_or(F.col("shortage") * 100, F.col("demand"), 0.0)).alias("_s_pct"))
+    there = lambda c: F.when(F.col("_seen") > 0, c)
+    out = out.select(
+        *ENTITY, mean_of("demand").alias("annual_demand_avg_taf"), variation_of("demand").alias("annual_demand_cv"), *passed("demand", "demand"),
+        mean_of("delivery").alias("annual_sw_delivery_avg_taf"), variation_of("delivery").alias("annual_sw_delivery_cv"), mean_of("pumping").alias("annual_gw_pumping_avg_taf"), variation_of("pumping").alias("annual_gw_pumping_cv"),
+        there(rounded(F.col("_s_avg"))).alias("annual_shortage_avg_taf"), there(F.col("_s_years")).alias("shortage_years_count"), there(rounded(F.col("_s_years") * 100.0 / F.col("_years"))).alias("shortage_frequency_pct"), there(rounded(F.col("_s_pct"))).alias("annual_shortage_pct_of_demand"),
+    )
     out = out.withColumn("gw_pumping_pct_of_demand", rounded(ratio_or(F.col("annual_gw_pumping_avg_taf") * 100, F.col("annual_demand_avg_taf"), 0.0)))
     out = out.withColumn("annual_delivery_avg_taf", F.col("annual_sw_delivery_avg_taf"))
     return stats.reliability(out, "demand").drop("annual_delivery_avg_taf").join(stats.period_span(series), "scenario", "left")
@@ -115,19 +142,25 @@ def processing_counts(mapping: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def delivery_monthly(rows: DataFrame) -> DataFrame:
-    """Monthly delivery with demand and the share of demand that was met."""
-    return stats.distribution_stats(rows, MONTH, "delivery", "delivery_").withColumnRenamed("delivery_avg", "delivery_avg_taf").join(stats.monthly_demand_met(rows).drop("delivery_avg_taf"), list(MONTH), "left")
+    """Monthly delivery with demand and the share of demand that was met, in one aggregation."""
+    out = rows.groupBy(*MONTH).agg(*stats.raw_stats(F.col("delivery")), F.avg("demand").alias("_demand")).where("sample_count > 0")
+    out = out.select(*MONTH, rounded(F.col("_avg")).alias("delivery_avg_taf"), stats.variation(F.col("_avg"), F.col("_std")).alias("delivery_cv"), *stats.bands(), "sample_count", rounded(F.col("_demand")).alias("demand_avg_taf"))
+    return out.withColumn("percent_of_demand_avg", rounded(clip(ratio_or(F.col("delivery_avg_taf") * 100, F.col("demand_avg_taf"), None), 0, 100)))
 
 
 def unit_period(rows: DataFrame, shortage_floor: float = SHORTAGE_FLOOR, reliability_mode: str = "frequency", demand_mode: str = "mean_of_years") -> DataFrame:
-    """Yearly delivery, shortage, demand and reliability of each unit, with the scenario's years."""
+    """Yearly delivery, shortage, demand and reliability of each unit, with the scenario's years.
+
+    One aggregation by year and one over the years serve all columns.
+    """
     annual = stats.annual_totals(rows, ["delivery", "shortage", "demand"])
-    out = joined([
-        stats.annual_summary(annual, "delivery", "delivery"),
-        stats.annual_shortage_summary(annual, shortage_floor),
-        annual.groupBy(*ENTITY).agg(rounded(F.avg("demand")).alias("annual_demand_avg_taf")),
-        stats.annual_demand_met(annual, demand_mode),
-    ])
+    met = {"of_means": ratio_or(F.avg("delivery") * 100, F.avg("demand"), None), "mean_of_years": F.avg(clip(ratio_or(F.col("delivery") * 100, F.col("demand"), None), 0, 100))}[demand_mode]
+    out = annual.groupBy(*ENTITY).agg(*raw("delivery"), *raw("shortage"), F.avg("demand").alias("_demand"), F.count_if(F.col("shortage") > shortage_floor).alias("shortage_years_count"), F.count("*").alias("_years"), met.alias("_met"))
+    out = out.select(
+        *ENTITY, mean_of("delivery").alias("annual_delivery_avg_taf"), variation_of("delivery").alias("annual_delivery_cv"), rounded(stats.level(F.col("_delivery_q"), 0.0)).alias("annual_delivery_min_taf"), rounded(stats.level(F.col("_delivery_q"), 1.0)).alias("annual_delivery_max_taf"), *passed("delivery", "delivery"),
+        mean_of("shortage").alias("annual_shortage_avg_taf"), "shortage_years_count", rounded(F.col("shortage_years_count") * 100.0 / F.col("_years")).alias("shortage_frequency_pct"), *passed("shortage", "shortage"),
+        rounded(F.col("_demand")).alias("annual_demand_avg_taf"), rounded(clip(F.col("_met"), 0, 100)).alias("avg_pct_demand_met"),
+    )
     return stats.reliability(out, reliability_mode).join(stats.period_span(rows), "scenario", "left")
 
 
@@ -155,8 +188,10 @@ def project_aggregates(rows: DataFrame, members: DataFrame) -> tuple[DataFrame,
 
 
 def farm_unit_stats(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Monthly demand, delivery and pumping side by side, monthly shortage, period summary."""
-    rows = rows.withColumn("pumping", F.coalesce("pumping", clip(F.col("demand") - F.coalesce("delivery", F.lit(0.0)), 0)))
-    monthly = joined([stats.distribution_stats(rows, MONTH, v, f"{v}_").select(*MONTH, f"{v}_avg", f"{v}_cv") for v in ("demand", "delivery", "pumping")], MONTH)
+    """Monthly demand, delivery and pumping side by side, monthly shortage with its share of demand, period summary."""
+    rows = with_pumping(rows)
+    names = ("demand", "delivery", "pumping")
+    monthly = rows.groupBy(*MONTH).agg(*(c for v in names for c in (F.avg(v).alias(f"_{v}_avg"), F.stddev_samp(v).alias(f"_{v}_std"), F.count(v).alias(f"_{v}_n")))).where("_demand_n > 0")
+    monthly = monthly.select(*MONTH, *(c for v in names for c in (mean_of(v).alias(f"{v}_avg"), F.when(F.col(f"_{v}_n") > 0, variation_of(v)).alias(f"{v}_cv"))))
     short = stats.shortage_monthly(rows).join(stats.shortage_pct_of_demand(rows), list(MONTH), "left")
     return monthly, short, farm_period_summary(rows)
