@@ -142,19 +142,19 @@ def plain_counts(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text)
     lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
 
-    def covered(n):
+    def covered(n, first=False):
         grams = [tuple(w[i : i + n]) for i in range(len(w) - n + 1)]
-        times, mark = Counter(grams), [False] * len(w)
+        times, mark, before = Counter(grams), [False] * len(w), set()
         for i, g in enumerate(grams):
-            if times[g] > 1:
+            if times[g] > 1 and (first or g in before):
                 mark[i : i + n] = [True] * n
+            before.add(g)
         return mark
 
-    out = {"n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": len(re.findall(r"[#*$%&|<>]", text)), "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": sum(covered(3))}
+    out = {"n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": len(re.findall(r"[#*$%&|<>]", text)), "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": sum(covered(3, True))}
     for n in repetition.NGRAM_BOUNDS:
         out[f"dup_{n}gram_chars"] = sum(len(x) for x, m in zip(w, covered(n), strict=True) if m)
-    times = Counter(lines)
-    out["dup_line_chars"] = sum(len(x) for x in lines if times[x] > 1)
+    out["dup_line_chars"] = sum(len(x) for i, x in enumerate(lines) if x in lines[:i])
     failed = out["n_words"] < 50 or 100 * out["n_repeat_words"] > 50 * out["n_words"]
     kept = not failed and out["dup_line_chars"] <= repetition.LINE_BOUND * sum(map(len, lines)) and all(out[f"dup_{n}gram_chars"] <= b * out["word_chars"] for n, b in repetition.NGRAM_BOUNDS.items())
     return out | {"base_failed": failed, "kept": kept}

@@ -2,7 +2,8 @@
 
 Words are runs of characters other than ASCII white space. A document fails the base rules when it has under 50 words or
 over half of its words stand in three-word windows found twice or more. The method measures the characters of words
-inside repeated n-grams of several lengths and the characters of repeated lines, and holds each share against a bound.
+inside n-grams of several lengths, and of lines, that stood earlier in the text, and holds each share against a bound.
+What is said a second time counts, and what is said first does not: a header that ends a page too is no fault.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import filled, hashed, mixed, segment_sum, text_slices, words_of
 
 MIN_WORDS = 50
-#: n-gram length: largest share of word characters that may stand inside n-grams found twice or more.
-NGRAM_BOUNDS = {5: 0.15, 7: 0.13, 10: 0.10}
+#: n-gram length: largest share of word characters that may stand inside n-grams that were there before.
+NGRAM_BOUNDS = {5: 0.25, 7: 0.22, 10: 0.20}
 LINE_BOUND = 0.30
 SYMBOLS = "[#*$%&|<>]"
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -28,14 +29,18 @@ COVERED = [f"dup_{n}gram_chars" for n in NGRAM_BOUNDS] + ["dup_line_chars"]
 SCHEMA = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, " + ", ".join(f"{c} long" for c in COVERED) + ", kept boolean"
 
 
-def repeated(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Marks positions whose key is found at another position of the same document. ``doc`` ascends."""
-    order = np.argsort(key, kind="stable")  # equal keys stay in the order of their documents
+def repeated(key: np.ndarray, doc: np.ndarray, first: bool) -> np.ndarray:
+    """Marks positions whose key is found earlier in the same document, and with ``first`` the earliest one too.
+
+    ``doc`` ascends.
+    """
+    order = np.argsort(key, kind="stable")  # equal keys stay in the order of their places
     k, d = key[order], doc[order]
     same = (k[1:] == k[:-1]) & (d[1:] == d[:-1])
     mark = np.zeros(len(key), bool)
     mark[order[1:]] |= same
-    mark[order[:-1]] |= same
+    if first:
+        mark[order[:-1]] |= same
     return mark
 
 
@@ -66,18 +71,18 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     signs = pc.count_substring_regex(words, SYMBOLS).to_numpy(zero_copy_only=False).astype(np.int64)[codes]
     out = {"n_words": count, "word_chars": segment_sum(width, count), "n_symbols": segment_sum(signs, count)}
 
-    def inside(key: np.ndarray, n: int) -> np.ndarray:
+    def inside(key: np.ndarray, n: int, first: bool) -> np.ndarray:
         whole = np.flatnonzero(doc[: len(key)] == doc[n - 1 :]) if len(key) else np.zeros(0, np.int64)
-        return covered(whole[repeated(key[whole], doc[whole])], n, len(codes))
+        return covered(whole[repeated(key[whole], doc[whole], first)], n, len(codes))
 
-    out["n_repeat_words"] = segment_sum(inside(triples(codes, len(words)), 3).astype(np.int64), count) if len(codes) > 2 else np.zeros(rows, np.int64)
+    out["n_repeat_words"] = segment_sum(inside(triples(codes, len(words)), 3, True).astype(np.int64), count) if len(codes) > 2 else np.zeros(rows, np.int64)
     word = mixed(hashed(words))[codes]
     rolling = word
     for n in range(2, max(NGRAM_BOUNDS) + 1):
         with np.errstate(over="ignore"):
             rolling = rolling[:-1] * BASE + word[n - 1 :] if len(rolling) else rolling
         if n in NGRAM_BOUNDS:
-            out[f"dup_{n}gram_chars"] = segment_sum(np.where(inside(rolling, n), width, 0), count) if len(rolling) else np.zeros(rows, np.int64)
+            out[f"dup_{n}gram_chars"] = segment_sum(np.where(inside(rolling, n, False), width, 0), count) if len(rolling) else np.zeros(rows, np.int64)
 
     lists = pc.split_pattern(texts, "\n")
     lines = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -87,13 +92,10 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     chars = pc.utf8_length(coded.dictionary).to_numpy(zero_copy_only=False).astype(np.int64)[line]
     at = np.repeat(np.arange(rows), lines)
     seen = np.flatnonzero(real)
-    again = np.zeros(len(line), bool)
     later = np.zeros(len(line), bool)
-    again[seen] = repeated(line[seen], at[seen])
-    order = seen[np.argsort(line[seen], kind="stable")]
-    later[order[1:]] = (line[order[1:]] == line[order[:-1]]) & (at[order[1:]] == at[order[:-1]])
+    later[seen] = repeated(line[seen], at[seen], False)
     out["n_dup_lines"] = segment_sum(later.astype(np.int64), lines)
-    out["dup_line_chars"] = segment_sum(np.where(again, chars, 0), lines)
+    out["dup_line_chars"] = segment_sum(np.where(later, chars, 0), lines)
     out["line_chars"] = segment_sum(np.where(real, chars, 0), lines)
     return out
 
