@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +14,32 @@ from tidemark.llm.common import stage
 MOST_ROUNDS = 60
 
 
+def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from each node to the smallest of its component within the links (a, b)."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        np.minimum.at(new, x, low)
+        np.minimum.at(new, y, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    other = label != np.arange(len(nodes))
+    return nodes[other], nodes[label[other]]
+
+
+def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of each batch as stars, so that fewer rounds are needed over all of them."""
+    for batch in batches:
+        if batch.num_rows:
+            u, v = local_forest(batch.column("a").to_numpy(), batch.column("b").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Rows (node, component) from edges (a, b) of long ids; the component is the smallest id reachable.
 
@@ -17,7 +47,8 @@ def components(edges: DataFrame) -> DataFrame:
     written to the shared folder; a hub's edges are never gathered, only its smallest neighbour is.
     """
     least = lambda e: e.groupBy("u").agg(F.min("v").alias("m"))
-    star = stage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    known = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null and a <> b")
+    star = stage(known.mapInArrow(contracted, "u long, v long").distinct(), "edges")
     before = None
     for _ in range(MOST_ROUNDS):
         now = star.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()

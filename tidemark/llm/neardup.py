@@ -38,8 +38,8 @@ SAMPLES = BANDS * ROWS
 LEAST_EQUAL = 36
 BLOCK = 512
 #: Partners of a text in a large bucket in the first round, and how many times more in each further round.
-DEGREE = 8
-SAMPLED_ROUNDS = 2
+DEGREE = 16
+SAMPLED_ROUNDS = 1
 TEXT_BLOCK = 256
 PAIRS_PER_TASK_KEY = 256
 BASE = np.uint64(0x9E3779B97F4A7C15)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stage
-from tidemark.llm.components import components
+from tidemark.llm.components import components, local_forest
 
 COSINE = 0.98
 #: Most vectors that the codebooks are fitted on: those with the smallest hashes.
@@ -81,24 +81,6 @@ def visit_radius(cosine: float, dim: int, recall: float) -> float:
     return float(np.sqrt(far if recall >= 1 else min(far, 2 * far / dim * np.log(1 / (1 - recall))))) + 1e-7
 
 
-def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges from each node to the smallest of its component within the links (a, b)."""
-    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = at[: len(a)], at[len(a) :]
-    label = np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[x], label[y])
-        new = label.copy()
-        np.minimum.at(new, x, low)
-        np.minimum.at(new, y, low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    other = label != np.arange(len(nodes))
-    return nodes[other], nodes[label[other]]
-
-
 def near_vectors(table: DataFrame, cosine: float = COSINE, recall: float = RECALL, sample: int = SAMPLE) -> DataFrame:
     """Rows vec_id, n_links, component_id, kept from (vec_id, embedding, label): one for each row.
 
