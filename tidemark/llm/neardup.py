@@ -236,7 +236,7 @@ def in_blocks(rows: DataFrame, size: int) -> DataFrame:
     """Members once for each pair of blocks (lo, hi) that theirs is part of, so that no task gets a whole large bucket."""
     rows = rows.withColumn("block", F.expr(f"pmod(xxhash64(node), ceil(n / {size}))"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / size) - 1)))
-    return rows.select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "n", "node", "component")
+    return rows.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other")
 
 
 BLOCK_KEY = ["bucket", "lo", "hi"]
@@ -287,7 +287,7 @@ def candidates_of(run: pa.Table, low: float, high: float) -> Iterator[tuple[np.n
 def round_pairs(members: DataFrame, found: DataFrame | None, reps: DataFrame, number: int) -> DataFrame:
     """Pairs (a, b) of a sampled round: each pair of a bucket of n texts with a chance of ``DEGREE ** (number + 1) / n``
     that the rounds before didn't take. Buckets of few texts are worked off whole."""
-    rows = in_blocks(open_members(members, found, DEGREE**number if number else 1), BLOCK).join(reps.select("node", "signature"), "node")
+    rows = in_blocks(open_members(members, found, DEGREE**number if number else 1).join(reps.select("node", "signature"), "node"), BLOCK)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
@@ -306,7 +306,7 @@ def last_links(members: DataFrame, found: DataFrame | None, docs: DataFrame, rep
     rows = open_members(members, found, DEGREE**SAMPLED_ROUNDS).persist()
     nodes = rows.select("node")
     held = docs.sparkSession.sparkContext.broadcast(Weights(idf, similarity))
-    full = in_blocks(rows, TEXT_BLOCK).join(reps.select("node", "signature"), "node").join(texts_of(nodes, docs, reps), "node")
+    full = in_blocks(rows.join(reps.select("node", "signature"), "node").join(texts_of(nodes, docs, reps), "node"), TEXT_BLOCK)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
