@@ -64,6 +64,25 @@ def test_vectors_find_all_links(spark, monkeypatch, recall):
     assert got == plain_links(rows)
 
 
+def test_vectors_find_links_across_cells_for_both_ends(spark, monkeypatch):
+    """Several codewords a half; pairs differ in one component or straight across the plane between two codewords."""
+    monkeypatch.setattr(vectors, "VECTORS_PER_CELL", 16)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(700, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    one = x[:150].copy()
+    one[np.arange(150), rng.integers(0, 64, 150)] += 0.19 * rng.choice([-1, 1], 150)
+    words = vectors.codebook(x[:, :32], 6)
+    across = x[150:650].copy()
+    near = (np.square(words).sum(axis=1) - 2 * across[:, :32] @ words.T).argsort(axis=1)
+    way = words[near[:, 1]] - words[near[:, 0]]
+    across[:, :32] += 0.19 * way / np.linalg.norm(way, axis=1, keepdims=True)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.float32(np.concatenate([x, one, across])))]
+    want = plain_links(rows)
+    assert sum(r[1] for r in want) > 1200
+    assert sorted(tuple(r) for r in vectors.near_vectors(vector_frame(spark, rows)).collect()) == want
+
+
 def test_cell_bound_is_never_over_the_distance():
     rng = np.random.default_rng(2)
     centres, x = rng.normal(size=(9, 6)), rng.normal(size=(200, 6))

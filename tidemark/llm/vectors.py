@@ -3,10 +3,9 @@
 Unit vectors are cut in two halves and each half has a codebook, fitted on a bounded sample; the two nearest codewords
 name the cell of a vector. Every vector is indexed and every vector is a query. For a query, a cell has a lower bound
 on the distance to anything inside it (the distances of both halves to the bisecting planes of their codewords); cells
-are visited from the lowest bound on until it passes a radius. For a target recall of 1 that is the distance that
-belongs to the cosine, beyond which no link can lie. Under 1 it is the distance that a pair just at the cosine keeps
-to within its two planes with that probability, when its difference points anywhere. What is found is verified in
-double precision.
+are visited from the lowest bound on until it passes a radius: the distance that belongs to the cosine, beyond which no
+link can lie. A query visits its own cell and those that come after it, since the other end of a link visits no less:
+a pair is met from the end in the earlier cell and counts for both. What is found is verified in double precision.
 
 Equal vectors of a label are one node with a count. Cells with many vectors are cut into blocks, so no task gets all
 vectors of a cell. Links are counted where they are found; only a spanning forest of each block leaves it.
@@ -29,7 +28,12 @@ COSINE = 0.98
 SAMPLE = 4096
 VECTORS_PER_CELL = 64
 MOST_WORDS = 1024
-RECALL = 0.999
+#: Under 1, cells are visited only as far as a pair keeps to with that probability if its difference points anywhere;
+#: real differences may lie along few directions, so no query asks for less than 1.
+RECALL = 1.0
+#: Codewords closer than this have no plane that double precision can place; both regions are visited.
+LEAST_GAP = 1e-3
+PLACED_AT_ONCE = 1_000
 INDEX_BLOCK, QUERY_BLOCK = 1024, 4096
 
 
@@ -55,6 +59,7 @@ def bounds(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndar
     gap = np.sqrt(np.maximum(np.square(centres).sum(axis=1)[:, None] - 2 * centres @ centres.T + np.square(centres).sum(axis=1), 0))
     with np.errstate(divide="ignore", invalid="ignore"):
         plane = (d - d[np.arange(len(d)), near][:, None]) / (2 * gap[near])
+    plane[gap[near] < LEAST_GAP] = 0
     plane[np.arange(len(d)), near] = 0
     return near, np.maximum(plane, 0)
 
@@ -86,7 +91,7 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, recall: float = RECAL
 
     Only vectors of one label and one length are compared. Vectors that are null, empty, zero or hold null or non-finite
     components, and those with a null label, link with nothing. Rows that repeat an id are counted each; a null id is
-    answered with a null component and kept. ``recall`` is the target of the visits (1: complete).
+    answered with a null component and kept. ``recall`` is the target of the visits (1, the default: complete).
     """
     rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"), F.col("label").alias("label"))
     squares = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
@@ -104,51 +109,66 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, recall: float = RECAL
             books[dim] = tuple(codebook(half, words) for half in (points[:, : dim // 2], points[:, dim // 2 :]))
     held = table.sparkSession.sparkContext.broadcast(books)
 
-    def place(batches: Iterator[pa.RecordBatch], all_visits: bool) -> Iterator[pa.RecordBatch]:
-        """The cell of each vector, or each cell that its query visits."""
+    def place(batches: Iterator[pa.RecordBatch], carried: list[str]) -> Iterator[pa.RecordBatch]:
+        """Each vector once in its own cell (role 0), and its query there (role 1) and in each later cell it visits (role 2)."""
         for batch in batches:
             size = batch.column("embedding").value_lengths().to_numpy(zero_copy_only=False)
             for dim in np.unique(size).tolist():
-                part = batch.filter(pa.array(size == dim))
-                at, cell = np.arange(part.num_rows), np.zeros(part.num_rows, np.int64)
-                if dim in held.value and dim > 1:
-                    left, right = held.value[dim]
-                    points = unit(part.column("embedding").flatten().to_numpy(), dim)
-                    (n1, b1), (n2, b2) = bounds(points[:, : dim // 2], left), bounds(points[:, dim // 2 :], right)
-                    if all_visits:
+                whole = batch.filter(pa.array(size == dim))
+                for part in (whole.slice(x, PLACED_AT_ONCE) for x in range(0, whole.num_rows, PLACED_AT_ONCE)):
+                    at = own = np.arange(part.num_rows)
+                    home = cell = np.zeros(part.num_rows, np.int64)
+                    if dim in held.value and dim > 1:
+                        left, right = held.value[dim]
+                        points = unit(part.column("embedding").flatten().to_numpy(), dim)
+                        (n1, b1), (n2, b2) = bounds(points[:, : dim // 2], left), bounds(points[:, dim // 2 :], right)
+                        home = n1 * len(right) + n2
                         at, n1, n2 = visits(b1, b2, visit_radius(cosine, dim, recall))
-                    cell = n1 * len(right) + n2
-                part = part.take(pa.array(at))
-                for x in range(0, part.num_rows, 10_000):
-                    yield pa.RecordBatch.from_arrays([*part.slice(x, 10_000).columns, pa.array(cell[x : x + 10_000]), pa.array(np.full(min(10_000, part.num_rows - x), dim, np.int32))], names=[*part.schema.names, "cell", "dim"])
+                        cell = n1 * len(right) + n2
+                        later = cell >= home[at]
+                        at, cell = at[later], cell[later]
+                    role = np.concatenate([np.zeros(len(own), np.int32), np.where(cell == home[at], 1, 2).astype(np.int32)])
+                    at, cell = np.concatenate([own, at]), np.concatenate([home, cell])
+                    part = part.select(carried)
+                    for x in range(0, len(at), 10_000):
+                        now = part.take(pa.array(at[x : x + 10_000]))
+                        yield pa.RecordBatch.from_arrays([*now.columns, pa.array(cell[x : x + 10_000]), pa.array(np.full(now.num_rows, dim, np.int32)), pa.array(role[x : x + 10_000])], names=[*carried, "cell", "dim", "role"])
 
     plain = classes.select("node", "label", "embedding", "n")
-    schema = f"node long, label {dict(plain.dtypes)['label']}, embedding array<float>, n long, cell long, dim int"
-    index = plain.mapInArrow(lambda batches: place(batches, False), schema)
-    queries = plain.mapInArrow(lambda batches: place(batches, True), schema)
+    types = dict(plain.dtypes)
+
+    def placed(*carried: str) -> DataFrame:
+        names = list(carried)
+        return plain.mapInArrow(lambda batches: place(batches, names), ", ".join([*(f"{c} {types[c]}" for c in names), "cell long, dim int, role int"]))
+
     key = ["label", "dim", "cell"]
-    load = index.groupBy(key).agg(F.ceil(F.count("*") / INDEX_BLOCK).alias("blocks")).join(queries.groupBy(key).agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("parts")), key)
-    load = stage(load, "cell-loads")
+    load = placed("label").groupBy(key).agg(F.ceil(F.count_if(F.col("role") == 0) / INDEX_BLOCK).alias("blocks"), F.ceil(F.count_if(F.col("role") > 0) / QUERY_BLOCK).alias("parts"))
+    load = stage(load.where("blocks > 0"), "cell-loads")
     span = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
-    index = index.join(load, key).withColumns({"block": F.expr("pmod(xxhash64(node), blocks)"), "part": F.explode(span(F.col("parts"))), "role": F.lit(0)})
-    queries = queries.join(load, key).withColumns({"part": F.expr("pmod(xxhash64(node), parts)"), "block": F.explode(span(F.col("blocks"))), "role": F.lit(1)})
+    met = placed("node", "label", "embedding", "n").join(load, key)
+    met = met.withColumn("part", F.explode(F.when(F.col("role") == 0, span(F.col("parts"))).otherwise(F.array(F.expr("pmod(xxhash64(node), parts)")))))
+    met = met.withColumn("block", F.explode(F.when(F.col("role") > 0, span(F.col("blocks"))).otherwise(F.array(F.expr("pmod(xxhash64(node), blocks)")))))
     keys = [*key, "block", "part"]
-    dealt = index.unionByName(queries).withColumn("group", F.xxhash64(*keys)).select("group", *keys, "role", "node", "n", "embedding").repartition("group").sortWithinPartitions("group", *keys)
+    dealt = met.withColumn("group", F.xxhash64(*keys)).select("group", *keys, "role", "node", "n", "embedding").repartition("group").sortWithinPartitions("group", *keys)
 
     def linked(run: pa.Table) -> Iterator[pa.RecordBatch]:
         role = run.column("role").to_numpy()
         node, n = run.column("node").to_numpy(), run.column("n").to_numpy()
         x = unit(run.column("embedding").combine_chunks().flatten().to_numpy(), run.column("dim")[0].as_py())
-        a, q = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
+        a, q = np.flatnonzero(role == 0), np.flatnonzero(role > 0)
         if not len(a) or not len(q):
             return
         hits = (x[q] @ x[a].T >= cosine) & (node[q][:, None] != node[a][None, :])
-        total = hits @ n[a]
         qi, ai = np.nonzero(hits)
         if len(qi):
             u, v = local_forest(node[q][qi], node[a][ai])
-            some = total > 0
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([node[q][some], u])), pa.array(np.concatenate([np.zeros(some.sum(), np.int64), v])), pa.array(np.concatenate([total[some], np.zeros(len(u), np.int64)]))], names=["a", "b", "links"])
+            met, far = role[q][qi] == 2, np.zeros(len(a), np.int64)  # the other end of these pairs doesn't come here
+            total = np.zeros(len(q), np.int64)
+            np.add.at(total, qi, n[a][ai])
+            np.add.at(far, ai[met], n[q][qi[met]])
+            ends, total = np.concatenate([node[q], node[a]]), np.concatenate([total, far])
+            ends, total = ends[total > 0], total[total > 0]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([ends, u])), pa.array(np.concatenate([np.zeros(len(ends), np.int64), v])), pa.array(np.concatenate([total, np.zeros(len(u), np.int64)]))], names=["a", "b", "links"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
