@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+import __spark_entry__
 from tidemark.llm import neardup, packing, quality, repetition, secrets, token_files
 from tidemark.llm.tokens import default_tokenizer, encoder
 
@@ -54,6 +55,29 @@ def test_encoder_equals_tokenizer(texts):
         assert ids[ends[i] : ends[i + 1]].tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_gives_special_tokens_their_id():
+    t = Tokenizer.from_file(default_tokenizer())
+    special = sorted(a.content for a in t.get_added_tokens_decoder().values())
+    texts = ["plain words", *(f"{a}{s}{b}" for s in special for a in ("", "one ", "one. ", "x") for b in ("", " two", "two", "\n")), "<|endoftext", None]
+    ids, size = encoder(default_tokenizer()).encode(pa.array(texts, pa.string()))
+    ends = np.concatenate([[0], np.cumsum(size)])
+    assert special
+    for i, text in enumerate(texts):
+        assert ids[ends[i] : ends[i + 1]].tolist() == plain_ids(t, text)
+
+
+def test_queries_give_special_tokens_their_id(spark, tmp_path):
+    t, texts = Tokenizer.from_file(default_tokenizer()), ["one two", "one <|endoftext|> two", "three"]
+    frame(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    queries, start = __spark_entry__.queries(), 0
+    files = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries["op10_token_files"](spark, str(tmp_path)).collect()}
+    pieces = {r.doc_id: (r.length, r.ids_crc32) for r in queries["op8_best_fit_packing"](spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        own = plain_ids(t, text)
+        assert files[i] == (start, len(own) + 1, checksum([*own, 0])) and pieces[i] == (len(own) + 1, checksum([*own, 2]))
+        start += len(own) + 1
+
+
 # Operator 10
 
 

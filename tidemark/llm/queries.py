@@ -58,7 +58,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
-    token_files.write_token_files(token_files.encode_texts(table(spark, sf_dir, "documents")), path)
+    token_files.write_token_files(token_files.encode_texts(table(spark, sf_dir, "documents"), plain=False), path)
     return token_files.stream_digest(spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 

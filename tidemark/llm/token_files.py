@@ -24,16 +24,17 @@ ENCODINGS = ("dictionary", "delta")
 META = ["key", "shard", "start_in_shard", "n_tokens"]
 
 
-def encode_texts(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_texts(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, key: str = "doc_id", text: str = "text", plain: bool = True) -> DataFrame:
     """One row per document, in ascending key order over shards: key, shard, start_in_shard, n_tokens, ids.
 
     ``end_id`` ends every document. A null text is empty and has the end id alone; null keys come first; rows with equal
-    keys are all kept, in the order of their texts' hashes. Other columns are ignored.
+    keys are all kept, in the order of their texts' hashes. Other columns are ignored. ``plain`` reads the strings of
+    special tokens as ordinary text; otherwise each gets its one id, as the tokenizer gives it.
     """
     path = tokenizer or default_tokenizer()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, at, shard = encoder(path), 0, TaskContext.get().partitionId()
+        own, at, shard = encoder(path, plain), 0, TaskContext.get().partitionId()
         for batch in batches:
             for part in text_slices(batch):
                 ids, size = own.encode(part.column("text"))

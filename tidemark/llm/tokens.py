@@ -3,8 +3,8 @@
 The tokenizer splits text into words and signs before it merges anything, and it always splits before a lone space,
 around a lone line feed, and between a letter and the stops that end a piece. So a text is cut there, each distinct
 piece is encoded once by the tokenizer, and numpy puts the ids together. Texts in which a space or line feed touches
-other white space are encoded whole. Either way the ids are those of ``Tokenizer.encode(text,
-add_special_tokens=False)``, with the strings of special tokens read as ordinary text.
+other white space, and those that hold the string of an added token, are encoded whole. Either way the ids are those of
+``Tokenizer.encode(text, add_special_tokens=False)``; a plain encoder reads the strings of special tokens as ordinary text.
 """
 
 from __future__ import annotations
@@ -36,12 +36,13 @@ def default_tokenizer() -> str:
 class Encoder:
     """Encodes Arrow arrays of texts; keeps the ids of the pieces it has met, by a 64-bit hash."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
+        self.added = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.forget()
 
     def forget(self) -> None:
@@ -118,6 +119,8 @@ class Encoder:
         """Ids of all texts on end (uint32), and how many each text has. A null text is empty and has none."""
         texts = filled(texts)
         odd = pc.match_substring_regex(texts, BESIDE_SPACE).to_numpy(zero_copy_only=False)
+        for content in self.added:
+            odd = odd | pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
         if not odd.any():
             return self.cut(texts) if len(texts) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
         size = np.zeros(len(texts), np.int64)
@@ -132,11 +135,11 @@ class Encoder:
         return ids, size
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """The worker's own encoder for a tokenizer file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, plain) not in _encoders:
+        _encoders[path, plain] = Encoder(path, plain)
+    return _encoders[path, plain]
