@@ -335,6 +335,15 @@ def test_near_duplicates_without_ids_and_repeats(spark):
     assert neardup.near_duplicates(frame(spark, [])).collect() == []
 
 
+def test_without_near_duplicates_tells_rows_of_one_id_apart(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(80)) for w in ("red", "blue", "green"))
+    near = a.replace("red79", "edited")
+    rows = [(5, a), (5, b), (5, b), (1, c), (5, c), (None, b), (5, near), (6, near)]
+    got = neardup.without_near_duplicates(frame(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got if r.text not in (a, near)) == sorted([(5, b), (1, c), (0, b)])
+    assert [r.doc_id for r in got if r.text in (a, near)] == [5]
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(5)
     w = [f"w{i}" for i in rng.integers(0, 10**6, 400)]

@@ -341,6 +341,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     equal texts and are linked with nothing else. A null doc_id joins no class: its row has null ids and is kept. Rows
     that repeat in full are answered alike. Other columns are ignored.
     """
+    return judged(docs, similarity).select("doc_id", "class_id", "component_id", "kept")
+
+
+def judged(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``near_duplicates`` with ``node``, the text's hash, and ``group``, one value for each near-duplicate group."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
     idf = inverse_frequency(*document_frequency(rows))
     held = docs.sparkSession.sparkContext.broadcast(idf)
@@ -372,22 +377,29 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         found = members.select("node", F.col("node").alias("component")).limit(0)
     found = found.join(classes.select("node", "class_id"), "node")
     lowest = found.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    groups = found.join(lowest, "component").select("node", "component_id")
-    named = stage(classes.select("node", "class_id").join(groups, "node", "left").select("node", "class_id", F.coalesce("component_id", "class_id").alias("component_id")), "groups")
+    groups = found.join(lowest, "component").select("node", "component", "component_id")
+    named = stage(classes.select("node", "class_id").join(groups, "node", "left").select("node", "class_id", F.coalesce("component", "node").alias("group"), F.coalesce("component_id", "class_id").alias("component_id")), "groups")
     out = signed.select("doc_id", "node").join(named, "node", "left")
     known = F.col("doc_id").isNotNull()
-    return out.select("doc_id", F.when(known, F.col("class_id")).alias("class_id"), F.when(known, F.col("component_id")).alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", F.when(known, F.col("class_id")).alias("class_id"), F.when(known, F.col("component_id")).alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "node", "group")
 
 
 def without_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One document of each near-duplicate group, that with the smallest doc_id, with all columns of ``docs``.
 
-    Documents without a doc_id stay. Where rows repeat a kept id and text, one of them stays.
+    Documents without a doc_id stay. Rows are told apart by doc_id and text, so unlike texts under one doc_id all stay.
+    Where several texts of a group have its smallest doc_id, that with the smallest hash stays; where rows repeat a kept
+    id and text, one of them stays.
     """
-    found = near_duplicates(docs, similarity).where("kept and doc_id is not null")
-    keep = stage(found.groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    stay = docs.join(keep.select("doc_id"), "doc_id", "left_semi")
+    found = judged(docs, similarity).where("kept and doc_id is not null")
+    texts = found.groupBy("group", F.col("doc_id").alias("_id"), F.col("node").alias("_node")).agg(F.count("*").alias("rows"))
+    keep = stage(texts.groupBy("group").agg(F.min(F.struct("_node", "_id", "rows")).alias("least")).select("least.*"), "kept")
+    named = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_node": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    pair = ["_id", "_node"]
+    stay = named.join(keep.select(*pair), pair, "left_semi")
     if not keep.where("rows > 1").isEmpty():
-        again = keep.where("rows > 1").select("doc_id")
-        stay = stay.join(again, "doc_id", "left_anti").unionByName(stay.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return stay.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+        again = keep.where("rows > 1").select(*pair)
+        # which of the rows stays is decided by their other columns, not by the order in which they are met
+        first = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
+        stay = stay.join(again, pair, "left_anti").select(*docs.columns).unionByName(stay.join(again, pair, "left_semi").groupBy(*pair).agg(first).select("row.*"))
+    return stay.select(*docs.columns).unionByName(named.where("_id is null").select(*docs.columns))
