@@ -29,6 +29,15 @@ class Rule:
     base: bool = False
 
 
+GAP, BASE64 = r"(?:[ \t\r\n]|\\[nr])", "[A-Za-z0-9+/=]"
+LINE_END = r"(?=[ \t]*+(?![^\r\n]))"
+#: What follows the first line of a private key: all up to its last line, before which no five dashes stand; where that
+#: is missing, the key's headers and its base64, of which the last line may be short.
+KEY_BODY = (
+    r"(?:[^-]*+(?:-{1,4}+[^-]++)*+-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{GAP}++(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:{GAP}++{BASE64}{{24,}}+)++(?:{GAP}++(?:{BASE64}++{LINE_END}|[A-Za-z0-9+/]++={{1,2}}))?)?"
+)
+
 #: The base kinds in their order, then the kinds that this scan adds.
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12, True),
@@ -38,7 +47,7 @@ RULES = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}"),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----" + KEY_BODY),
 )
 SMALL_CLASS = 8
 #: Trigrams of one alternative that are looked up; fewer leave a wider, never a smaller, set of candidates.
