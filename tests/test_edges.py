@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import calendar, scalars
-from tidemark.operators import families, network, quality, series, stats, tiers
-from tidemark.sources import exports, sinks
+from tidemark.operators import families, network, quality, series, serving, stats, tiers
+from tidemark.sources import exports, shared, sinks
 from tidemark.streaming import incremental
 
 D = datetime.date
@@ -79,11 +79,25 @@ def test_strict_and_lenient_arcs(spark):
     assert one(series.sum_arcs(s, arcs, strict=True), "value") == [None, None]
 
 
+#: Counts and shares of the four tiers as published.
+GOLDEN = {
+    ("s0011", "AG_REV"): ((60, 44, 13, 15), (0.455, 0.333, 0.099, 0.114)),
+    ("s0011", "CWS_DEL"): ((24, 0, 5, 42), (0.338, 0.000, 0.070, 0.592)),
+    ("s0011", "ENV_FLOWS"): ((0, 1, 14, 2), (0.000, 0.059, 0.824, 0.118)),
+    ("s0011", "GW_STOR"): ((7, 19, 13, 3), (0.167, 0.452, 0.310, 0.071)),
+    ("s0011", "RES_STOR"): ((0, 3, 5, 0), (0.000, 0.375, 0.625, 0.000)),
+    ("s0020", "AG_REV"): ((61, 43, 14, 14), (0.462, 0.326, 0.106, 0.106)),
+    ("s0020", "CWS_DEL"): ((21, 0, 7, 42), (0.300, 0.000, 0.100, 0.600)),
+}
+#: The one published share that its own counts don't give: 13 of 132 is 0.0985, published as 0.099.
+KNOWN_DIFFERENCE = {("s0011", "AG_REV", 3): 0.098}
+
+
 def test_tier_shares_golden(spark):
-    levels = [1] * 60 + [2] * 44 + [3] * 13 + [4] * 15
-    df = rows(spark, [("s0011", "AG_REV", f"L{i}", v) for i, v in enumerate(levels)], "scenario string, indicator string, location string, level int")
-    r = tiers.tier_counts(df, digits=3).first()
-    assert [r[f"norm_tier_{t}"] for t in (1, 2, 3, 4)] == [0.455, 0.333, 0.098, 0.114]
+    levels = [(s, i, f"L{t}x{n}", t) for (s, i), (counts, _) in GOLDEN.items() for t, c in enumerate(counts, 1) for n in range(c)]
+    df = rows(spark, levels, "scenario string, indicator string, location string, level int")
+    got = {(r.scenario, r.indicator, t): r[f"norm_tier_{t}"] for r in tiers.tier_counts(df, digits=3).collect() for t in (1, 2, 3, 4)}
+    assert got == {(*k, t): v for k, (_, shares) in GOLDEN.items() for t, v in enumerate(shares, 1)} | KNOWN_DIFFERENCE
 
 
 def test_tier_scores_golden_and_empty(spark):
@@ -138,6 +152,39 @@ def test_unlabelled_header_by_position(spark, tmp_path):
     assert [(r.variable, r.value, r.units) for r in exports.read_dss_csv(spark, str(tmp_path)).collect()] == [("V9", 4.0, "CFS")]
 
 
+def test_annual_export(spark, tmp_path):
+    head = ["a,M", "b,D_X", "c,K", "e,1YEAR", "f,L", "type,T", "units,TAF"]
+    (tmp_path / "s0021_DV.csv").write_text("\n".join([*head, "1922,1.5", "1923.0,2.5"]))
+    (tmp_path / "s0022_DV.csv").write_text("\n".join([*head, "1922,1.5", "1922-12-31,2"]))
+    got = sorted(tuple(r) for r in exports.with_series_calendar(exports.read_dss_csv(spark, str(tmp_path))).select("scenario", F.col("ts").cast("string"), "water_month", "water_year", "days_in_month", "value").collect())
+    assert got == [("s0021", "1922-09-30", 0, 1922, 365, 1.5), ("s0021", "1923-09-30", 0, 1923, 365, 2.5), ("s0022", "1922-01-01", 4, 1922, 31, 1.5), ("s0022", "1922-12-31", 3, 1923, 31, 2.0)]
+    (tmp_path / "s0021_DV.csv").write_text("\n".join([*head, "1922,1.5", "2150,2.5"]))
+    with pytest.raises(Exception, match="not a year"):
+        exports.read_dss_csv(spark, str(tmp_path)).collect()
+
+
+def test_repeated_rows_in_maps(spark):
+    s = rows(spark, [("s", "A", D(2000, 1, 31), 1.0, "TAF"), ("s", "A", D(2000, 1, 31), 3.0, "TAF"), ("s", "B", D(2000, 1, 31), 2.0, "TAF")], "scenario string, variable string, ts date, value double, units string")
+    assert [r.line for r in sinks.dss_lines(s).where("line like '2000%'").collect()] == ["2000-01-31,3.0,2.0"]
+    monthly = rows(spark, [("s", 1, 1, 1.0), ("s", 1, 1, 2.0), ("s", 1, 2, 5.0)], "scenario string, entity int, water_month int, delivery_avg double")
+    got = serving.nest_monthly(monthly, rows(spark, [(1, "n")], "entity int, name string"), ["delivery_avg"]).first().monthly
+    assert {k: v.delivery_avg for k, v in got.items()} == {1: 2.0, 2: 5.0}
+
+
+def test_row_numbers_over_partitions(spark):
+    df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("id"), (F.col("id") % 3).alias("n"))
+    got = shared.row_numbers(df.repartition(7), ["id"], "n_").collect()
+    assert sorted((r.id, r.n_) for r in got) == [(i, i + 1) for i in range(1000)]
+    assert shared.row_numbers(df.limit(0), ["id"], "n_").collect() == []
+
+
+def test_null_keys_match_each_other(spark):
+    target = rows(spark, [(None, "a"), (2, "b")], "k int, v string")
+    news = rows(spark, [(None, "c"), (3, "d")], "k int, v string")
+    assert sorted(map(str, [(r.k, r.v) for r in sinks.upsert(target, news, ["k"]).collect()])) == sorted(map(str, [(None, "c"), (2, "b"), (3, "d")]))
+    assert sorted(map(str, [(r.k, r.v) for r in sinks.insert_new(target, news, ["k"]).collect()])) == sorted(map(str, [(None, "a"), (2, "b"), (3, "d")]))
+
+
 def test_upsert_keeps_unmatched_rows(spark):
     target = rows(spark, [(1, "a"), (2, "b")], "k int, v string")
     got = sorted((r.k, r.v) for r in sinks.upsert(target, rows(spark, [(2, "c"), (3, "d")], "k int, v string"), ["k"]).collect())

@@ -116,3 +116,9 @@ def int_array(text: Column) -> Column:
     """``{1,3,4}`` as an array of integers; empty text is an empty array."""
     inner = F.regexp_replace(F.trim(text), r"[{}\s]", "")
     return F.when(inner == "", F.array().cast("array<int>")).otherwise(F.transform(F.split(inner, ","), lambda x: x.try_cast("int")))
+
+
+def map_of(entries: Column) -> Column:
+    """A map out of an array of (key, value) structs; of entries with one key the largest stays."""
+    last = lambda e: F.filter(e, lambda x, i: F.coalesce(F.get(e, i + 1)["key"] != x["key"], F.lit(True)))
+    return F.map_from_entries(F.get(F.transform(F.array(F.array_sort(entries)), last), F.lit(0)))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.sources.shared import shared_dir
+from tidemark.sources.shared import written
 
 DIRECTIONS = ("upstream", "downstream", "both")
 
@@ -77,15 +77,15 @@ def steps(arcs: DataFrame, direction: str) -> DataFrame:
 def traverse(arcs: DataFrame, start: int, direction: str = "downstream", max_depth: int = 100) -> DataFrame:
     """Simple paths from a node, one row each: node, depth, path. Rounds end when no path grows.
 
-    The number of simple paths may be exponential; ``reach`` is the form for large depths.
+    The number of simple paths may be exponential; ``reach`` is the form for large depths. Every level is written to the
+    shared folder, so nothing is held in memory and a lost executor costs one level.
     """
-    shared_dir(arcs.sparkSession)
-    edges = steps(arcs, direction).persist()
+    edges = written(steps(arcs, direction), "steps")
     level = arcs.sparkSession.range(1).select(F.lit(start).cast("long").alias("node"), F.lit(0).alias("depth"), F.array(F.lit(start).cast("long")).alias("path"))
     out = level
     for depth in range(1, max_depth + 1):
         level = level.join(edges, F.col("node") == F.col("here")).where(~F.array_contains("path", F.col("there"))).select(F.col("there").cast("long").alias("node"), F.lit(depth).alias("depth"), F.array_append("path", F.col("there").cast("long")).alias("path"))
-        level = level.checkpoint() if depth % 4 == 0 else level.persist()
+        level = written(level, "paths")
         if level.isEmpty():
             break
         out = out.unionByName(level)
@@ -93,14 +93,16 @@ def traverse(arcs: DataFrame, start: int, direction: str = "downstream", max_dep
 
 
 def reach(arcs: DataFrame, start: int, direction: str = "downstream", max_depth: int = 10) -> DataFrame:
-    """Nodes that can be reached with their smallest distance, the start at 0: one join and one anti-join a round."""
-    shared_dir(arcs.sparkSession)
-    edges = steps(arcs, direction).persist()
+    """Nodes that can be reached with their smallest distance, the start at 0: one join and one anti-join a round.
+
+    Every round is written to the shared folder.
+    """
+    edges = written(steps(arcs, direction), "steps")
     seen = arcs.sparkSession.range(1).select(F.lit(start).cast("long").alias("node"), F.lit(0).alias("distance"))
     front = seen
     for distance in range(1, max_depth + 1):
         front = front.join(edges, F.col("node") == F.col("here")).select(F.col("there").cast("long").alias("node")).distinct().join(seen, "node", "left_anti").select("node", F.lit(distance).alias("distance"))
-        front = front.checkpoint() if distance % 4 == 0 else front.persist()
+        front = written(front, "reached")
         if front.isEmpty():
             break
         seen = seen.unionByName(front)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import map_of
 from tidemark.operators.stats import ENTITY, EXCEEDANCES, QUANTILES
 
 
@@ -18,9 +19,12 @@ def served(columns: Sequence[str]) -> list:
 
 
 def nest_monthly(stats: DataFrame, entities: DataFrame, values: Sequence[str]) -> DataFrame:
-    """Per scenario and entity a map from water month to its statistics, with the entity's attributes."""
-    entry = F.struct(F.col("water_month").cast("int"), F.struct(*served(values)))
-    out = stats.groupBy(*ENTITY).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("monthly"))
+    """Per scenario and entity a map from water month to its statistics, with the entity's attributes.
+
+    Where a month repeats, the row that sorts last stays.
+    """
+    entry = F.struct(F.col("water_month").cast("int").alias("key"), F.struct(*served(values)).alias("value"))
+    out = stats.groupBy(*ENTITY).agg(map_of(F.collect_list(entry)).alias("monthly"))
     return out.join(entities, "entity", "left")
 
 
@@ -52,8 +56,8 @@ def scenario_bundle(scenarios: Sequence[str], tables: dict[str, tuple[DataFrame,
     def one(kind: str) -> DataFrame:
         df, values = tables[kind]
         rows = df.where(F.col("scenario").isin(*scenarios))
-        entry = F.struct(F.col("water_month").cast("int"), F.to_json(F.struct(*served(values))))
-        return rows.groupBy(*ENTITY).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("monthly")).select("scenario", F.lit(kind).alias("kind"), F.col("entity").cast("string").alias("entity"), "monthly")
+        entry = F.struct(F.col("water_month").cast("int").alias("key"), F.to_json(F.struct(*served(values))).alias("value"))
+        return rows.groupBy(*ENTITY).agg(map_of(F.collect_list(entry)).alias("monthly")).select("scenario", F.lit(kind).alias("kind"), F.col("entity").cast("string").alias("entity"), "monthly")
 
     return reduce(DataFrame.unionByName, [one(k) for k in kinds])
 
@@ -79,8 +83,8 @@ def single_unit_record(entity: DataFrame, period: DataFrame, delivery: DataFrame
     """Everything on a unit in one nested row for each scenario; a part that lacks is empty."""
     def nested(df: DataFrame, name: str) -> DataFrame:
         own = [c for c in values if c in df.columns]
-        entry = F.struct(F.col("water_month").cast("int"), F.to_json(F.struct(*served(own))))
-        return df.groupBy(*ENTITY).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(name))
+        entry = F.struct(F.col("water_month").cast("int").alias("key"), F.to_json(F.struct(*served(own))).alias("value"))
+        return df.groupBy(*ENTITY).agg(map_of(F.collect_list(entry)).alias(name))
 
     out = entity.join(period, "entity", "left")
     for name, df in (("delivery", delivery), ("shortage", shortage)):

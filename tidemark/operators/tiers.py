@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import rounded, wba_id_to_map_id
+from tidemark.sources.shared import row_numbers
 
 TIERS = (1, 2, 3, 4)
 
@@ -54,8 +55,10 @@ def groundwater_levels(df: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def display_order(df: DataFrame, position: str, per: str | None = "scenario") -> DataFrame:
-    """Numbers rows in input order, by scenario or over the whole table, which must then be of dimension size."""
-    return df.withColumn("display_order", F.row_number().over((Window.partitionBy(per) if per else Window).orderBy(position)))
+    """Numbers rows in input order, by scenario or over the whole table."""
+    if per is None:
+        return row_numbers(df, [position], "display_order")
+    return df.withColumn("display_order", F.row_number().over(Window.partitionBy(per).orderBy(position)))
 
 
 def tier_counts(df: DataFrame, denominator: int | None = None, digits: int = 4) -> DataFrame:

@@ -34,19 +34,15 @@ def v(expr):
     return F.concat(F.lit("V"), expr.cast("string"))
 
 
-def totalled(df, *keys):
-    """Sums of value by key, so that results stay of a readable size."""
-    return df.groupBy(*keys).agg(rounded(F.sum("value")).alias("total"), F.count("value").alias("n"), F.count("*").alias("rows"))
+def rounded_rows(df, *keys):
+    return df.select(*keys, rounded(F.col("value")).alias("value"))
 
 
-TOTAL = f"{r('sum(value)')} AS total, count(value) AS n, count(*) AS \"rows\""
-
-
-@query("c1_map_entity_series", f"WITH {SERIES_SQL}, m AS (SELECT s_suppkey AS entity, CASE WHEN s_suppkey % 6 = 0 THEN 'NOT_FOUND' WHEN s_suppkey % 7 <> 0 THEN 'V' || s_suppkey % 60 END AS variable FROM supplier WHERE s_suppkey % 5 <> 0) SELECT scenario, entity, {TOTAL} FROM series JOIN m USING (variable) GROUP BY 1, 2")
+@query("c1_map_entity_series", f"WITH {SERIES_SQL}, m AS (SELECT s_suppkey AS entity, CASE WHEN s_suppkey % 6 = 0 THEN 'NOT_FOUND' WHEN s_suppkey % 7 <> 0 THEN 'V' || s_suppkey % 60 END AS variable FROM supplier WHERE s_suppkey % 5 <> 0) SELECT scenario, entity, ts, {r('value')} AS value FROM series JOIN m USING (variable)")
 def c1(spark, sf):
     k = F.col("s_suppkey")
     mapping = suppliers(spark, sf).select(k.alias("entity"), F.when(k % 6 == 0, S.NOT_FOUND).when(k % 7 != 0, v(k % 60)).alias("delivery"), (k % 5 != 0).alias("is_active"))
-    return totalled(S.map_entity_series(series(spark, sf), mapping, "delivery"), "scenario", "entity")
+    return rounded_rows(S.map_entity_series(series(spark, sf), mapping, "delivery"), "scenario", "entity", "ts")
 
 
 ARCS_SQL = "arcs AS (SELECT s_suppkey AS entity, unnest(['V' || s_suppkey % 60, 'V' || s_suppkey * 7 % 65]) AS variable FROM supplier)"
@@ -57,14 +53,14 @@ def _arcs(spark, sf):
     return suppliers(spark, sf).select(k.alias("entity"), F.explode(F.array(v(k % 60), v(k * 7 % 65))).alias("variable"))
 
 
-@query("c2_sum_arcs_lenient", f"WITH {MONTHLY_SQL}, {ARCS_SQL}, x AS (SELECT scenario, entity, ts, coalesce(sum(value), 0.0) AS value FROM monthly JOIN arcs USING (variable) GROUP BY 1, 2, 3) SELECT scenario, entity, {TOTAL} FROM x GROUP BY 1, 2")
+@query("c2_sum_arcs_lenient", f"WITH {MONTHLY_SQL}, {ARCS_SQL}, x AS (SELECT scenario, entity, ts, coalesce(sum(value), 0.0) AS value FROM monthly JOIN arcs USING (variable) GROUP BY 1, 2, 3) SELECT scenario, entity, ts, {r('value')} AS value FROM x")
 def c2(spark, sf):
-    return totalled(S.sum_arcs(monthly(spark, sf), _arcs(spark, sf)), "scenario", "entity")
+    return rounded_rows(S.sum_arcs(monthly(spark, sf), _arcs(spark, sf)), "scenario", "entity", "ts")
 
 
-@query("c3_sum_arcs_strict", f"WITH {MONTHLY_SQL}, {ARCS_SQL}, x AS (SELECT scenario, entity, ts, CASE WHEN count(value) = 2 THEN sum(value) END AS value FROM monthly JOIN arcs USING (variable) GROUP BY 1, 2, 3) SELECT scenario, entity, {TOTAL} FROM x GROUP BY 1, 2")
+@query("c3_sum_arcs_strict", f"WITH {MONTHLY_SQL}, {ARCS_SQL}, x AS (SELECT scenario, entity, ts, CASE WHEN count(value) = 2 THEN sum(value) END AS value FROM monthly JOIN arcs USING (variable) GROUP BY 1, 2, 3) SELECT scenario, entity, ts, {r('value')} AS value FROM x")
 def c3(spark, sf):
-    return totalled(S.sum_arcs(monthly(spark, sf), _arcs(spark, sf), strict=True), "scenario", "entity")
+    return rounded_rows(S.sum_arcs(monthly(spark, sf), _arcs(spark, sf), strict=True), "scenario", "entity", "ts")
 
 
 UNIT = "CASE WHEN p_partkey % 3 = 0 THEN lpad(CAST(p_partkey % 50 AS VARCHAR), 2, '0') || CASE WHEN p_partkey % 2 = 0 THEN '_NU' ELSE '_PU' END || CAST(p_partkey AS VARCHAR) WHEN p_partkey % 3 = 1 THEN 'TOWN' || CAST(p_partkey AS VARCHAR) ELSE 'CITY_NU' || CAST(p_partkey AS VARCHAR) END"
@@ -89,11 +85,11 @@ def c4(spark, sf):
     return S.resolve_variable(e, available, special)
 
 
-@query("c5_overlay_sources", f"WITH {SERIES_SQL}, o AS (SELECT scenario, variable, ts, value * 0.5 AS value FROM series WHERE variable IN ('V1', 'V2', 'V3') AND scenario <> 'F' AND day(ts) <= 20), u AS (SELECT scenario, variable, ts, value, 'CFS' AS unit FROM series WHERE (scenario, variable) NOT IN (SELECT (scenario, variable) FROM o) UNION ALL SELECT *, 'TAF' FROM o) SELECT scenario, variable, unit, {TOTAL} FROM u GROUP BY 1, 2, 3")
+@query("c5_overlay_sources", f"WITH {SERIES_SQL}, o AS (SELECT scenario, variable, ts, value * 0.5 AS value FROM series WHERE variable IN ('V1', 'V2', 'V3') AND scenario <> 'F' AND day(ts) <= 20), u AS (SELECT scenario, variable, ts, value, 'CFS' AS unit FROM series WHERE (scenario, variable) NOT IN (SELECT (scenario, variable) FROM o) UNION ALL SELECT *, 'TAF' FROM o) SELECT scenario, variable, unit, ts, {r('value')} AS value FROM u")
 def c5(spark, sf):
     main = series(spark, sf).withColumn("unit", F.lit("CFS"))
     over = main.where("variable in ('V1', 'V2', 'V3') and scenario <> 'F' and day(ts) <= 20").withColumn("value", F.col("value") * 0.5)
-    return totalled(S.overlay_sources(main, over), "scenario", "variable", "unit")
+    return rounded_rows(S.overlay_sources(main, over), "scenario", "variable", "unit", "ts")
 
 
 @query("c6_discover_entities", "SELECT DISTINCT p_size || '_' || p_brand AS entity, CAST(p_size AS VARCHAR) AS zone FROM part WHERE p_partkey % 4 <> 0 AND p_partkey % 4 <> 3")
@@ -130,14 +126,16 @@ def c9(spark, sf):
     return out.select("district", "scenario", "ts", rounded(F.col("demand"), 4).alias("demand"), rounded(F.col("pct_of_demand"), 4).alias("pct_of_demand"))
 
 
-THRESHOLD_SQL = f"WITH {MONTHLY_SQL}, t AS (SELECT s_suppkey AS entity, CASE WHEN s_suppkey % 3 = 0 THEN 'V' || s_suppkey % 70 END AS variable, CASE WHEN s_suppkey % 3 = 1 THEN 1000.0::DOUBLE + s_suppkey END AS constant, s_acctbal AS dead_pool_taf FROM supplier), rows AS (SELECT scenario, t.entity, ts, t.dead_pool_taf FROM (SELECT DISTINCT scenario, ts FROM monthly) CROSS JOIN t)"
+THRESHOLD_SQL = f"WITH {MONTHLY_SQL}, t AS (SELECT s_suppkey AS entity, CASE WHEN s_suppkey % 3 = 0 THEN 'V' || s_suppkey % 70 END AS variable, CASE WHEN s_suppkey % 3 = 1 THEN 1000.0::DOUBLE + s_suppkey END AS constant, s_acctbal AS dead_pool_taf FROM supplier), rows AS (SELECT DISTINCT o_orderstatus AS scenario, t.entity, CAST(date_trunc('month', o_orderdate) AS DATE) AS ts, t.dead_pool_taf FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN t ON t.entity = l_suppkey)"
 
 
 def _threshold(spark, sf, kind):
     k = F.col("s_suppkey")
     t = suppliers(spark, sf).select(k.alias("entity"), F.when(k % 3 == 0, v(k % 70)).alias("variable"), F.when(k % 3 == 1, k + 1000.0).alias("constant"), F.col("s_acctbal").alias("dead_pool_taf"))
     m = monthly(spark, sf)
-    rows = m.select("scenario", "ts").distinct().crossJoin(F.broadcast(t.select("entity", "dead_pool_taf")))
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("scenario"), F.trunc("o_orderdate", "month").alias("ts"))
+    seen = o.join(table(spark, sf, "lineitem").select("l_orderkey", F.col("l_suppkey").alias("entity")), F.col("o_orderkey") == F.col("l_orderkey")).select("scenario", "entity", "ts").distinct()
+    rows = seen.join(t.select("entity", "dead_pool_taf"), "entity")
     out = S.resolve_threshold(rows, t.select("entity", "variable", "constant"), m, kind)
     return out.groupBy("scenario", "entity").agg(rounded(F.sum(f"{kind}_threshold")).alias("threshold"), F.count(f"{kind}_threshold").alias("n"))
 

@@ -37,9 +37,9 @@ def f2(spark, sf):
     return V.group_members(table(spark, sf, "region").select(F.col("r_regionkey").alias("group_id"), F.col("r_name").alias("label")), members, n.select(F.col("n_nationkey").alias("entity"), F.col("n_name").alias("name")))
 
 
-@query("f3_scenario_entities", f"WITH {OBS} SELECT scenario, list_sort(list(DISTINCT entity)) AS entities, count(DISTINCT entity) AS entity_count FROM obs WHERE entity % 3 = 0 GROUP BY 1")
+@query("f3_scenario_entities", f"WITH {OBS} SELECT scenario, list_sort(list(DISTINCT entity)) AS entities, count(DISTINCT entity) AS entity_count FROM obs GROUP BY 1")
 def f3(spark, sf):
-    return V.scenario_entities(obs(spark, sf).where("entity % 3 = 0"))
+    return V.scenario_entities(obs(spark, sf))
 
 
 @query("f4_scenario_bundle", f"WITH {OBS}, {STAT_SQL}, sh AS (SELECT scenario, entity, water_month, {r('avg(shortage)')} AS a FROM obs WHERE shortage IS NOT NULL GROUP BY 1, 2, 3) SELECT scenario, 'storage' AS kind, CAST(entity AS VARCHAR) AS entity, water_month, q50 AS value FROM stat WHERE scenario IN ('A', 'R') UNION ALL SELECT scenario, 'urban', CAST(entity AS VARCHAR), {big('water_month')}, a FROM sh WHERE scenario IN ('A', 'R')")
@@ -115,9 +115,10 @@ def _versioned(spark, sf, name):
     return V.current_version_rows(rows, name, families, versions)
 
 
-# Network: nodes are nations, arcs n -> 3n + 1 and n -> n + 5 (mod 25), with a loop and missing ends at fixed keys.
+# Network: nodes are customers in the order of a heap, k // 2 -> k, so depth grows with the table; some arcs lead back,
+# and some have a missing end or are loops.
 
-ARCS = "arcs AS (SELECT n_nationkey * 2 AS id, n_nationkey AS from_id, (3 * n_nationkey + 1) % 25 AS to_id FROM nation UNION ALL SELECT n_nationkey * 2 + 1, n_nationkey, (n_nationkey + 5) % 25 FROM nation)"
+ARCS = "arcs AS (SELECT c_custkey * 2 AS id, CASE WHEN c_custkey % 97 <> 0 THEN c_custkey // 2 END AS from_id, c_custkey AS to_id FROM customer UNION ALL SELECT c_custkey * 2 + 1, c_custkey, CASE WHEN c_custkey % 60 = 0 THEN c_custkey ELSE c_custkey // 5 END FROM customer WHERE c_custkey % 20 = 0)"
 PLACED = "nodes AS (SELECT s_suppkey AS id, 'N' || s_suppkey AS short_code, s_name AS name, CASE s_suppkey % 8 WHEN 0 THEN 'STR' WHEN 1 THEN 'PS-A' WHEN 2 THEN 'WTP1' WHEN 3 THEN 'WWTP' WHEN 4 THEN 'PR-X' WHEN 5 THEN 'S-1' WHEN 6 THEN 'CH' END AS type, CASE WHEN s_suppkey % 11 <> 0 THEN -125.0::DOUBLE + s_suppkey % 10 END AS lon, CASE WHEN s_suppkey % 11 <> 0 THEN 32.0::DOUBLE + s_suppkey % 9 END AS lat FROM supplier)"
 HELD = "held AS (SELECT s_suppkey AS id, abs(s_acctbal) AS capacity_taf FROM supplier WHERE s_suppkey % 6 = 0)"
 CATEGORY = "CASE WHEN h.id IS NOT NULL OR n.type IN ('STR', 'STR-SIM', 'STR-NSM') THEN 'reservoir' WHEN n.type LIKE 'PS%' THEN 'pump_station' WHEN n.type LIKE 'WTP%' THEN 'water_treatment' WHEN n.type = 'WWTP' THEN 'wastewater_treatment' WHEN n.type LIKE 'PR-%' THEN 'project' WHEN n.type LIKE 'S-%' THEN 'source' ELSE 'other' END"
@@ -127,12 +128,9 @@ IN_BOX = "n.lon BETWEEN -124 AND -118 AND n.lat BETWEEN 33 AND 38"
 
 
 def arcs(spark, sf):
-    n, k = table(spark, sf, "nation"), F.col("n_nationkey")
-    return n.select((k * 2).alias("id"), k.alias("from_id"), ((k * 3 + 1) % 25).alias("to_id")).unionByName(n.select((k * 2 + 1).alias("id"), k.alias("from_id"), ((k + 5) % 25).alias("to_id")))
-
-
-def nation_nodes(spark, sf):
-    return table(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("short_code"))
+    c, k = table(spark, sf, "customer"), F.col("c_custkey")
+    back = F.when(k % 60 == 0, k).otherwise(F.expr("c_custkey div 5"))
+    return c.select((k * 2).alias("id"), F.when(k % 97 != 0, F.expr("c_custkey div 2")).alias("from_id"), k.alias("to_id")).unionByName(c.where("c_custkey % 20 = 0").select((k * 2 + 1).alias("id"), k.alias("from_id"), back.alias("to_id")))
 
 
 def nodes(spark, sf):
@@ -180,20 +178,21 @@ def g4(spark, sf):
 
 
 STEPS = {"downstream": "SELECT DISTINCT from_id AS a, to_id AS b FROM arcs WHERE from_id <> to_id", "upstream": "SELECT DISTINCT to_id AS a, from_id AS b FROM arcs WHERE from_id <> to_id", "both": "SELECT from_id AS a, to_id AS b FROM arcs WHERE from_id <> to_id UNION SELECT to_id, from_id FROM arcs WHERE from_id <> to_id"}
-for _way, _depth in (("downstream", 8), ("upstream", 8), ("both", 4)):
+for _way, _start, _depth, _far in (("downstream", 1, 10, 40), ("upstream", 100, 10, 40), ("both", 100, 5, 8)):
     query(
         f"g5_traverse_{_way}",
-        f"WITH RECURSIVE {ARCS}, steps AS ({STEPS[_way]}), walk(node, depth, path) AS (SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT), [CAST(0 AS BIGINT)] UNION ALL SELECT CAST(b AS BIGINT), depth + 1, list_append(path, CAST(b AS BIGINT)) FROM walk JOIN steps ON a = node WHERE depth < {_depth} AND NOT list_contains(path, CAST(b AS BIGINT))) SELECT node, depth, array_to_string(path, '>') AS path FROM walk",
-    )(lambda spark, sf, way=_way, depth=_depth: N.traverse(arcs(spark, sf), 0, way, depth).withColumn("path", F.array_join(F.col("path").cast("array<string>"), ">")))
+        f"WITH RECURSIVE {ARCS}, steps AS ({STEPS[_way]}), walk(node, depth, path) AS (SELECT CAST({_start} AS BIGINT), CAST(0 AS BIGINT), [CAST({_start} AS BIGINT)] UNION ALL SELECT CAST(b AS BIGINT), depth + 1, list_append(path, CAST(b AS BIGINT)) FROM walk JOIN steps ON a = node WHERE depth < {_depth} AND NOT list_contains(path, CAST(b AS BIGINT))) SELECT node, depth, array_to_string(path, '>') AS path FROM walk",
+    )(lambda spark, sf, way=_way, start=_start, depth=_depth: N.traverse(arcs(spark, sf), start, way, depth).withColumn("path", F.array_join(F.col("path").cast("array<string>"), ">")))
     query(
         f"g6_reach_{_way}",
-        f"WITH RECURSIVE {ARCS}, steps AS ({STEPS[_way]}), walk(node, distance) AS (SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT) UNION SELECT CAST(b AS BIGINT), distance + 1 FROM walk JOIN steps ON a = node WHERE distance < 3) SELECT node, min(distance) AS distance FROM walk GROUP BY 1",
-    )(lambda spark, sf, way=_way: N.reach(arcs(spark, sf), 0, way, 3))
+        f"WITH RECURSIVE {ARCS}, steps AS ({STEPS[_way]}), walk(node, distance) AS (SELECT CAST({_start} AS BIGINT), CAST(0 AS BIGINT) UNION SELECT CAST(b AS BIGINT), distance + 1 FROM walk JOIN steps ON a = node WHERE distance < {_far}) SELECT node, min(distance) AS distance FROM walk GROUP BY 1",
+    )(lambda spark, sf, way=_way, start=_start, far=_far: N.reach(arcs(spark, sf), start, way, far))
 
 
-@query("g7_arcs_of", f"WITH {ARCS} SELECT {big('id')} AS id, {big('from_id')} AS from_id, {big('to_id')} AS to_id, a.n_name AS from_code, b.n_name AS to_code FROM arcs LEFT JOIN nation a ON a.n_nationkey = from_id LEFT JOIN nation b ON b.n_nationkey = to_id WHERE from_id IN (1, 2, 3) OR to_id IN (1, 2, 3)")
+@query("g7_arcs_of", f"WITH {ARCS} SELECT {big('id')} AS id, {big('from_id')} AS from_id, {big('to_id')} AS to_id, a.c_name AS from_code, b.c_name AS to_code FROM arcs LEFT JOIN customer a ON a.c_custkey = from_id LEFT JOIN customer b ON b.c_custkey = to_id WHERE from_id IN (SELECT c_custkey FROM customer WHERE c_nationkey = 7) OR to_id IN (SELECT c_custkey FROM customer WHERE c_nationkey = 7)")
 def g7(spark, sf):
-    return N.arcs_of(nation_nodes(spark, sf).where("id in (1, 2, 3)"), arcs(spark, sf), nation_nodes(spark, sf))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("short_code"), "c_nationkey")
+    return N.arcs_of(c.where("c_nationkey = 7"), arcs(spark, sf), c)
 
 
 @query("g8_arc_ends", f"WITH {BIG_ARCS}, e AS (SELECT id AS arc_id, 'from' AS \"end\", from_id AS node_id FROM arcs UNION ALL SELECT id, 'to', to_id FROM arcs) SELECT arc_id, \"end\", node_id, 'N' || s_suppkey AS short_code FROM e JOIN supplier ON s_suppkey = node_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars
@@ -35,8 +37,7 @@ def written(spark, sf):
 
 def header_lines(spark, sf):
     """Lines of small files with different header lengths, made from part: file, block, at, cells."""
-    p = table(spark, sf, "part").where("p_partkey < 600")
-    k = F.col("p_partkey")
+    p, k = table(spark, sf, "part"), F.col("p_partkey")
     n, header = (k / 20).cast("long"), F.lit(7) + F.col("file_no") % 3
     rows = p.select(n.alias("file_no"), (k % 20).alias("line"), "p_size")
     first = F.when(F.col("line") < header, F.concat(F.lit("h"), F.col("line").cast("string"))).otherwise(F.format_string("2001-%02d-01", F.col("line") % 12 + 1))
@@ -50,23 +51,37 @@ def a1(spark, sf):
     return out.select("scenario", "variable", "ts", rounded(F.col("value")).alias("value"))
 
 
-@query("a2_detect_header_rows", "SELECT 'f' || n AS file, CAST(7 + n % 3 AS BIGINT) AS data_start FROM (SELECT DISTINCT CAST(floor(p_partkey / 20) AS BIGINT) AS n FROM part WHERE p_partkey < 600)")
+ANNUAL = f"WITH ex AS (SELECT {NUMBERED.replace('scenario', 'o_orderstatus')} AS scenario, 'V' || o_custkey % 60 AS variable, make_date(CAST(year(o_orderdate) AS INTEGER), 9, 30) AS ts, sum(o_totalprice) AS value FROM orders GROUP BY 1, 2, 3), days AS (SELECT DISTINCT scenario, ts FROM ex), vars AS (SELECT DISTINCT scenario, variable FROM ex)"
+
+
+@query("a1_read_annual", f"{ANNUAL} SELECT scenario, variable, ts, {big('0')} AS water_month, {big('year(ts)')} AS water_year, {big('365')} AS days_in_month, {r('value')} AS value FROM days JOIN vars USING (scenario) LEFT JOIN ex USING (scenario, variable, ts)")
+def a1_annual(spark, sf):
+    """Exports whose first column holds bare years."""
+    o = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("scenario"), F.concat(F.lit("V"), (F.col("o_custkey") % 60).cast("string")).alias("variable"), F.make_date(F.year("o_orderdate"), F.lit(9), F.lit(30)).alias("ts"), "o_totalprice")
+    lines = sinks.dss_lines(numbered(o.groupBy("scenario", "variable", "ts").agg(F.sum("o_totalprice").alias("value"))).withColumn("units", F.lit("TAF")))
+    path = shared_path(spark, "annual")
+    lines.repartition("scenario").sortWithinPartitions("scenario", "place").select("scenario", F.regexp_replace("line", r"^(\d{4})-09-30", "$1").alias("value")).write.partitionBy("scenario").text(path)
+    out = X.with_series_calendar(X.read_dss_csv(spark, path))
+    return out.select("scenario", "variable", "ts", "water_month", "water_year", "days_in_month", rounded(F.col("value")).alias("value"))
+
+
+@query("a2_detect_header_rows", "SELECT 'f' || n AS file, CAST(7 + n % 3 AS BIGINT) AS data_start FROM (SELECT DISTINCT CAST(floor(p_partkey / 20) AS BIGINT) AS n FROM part)")
 def a2(spark, sf):
     return X.detect_header_rows(header_lines(spark, sf))
 
 
-META = "WITH meta AS (SELECT 'f' || p_size AS file, CAST(p_partkey % 40 + 1 AS INTEGER) AS col_idx, upper(replace(p_name, ' ', '_')) AS b FROM part WHERE p_size <= 10)"
+META = "WITH meta AS (SELECT 'f' || p_size AS file, CAST(p_partkey % 40 + 1 AS INTEGER) AS col_idx, upper(replace(p_name, ' ', '_')) AS b FROM part)"
 
 
 def meta(spark, sf):
-    return table(spark, sf, "part").where("p_size <= 10").select(F.concat(F.lit("f"), F.col("p_size").cast("string")).alias("file"), (F.col("p_partkey") % 40 + 1).alias("col_idx"), F.upper(F.replace("p_name", F.lit(" "), F.lit("_"))).alias("b"))
+    return table(spark, sf, "part").select(F.concat(F.lit("f"), F.col("p_size").cast("string")).alias("file"), (F.col("p_partkey") % 40 + 1).alias("col_idx"), F.upper(F.replace("p_name", F.lit(" "), F.lit("_"))).alias("b"))
 
 
-@query("a3_select_variables", f"{META} SELECT file, {big('col_idx')} AS col_idx, b FROM meta WHERE b IN (SELECT b FROM meta ORDER BY b LIMIT 50)")
+@query("a3_select_variables", f"{META} SELECT file, {big('col_idx')} AS col_idx, b FROM meta WHERE b IN (SELECT b FROM meta WHERE file = 'f1')")
 def a3(spark, sf):
     rows = meta(spark, sf)
     padded = rows.withColumn("b", F.concat(F.lit(" "), F.col("b"), F.lit("  ")))
-    return X.select_variables(padded, rows.orderBy("b").limit(50).select(F.col("b").alias("variable"))).select("file", "col_idx", "b")
+    return X.select_variables(padded, rows.where("file = 'f1'").select(F.col("b").alias("variable"))).select("file", "col_idx", "b")
 
 
 @query("a4_first_column_wins", f"{META}, f AS (SELECT DISTINCT * FROM meta) SELECT file, b, {big('min(col_idx)')} AS col_idx FROM f GROUP BY 1, 2")
@@ -79,12 +94,12 @@ def a5(spark, sf):
     return X.select_column_block(meta(spark, sf), 20, "SMALL").select("file", "col_idx", "b")
 
 
-PATHS = "WITH paths AS (SELECT 's' || lpad(CAST(o_custkey % 50 AS VARCHAR), 4, '0') AS scenario, 'scenario/s' || lpad(CAST(o_custkey % 50 AS VARCHAR), 4, '0') || '/' || CASE o_orderkey % 4 WHEN 0 THEN 'run' WHEN 1 THEN 'csv' WHEN 2 THEN 'old' ELSE 'verify' END || '/' || CASE o_orderkey % 3 WHEN 0 THEN 'a_output.csv' WHEN 1 THEN 'b_sv.csv' ELSE 'c.zip' END || CASE WHEN o_orderkey % 5 = 0 THEN '/' ELSE '' END AS path FROM orders WHERE o_orderkey % 97 < 2)"
+PATHS = "WITH paths AS (SELECT 's' || lpad(CAST(o_custkey % 9000 AS VARCHAR), 4, '0') AS scenario, 'scenario/s' || lpad(CAST(o_custkey % 9000 AS VARCHAR), 4, '0') || '/' || CASE o_orderkey % 4 WHEN 0 THEN 'run' WHEN 1 THEN 'csv' WHEN 2 THEN 'old' ELSE 'verify' END || '/' || CASE o_orderkey % 3 WHEN 0 THEN 'a_output.csv' WHEN 1 THEN 'b_sv.csv' ELSE 'c.zip' END || CASE WHEN o_orderkey % 5 = 0 THEN '/' ELSE '' END AS path FROM orders)"
 
 
 def paths(spark, sf):
-    o = table(spark, sf, "orders").where("o_orderkey % 97 < 2")
-    k, s = F.col("o_orderkey"), F.concat(F.lit("s"), F.lpad((F.col("o_custkey") % 50).cast("string"), 4, "0"))
+    o = table(spark, sf, "orders")
+    k, s = F.col("o_orderkey"), F.concat(F.lit("s"), F.lpad((F.col("o_custkey") % 9000).cast("string"), 4, "0"))
     folder = F.when(k % 4 == 0, "run").when(k % 4 == 1, "csv").when(k % 4 == 2, "old").otherwise("verify")
     name = F.when(k % 3 == 0, "a_output.csv").when(k % 3 == 1, "b_sv.csv").otherwise("c.zip")
     return o.select(s.alias("scenario"), F.concat_ws("/", F.lit("scenario"), s, folder, F.concat(name, F.when(k % 5 == 0, "/").otherwise(""))).alias("path"))
@@ -153,9 +168,9 @@ def a11(spark, sf):
     return X.detect_series_type(rows)
 
 
-@query("a12_missing_code_to_null", "SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 13 <> 0) AS valid FROM orders")
+@query("a12_missing_code_to_null", "SELECT o_orderkey AS read_order, CASE WHEN o_orderkey % 13 <> 0 THEN o_totalprice END AS value FROM orders")
 def a12(spark, sf):
-    return points(spark, sf).agg(F.count("*").alias("n"), F.count(scalars.missing_code_to_null(F.col("value"))).alias("valid"))
+    return points(spark, sf).select("read_order", scalars.missing_code_to_null(F.col("value")).alias("value"))
 
 
 for _mode, _sql in (("end_of_month", "CASE WHEN day(o_orderdate) = 1 THEN o_orderdate - INTERVAL 1 DAY ELSE last_day(o_orderdate) END"), ("start_of_month", "date_trunc('month', o_orderdate)"), ("none", "o_orderdate")):
@@ -167,15 +182,19 @@ def a14(spark, sf):
     return X.clean_points(points(spark, sf)).withColumn("value", F.coalesce("value", F.lit(-1.0)))
 
 
-@query("a15_clip_period", f"WITH {OBS} SELECT scenario, count(*) AS n FROM obs WHERE ts BETWEEN DATE '1996-10-31' AND DATE '1999-09-30' GROUP BY 1")
+@query("a15_clip_period", f"WITH {OBS} SELECT scenario, entity, ts, storage FROM obs WHERE ts BETWEEN DATE '1996-10-31' AND DATE '1999-09-30'")
 def a15(spark, sf):
-    return X.clip_period(obs(spark, sf), "1996-10-31", "1999-09-30").groupBy("scenario").agg(F.count("*").alias("n"))
+    return X.clip_period(obs(spark, sf), "1996-10-31", "1999-09-30").select("scenario", "entity", "ts", "storage")
 
 
-@query("a16_write_dss_csv", f"{EXPORT}, w AS (SELECT scenario, count(DISTINCT variable) AS variables FROM ex GROUP BY 1), d AS (SELECT scenario, count(*) AS n FROM days GROUP BY 1) SELECT scenario, n + 7 AS lines, variables + 1 AS cells FROM w JOIN d USING (scenario)")
+@query("a16_write_dss_csv", f"{FULL} SELECT scenario, variable, CAST(ts AS VARCHAR) AS day, {r('value')} AS value FROM cells")
 def a16(spark, sf):
-    text = spark.read.text(written(spark, sf))
-    return text.groupBy("scenario").agg(F.count("*").alias("lines"), F.max(F.size(F.split("value", ",", -1))).alias("cells"))
+    """Every cell of the files' text: names from the line that begins with b, values from the lines that begin with a date."""
+    cells = spark.read.text(written(spark, sf)).select("scenario", F.split("value", ",", -1).alias("cells"))
+    each = cells.select("scenario", F.get("cells", F.lit(0)).alias("day"), F.posexplode("cells").alias("at", "text")).where("at > 0")
+    names = each.where("day = 'b'").select("scenario", "at", F.col("text").alias("variable"))
+    days = each.where(F.col("day").rlike(r"^\d{4}-")).join(names, ["scenario", "at"])
+    return days.select("scenario", "variable", "day", rounded(scalars.null_if_nan(F.col("text").cast("double"))).alias("value"))
 
 
 @query("a17_read_seed", f"SELECT s_suppkey AS id, s_name || ', \"' || s_nationkey || '\"' AS name, s_suppkey % 2 = 0 AS flag, CASE WHEN s_suppkey % 4 = 0 THEN 0.0 ELSE s_acctbal END AS capacity, {big('s_suppkey + s_nationkey')} AS total FROM supplier")
@@ -187,7 +206,7 @@ def a17(spark, sf):
     return out.withColumn("total", F.aggregate(scalars.int_array(F.col("source_ids")), F.lit(0).cast("long"), lambda a, x: a + x)).drop("source_ids")
 
 
-@query("a18_expand_entity_variables", f"WITH e AS (SELECT s_suppkey AS id, 'R' || s_suppkey AS sc, s_name AS name, row_number() OVER (ORDER BY s_suppkey) AS n FROM supplier), k(i, suffix, t, label, about) AS (VALUES (0, '', 'release_total', 'Total Release', 'Total release from '), (1, '_NCF', 'release_normal', 'Normal Release', 'Normal controlled release from '), (2, '_FLOOD', 'release_flood', 'Flood Spill', 'Flood spill from ')) SELECT {big('(n - 1) * 3 + i + 196')} AS variable_id, 'C_' || sc || suffix AS calsim_id, name || ' ' || label AS variable_name, about || name AS description, id AS entity_id, t AS variable_type FROM e, k")
+@query("a18_expand_entity_variables", f"WITH e AS (SELECT s_suppkey AS id, 'R' || s_suppkey AS sc, s_name AS name, row_number() OVER (ORDER BY s_suppkey) AS n FROM supplier), k(i, suffix, t, label, about) AS (VALUES (0, '', 'release_total', 'Total Release', 'Total release from {{}}'), (1, '_NCF', 'release_normal', 'Normal Release', 'Normal controlled release from {{}} (≤ release capacity)'), (2, '_FLOOD', 'release_flood', 'Flood Spill', 'Flood spill from {{}} (above release capacity)')) SELECT {big('(n - 1) * 3 + i + 196')} AS variable_id, 'C_' || sc || suffix AS calsim_id, name || ' ' || label AS variable_name, replace(about, '{{}}', name) AS description, id AS entity_id, t AS variable_type FROM e, k")
 def a18(spark, sf):
     k = F.col("s_suppkey")
     return X.expand_entity_variables(table(spark, sf, "supplier").select(k.alias("id"), F.concat(F.lit("R"), k.cast("string")).alias("short_code"), F.col("s_name").alias("name")))
@@ -205,13 +224,13 @@ def a19(spark, sf):
     return sinks.upsert(target, updates, ["k"], {"tag": "system"})
 
 
-@query("a20_replace_scenario", "SELECT o_orderstatus AS scenario, count(*) AS n, min(CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END) AS version FROM orders WHERE o_orderstatus <> 'F' OR o_custkey % 2 = 0 GROUP BY 1".replace("min(CASE", "CAST(min(CASE").replace("END) AS version", "END) AS BIGINT) AS version"))
+@query("a20_replace_scenario", f"SELECT o_orderstatus AS scenario, o_orderkey, o_custkey, {big("CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END")} AS version FROM orders WHERE o_orderstatus <> 'F' OR o_custkey % 2 = 0")
 def a20(spark, sf):
     path = shared_path(spark, "replaced")
     o = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("scenario"), "o_orderkey", "o_custkey")
     sinks.replace_scenario(path, o.withColumn("version", F.lit(1)))
     sinks.replace_scenario(path, o.where("scenario = 'F' and o_custkey % 2 = 0").withColumn("version", F.lit(2)))
-    return spark.read.parquet(path).groupBy("scenario").agg(F.count("*").alias("n"), F.min("version").alias("version"))
+    return spark.read.parquet(path).select("scenario", "o_orderkey", "o_custkey", "version")
 
 
 @query("a21_insert_new", "SELECT c_custkey AS k, c_acctbal + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS v FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0")
@@ -232,15 +251,30 @@ def _results(spark, sf, fmt):
     return (reader.option("header", True) if fmt == "csv" else reader).load(path)
 
 
-@query("j1_stream_scenarios", f"{FULL} SELECT scenario, variable AS entity, {big('(month(ts) + 2) % 12 + 1')} AS water_month, {r('avg(value)')} AS value_avg, count(value) AS sample_count, {big('1')} AS errors FROM cells WHERE value IS NOT NULL AND variable IN ('V1', 'V7', 'V10', 'V33') GROUP BY 1, 2, 3")
+@query("j1_stream_scenarios", f"{FULL} SELECT scenario, variable AS entity, {big('(month(ts) + 2) % 12 + 1')} AS water_month, {r('avg(value)')} AS value_avg, count(value) AS sample_count, 's0077,s0099' AS errors FROM cells WHERE value IS NOT NULL AND variable IN ('V1', 'V7', 'V10', 'V33') GROUP BY 1, 2, 3")
 def j1(spark, sf):
-    """Two drops: scenarios one by one, one of them sent twice, and a file that is no export."""
+    """Two drops: scenarios one by one, one sent twice in the first (its older file with other values) and again in the
+    second; an annual file with a year that is none, which fails; and a file that is no export."""
     base = shared_path(spark, "stream")
     rows = numbered(monthly(spark, sf)).withColumn("units", F.lit("CFS"))
+
+    def send(series):
+        lines = sinks.dss_lines(series).repartition("scenario").sortWithinPartitions("scenario", "place")
+        lines.select(F.col("scenario").alias("scenario"), F.col("line").alias("value")).write.mode("append").partitionBy("scenario").text(f"{base}/in")
+
+    def say(scenario, *lines):
+        rows = spark.createDataFrame([(scenario, n, line) for n, line in enumerate(lines)], "scenario string, n int, value string")
+        rows.coalesce(1).sortWithinPartitions("n").drop("n").write.mode("append").partitionBy("scenario").text(f"{base}/in")
+
     for scenarios in (["s0001", "s0002"], ["s0002", "s0003"]):
-        sinks.dss_lines(rows.where(F.col("scenario").isin(*scenarios))).repartition("scenario").sortWithinPartitions("scenario", "place").select(F.concat(F.lit("csv/"), "scenario").alias("s"), F.col("scenario").alias("scenario"), F.col("line").alias("value")).drop("s").write.mode("append").partitionBy("scenario").text(f"{base}/in")
-        if "s0003" in scenarios:
-            spark.range(1).select(F.lit("nothing,here").alias("value"), F.lit("s0099").alias("scenario")).write.mode("append").partitionBy("scenario").text(f"{base}/in")
+        own = rows.where(F.col("scenario").isin(*scenarios))
+        if "s0001" in scenarios:
+            send(own.where("scenario = 's0001'").withColumn("value", F.col("value") + 1))
+            time.sleep(1.1)  # files are told apart by the second in which they were written
+            say("s0077", "a,x", "b,V1", "units,TAF", "1921,1.5", "1850,2")
+        else:
+            say("s0099", "nothing,here")
+        send(own)
         incremental.stream_scenarios(spark, f"{base}/in", f"{base}/out", variables=["V1", "V7", "V10", "V33"])
-    errors = spark.read.parquet(f"{base}/out/errors").agg(F.count("*").alias("errors"))
+    errors = spark.read.parquet(f"{base}/out/errors").agg(F.array_join(F.array_sort(F.collect_set("scenario")), ",").alias("errors"))
     return spark.read.parquet(f"{base}/out/results").select(*stats.MONTH, "value_avg", "sample_count").crossJoin(F.broadcast(errors))

@@ -8,8 +8,9 @@ from tidemark.functions.scalars import wba_id_to_map_id
 from tidemark.operators import tiers as T
 from tidemark.plans.registry import big, query, r, table
 
-LOC = """loc AS (SELECT o_orderstatus AS scenario, 'I' || o_custkey % 4 AS indicator, 'L' || o_custkey % 97 AS location,
-  min(CASE WHEN o_orderkey % 31 <> 0 THEN least(CAST(left(o_orderpriority, 1) AS INTEGER), 4) END) AS level, min(o_orderkey) AS pos FROM orders WHERE o_orderkey % 3 = o_custkey % 3 GROUP BY 1, 2, 3)"""
+LOC = """loc AS (SELECT scenario, indicator, location, CAST(nullif(first % 10, 0) AS INTEGER) AS level, first // 10 AS pos FROM (
+  SELECT o_orderstatus AS scenario, 'I' || o_custkey % 4 AS indicator, 'L' || o_custkey % 97 AS location,
+    min(o_orderkey * 10 + CASE WHEN o_orderkey % 31 <> 0 THEN least(CAST(left(o_orderpriority, 1) AS INTEGER), 4) ELSE 0 END) AS first FROM orders GROUP BY 1, 2, 3))"""
 DEF = "def AS (SELECT 'I' || n AS indicator, 'Indicator ' || n AS name, CASE WHEN n % 2 = 0 THEN 'multi_value' ELSE 'single_value' END AS tier_type, n <> 3 AS is_active FROM range(4) t(n))"
 CNT = f"""{LOC}, cnt AS (SELECT scenario, indicator, count(*) FILTER (WHERE level = 1) AS tier_1_value, count(*) FILTER (WHERE level = 2) AS tier_2_value,
   count(*) FILTER (WHERE level = 3) AS tier_3_value, count(*) FILTER (WHERE level = 4) AS tier_4_value, count(level) AS total_value FROM loc GROUP BY 1, 2),
@@ -24,11 +25,11 @@ SCORE = f"""{CNT}, s0 AS (SELECT *, coalesce(norm_tier_1, 0) AS n1, coalesce(nor
 
 
 def locations(spark, sf):
-    """Rows (scenario, indicator, location, level, pos); some levels are missing."""
-    o = table(spark, sf, "orders").where("o_orderkey % 3 = o_custkey % 3")
-    level = F.when(F.col("o_orderkey") % 31 != 0, F.least(F.substring("o_orderpriority", 1, 1).cast("int"), F.lit(4)))
+    """Rows (scenario, indicator, location, level, pos) by the first order of each location; some levels are missing."""
+    o, k = table(spark, sf, "orders"), F.col("o_orderkey")
+    level = F.when(k % 31 != 0, F.least(F.substring("o_orderpriority", 1, 1).cast("int"), F.lit(4))).otherwise(0)
     name = lambda p, n: F.concat(F.lit(p), (F.col("o_custkey") % n).cast("string"))
-    return o.groupBy(F.col("o_orderstatus").alias("scenario"), name("I", 4).alias("indicator"), name("L", 97).alias("location")).agg(F.min(level).alias("level"), F.min("o_orderkey").alias("pos"))
+    return o.groupBy(F.col("o_orderstatus").alias("scenario"), name("I", 4).alias("indicator"), name("L", 97).alias("location")).agg(F.min(k * 10 + level).alias("first")).select("scenario", "indicator", "location", F.nullif(F.col("first") % 10, F.lit(0)).cast("int").alias("level"), F.expr("first div 10").alias("pos"))
 
 
 def definitions(spark):

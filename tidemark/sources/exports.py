@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.calendar import model_date
+from tidemark.functions.calendar import ANNUAL_DAYS, is_bare_year, model_date, with_water_calendar
 from tidemark.functions.scalars import adjusted_timestamp, missing_code_to_null, scenario_from_path, to_number
+from tidemark.sources.shared import row_numbers
 
 LABELS = ("a", "b", "c", "e", "f", "type", "units")
 HEADER_SEARCH = 15
@@ -78,14 +79,26 @@ def select_column_block(meta: DataFrame, start: int, prefix: str) -> DataFrame:
 
 
 def long_series(lines: DataFrame, meta: DataFrame) -> DataFrame:
-    """Rows (file, scenario, variable, ts, value, units) of the chosen columns.
+    """Rows (file, scenario, variable, ts, value, units, annual) of the chosen columns.
 
-    Lines whose first cell is no date are left out; cells that are no number, and NaN, are null.
+    Lines whose first cell is no date are left out; cells that are no number, and NaN, are null. A file whose dates are
+    bare years only is annual: its dates are the ends of water years, and a year outside 1900 to 2100 is an error.
     """
     columns = meta.groupBy("file").agg(F.collect_list(F.struct("col_idx", "b", "units")).alias("_columns"))
-    rows = lines.withColumn("ts", model_date(F.get("cells", F.lit(0)))).where("ts is not null").join(columns, "file")
+    text = F.trim(F.get("cells", F.lit(0)))
+    dated = lines.withColumns({"ts": model_date(text), "_bare": is_bare_year(text)}).where("ts is not null or _bare")
+    kinds = dated.groupBy("file").agg(F.bool_and("_bare").alias("annual"))
+    year = F.try_to_number(F.substring(text, 1, 4), F.lit("9999")).cast("int")
+    checked = F.when(year.between(1900, 2100), year).otherwise(F.raise_error(F.concat(F.lit("not a year from 1900 to 2100: "), text)).cast("int"))
+    rows = dated.join(columns.join(kinds, "file"), "file").withColumn("ts", F.when(F.col("annual"), F.make_date(checked, F.lit(9), F.lit(30))).otherwise(F.col("ts"))).where("ts is not null")
     cell = F.explode(F.transform("_columns", lambda c: F.struct(c["b"].alias("variable"), F.get(F.col("cells"), c["col_idx"]).alias("text"), c["units"].alias("units"))))
-    return rows.select("file", "ts", cell.alias("c")).select("file", scenario_from_path(F.col("file")).alias("scenario"), "c.variable", "ts", to_number(F.trim("c.text")).alias("value"), "c.units")
+    return rows.select("file", "ts", "annual", cell.alias("c")).select("file", scenario_from_path(F.col("file")).alias("scenario"), "c.variable", "ts", to_number(F.trim("c.text")).alias("value"), "c.units", "annual")
+
+
+def with_series_calendar(series: DataFrame) -> DataFrame:
+    """The water calendar of rows with ``ts`` and ``annual``; annual rows have water_month 0 and 365 days."""
+    out = with_water_calendar(series)
+    return out.withColumns({"water_month": F.when(F.col("annual"), F.lit(0)).otherwise(F.col("water_month")), "days_in_month": F.when(F.col("annual"), F.lit(ANNUAL_DAYS)).otherwise(F.col("days_in_month"))})
 
 
 def read_dss_csv(spark: SparkSession, paths: str | Sequence[str], wanted: DataFrame | None = None) -> DataFrame:
@@ -96,8 +109,16 @@ def read_dss_csv(spark: SparkSession, paths: str | Sequence[str], wanted: DataFr
     return long_series(lines, meta)
 
 
+MOST_PATTERNS = 1000
+
+
 def pick_first_existing(files: DataFrame, patterns: DataFrame) -> DataFrame:
-    """For each scenario the file that fits the pattern of lowest rank; ties by path. Patterns are few."""
+    """For each scenario the file that fits the pattern of lowest rank; ties by path.
+
+    Every path is held against every pattern, so more than ``MOST_PATTERNS`` of them are an error.
+    """
+    if patterns.count() > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} patterns")
     return files.join(F.broadcast(patterns), F.expr("path rlike pattern")).groupBy("scenario").agg(F.min_by("path", F.struct("rank", "path")).alias("path"))
 
 
@@ -147,6 +168,11 @@ def parse_pathnames(rows: DataFrame) -> DataFrame:
     return out.withColumn("series_key", F.concat_ws("|", "a", "b", "c", "e", "f"))
 
 
+#: What parts b, f and c look like in model output, and parts a and d in model input.
+OUTPUT_LOOKS = {2: "^[SCDI]$", 6: "^(TAF|CFS|AF)$", 3: "^[A-Z0-9_]+$"}
+INPUT_LOOKS = {1: "^SV", 4: "^(INITIAL|INPUT|STATE)$"}
+
+
 def detect_series_type(rows: DataFrame) -> DataFrame:
     """Per file calsim_output or sv_input by a vote over its first 10 pathnames; unknown without any."""
     first = rows.withColumn("_n", F.row_number().over(Window.partitionBy("file").orderBy("position"))).where("_n <= 10")
@@ -155,8 +181,8 @@ def detect_series_type(rows: DataFrame) -> DataFrame:
     full = F.size(parts) >= 7
     one = lambda c: F.when(full & c, 1).otherwise(0)
     votes = first.groupBy("file").agg(
-        F.sum(one(part(2).rlike("^[SCDI]$")) + one(part(6).rlike("^(TAF|CFS|AF)$")) + one(part(3).rlike("^[A-Z0-9_]+$"))).alias("o"),
-        F.sum(one(part(1).rlike("^SV")) + one(part(4).rlike("^(INITIAL|INPUT|STATE)$"))).alias("i"),
+        F.sum(sum((one(part(i).rlike(look)) for i, look in OUTPUT_LOOKS.items()), F.lit(0))).alias("o"),
+        F.sum(sum((one(part(i).rlike(look)) for i, look in INPUT_LOOKS.items()), F.lit(0))).alias("i"),
     )
     return votes.select("file", F.when(F.col("o") > F.col("i"), "calsim_output").otherwise("sv_input").alias("series_type"))
 
@@ -184,12 +210,20 @@ def read_seed(spark: SparkSession, path: str, schema: str, zero: Sequence[str] =
 
 
 #: Suffix, type, name and description of the kinds of release.
-RELEASES = (("", "release_total", "Total Release", "Total release from "), ("_NCF", "release_normal", "Normal Release", "Normal controlled release from "), ("_FLOOD", "release_flood", "Flood Spill", "Flood spill from "))
+RELEASES = (
+    ("", "release_total", "Total Release", "Total release from {name}"),
+    ("_NCF", "release_normal", "Normal Release", "Normal controlled release from {name} (≤ release capacity)"),
+    ("_FLOOD", "release_flood", "Flood Spill", "Flood spill from {name} (above release capacity)"),
+)
 FIRST_RELEASE_ID = 196
 
 
 def expand_entity_variables(entities: DataFrame) -> DataFrame:
     """Every entity (id, short_code, name) times the kinds of release, with running ids from 196 in id order."""
-    kinds = F.array(*(F.struct(F.lit(i).alias("n"), F.lit(s).alias("suffix"), F.lit(t).alias("variable_type"), F.lit(m).alias("label"), F.lit(d).alias("about")) for i, (s, t, m, d) in enumerate(RELEASES)))
-    rows = entities.withColumn("rank", F.row_number().over(Window.orderBy("id"))).select("*", F.explode(kinds).alias("k"))
-    return rows.select(((F.col("rank") - 1) * len(RELEASES) + F.col("k.n") + FIRST_RELEASE_ID).alias("variable_id"), F.concat(F.lit("C_"), "short_code", "k.suffix").alias("calsim_id"), F.concat("name", F.lit(" "), "k.label").alias("variable_name"), F.concat("k.about", "name").alias("description"), F.col("id").alias("entity_id"), "k.variable_type")
+    fields = ("suffix", "variable_type", "label", "about")
+    kinds = F.array(*(F.struct(F.lit(i).alias("n"), *(F.lit(v).alias(f) for f, v in zip(fields, kind, strict=True))) for i, kind in enumerate(RELEASES)))
+    rows = row_numbers(entities, ["id"], "rank").select("*", F.explode(kinds).alias("k"))
+    return rows.select(
+        ((F.col("rank") - 1) * len(RELEASES) + F.col("k.n") + FIRST_RELEASE_ID).alias("variable_id"), F.concat(F.lit("C_"), "short_code", "k.suffix").alias("calsim_id"),
+        F.concat("name", F.lit(" "), "k.label").alias("variable_name"), F.replace("k.about", F.lit("{name}"), "name").alias("description"), F.col("id").alias("entity_id"), "k.variable_type",
+    )

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import map_of
 from tidemark.sources.exports import LABELS
 
 
 def dss_lines(series: DataFrame) -> DataFrame:
     """Rows (scenario, place, line) of wide exports from (scenario, variable, ts, value, units): header, then dates.
 
-    Columns are in order of name; dates without any value are left out; a missing cell is NaN. No plan gets as wide as
-    the export: a line is put together from a map of its cells.
+    Columns are in order of name; dates without any value are left out; a missing cell is NaN; of values for one cell
+    the largest stays. No plan gets as wide as the export: a line is put together from a map of its cells.
     """
     columns = series.groupBy("scenario", "variable").agg(F.max("units").alias("units"))
     heads = columns.groupBy("scenario").agg(F.array_sort(F.collect_list(F.struct("variable", "units"))).alias("columns"))
@@ -25,7 +27,7 @@ def dss_lines(series: DataFrame) -> DataFrame:
         return F.concat_ws(",", F.lit(label), F.array_join(F.transform("columns", cell), ","))
 
     header = heads.select("scenario", F.posexplode(F.array(*map(head, LABELS))).alias("place", "line")).withColumn("place", F.col("place").cast("long"))
-    days = series.where("value is not null").groupBy("scenario", "ts").agg(F.map_from_entries(F.collect_list(F.struct("variable", "value"))).alias("cells"))
+    days = series.where("value is not null").groupBy("scenario", "ts").agg(map_of(F.collect_list(F.struct(F.col("variable").alias("key"), "value"))).alias("cells"))
     cells = F.array_join(F.transform("columns", lambda c: F.coalesce(F.try_element_at(F.col("cells"), c["variable"]).cast("string"), F.lit("NaN"))), ",")
     body = days.join(heads, "scenario").select("scenario", (F.unix_date("ts") + 10_000_000).cast("long").alias("place"), F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd"), cells).alias("line"))
     return header.unionByName(body)
@@ -40,6 +42,8 @@ def write_dss_csv(series: DataFrame, path: str) -> None:
 def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str], defaults: dict | None = None) -> DataFrame:
     """Target rows without an update, and all updates; of updates with one key the last in column order stays.
 
+    Keys that are null are equal to each other.
+
     Where a table format has MERGE, that is the better way; on plain Parquet this is the rewrite of touched partitions.
     """
     keys = list(key)
@@ -47,7 +51,13 @@ def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str], defaults:
     last = updates.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_u")).select(*keys, *(F.col(f"_u.{c}").alias(c) for c in rest))
     for column, value in (defaults or {}).items():
         last = last.withColumn(column, F.coalesce(column, F.lit(value)) if column in last.columns else F.lit(value))
-    return target.join(last, keys, "left_anti").unionByName(last, allowMissingColumns=True)
+    return unmatched(target, last, keys).unionByName(last, allowMissingColumns=True)
+
+
+def unmatched(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key, nulls included, is not in ``other``."""
+    there = other.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
+    return rows.join(there, reduce(lambda a, b: a & b, (rows[k].eqNullSafe(there[f"_{k}"]) for k in keys)), "left_anti")
 
 
 def replace_scenario(path: str, rows: DataFrame) -> None:
@@ -56,8 +66,8 @@ def replace_scenario(path: str, rows: DataFrame) -> None:
 
 
 def insert_new(target: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Target rows and those of ``rows`` whose key is new."""
-    return target.unionByName(rows.join(target.select(*key), list(key), "left_anti"), allowMissingColumns=True)
+    """Target rows and those of ``rows`` whose key is new; null is a key like any other."""
+    return target.unionByName(unmatched(rows, target, list(key)), allowMissingColumns=True)
 
 
 FORMATS = ("csv", "json", "parquet", "orc")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.calendar import with_water_calendar
 from tidemark.functions.scalars import scenario_from_path
 from tidemark.operators import stats
 from tidemark.sources import exports, sinks
@@ -15,29 +16,48 @@ from tidemark.sources import exports, sinks
 
 def monthly_of(series: DataFrame) -> DataFrame:
     """Monthly distribution of every variable of every scenario."""
-    rows = with_water_calendar(series.withColumnRenamed("variable", "entity"))
+    rows = exports.with_series_calendar(series.withColumnRenamed("variable", "entity"))
     return stats.distribution_stats(rows, stats.MONTH, "value", "value_")
 
 
-def stream_scenarios(spark: SparkSession, in_dir: str, out_dir: str, compute: Callable[[DataFrame], DataFrame] = monthly_of, variables: list[str] | None = None) -> None:
+ERRORS = "file string, scenario string, error string"
+
+
+def stream_scenarios(spark: SparkSession, in_dir: str, out_dir: str, compute: Callable[[DataFrame], DataFrame] = monthly_of, variables: list[str] | None = None, most_files: int = 100) -> None:
     """Takes in all new files of ``in_dir`` and returns when they are done; a later call takes in later files.
 
-    Each file's scenario is replaced in ``out_dir``/results, so a file that is sent again counts once. A file without a
-    dated line is recorded in ``out_dir``/errors and the others go on. Progress is kept in ``out_dir``/checkpoint.
+    Each file's scenario is replaced in ``out_dir``/results, and of files of one scenario the one that was written last
+    counts, so a file that is sent again counts once. A file without a dated line, and one that fails, is recorded in
+    ``out_dir``/errors and the others go on: a batch of at most ``most_files`` is taken as a whole, and scenario by
+    scenario where that fails. Progress is kept in ``out_dir``/checkpoint.
     """
-    text = spark.readStream.schema("value string").format("text").option("recursiveFileLookup", "true").load(in_dir)
-    lines = text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    text = spark.readStream.schema("value string").format("text").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", most_files).load(in_dir)
+    meta = {"file": "file_path", "block": "file_block_start", "written": "file_modification_time"}
+    lines = text.select("value", *(F.col(f"_metadata.{c}").alias(k) for k, c in meta.items()))
 
-    def take(batch: DataFrame, number: int) -> None:
-        own = exports.raw_lines(batch).persist()
-        files = own.groupBy("file").agg(F.bool_or(exports.is_dated(F.col("cells"))).alias("dated"))
-        bad = files.where("not dated").select(F.col("file"), scenario_from_path(F.col("file")).alias("scenario"), F.lit("no line with a date").alias("error"), F.lit(number).alias("batch"))
-        bad.write.mode("append").parquet(f"{out_dir}/errors")
-        meta = exports.series_meta(own)
+    def replace(rows: DataFrame) -> None:
+        chosen = exports.series_meta(rows)
         if variables is not None:
-            meta = meta.where(F.col("b").isin(*variables))
-        sinks.replace_scenario(f"{out_dir}/results", compute(exports.long_series(own, exports.first_column_wins(meta)).drop("file", "units")))
+            chosen = chosen.where(F.col("b").isin(*variables))
+        sinks.replace_scenario(f"{out_dir}/results", compute(exports.long_series(rows, exports.first_column_wins(chosen)).drop("file", "units")))
+
+    def take(batch: DataFrame, number: int) -> None:
+        files = batch.groupBy("file").agg(F.max("written").alias("written"), F.bool_or(exports.is_dated(F.split("value", ",", 2))).alias("dated"))
+        files = files.withColumn("scenario", scenario_from_path(F.col("file")))
+        bad = [(r.file, r.scenario, "no line with a date") for r in files.where("not dated").collect()]
+        latest = files.where("dated").groupBy("scenario").agg(F.max_by("file", F.struct("written", "file")).alias("file")).collect()
+        own = exports.raw_lines(batch.join(F.broadcast(spark.createDataFrame(latest, "scenario string, file string")), "file", "left_semi")).persist()
+        try:
+            if latest:
+                replace(own)
+        except (PySparkException, Py4JError):
+            for scenario, file in latest:
+                try:
+                    replace(own.where(F.col("file") == file))
+                except (PySparkException, Py4JError) as error:
+                    bad.append((file, scenario, str(error).split("\n")[0][:500]))
         own.unpersist()
+        spark.createDataFrame(bad, ERRORS).write.mode("overwrite").parquet(f"{out_dir}/errors/batch={number}")
 
     lines.writeStream.foreachBatch(take).option("checkpointLocation", f"{out_dir}/checkpoint").trigger(availableNow=True).start().awaitTermination()
 
