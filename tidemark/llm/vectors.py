@@ -1,14 +1,16 @@
 """Operator 3: embedding near-duplicates over an inverted multi-index.
 
 Unit vectors are cut in two halves and each half has a codebook, fitted on a bounded sample; the two nearest codewords
-name the cell of a vector. Every vector is indexed and every vector is a query. For a query, a cell has a lower bound
-on the distance to anything inside it (the distances of both halves to the bisecting planes of their codewords); cells
-are visited from the lowest bound on until it passes a radius: the distance that belongs to the cosine, beyond which no
-link can lie. A query visits its own cell and those that come after it, since the other end of a link visits no less:
-a pair is met from the end in the earlier cell and counts for both. What is found is verified in double precision.
-
-Equal vectors of a label are one node with a count. Cells with many vectors are cut into blocks, so no task gets all
-vectors of a cell. Links are counted where they are found; only a spanning forest of each block leaves it.
+name the cell of a vector, so two small codebooks make a fine product grid. Every vector is indexed and every vector is
+a query. For a query, a cell has a lower bound on the distance to anything inside it (the distances of both halves to
+the bisecting planes of their codewords). A multi-sequence traversal visits the cells of a query from the lowest bound
+on and stops where the target recall is reached: at recall 1 that is the distance that belongs to the cosine, beyond
+which no link can lie; below 1 it is the bound within which that share of the links among the sample was found. A query
+visits its own cell and those that come after it, since the other end of a link visits no less: a pair is met from the
+end in the earlier cell and counts for both. What is found is verified in double precision.
+
+Equal vectors of a label are one class with a number and a count. Cells with many vectors are cut into blocks, so no task
+gets all vectors of a cell. Links are counted where they are found; only a spanning forest of each block leaves it.
 """
 
 from __future__ import annotations
@@ -27,14 +29,17 @@ COSINE = 0.98
 #: Most vectors that the codebooks are fitted on: those with the smallest hashes.
 SAMPLE = 4096
 VECTORS_PER_CELL = 64
-MOST_WORDS = 1024
-#: Under 1, cells are visited only as far as a pair keeps to with that probability if its difference points anywhere;
-#: real differences may lie along few directions, so no query asks for less than 1.
+#: Codewords of a half: at least these, and at most a quarter of the sample, as a codeword needs points. Cells that are
+#: large all the same are cut into blocks.
+LEAST_WORDS = 4
+#: Links among the sample from which a recall below 1 is calibrated; with fewer the traversal goes as far as for 1.
+LEAST_LINKS = 50
 RECALL = 1.0
 #: Codewords closer than this have no plane that double precision can place; both regions are visited.
 LEAST_GAP = 1e-3
 PLACED_AT_ONCE = 1_000
 INDEX_BLOCK, QUERY_BLOCK = 1024, 4096
+SEED = 20240302
 
 
 def codebook(points: np.ndarray, words: int, rounds: int = 8) -> np.ndarray:
@@ -47,8 +52,17 @@ def codebook(points: np.ndarray, words: int, rounds: int = 8) -> np.ndarray:
     return np.unique(centres, axis=0)
 
 
+def unseen(dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codebooks for vectors of a length that the sample doesn't hold: random directions, the same in every process."""
+    rng = np.random.default_rng((SEED, dim))
+    halves = (rng.normal(size=(LEAST_WORDS, n)) for n in (dim // 2, dim - dim // 2))
+    return tuple(h / np.sqrt(2 * np.square(h).sum(axis=1, keepdims=True)) for h in halves)
+
+
 def unit(flat: np.ndarray, dim: int) -> np.ndarray:
+    """Unit vectors in double precision; components are scaled first, so that squares neither vanish nor overflow."""
     x = flat.astype(np.float64).reshape(-1, dim)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt(np.square(x).sum(axis=1, keepdims=True))
 
 
@@ -64,26 +78,45 @@ def bounds(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndar
     return near, np.maximum(plane, 0)
 
 
-def visits(left: np.ndarray, right: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query, left word and right word of every cell whose bound is within the radius.
+def multi_sequence(left: np.ndarray, right: np.ndarray, radius: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Query, left word and right word of the cells within the radius, each query's nearest cell first.
 
-    Both lists of a query are first cut where one half alone passes the radius; the pairs that are left are few.
+    Both lists of a query are sorted by bound. For each left word the next right word waits; the nearest waiting cell is
+    visited and its left word moves on. All queries take a step at a time and drop out where their nearest cell is
+    beyond the radius.
     """
-    q1, w1 = np.nonzero(left <= radius)
-    q2, w2 = np.nonzero(right <= radius)
-    per = np.bincount(q2, minlength=len(left))
-    first = np.cumsum(per) - per
-    times = per[q1]
-    at = np.repeat(first[q1] - (np.cumsum(times) - times), times) + np.arange(times.sum())
-    q, a, b = np.repeat(q1, times), np.repeat(w1, times), w2[at]
-    within = np.square(left[q, a]) + np.square(right[q, b]) <= radius * radius
-    return q[within], a[within], b[within]
+    first, second = left.argsort(axis=1, kind="stable"), right.argsort(axis=1, kind="stable")
+    l2, r2 = (np.square(np.take_along_axis(x, order, 1)) for x, order in ((left, first), (right, second)))
+    limit = radius * radius
+    l2 = l2[:, : max(1, int((l2 <= limit).sum(axis=1).max(initial=0)))]
+    r2 = np.concatenate([r2, np.full((len(r2), 1), np.inf)], axis=1)
+    at, waiting, query = np.zeros(l2.shape, np.int64), l2 + r2[:, :1], np.arange(len(l2))
+    while len(query):
+        i = waiting[query].argmin(axis=1)
+        near = waiting[query, i] <= limit
+        query, i = query[near], i[near]
+        j = at[query, i]
+        yield query, first[query, i], second[query, j]
+        at[query, i] = j + 1
+        waiting[query, i] = l2[query, i] + r2[query, j + 1]
 
 
-def visit_radius(cosine: float, dim: int, recall: float) -> float:
-    """How far cells are visited: the squares of two of ``dim`` parts of a random difference are exponential."""
-    far = 2 - 2 * cosine
-    return float(np.sqrt(far if recall >= 1 else min(far, 2 * far / dim * np.log(1 / (1 - recall))))) + 1e-7
+def stop_radius(points: np.ndarray, labels: list, books: tuple[np.ndarray, np.ndarray], cosine: float, recall: float) -> float:
+    """How far cells are visited: at recall 1 the distance of the cosine, else what held that share of the sample's links."""
+    whole = float(np.sqrt(2 - 2 * cosine))
+    if recall < 1:
+        half = points.shape[1] // 2
+        (n1, b1), (n2, b2) = bounds(points[:, :half], books[0]), bounds(points[:, half:], books[1])
+        kind = np.unique([str(x) for x in labels], return_inverse=True)[1]
+        found = []
+        for x in range(0, len(points), 512):
+            i, j = np.nonzero((points[x : x + 512] @ points.T >= cosine) & (kind[x : x + 512][:, None] == kind[None, :]))
+            i, j = i[i + x != j] + x, j[i + x != j]
+            found.append(np.sqrt(np.square(b1[i, n1[j]]) + np.square(b2[i, n2[j]])))
+        far = np.concatenate(found)
+        if len(far) >= LEAST_LINKS:
+            whole = min(whole, float(np.quantile(far, recall, method="higher")))
+    return whole + 1e-7
 
 
 def near_vectors(table: DataFrame, cosine: float = COSINE, recall: float = RECALL, sample: int = SAMPLE) -> DataFrame:
@@ -91,23 +124,33 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, recall: float = RECAL
 
     Only vectors of one label and one length are compared. Vectors that are null, empty, zero or hold null or non-finite
     components, and those with a null label, link with nothing. Rows that repeat an id are counted each; a null id is
-    answered with a null component and kept. ``recall`` is the target of the visits (1, the default: complete).
+    answered with a null component and kept. ``recall`` is the target of the visits (1, the default: complete). Other
+    columns are ignored.
     """
-    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"), F.col("label").alias("label"))
-    squares = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
-    sound = F.col("label").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & (squares > 0)
-    rows = rows.withColumn("node", F.when(F.coalesce(sound, F.lit(False)), F.xxhash64("label", "embedding")))
-    classes = stage(rows.where("node is not null").groupBy("node", "label", "embedding").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("n")), "vector-classes")
-    shape = classes.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n"), F.approx_count_distinct("label").alias("labels"))
-    drawn = classes.orderBy(F.xxhash64("node")).limit(sample).select("embedding").toArrow().column("embedding").to_pylist()
-    books: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for dim, n, labels in shape.orderBy(F.desc("n")).limit(100).collect():
-        mine = [v for v in drawn if len(v) == dim]
-        if mine:
-            points = unit(np.array(mine, np.float64).ravel(), dim)
-            words = int(np.clip(np.sqrt(n / max(labels, 1) / VECTORS_PER_CELL), 1, MOST_WORDS))
-            books[dim] = tuple(codebook(half, words) for half in (points[:, : dim // 2], points[:, dim // 2 :]))
+    kind = "float" if dict(table.dtypes)["embedding"] == "array<float>" else "double"
+    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"), F.col("label").alias("label"))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    sound = F.coalesce(F.col("label").isNotNull() & finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
+    rows = rows.withColumns({"key1": F.when(sound, F.xxhash64("label", "embedding")), "key2": F.when(sound, F.xxhash64(F.lit(1), "label", "embedding"))})
+    classes = rows.where("key1 is not null").groupBy("key1", "key2", "label", "embedding").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("n"))
+    classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
+    drawn = classes.orderBy("key1", "key2").limit(sample).select("embedding", "label").toArrow()
+    points: dict[int, tuple[list, list]] = {}
+    for v, label in zip(drawn.column("embedding").to_pylist(), drawn.column("label").to_pylist(), strict=True):
+        own, labels = points.setdefault(len(v), ([], []))
+        own.append(v)
+        labels.append(label)
+    size = F.size("embedding")
+    shape = classes.where(size.isin(*points)).groupBy(size.alias("dim")).agg(F.count("*").alias("n"), F.approx_count_distinct("label").alias("labels")).collect() if points else []
+    books: dict[int, tuple[np.ndarray, np.ndarray, float]] = {}
+    for dim, n, labels in shape:
+        if dim > 1:
+            own = unit(np.array(points[dim][0], np.float64).ravel(), dim)
+            words = int(np.clip(np.ceil(np.sqrt(n / max(labels, 1) / VECTORS_PER_CELL)), LEAST_WORDS, max(LEAST_WORDS, sample // 4)))
+            pair = tuple(codebook(half, words) for half in (own[:, : dim // 2], own[:, dim // 2 :]))
+            books[dim] = (*pair, stop_radius(own, points[dim][1], pair, cosine, recall))
     held = table.sparkSession.sparkContext.broadcast(books)
+    whole_radius = float(np.sqrt(2 - 2 * cosine)) + 1e-7
 
     def place(batches: Iterator[pa.RecordBatch], carried: list[str]) -> Iterator[pa.RecordBatch]:
         """Each vector once in its own cell (role 0), and its query there (role 1) and in each later cell it visits (role 2)."""
@@ -118,12 +161,12 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, recall: float = RECAL
                 for part in (whole.slice(x, PLACED_AT_ONCE) for x in range(0, whole.num_rows, PLACED_AT_ONCE)):
                     at = own = np.arange(part.num_rows)
                     home = cell = np.zeros(part.num_rows, np.int64)
-                    if dim in held.value and dim > 1:
-                        left, right = held.value[dim]
+                    if dim > 1:
+                        left, right, radius = held.value[dim] if dim in held.value else (*unseen(dim), whole_radius)
                         points = unit(part.column("embedding").flatten().to_numpy(), dim)
                         (n1, b1), (n2, b2) = bounds(points[:, : dim // 2], left), bounds(points[:, dim // 2 :], right)
                         home = n1 * len(right) + n2
-                        at, n1, n2 = visits(b1, b2, visit_radius(cosine, dim, recall))
+                        at, n1, n2 = (np.concatenate(x) for x in zip(*multi_sequence(b1, b2, radius), strict=True))
                         cell = n1 * len(right) + n2
                         later = cell >= home[at]
                         at, cell = at[later], cell[later]
@@ -184,13 +227,16 @@ def near_vectors(table: DataFrame, cosine: float = COSINE, recall: float = RECAL
             yield from linked(kept)
 
     found = stage(dealt.select("group", "role", "node", "n", "embedding", "dim").mapInArrow(search, "a long, b long, links long"), "vector-links")
+    held.destroy()
     counts = found.where("links > 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     groups = components(found.where("links = 0").select("a", "b"))
     groups = groups.join(classes.select("node", "least_id"), "node")
     lowest = groups.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = classes.select("node", "n", "least_id").join(counts, "node", "left").join(groups.join(lowest, "component").select("node", "component_id"), "node", "left")
-    named = stage(named.select("node", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "least_id").alias("component_id")), "vector-groups")
-    out = rows.select("vec_id", "node").join(named, "node", "left")
+    plain = classes.select("node", "key1", "key2", "n", "least_id")
+    named = plain.join(counts, "node", "left").join(groups.join(lowest, "component").select("node", "component_id"), "node", "left")
+    links = F.coalesce("links", F.lit(0)) + F.col("n") - 1
+    named = stage(named.select("key1", "key2", links.alias("n_links"), F.coalesce("component_id", "least_id").alias("component_id")), "vector-groups")
+    out = rows.select("vec_id", "key1", "key2").join(named, ["key1", "key2"], "left")
     own = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"), F.coalesce(F.col("vec_id") == own, F.lit(True)).alias("kept"))
 
