@@ -1,18 +1,20 @@
 """Operator 8: packing documents into sequences of a fixed length, best fit first, then swap-based local search.
 
-Documents are encoded once; only lengths and checksums go on. Pieces are dealt at random into groups of about
+Documents are encoded once; only lengths and checksums go on. Pieces are dealt in turn into groups of about
 ``GROUP_PIECES`` and each group is packed by itself, so work grows in proportion to the input, and splitting into
 groups costs at most about one sequence in a group.
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +22,6 @@ from tidemark.llm.common import stage, text_slices
 from tidemark.llm.tokens import default_tokenizer, encoder
 
 GROUP_PIECES = 40_000
-#: Rounds of local search over the underfull bins of a group; it ends earlier when no exchange raises the squared fill.
-MOST_ROUNDS = 30
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -54,7 +54,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str | None = None, limit: int = 1024,
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(cut, PIECES)
 
 
@@ -81,115 +81,135 @@ def best_fit(sizes: np.ndarray, limit: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], sizes: np.ndarray, limit: int, rounds: int = MOST_ROUNDS) -> list[list[int]]:
-    """Local search: exchanges that raise the sum of squared fills, until bins empty or none is found.
+class Search:
+    """Local search over underfull bins: exchanges that raise the sum of squared fills, until bins empty.
 
-    A bin takes an item from an emptier one (move), one item for a smaller one (one for one) or two items for a smaller
-    one (two for one). The exchange that fills the bin most is taken.
+    A bin takes an item from another one (move), one item for a smaller one (one for one) or two items of one bin for a
+    smaller one (two for one), where it is then fuller than the other bin was. Of these the exchange that fills it most
+    is taken, from the emptiest bin that offers it. Each exchange raises a bounded integer, so the search ends.
     """
-    size = sizes.tolist()
-    fill = [sum(size[i] for i in b) for b in bins]
-    least = -(-sum(fill) // limit)
-    if len(bins) <= least:
-        return bins
-    open_bins = {b for b, f in enumerate(fill) if f < limit}
-    owner: dict[int, int] = {}
-    by_size: dict[int, set[int]] = {}
-    for b in open_bins:
-        for i in bins[b]:
-            owner[i] = b
-            by_size.setdefault(size[i], set()).add(i)
-
-    def donor(want: int, into: int, gain: int, besides: tuple[int, ...] = ()) -> int | None:
-        """An item of the wanted size in another bin that is emptier than ``into`` would be."""
-        best = None
-        for i in by_size.get(want, ()):
-            b = owner[i]
-            if b != into and i not in besides and fill[b] < fill[into] + gain and (best is None or fill[b] < fill[owner[best]]):
-                best = i
-        return best
-
-    def shift(i: int, to: int) -> None:
-        b = owner[i]
-        bins[b].remove(i)
-        bins[to].append(i)
-        fill[b] -= size[i]
-        fill[to] += size[i]
-        owner[i] = to
-
-    def close(b: int) -> None:
-        open_bins.discard(b)
-        for i in bins[b]:
-            by_size[size[i]].discard(i)
-
-    for _ in range(rounds):
-        changed = False
-        for into in sorted(open_bins, key=lambda b: -fill[b]):
-            if into not in open_bins or not bins[into]:
-                continue
-            gap = limit - fill[into]
-            done = False
-            for gain in range(gap, 0, -1):
-                if (i := donor(gain, into, gain)) is not None:
-                    shift(i, into)
-                    done = True
-                for out in [] if done else bins[into]:
-                    if (i := donor(size[out] + gain, into, gain)) is not None:
-                        source = owner[i]
-                        shift(out, source)
-                        shift(i, into)
-                        done = True
-                        break
-                if not done and gain == gap:  # two for one only where it fills the bin
-                    for out in bins[into]:
-                        want = size[out] + gain
-                        for first in [s for s in by_size if s <= want - s and by_size[s]]:
-                            a = donor(first, into, gain)
-                            if a is None:
-                                continue
-                            same = [i for i in bins[owner[a]] if i != a and size[i] == want - first]
-                            if same:
-                                source = owner[a]
-                                shift(out, source)
-                                shift(a, into)
-                                shift(same[0], into)
-                                done = True
-                                break
-                        if done:
-                            break
-                if done:
-                    break
-            if done:
-                changed = True
-                if fill[into] == limit:
-                    close(into)
-                open_bins -= {b for b in list(open_bins) if not bins[b]}
-                if sum(1 for b in bins if b) <= least and len(open_bins) < 3:
-                    return [b for b in bins if b]
-        if not changed or len(open_bins) <= 1:
-            break
-    return [b for b in bins if b]
+
+    def __init__(self, bins: list[list[int]], sizes: np.ndarray, limit: int):
+        self.size, self.limit, self.bins = sizes.tolist(), limit, bins
+        self.fill = [sum(self.size[i] for i in b) for b in bins]
+        self.full = sum(1 for b in bins if b)
+        self.least = -(-sum(self.fill) // limit)
+        self.version = [0] * len(bins)
+        # for each size of an item, and each sum of two items, a heap of (fill, bin, version); bits say where heaps are
+        self.heaps: tuple[dict[int, list], dict[int, list]] = ({}, {})
+        self.there = [0, 0]
+        for b in range(len(bins)):
+            self.offer(b)
+
+    def offers(self, b: int) -> tuple[set[int], set[int]]:
+        times = Counter(self.size[i] for i in self.bins[b])
+        kinds = sorted(times)
+        two = {x + y for n, x in enumerate(kinds) for y in kinds[n:] if x != y or times[x] > 1}
+        return set(kinds), {t for t in two if t <= self.limit}
+
+    def offer(self, b: int) -> None:
+        """Lists what a bin has to give; what was listed of it before is stale."""
+        self.version[b] += 1
+        if not self.bins[b] or self.fill[b] >= self.limit:
+            return
+        for kind, wants in enumerate(self.offers(b)):
+            for want in wants:
+                heapq.heappush(self.heaps[kind].setdefault(want, []), (self.fill[b], b, self.version[b]))
+                self.there[kind] |= 1 << want
+
+    def donor(self, kind: int, want: int, into: int) -> int | None:
+        """The emptiest bin but ``into`` that offers the wanted size."""
+        heap, own, found = self.heaps[kind][want], None, None
+        while heap and found is None:
+            _, b, version = heap[0]
+            if version != self.version[b]:
+                heapq.heappop(heap)
+            elif b == into:
+                own = heapq.heappop(heap)
+            else:
+                found = b
+        if own:
+            heapq.heappush(heap, own)
+        elif not heap:
+            self.there[kind] &= ~(1 << want)
+        return found
+
+    def best(self, into: int) -> tuple[int, int, int, int] | None:
+        """Donor, kind, size that comes and size that goes (0: none) of the exchange that fills a bin most."""
+        gap = self.limit - self.fill[into]
+        room, waiting = (1 << gap) - 1, []
+
+        def wait(kind: int, out: int, below: int) -> None:
+            bits = (self.there[kind] >> (out + 1)) & room & ((1 << below) - 1)
+            if bits:
+                heapq.heappush(waiting, (-bits.bit_length(), kind, out))
+
+        for out in {self.size[i] for i in self.bins[into]} | {0}:
+            for kind in (0, 1) if out else (0,):
+                wait(kind, out, gap)
+        while waiting:
+            gain, kind, out = heapq.heappop(waiting)
+            giver = self.donor(kind, out - gain, into)
+            if giver is not None and self.fill[giver] < self.fill[into] - gain:
+                return giver, kind, out - gain, out
+            wait(kind, out, -gain - 1)
+        return None
+
+    def take(self, b: int, want: int) -> int:
+        item = next(i for i in self.bins[b] if self.size[i] == want)
+        self.bins[b].remove(item)
+        return item
+
+    def exchange(self, into: int, giver: int, kind: int, come: int, out: int) -> None:
+        if kind:
+            have = Counter(self.size[i] for i in self.bins[giver])
+            one = next(x for x in have if have[come - x] > (1 if come == 2 * x else 0))
+            got = [self.take(giver, one), self.take(giver, come - one)]
+        else:
+            got = [self.take(giver, come)]
+        if out:
+            self.bins[giver].append(self.take(into, out))
+        self.bins[into] += got
+        self.fill[into] += come - out
+        self.fill[giver] -= come - out
+        self.full -= not self.bins[giver]
+        self.offer(into)
+        self.offer(giver)
+
+    def run(self) -> list[list[int]]:
+        changed = True
+        while changed and self.full > self.least:
+            changed = False
+            for into in sorted((b for b, f in enumerate(self.fill) if 0 < f < self.limit), key=lambda b: -self.fill[b]):
+                while self.full > self.least and 0 < self.fill[into] < self.limit and (found := self.best(into)):
+                    self.exchange(into, *found)
+                    changed = True
+        return [b for b in self.bins if b]
+
+
+def improve(bins: list[list[int]], sizes: np.ndarray, limit: int) -> list[list[int]]:
+    """The bins after local search; no more of them than before."""
+    return Search(bins, sizes, limit).run()
 
 
 def pack(pieces: DataFrame, limit: int = 1024, group_pieces: int = GROUP_PIECES) -> DataFrame:
-    """Adds sequence_id and offset to pieces of at most ``limit``; pieces in a sequence stand without gaps from offset 0."""
+    """Adds sequence_id and offset to pieces of at most ``limit``; pieces in a sequence stand without gaps from offset 0.
+
+    Pieces are dealt to groups by their place in the written pieces, so groups are even however often a row repeats.
+    """
     pieces = stage(pieces, "pieces")
     groups = max(1, round(pieces.count() / group_pieces))
 
-    def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=False, kind="stable").reset_index(drop=True)
-        sizes = frame.length.to_numpy()
+    def fit(table: pa.Table) -> pa.Table:
+        table = table.take(pc.sort_indices(table, [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")]))
+        sizes = table.column("length").to_numpy()
         bins = improve(best_fit(sizes, limit), sizes, limit)
-        order = np.array([i for b in bins for i in b], np.int64)
-        at = np.repeat(np.arange(len(bins)), [len(b) for b in bins])
+        at = np.repeat(np.arange(len(bins)), [len(b) for b in bins]) + (table.column("group_id")[0].as_py() << 32)
         offset = np.concatenate([np.cumsum([0, *(int(sizes[i]) for i in b)])[:-1] for b in bins])
-        frame = frame.loc[order].reset_index(drop=True)
-        frame["sequence_id"] = (frame.group_id.iloc[0].astype(np.int64) << 32) + at
-        frame["offset"] = offset
-        return frame.drop(columns="group_id")
+        return table.take(pa.array([i for b in bins for i in b])).drop_columns("group_id").append_column("sequence_id", pa.array(at)).append_column("offset", pa.array(offset))
 
-    dealt = pieces.withColumn("group_id", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
-    return dealt.groupBy("group_id").applyInPandas(fit, f"{PIECES}, sequence_id long, offset long")
+    dealt = pieces.withColumn("group_id", F.pmod(F.monotonically_increasing_id(), F.lit(groups)))
+    return dealt.groupBy("group_id").applyInArrow(fit, f"{PIECES}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, limit: int = 1024, end_id: int = 2) -> DataFrame:
