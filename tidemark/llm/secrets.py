@@ -7,15 +7,17 @@ texts that may match, and only those are verified with the regex. A rule without
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 from re import _constants as op
 from re import _parser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stage
+from tidemark.llm.common import stage, unused
 
 
 @dataclass(frozen=True)
@@ -51,7 +53,8 @@ RULES = (
 )
 SMALL_CLASS = 8
 #: Trigrams of one alternative that are looked up; fewer leave a wider, never a smaller, set of candidates.
-MOST_PER_WAY = 4
+MOST_PER_WAY = 2
+MASK_BITS = 62
 
 
 def _runs(parsed: Iterable, states: set[tuple[tuple[str, ...], str]]) -> set[tuple[tuple[str, ...], str]]:
@@ -84,10 +87,17 @@ def trigram_query(pattern: str) -> frozenset[frozenset[str]] | None:
     ways = {frozenset(run.lower()[i : i + 3] for run in (*done, last) for i in range(len(run) - 2)) for done, last in _runs(_parser.parse(pattern), {((), "")})}
     if frozenset() in ways:
         return None
-    ways = {frozenset(sorted(w)[:MOST_PER_WAY]) for w in ways}
     return frozenset(w for w in ways if not any(v < w for v in ways))
 
 
+def vocabulary(queries: list[frozenset[frozenset[str]]]) -> tuple[list[str], list[frozenset[frozenset[str]]]]:
+    """The trigrams to index, and the queries cut down to them: of each way those that most ways share, at most
+    ``MOST_PER_WAY``. Fewer trigrams leave more candidates to verify and never lose one."""
+    shared = Counter(t for query in queries for way in query for t in way)
+    cut = [frozenset(frozenset(sorted(way, key=lambda t: (-shared[t], t))[:MOST_PER_WAY]) for way in query) for query in queries]
+    return sorted({t for query in cut for way in query for t in way}), cut
+
+
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
     """``then(value)`` with the value worked out once."""
     return F.element_at(F.transform(F.array(value), then), 1)
@@ -123,45 +133,48 @@ def rule_spans(text: Column, rule: Rule, rank: int) -> Column:
 
 def postings(docs: DataFrame, trigrams: list[str], text: str = "text") -> DataFrame:
     """The inverted index: a row (trigram_id, text_key) for each trigram of the vocabulary and each text that holds it."""
-    low = docs.select(F.xxhash64(text).alias("text_key"), F.lower(text).alias("low"))
+    own = F.col(text).cast("string")
+    low = docs.select(F.xxhash64(own).alias("text_key"), F.lower(own).alias("low"))
     held = F.array_compact(F.array(*(F.when(F.contains("low", F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams))))
     return low.select("text_key", F.explode(held).alias("trigram_id"))
 
 
 def candidates(index: DataFrame, trigrams: list[str], queries: list[frozenset[frozenset[str]]]) -> DataFrame:
     """Intersects postings: text_key and, in ``fits``, which of the queries the text may match; texts with none are left out."""
-    place = {t: 1 << i for i, t in enumerate(trigrams)}
-    have = index.groupBy("text_key").agg(F.bit_or(F.expr("shiftleft(1L, trigram_id)")).alias("have"))
-    fits = []
-    for query in queries:
-        ways = [F.col("have").bitwiseAND(F.lit(mask)) == F.lit(mask) for way in sorted(query, key=sorted) if (mask := sum(place[t] for t in way))]
-        any_way = ways[0]
-        for way in ways[1:]:
-            any_way = any_way | way
-        fits.append(any_way)
+    place, masks = {t: i for i, t in enumerate(trigrams)}, range(len(trigrams) // MASK_BITS + 1)
+    have = index.groupBy("text_key").agg(*(F.bit_or(F.expr(f"if(trigram_id div {MASK_BITS} = {m}, shiftleft(1L, trigram_id % {MASK_BITS}), 0L)")).alias(f"have{m}") for m in masks))
+
+    def holds(way: frozenset[str]) -> Column:
+        """Whether a text has all trigrams of one way, mask by mask."""
+        bits = {m: sum(1 << place[t] % MASK_BITS for t in way if place[t] // MASK_BITS == m) for m in masks}
+        return reduce(lambda a, b: a & b, (F.col(f"have{m}").bitwiseAND(F.lit(b).cast("long")) == b for m, b in bits.items() if b))
+
+    fits = [reduce(lambda a, b: a | b, (holds(way) for way in sorted(query, key=sorted))) for query in queries]
     return have.select("text_key", F.array(*fits).alias("fits")).where(F.exists("fits", lambda f: f))
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", into: str = "secret_spans") -> DataFrame:
     """All columns of ``docs`` and, in ``into``, the spans of all rules, by start and then rule order.
 
-    A null text has none. Rows that repeat are all answered; texts that are equal share their postings.
+    A null text has none. Rows that repeat are all answered; texts that are equal share their postings. Spans that start
+    at one place stand in the order of the rules. ``into`` must be a new column, so that none of the table's is lost.
     """
-    indexed = [(n, rule, query) for n, rule in enumerate(rules) if (query := trigram_query(rule.pattern)) is not None]
-    trigrams = sorted({t for _, _, query in indexed for way in query for t in way})
-    if len(trigrams) > 63:
-        raise ValueError(f"{len(trigrams)} mandatory trigrams; a mask holds 63, so split the rules over two scans")
-    rows = docs.withColumn("_key", F.xxhash64(text))
-    if indexed:
-        found = stage(candidates(postings(docs, trigrams, text), trigrams, [q for _, _, q in indexed]), "secret-candidates")
-        rows = rows.join(found.withColumnRenamed("text_key", "_key").withColumnRenamed("fits", "_fits"), "_key", "left")
-    own = F.coalesce(F.col(text), F.lit(""))
-    order = {n: i for i, (n, _, _) in enumerate(indexed)}
+    if into.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"the table has a column {into} of its own; name another for the spans")
+    asked = {n: query for n, rule in enumerate(rules) if (query := trigram_query(rule.pattern)) is not None}
+    trigrams, cut = vocabulary(list(asked.values()))
+    key, fits = unused(docs, "_key"), unused(docs, "_fits")
+    rows = docs.withColumn(key, F.xxhash64(F.col(text).cast("string")))
+    if asked:
+        found = stage(candidates(postings(docs, trigrams, text), trigrams, cut), "secret-candidates")
+        rows = rows.join(found.withColumnRenamed("text_key", key).withColumnRenamed("fits", fits), key, "left")
+    own = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    order = {n: i for i, n in enumerate(asked)}
     spans = []
     for n, rule in enumerate(rules):
         found_here = rule_spans(own, rule, n)
-        spans.append(F.when(F.coalesce(F.get(F.col("_fits"), F.lit(order[n])), F.lit(False)), found_here).otherwise(F.array().cast(SPAN)) if n in order else found_here)
-    return rows.withColumn(into, F.array_sort(F.concat(*spans))).drop("_key", "_fits")
+        spans.append(F.when(F.coalesce(F.get(F.col(fits), F.lit(order[n])), F.lit(False)), found_here).otherwise(F.array().cast(SPAN)) if n in order else found_here)
+    return rows.withColumn(into, F.array_sort(F.concat(*spans))).select(*docs.columns, into)
 
 
 def joined(spans: Column) -> Column:
