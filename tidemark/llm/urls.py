@@ -1,9 +1,11 @@
 """Operator 5: URL filters with rules, and for URLs without a rule host word segmentation and naive Bayes.
 
-Host names often run words together. A unigram model, counted over the words of all pages, splits each label of a host
-by Viterbi into its likeliest words. Multinomial naive Bayes then scores the words of the host and of the path. Its
-counts come from all pages: one class is made of URLs whose host words hold a seed word, the other of the rest. Both
-classes have the same prior, as seeds name only a part of the unwanted hosts.
+Host names often run words together. A unigram model, counted over the words of all pages, splits each run of letters of
+a host or path by Viterbi into its likeliest words. Multinomial naive Bayes then scores the words of the host and of the
+path. Its counts come from all pages: one class is made of URLs whose host words hold a seed word, the other of the
+rest; so what else stands in the names of such hosts is learned. There are no labels for URLs, and the rules are no
+labels either, as they allow and block whole domains whatever is on them. Both classes have the same prior, as seeds
+name only a part of the unwanted hosts.
 
 Hosts and path shapes (paths with numbers folded together) are few against pages, so all work on words is done once
 for each distinct host and shape, and joined back. Nothing that grows with the corpus is broadcast by this code.
@@ -44,11 +46,19 @@ RULES = (
     Rule("net", "/fr/", "block"),
 )
 #: Words that mark a host as unwanted; the classifier learns the rest from the URLs that hold them.
-SEEDS = ("ads", "bet", "bets", "casino", "cheap", "jackpot", "loan", "loans", "pill", "pills", "poker", "porn", "slots", "track", "viagra", "xxx")
+SEEDS = (
+    "ads", "adult", "bet", "bets", "betting", "casino", "cheap", "escort", "gambling", "jackpot", "loan", "loans", "malware", "pill", "pills", "poker", "porn", "sex", "slots",
+    "spam", "track", "viagra", "warez", "xxx",
+)
 SEED_COUNT = 1000
+#: Letters of a word of the model; a longer run is made of several.
 LONGEST_WORD = 20
-SMOOTHING = 1.0
-WORD = "[a-z0-9]+"
+#: Letters that are split at once; the parts of a longer run are split each by itself.
+SPLIT_AT_ONCE = 250
+#: Words, dealt as in all URLs, that each class gets on top of its own; so a word that is rare in all speaks for neither.
+SMOOTHING = 100.0
+SALTS = 8
+RUNS = r"(\p{L}+|[0-9]+)"
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -73,9 +83,10 @@ def path_shape(path: Column) -> Column:
 
 
 def word_counts(pages: DataFrame, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
-    """Rows (word, n): how often each word of one to ``LONGEST_WORD`` letters stands in the texts of all pages."""
-    plain = F.regexp_replace(F.lower(F.coalesce("html", F.lit(""))), "(?s)<script.*?</script>|<style.*?</style>|<[^>]*>", " ")
-    words = pages.select(F.explode(F.split(F.translate(plain, ".,;:!?\"'()", "          "), r"\s+")).alias("word")).where(f"word rlike '^[a-z]{{2,{LONGEST_WORD}}}$'")
+    """Rows (word, n): how often each word of 2 to ``LONGEST_WORD`` letters stands in the texts of all pages; seeds count
+    ``SEED_COUNT`` times more, so that a name that holds one is split there."""
+    plain = F.regexp_replace(F.lower(F.coalesce(F.col("html").cast("string"), F.lit(""))), "(?s)<script.*?</script>|<style.*?</style>|<[^>]*>", " ")
+    words = pages.select(F.explode(F.split(F.translate(plain, ".,;:!?\"'()", "          "), r"\s+")).alias("word")).where(F.col("word").rlike(rf"^\p{{L}}{{2,{LONGEST_WORD}}}$"))
     seeded = pages.sparkSession.createDataFrame([(s, SEED_COUNT) for s in seeds] or [("", 0)], "word string, n long")
     return words.groupBy("word").agg(F.count("*").alias("n")).unionByName(seeded).groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -99,12 +110,19 @@ def segment(label: str, counts: dict[str, int], total: int) -> list[str]:
     return words[::-1]
 
 
-def host_words(hosts: DataFrame, counts: DataFrame) -> DataFrame:
-    """Rows (host, word) from distinct hosts: the words of all labels but the last one and a leading ``www``."""
-    labels = hosts.select("host", F.explode(F.filter(F.split(F.regexp_replace("host", r"(:[0-9]*)?$", ""), r"[^a-z]+"), lambda x: x != "")).alias("label"))
+def runs_of(text: Column) -> Column:
+    """The runs of letters and of digits of a text; digits are folded to 0, long runs are cut into parts."""
+    cut = lambda x: F.transform(F.sequence(F.lit(0), F.floor((F.length(x) - 1) / SPLIT_AT_ONCE).cast("int")), lambda i: F.substring(x, i * SPLIT_AT_ONCE + 1, F.lit(SPLIT_AT_ONCE)))
+    return F.flatten(F.transform(F.regexp_extract_all(text, F.lit(RUNS)), lambda x: F.when(x.rlike("^[0-9]"), F.array(F.lit("0"))).otherwise(cut(x))))
+
+
+def split_words(labels: DataFrame, counts: DataFrame) -> DataFrame:
+    """Rows (label, words) for the distinct labels: their likeliest words, in order."""
     total = counts.agg(F.sum("n")).first()[0] or 1
     each = labels.select("label").distinct()
-    pieces = each.select("label", F.explode(F.expr(f"array_distinct(flatten(transform(sequence(1, length(label)), i -> transform(sequence(1, least({LONGEST_WORD}, length(label) - i + 1)), k -> substring(label, i, k)))))")).alias("word"))
+    lengths = F.sequence(F.lit(1), F.length("label"))
+    every = F.flatten(F.transform(lengths, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("label") - i + 1)), lambda k: F.substring("label", i, k))))
+    pieces = each.select("label", F.explode(F.array_distinct(every)).alias("word"))
     known = pieces.join(counts, "word").groupBy("label").agg(F.collect_list(F.struct("word", "n")).alias("known"))
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,33 +130,50 @@ def host_words(hosts: DataFrame, counts: DataFrame) -> DataFrame:
             rows = [(label, segment(label, {r["word"]: r["n"] for r in (known if known is not None else [])}, total)) for label, known in zip(frame.label, frame.known, strict=True)]
             yield pd.DataFrame(rows, columns=["label", "words"])
 
-    cut = each.join(known, "label", "left").mapInPandas(split, "label string, words array<string>")
-    return labels.join(cut, "label").select("host", F.explode("words").alias("word"))
+    return each.join(known, "label", "left").mapInPandas(split, "label string, words array<string>")
+
+
+def words_of_urls(keys: DataFrame, counts: DataFrame) -> DataFrame:
+    """Rows (side, key, word): the words of the distinct hosts (all labels, without a port) and path shapes.
+
+    ``key`` is the SHA-1 of the host or shape, so a long name isn't repeated with each of its words.
+    """
+    host = keys.select(F.lit("host").alias("side"), F.col("host_key").alias("key"), F.regexp_replace("host", "(:[0-9]*)?$", "").alias("own")).distinct()
+    path = keys.select(F.lit("path").alias("side"), F.col("shape_key").alias("key"), F.col("shape").alias("own")).distinct()
+    labels = stage(host.unionByName(path).select("side", "key", F.explode(runs_of(F.col("own"))).alias("label")), "url-labels")
+    return labels.join(split_words(labels, counts), "label").select("side", "key", F.explode("words").alias("word"))
 
 
 def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
     """Rows page_id, host, path, rule, verdict, log_odds (of block; null where a rule decides).
 
-    A null URL or one without ``://`` has an empty host and path, fits no rule and is allowed, as no word speaks against it. Rows
-    that repeat are all answered; a null page_id stays null. Other columns are ignored.
+    A null URL or one without ``://`` has an empty host and path, fits no rule and is allowed, as no word
+    speaks against it; so is one whose words speak for both alike. Rows that repeat are all answered; a null page_id
+    stays null. Other columns are ignored.
     """
     host, path = url_parts(F.col("url").cast("string"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path")).withColumn("shape", path_shape(F.col("path")))
-    keys = stage(rows.groupBy("host", "shape").agg(F.count("*").alias("n")), "url-keys")
+    rows = rows.withColumns({"host_key": F.sha1(F.encode("host", "UTF-8")), "shape_key": F.sha1(F.encode("shape", "UTF-8"))})
+    keys = stage(rows.groupBy("host_key", "shape_key", "host", "shape").agg(F.count("*").alias("n")), "url-keys")
     counts = stage(word_counts(pages, seeds), "url-words")
-    words = stage(host_words(keys.select("host").distinct(), counts), "host-words")
-    marked = words.groupBy("host").agg(F.max(F.col("word").isin(*seeds)).alias("seeded"))
-    labelled = keys.join(marked, "host", "left").withColumn("seeded", F.coalesce("seeded", F.lit(False)))
-    path_words = F.transform(F.regexp_extract_all("shape", F.lit(f"({WORD})")), lambda w: F.concat(F.lit("/"), w))
-    tokens = labelled.join(words.groupBy("host").agg(F.collect_list("word").alias("words")), "host", "left").select("host", "shape", "n", "seeded", F.explode(F.concat(F.coalesce("words", F.array().cast("array<string>")), path_words)).alias("token"))
+    words = stage(words_of_urls(keys, counts), "url-words-of")
+    own = words.groupBy("side", "key").agg(F.collect_list(F.when(F.col("side") == "path", F.concat(F.lit("/"), "word")).otherwise(F.col("word"))).alias("words"), F.max(F.col("word").isin(*seeds)).alias("seeded"))
+    of = lambda side, key, *more: own.where(F.col("side") == side).select(F.col("key").alias(key), F.col("words").alias(f"{side}_words"), *more)
+    none = F.array().cast("array<string>")
+    both = keys.drop("host", "shape").join(of("host", "host_key", "seeded"), "host_key", "left").join(of("path", "shape_key"), "shape_key", "left")
+    tokens = both.select("host_key", "shape_key", "n", F.coalesce("seeded", F.lit(False)).alias("seeded"), F.explode(F.concat(F.coalesce("host_words", none), F.coalesce("path_words", none))).alias("token"))
     tokens = stage(tokens, "url-tokens")
     times = lambda seeded: F.sum(F.when(F.col("seeded") == seeded, F.col("n")).otherwise(0))
     model = tokens.groupBy("token").agg(times(True).alias("bad"), times(False).alias("good"))
-    size = model.agg(F.sum("bad"), F.sum("good"), F.count("*")).first()
-    bad, good, distinct = (float(x or 0) for x in size)
-    odds = model.select("token", (F.log((F.col("bad") + SMOOTHING) / (bad + SMOOTHING * (distinct + 1))) - F.log((F.col("good") + SMOOTHING) / (good + SMOOTHING * (distinct + 1)))).alias("odds"))
-    scores = stage(tokens.join(odds, "token").groupBy("host", "shape").agg(F.sum("odds").alias("odds")), "url-scores")
+    bad, good = (float(x or 0) for x in model.agg(F.sum("bad"), F.sum("good")).first())
+    more = (F.col("bad") + F.col("good")) * (SMOOTHING / max(bad + good, 1.0))
+    odds = model.select("token", (F.log((F.col("bad") + more) / (bad + SMOOTHING)) - F.log((F.col("good") + more) / (good + SMOOTHING))).alias("odds"))
+    scores = stage(tokens.join(odds, "token").groupBy("host_key", "shape_key").agg(F.sum("odds").alias("odds")), "url-scores")
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    out = rows.withColumns({"rule": name, "ruled": verdict}).join(scores, ["host", "shape"], "left")
-    log_odds = F.coalesce("odds", F.lit(0.0))
-    return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(log_odds > 0, "block").otherwise("allow")).alias("verdict"), F.when(F.col("ruled").isNull(), F.round(log_odds, 6)).alias("log_odds"))
+    # one host may have a third of all pages, so pages are dealt in parts
+    parts = scores.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumns({"rule": name, "ruled": verdict, "part": F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int")})
+    out = dealt.join(parts, ["host_key", "shape_key", "part"], "left")
+    log_odds = F.round(F.coalesce("odds", F.lit(0.0)), 6)
+    judged = F.coalesce("ruled", F.when(log_odds > 0, "block").otherwise("allow"))
+    return out.select("page_id", "host", "path", "rule", judged.alias("verdict"), F.when(F.col("ruled").isNull(), log_odds).alias("log_odds"))
