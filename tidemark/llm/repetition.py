@@ -25,7 +25,7 @@ LINE_BOUND = 0.30
 SYMBOLS = "[#*$%&|<>]"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-COVERED = [f"dup_{n}gram_chars" for n in NGRAM_BOUNDS] + ["dup_line_chars"]
+COVERED = [f"later_{n}gram_chars" for n in NGRAM_BOUNDS] + ["later_line_chars"]
 SCHEMA = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, " + ", ".join(f"{c} long" for c in COVERED) + ", kept boolean"
 
 
@@ -82,7 +82,7 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
         with np.errstate(over="ignore"):
             rolling = rolling[:-1] * BASE + word[n - 1 :] if len(rolling) else rolling
         if n in NGRAM_BOUNDS:
-            out[f"dup_{n}gram_chars"] = segment_sum(np.where(inside(rolling, n, False), width, 0), count) if len(rolling) else np.zeros(rows, np.int64)
+            out[f"later_{n}gram_chars"] = segment_sum(np.where(inside(rolling, n, False), width, 0), count) if len(rolling) else np.zeros(rows, np.int64)
 
     lists = pc.split_pattern(texts, "\n")
     lines = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -95,16 +95,16 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     later = np.zeros(len(line), bool)
     later[seen] = repeated(line[seen], at[seen], False)
     out["n_dup_lines"] = segment_sum(later.astype(np.int64), lines)
-    out["dup_line_chars"] = segment_sum(np.where(later, chars, 0), lines)
+    out["later_line_chars"] = segment_sum(np.where(later, chars, 0), lines)
     out["line_chars"] = segment_sum(np.where(real, chars, 0), lines)
     return out
 
 
 def judged(out: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     failed = (out["n_words"] < MIN_WORDS) | (100 * out["n_repeat_words"] > 50 * out["n_words"])
-    kept = ~failed & (out["dup_line_chars"] <= LINE_BOUND * out["line_chars"])
+    kept = ~failed & (out["later_line_chars"] <= LINE_BOUND * out["line_chars"])
     for n, bound in NGRAM_BOUNDS.items():
-        kept &= out[f"dup_{n}gram_chars"] <= bound * out["word_chars"]
+        kept &= out[f"later_{n}gram_chars"] <= bound * out["word_chars"]
     return out | {"base_failed": failed, "kept": kept}
 
 
@@ -121,4 +121,4 @@ def repetition_rules(docs: DataFrame, key: str = "doc_id", text: str = "text") -
                 out = judged(measure(part.column("text")))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(out[c]) for c in [*COUNTS, "base_failed", *COVERED, "kept"])], names=["doc_id", *COUNTS, "base_failed", *COVERED, "kept"])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(judge, SCHEMA)
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(judge, SCHEMA)

@@ -28,7 +28,7 @@ def encode_texts(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0,
     """One row per document, in ascending key order over shards: key, shard, start_in_shard, n_tokens, ids.
 
     ``end_id`` ends every document. A null text is empty and has the end id alone; null keys come first; rows with equal
-    keys are all kept, in the order of their texts' hashes. Other columns are ignored. ``plain`` reads the strings of
+    keys are all kept, in the order of their texts' hashes, and may be dealt to several shards. Other columns are ignored. ``plain`` reads the strings of
     special tokens as ordinary text; otherwise each gets its one id, as the tokenizer gives it.
     """
     path = tokenizer or default_tokenizer()
@@ -49,8 +49,8 @@ def encode_texts(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0,
                 )
                 at += int(ends[-1])
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return rows.repartitionByRange("key").sortWithinPartitions("key", F.xxhash64("text")).mapInArrow(encode, "key long, shard int, start_in_shard long, n_tokens long, ids array<int>")
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
+    return rows.repartitionByRange("key", "h").sortWithinPartitions("key", "h").mapInArrow(encode, "key long, shard int, start_in_shard long, n_tokens long, ids array<int>")
 
 
 def write_token_files(tokens: DataFrame, path: str, encoding: str = "dictionary", row_group_mb: int = 32, page_rows: int = 2000) -> None:
