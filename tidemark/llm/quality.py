@@ -9,13 +9,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import filled, hashed, mixed, segment_sum, text_slices, words_of
+from tidemark.llm.common import filled, hashed, mixed, segment_sum, stage, text_slices, words_of
 
 BUCKETS = 1 << 18
 #: Most labelled rows that a model is fitted on: those with the smallest hashes of their ids.
@@ -70,14 +69,19 @@ def in_holdout(key: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string")), F.lit(3)) == 1, F.lit(False))
 
 
+STATE = "weights binary"
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MOST_TRAINING_ROWS) -> np.ndarray:
     """Weights (float32, ``BUCKETS`` + 1) from at most ``most`` labelled rows outside the held-out fold.
 
-    Rows without an id or a label teach nothing. Without any row all weights are 0 and every score is 0.5. Only the
-    sparse features of that bounded sample reach the driver.
+    Rows without an id or a label teach nothing; of documents that share an id one teaches. Without any row all weights
+    are 0 and every score is 0.5. Rows are learned in the order of their ids' hashes, ``EPOCHS`` times, by one task that
+    holds a batch of them at a time; only the weights reach the driver.
     """
-    fold = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~in_holdout(F.col("doc_id")))
-    sample = fold.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
+    fold = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+    fold = fold.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~in_holdout(F.col("doc_id")))
+    sample = fold.distinct().withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "label").limit(most)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,15 +91,23 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
                 for piece in np.split(at, np.cumsum(each)[:-1]):
                     place, times = np.unique(piece, return_counts=True)
                     rows.append((place.astype("<i4").tobytes(), (times / max(len(piece), 1)).astype("<f4").tobytes()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], names=["doc_id", "label", "at", "value"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "label", "h", "key")), *(pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1))], names=["doc_id", "label", "h", "key", "at", "value"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = texts.join(F.broadcast(sample), "doc_id").withColumn("key", F.xxhash64("text")).mapInArrow(featurise, "doc_id long, label int, h long, key long, at binary, value binary")
+    rows = stage(rows.groupBy("h", "doc_id", "label").agg(F.min_by(F.struct("at", "value"), "key").alias("x")).select("h", "doc_id", "label", "x.*"), "training-rows")
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = FollowTheLeader()
+        for batch in batches:
+            for at, value, y in zip(*(batch.column(c).to_pylist() for c in ("at", "value", "label")), strict=True):
+                model.learn(np.append(np.frombuffer(at, "<i4"), BUCKETS), np.append(np.frombuffer(value, "<f4") * SCALE, 1.0), y)
+        yield pa.RecordBatch.from_pydict({"weights": pa.array([model.weights(slice(None)).astype("<f4").tobytes()], pa.binary())})
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = texts.join(F.broadcast(sample), "doc_id").mapInArrow(featurise, "doc_id long, label int, at binary, value binary").orderBy(F.xxhash64("doc_id"), "doc_id", "label", "at").toArrow().to_pydict()
-    model = FollowTheLeader()
-    for _ in range(EPOCHS):
-        for at, value, y in zip(rows["at"], rows["value"], rows["label"], strict=True):
-            model.learn(np.append(np.frombuffer(at, "<i4"), BUCKETS), np.append(np.frombuffer(value, "<f4") * SCALE, 1.0), y)
-    return model.weights(slice(None)).astype(np.float32)
+    order = ["epoch", "h", "doc_id", "label"]
+    again = rows.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS)))).coalesce(1).sortWithinPartitions(*order)
+    found = again.select("label", "at", "value").mapInArrow(learn, STATE).toArrow().column("weights").to_pylist()
+    return np.frombuffer(found[0], "<f4").copy() if found else np.zeros(BUCKETS + 1, np.float32)
 
 
 def scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
@@ -105,15 +117,19 @@ def scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", into: str = "score") -> DataFrame:
-    """All columns of ``docs`` and the score of each whole text in ``into``; a null text scores as an empty one."""
+    """All columns of ``docs`` and the score of each whole text in ``into``; a null text scores as an empty one.
+
+    ``into`` must be a new column, so that none of the table's own is lost.
+    """
+    if into.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"the table has a column {into} of its own; name another for the score")
     held = docs.sparkSession.sparkContext.broadcast(weights)
 
-    @F.pandas_udf("double")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            part = pa.RecordBatch.from_arrays([pa.array(batch, pa.large_string(), from_pandas=True)], names=["text"])
+            part = pa.RecordBatch.from_arrays([batch], names=["text"])
             found = [scores(p.column("text"), held.value) for p in text_slices(part)]
-            yield pd.Series(np.concatenate(found) if found else np.zeros(0))
-
-    return docs.withColumn(into, of(F.col(text)))
+            yield pa.array(np.concatenate(found) if found else np.zeros(0))
 
+    return docs.withColumn(into, of(F.col(text).cast("string")))
