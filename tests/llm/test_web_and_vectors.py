@@ -3,13 +3,18 @@
 import base64
 import hashlib
 import re
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__
-from tidemark.llm import components, mixing, urls, vectors, warc
+from tests.llm.test_documents import BASE, plain_groups
+from tidemark.llm import components, mixing, secrets, urls, vectors, warc
+from tidemark.llm.tokens import default_tokenizer
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,7 +33,8 @@ def plain_links(rows, cosine=0.98):
 
     for i in sound:
         for j in sound:
-            a, b = np.float32(rows[i][1]).astype(float), np.float32(rows[j][1]).astype(float)
+            a, b = np.float64(rows[i][1]), np.float64(rows[j][1])
+            a, b = a / np.abs(a).max(), b / np.abs(b).max()
             if i != j and rows[i][2] == rows[j][2] and len(a) == len(b) and a @ b / np.sqrt((a @ a) * (b @ b)) >= cosine:
                 n[i] += 1
                 x, y = top(i), top(j)
@@ -54,7 +60,56 @@ def test_vectors_odd_rows(spark):
     assert vectors.near_vectors(vector_frame(spark, [])).collect() == []
 
 
-@pytest.mark.parametrize("recall", [1.0, vectors.RECALL])
+def test_vectors_of_any_scale_and_length(spark):
+    """Double precision, components whose squares vanish or overflow, and lengths that the sample of two doesn't hold."""
+    rng = np.random.default_rng(3)
+    rows = [(1, [1.0, 0.0], 1), (2, [1e-60, 0.0], 1), (3, [1e300, 0.0], 1), (4, [1e-200, 1e-200], 1), (5, [0.0, 1.0], 1), (6, [1.0, 1.0000000001], 1)]
+    for k in range(20):
+        v = rng.normal(size=3 + k % 5)
+        rows += [(10 + 3 * k, v.tolist(), 1), (11 + 3 * k, (v * 2).tolist(), 1), (12 + 3 * k, (v + 0.3 * rng.normal(size=len(v))).tolist(), 1)]
+    table = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, label int, node string")
+    got = sorted(tuple(r) for r in vectors.near_vectors(table, sample=2).collect())
+    assert got == plain_links(rows)
+
+
+def test_small_tables_have_a_real_grid(spark):
+    """Cells that vectors lie in, and the share of all pairs that visits compare, on the 500 vectors of a small table."""
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").where("embedding is not null")
+    x = vectors.unit(np.array([r.embedding for r in table.collect()]).ravel(), 64)
+    left, right = (vectors.codebook(h, vectors.LEAST_WORDS) for h in (x[:, :32], x[:, 32:]))
+    (n1, b1), (n2, b2) = vectors.bounds(x[:, :32], left), vectors.bounds(x[:, 32:], right)
+    home = n1 * len(right) + n2
+    assert len(np.unique(home)) > 8
+    visited = np.zeros((len(x), len(left) * len(right)), bool)
+    for q, a, b in vectors.multi_sequence(b1, b2, np.sqrt(2 - 2 * vectors.COSINE)):
+        visited[q, a * len(right) + b] = True
+    assert visited[np.arange(len(x)), home].all() and visited[:, home].mean() < 0.8
+
+
+def test_traversal_visits_nearest_cells_first():
+    rng = np.random.default_rng(9)
+    left, right = rng.random((30, 7)), rng.random((30, 5))
+    left[:, 0] = right[:, 3] = 0
+    met = {q: [] for q in range(30)}
+    for q, a, b in vectors.multi_sequence(left, right, 0.9):
+        for x, y, z in zip(q, a, b, strict=True):
+            met[x].append((np.square(left[x, y]) + np.square(right[x, z]), y, z))
+    for q, cells in met.items():
+        want = {(y, z) for y in range(7) for z in range(5) if np.square(left[q, y]) + np.square(right[q, z]) <= 0.81}
+        assert [c[0] for c in cells] == sorted(c[0] for c in cells) and {c[1:] for c in cells} == want and len(cells) == len(want)
+
+
+def test_recall_below_one_is_met(spark):
+    """Against brute force on vectors with many near ones."""
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(60, 32))
+    x = (base[:, None] + 0.12 * rng.normal(size=(60, 12, 32))).reshape(-1, 32)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    want, got = (sum(r[1] for r in out) for out in (plain_links(rows), vectors.near_vectors(vector_frame(spark, rows), recall=0.9).collect()))
+    assert 0.9 * want <= got <= want
+
+
+@pytest.mark.parametrize("recall", [1.0])
 def test_vectors_find_all_links(spark, monkeypatch, recall):
     monkeypatch.setattr(vectors, "VECTORS_PER_CELL", 2)
     rng = np.random.default_rng(1)
@@ -142,6 +197,37 @@ def test_archives_roll_and_are_deterministic(spark, tmp_path):
         warc.read_archives(spark, str(tmp_path / "a")).collect()
 
 
+def test_reading_members_takes_linear_time():
+    record = warc.gzipped(b"x" * 200)
+    took = []
+    for n in (4_000, 16_000):
+        data, began = record * n, time.perf_counter()
+        assert sum(1 for _ in warc.members(data)) == n
+        took.append(time.perf_counter() - began)
+    assert took[1] < 10 * took[0]
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc.members(record[:-3]))
+    big = bytes(np.random.default_rng(0).integers(0, 256, 200_000, dtype=np.uint8))
+    assert list(warc.members(warc.gzipped(big) + record)) == [big, b"x" * 200]
+
+
+def test_archives_by_hadoop_path_and_shards(spark, tmp_path):
+    """A local path with one slash after its scheme, many repeats, null ids, columns named like the writer's own."""
+    rows = [(i if i % 5 else None, f"u{i % 7}", "<p>hot</p>" if i % 3 == 0 else f"p{i}") for i in range(400)]
+    frame = page_frame(spark, rows).withColumns({c: F.lit(1) for c in ("digest", "payload", "refers_to", "salt")})
+    path = f"file:{tmp_path}/x"
+    manifest = warc.write_archives(frame, path, shards=4)
+    assert 1 < manifest.count() <= 4 and manifest.agg(F.sum("records")).first()[0] == 400
+    got = sorted((tuple(r) for r in warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str)
+    assert got == plain_archive(rows)
+
+
+def test_archive_of_a_long_page(spark, tmp_path):
+    long = "<p>é long</p>" * 500_000  # over 5 MB
+    got = sorted((tuple(r) for r in warc.archive_digest(page_frame(spark, [(1, "u", long), (2, "u", long)]), str(tmp_path / "l")).collect()), key=str)
+    assert got == plain_archive([(1, "u", long), (2, "u", long)])
+
+
 # Operator 5
 
 
@@ -172,6 +258,37 @@ def test_url_rules_and_verdicts(spark):
     assert urls.judge_urls(frame.limit(0)).collect() == []
 
 
+def test_verdicts_equal_plain_naive_bayes(spark):
+    """Words, class counts and log odds written out, on the pages without a rule."""
+    hosts = ["freebets.org", "freegifts.org", "casino-win.net", "winter.org", "é99.org", "newsdaily.org", "m.winbets.org", "x.org", "x.org"]
+    paths = ["/en/1", "/newsbets/2?q", "/a-9", "", "/en/77"]
+    pages = [(i, f"http://{h}{paths[i % 5]}", "<p>free bets win winter gifts news daily casino the the</p>") for i, h in enumerate(hosts)]
+    frame = spark.createDataFrame([(*p, 1, 2) for p in pages], "page_id long, url string, html string, host string, part int")
+    got = {r.page_id: r for r in urls.judge_urls(frame).collect()}
+    counts = Counter("free bets win winter gifts news daily casino the the".split() * len(pages)) + Counter({s: urls.SEED_COUNT for s in urls.SEEDS})
+    total = sum(counts.values())
+
+    def words(text):
+        return [w for run in re.findall(r"[0-9]+|[^\W\d_]+", text) for w in (["0"] if run[0].isdigit() else urls.segment(run, counts, total))]
+
+    tokens = [words(h) + ["/" + w for w in words(re.match("[^?#]*", paths[i % 5])[0])] for i, h in enumerate(hosts)]
+    seeded = [any(w in urls.SEEDS for w in words(h)) for h in hosts]
+    classes = {k: Counter(t for ts, s in zip(tokens, seeded, strict=True) if s == k for t in ts) for k in (True, False)}
+    whole = classes[True] + classes[False]
+    p = lambda t, k: (classes[k][t] + urls.SMOOTHING * whole[t] / sum(whole.values())) / (sum(classes[k].values()) + urls.SMOOTHING)
+    for i, ts in enumerate(tokens):
+        odds = sum(np.log(p(t, True) / p(t, False)) for t in ts)
+        assert got[i].rule is None and abs(got[i].log_odds - odds) < 1e-5 and got[i].verdict == ("block" if got[i].log_odds > 0 else "allow")
+    assert got[0].verdict == got[6].verdict == "block" and got[3].verdict == "allow"
+
+
+def test_urls_of_very_long_names(spark):
+    long = "news" * 200_000
+    frame = spark.createDataFrame([(1, f"http://{long}.org/{long}", "<p>news</p>"), (2, "http://casino.org/" + "a/" * 100_000, None)], "page_id long, url string, html string")
+    rows = {r.page_id: r for r in urls.judge_urls(frame).collect()}
+    assert rows[1].host == f"{long}.org" and rows[1].verdict == "allow" and rows[2].verdict == "block"
+
+
 def test_segmentation_is_the_likeliest_split():
     counts = {"free": 50, "bets": 40, "be": 500, "ts": 5, "freebet": 1, "the": 1000, "rapist": 3, "therapist": 30}
     assert urls.segment("freebets", counts, 2000) == ["free", "bets"]
@@ -186,39 +303,75 @@ def test_raking_meets_every_marginal(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = mixing.mix(docs).join(docs.select("doc_id", mixing.words_in(F.col("text")).alias("w")), "doc_id").toPandas()
     for dimension in mixing.DIMENSIONS:
-        by = got.groupby(dimension)
-        own = by.w.sum()
-        words = own * np.minimum((own / own.max()) ** (mixing.FLATTEN - 1), mixing.MOST_BOOST)
-        expected = (got.w * got.probability).groupby(got[dimension]).sum()
+        own = got.groupby(dimension).w.sum()
+        own = own[own > 0]
+        words = own * (1 + mixing.EVEN) / (own / own.max() + mixing.EVEN)
+        expected = (got.w * got.probability).groupby(got[dimension]).sum()[own.index]
         assert np.allclose(words / words.sum(), expected / expected.sum(), atol=1e-4)
-    assert got.probability.max() == 1.0 and got.probability.min() > 0
-    assert abs(got.sampled.mean() - got.probability.mean()) < 0.06
+    assert got.probability.max() == 1.0 and got[got.w > 0].probability.min() > 0 and (got[got.w == 0].probability == 0).all()
+    assert abs(got.sampled.mean() - got.probability.mean()) < 0.06 and got.converged.all()
+
+
+CELLS = [("a", "x", "t", 10), ("a", "y", "t", 30), ("b", "x", "u", 40), ("b", "y", "t", 20), ("c", "y", "u", 0)]
+
+
+def raked(spark, targets, **more):
+    frame = spark.createDataFrame(CELLS, "_source string, _lang string, _topic string, words long")
+    rows = [(d, v, s) for d, of in targets.items() for v, s in of.items()]
+    return mixing.rake(frame, spark.createDataFrame(rows, "dimension string, value string, share double"), **more).collect()
 
 
 def test_raking_equals_plain_fitting(spark):
-    cells = [("a", "x", "t", 10), ("a", "y", "t", 30), ("b", "x", "u", 40), ("b", "y", "t", 20), ("c", "y", "u", 0)]
-    frame = spark.createDataFrame(cells, "_source string, _lang string, _topic string, words long")
     targets = {"_source": {"a": 0.7, "b": 0.3, "c": 0.4}, "_lang": {"x": 0.5, "y": 0.5}}
-    out = mixing.rake(frame, {k: spark.createDataFrame(list(v.items()), "value string, share double") for k, v in targets.items()})
-    w = {c[:3]: c[3] / 100 for c in cells if c[3]}
+    w = {c[:3]: c[3] / 100 for c in CELLS if c[3]}
     for _ in range(200):
         for i, k in enumerate(targets):
             share = {v: s for v, s in targets[k].items() if any(c[i] == v for c in w)}
             for v in {c[i] for c in w}:
                 now = sum(x for c, x in w.items() if c[i] == v)
                 w |= {c: x * share[v] / sum(share.values()) / now for c, x in w.items() if c[i] == v}
-    got = {(r._source, r._lang, r._topic): r.weight for r in out.collect()}
-    assert got.keys() == w.keys() and all(abs(got[c] - w[c]) < 1e-5 for c in w)
+    out = raked(spark, targets)
+    got = {(r._source, r._lang, r._topic): r.weight for r in out}
+    assert got.keys() == w.keys() and all(abs(got[c] - w[c]) < 1e-5 for c in w) and all(r.converged for r in out)
+
+
+def test_raking_says_where_targets_contradict(spark):
+    out = raked(spark, {"_source": {"a": 0.1, "b": 0.9}, "_lang": {"x": 0.0, "y": 1.0}, "_topic": {"u": 0.9, "t": 0.1}}, rounds=4)
+    assert out == [] or not any(r.converged for r in out)
+
+
+def test_mixture_with_given_targets(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    target = spark.createDataFrame([("en", 0.25), ("de", 0.75)], "value string, share double")
+    got = mixing.mix(docs, {"lang": target}).join(docs.select("doc_id", mixing.words_in(F.col("text")).alias("w")), "doc_id").toPandas()
+    mass = (got.w * got.probability).groupby(got.lang).sum()
+    assert abs(mass["en"] / mass.sum() - 0.25) < 1e-3 and got[~got.lang.isin(["en", "de"])].probability.max() == 0
 
 
 def test_mixture_odd_rows(spark):
-    rows = [(1, None, None, None), (2, "", "en", "s"), (3, "a b", "en", "s"), (None, "c", "en", None), (3, "a b", "en", "s")]
+    rows = [(1, None, None, None), (2, "", "en", "s"), (3, "a b", "en", "s"), (None, "c", "en", None), (3, "a b", "en", "s"), (4, "\n\t", "en", "s"), (5, "word " * 1_000_000, "en", "s")]
     frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, lang string, source string, weight int")
     got = mixing.mix(frame).collect()
-    assert len(got) == 5 and not any(r.sampled for r in got if r.doc_id in (1, 2))
+    assert len(got) == 7 and not any(r.sampled or r.probability for r in got if r.doc_id in (1, 2, 4))
     assert len({(r.probability, r.sampled) for r in got if r.doc_id == 3}) == 1
     assert mixing.mix(frame.limit(0)).collect() == []
-    assert mixing.sampled_documents(frame).columns == frame.columns
+    own = {"probability": F.lit(7), "ratio": F.lit(8), "_draw": F.lit(9), "_SOURCE": F.lit(1), "topic": F.lit(2), "converged": F.lit(3)}
+    drawn = mixing.sampled_documents(frame.withColumns(own))
+    assert drawn.columns == [*frame.columns, *own] and all(r.probability == 7 and r._draw == 9 for r in drawn.collect())
+
+
+def test_topics_of_plain_texts(spark):
+    """Two kinds of texts in two languages: the kinds are the topics, not the languages."""
+    rng = np.random.default_rng(6)
+    kinds = {(lang, kind): [f"{lang}{kind}{i}" for i in range(30)] for lang in ("en", "de") for kind in ("sea", "sky")}
+    rows = [(i, " ".join([*rng.choice(kinds[lang, kind], 40), *[f"{lang}the"] * 40]), lang, "s") for i, (lang, kind) in enumerate(sorted(kinds) * 40)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    of = {r[0]: sorted(kinds)[r[0] % 4] for r in rows}
+    topics = {}
+    for r in got:
+        topics.setdefault(r.topic, set()).add(of[r.doc_id])
+    assert len(topics) > 1 and all(len({lang for lang, _ in found}) < 2 or len({kind for _, kind in found}) < 3 for found in topics.values())
+    assert all(len(found) < 4 for found in topics.values())
 
 
 # Pipeline
@@ -242,6 +395,52 @@ def test_pipeline_stages(spark):
     assert [n for n, _ in pipeline.STAGES] == ["quality classifier", "near-duplicates", "secret scan", "mixture", "packing"]
 
 
+def plain_redaction(text):
+    """The text with its secrets replaced, by Python's own regex."""
+    rules = [*BASE, *((r.kind, re.compile(r.pattern), r.group, r.least) for r in secrets.RULES if not r.base)]
+    spans = sorted((m.start(), n, m.end(), kind) for n, (kind, p, group, least) in enumerate(rules) for m in p.finditer(text) if len(m[group]) >= least)
+    out, at = [], 0
+    for start, _, end, kind in spans:
+        if start >= at:
+            out += [text[at:start], f"[{kind}]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Each stage on its own input: the classifier's verdicts, groups of all pairs, redaction by re, cell shares, token ids."""
+    import corpus_pipeline as pipeline
+
+    docs, found = spark.read.parquet(f"{SF}/documents.parquet"), {}
+    for name, stage in pipeline.STAGES[:-1]:
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        before, docs = docs, spark.read.parquet(str(tmp_path / name))
+        found[name] = ({r.doc_id: r for r in before.collect()}, {r.doc_id: r for r in docs.collect()})
+    before, after = found["quality classifier"]
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    right = [(i in after) == bool(labels[i]) for i in before if labels.get(i) in (0, 1)]
+    assert np.mean(right) > 0.97 and all(after[i] == before[i] for i in after)
+    before, after = found["near-duplicates"]
+    order = sorted(before)
+    groups = plain_groups([before[i].text for i in order])
+    assert sorted(after) == [order[n] for n, g in enumerate(groups) if n == g]
+    before, after = found["secret scan"]
+    assert {i: r.text for i, r in after.items()} == {i: r.text and plain_redaction(r.text) for i, r in before.items()}
+    before, after = found["mixture"]
+    drawn = {r.doc_id: r for r in mixing.mix(spark.createDataFrame(list(before.values()), docs.schema)).collect()}
+    assert set(after) == {i for i, r in drawn.items() if r.sampled} and all(after[i] == before[i] for i in after)
+    tokenizer = Tokenizer.from_file(default_tokenizer())
+    rows = pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    length = {i: len(tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1 for i, r in after.items()}
+    got = Counter()
+    for r in rows:
+        got[r.doc_id] += r.length
+    fill = Counter()
+    for r in rows:
+        fill[r.sequence_id] += r.length
+    assert got == length and max(fill.values()) <= 1024 and len(fill) <= -(-sum(length.values()) // 1024) + 2
+
+
 def test_pipeline_on_odd_rows(spark, tmp_path):
     import corpus_pipeline as pipeline
 

@@ -13,13 +13,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset (tests on one machine)."""
+    """The folder named by ``spark.checkpoint.dir``; on one machine (a local master) a temporary one where that is unset."""
     found = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError(f"set {SETTING} to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set(SETTING, found)
         spark.sparkContext.setCheckpointDir(found)
@@ -42,6 +44,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts a batch, without copying, into runs of rows that hold about ``most`` bytes of text.
 
