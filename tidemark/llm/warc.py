@@ -3,7 +3,9 @@
 Records are sorted by key over ranges. Each task rolls its files by compressed size, makes headers, digests and record
 ids anew from the contents alone, writes every file under a temporary name in the shared folder, renames it when it is
 whole, and reports it. The manifest, written last, is the commit: a reader takes only the files that it lists, so what
-a lost or repeated task leaves behind is never read. Equal input gives equal bytes.
+a lost or repeated task leaves behind is never read. A record's bytes follow from its contents alone; which records
+share a file follows from the ranges, so tables that are too large for Spark to see every key when it sets the ranges
+may be dealt to files in another way in another run. ``shards`` gives their number.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -26,6 +29,7 @@ from tidemark.llm.common import stage
 ROLL_BYTES = 8 << 20
 #: Payloads of fewer bytes are always stored in full.
 LEAST_REVISIT_BYTES = 0
+SALTS = 16
 #: Fixed, so that equal input gives equal bytes.
 DATE = "2024-01-01T00:00:00Z"
 ID_SPACE = uuid.UUID("7d0f52a4-6a0c-5d0e-9b1c-2f2f4f6f8f10")
@@ -34,15 +38,21 @@ RECORDS = "page_id long, url string, record_type string, payload_bytes long, pay
 
 
 def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT_BYTES) -> DataFrame:
-    """Rows page_id, url, payload, refers_to: the page that holds an equal payload, null for pages that store their own.
+    """Rows page_id, digest, refers_to, url, payload: all pages, and a row without payload before each page that revisits.
 
-    Of pages with equal payloads of ``least`` bytes or more, that with the largest page_id stores it. A null html is an
-    empty payload. Rows without a page_id, and rows that repeat the largest id, store their own.
+    Of pages with equal payloads of ``least`` bytes or more, that with the largest page_id stores it; for the others a row
+    says which that is, as ``refers_to``. It has the page's id and digest, so it is sorted next to the page and payloads
+    are never joined. A null html is an empty payload. Rows without a page_id, and rows that repeat the largest id, store
+    their own.
     """
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload")).withColumn("digest", F.sha1("payload"))
-    last = stage(rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.max("page_id").alias("last_id"), F.count("*").alias("n")).where("n > 1").select("digest", "last_id"), "revisits")
-    joined = rows.join(last, "digest", "left")
-    return joined.select("page_id", "url", "payload", F.when(F.col("page_id") < F.col("last_id"), F.col("last_id")).alias("refers_to"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8").alias("payload")).withColumn("digest", F.sha1("payload"))
+    keys = stage(rows.where(F.octet_length("payload") >= least).select("page_id", "digest"), "payload-keys")
+    last = keys.groupBy("digest").agg(F.max("page_id").alias("last_id"), F.count("*").alias("n")).where("n > 1")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")  # a digest may be that of a third of all pages
+    salted = keys.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    marks = salted.join(last.select("digest", "last_id", salts), ["digest", "salt"]).where("page_id < last_id").select("page_id", "digest", F.col("last_id").alias("refers_to")).distinct()
+    own = rows.select("page_id", "digest", F.lit(None).cast("long").alias("refers_to"), "url", "payload")
+    return own.unionByName(marks, allowMissingColumns=True)
 
 
 def digest(data: bytes) -> str:
@@ -77,15 +87,23 @@ def gzipped(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def write_archives(pages: DataFrame, path: str, roll_bytes: int = ROLL_BYTES, least: int = LEAST_REVISIT_BYTES) -> DataFrame:
+def local_uri(path: str) -> str:
+    """The path as ``pyarrow.fs`` reads it: Hadoop writes local paths with one slash after ``file:``."""
+    return re.sub(r"^file:/+", "/", path)
+
+
+def write_archives(pages: DataFrame, path: str, roll_bytes: int = ROLL_BYTES, least: int = LEAST_REVISIT_BYTES, shards: int | None = None) -> DataFrame:
     """Writes ``path``/part-*.warc.gz and ``path``/manifest; returns the manifest: file, shard, records, bytes, sha1.
 
-    A file ends with the record that takes it to ``roll_bytes``. An empty table gives an empty manifest.
+    A file ends with the record that takes it to ``roll_bytes``. An empty table gives an empty manifest. Pages are sorted
+    by page_id, nulls first, then payload digest and url, and so are files.
     """
-    rows = with_revisits(pages, least).repartitionByRange("page_id").sortWithinPartitions("page_id", F.sha1("payload"), "url")
+    order = ["page_id", "digest"]
+    rows = with_revisits(pages, least)
+    rows = (rows.repartitionByRange(shards, *order) if shards else rows.repartitionByRange(*order)).sortWithinPartitions(*order, F.col("payload").isNotNull(), "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else f"file:{path}")
+        store, base = fs.FileSystem.from_uri(local_uri(path))
         shard, files = TaskContext.get().partitionId(), 0
         out, own, count = io.BytesIO(), hashlib.sha1(), 0
 
@@ -101,9 +119,15 @@ def write_archives(pages: DataFrame, path: str, roll_bytes: int = ROLL_BYTES, le
             out, own, count, files = io.BytesIO(), hashlib.sha1(), 0, files + 1
             return done
 
+        mark = None  # id, digest and target of the last mark
         for batch in batches:
-            for page_id, url, payload, refers_to in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "refers_to")), strict=True):
-                member = gzipped(record(page_id, url, payload, refers_to))
+            ids, digests, targets, urls = (batch.column(c).to_pylist() for c in ("page_id", "digest", "refers_to", "url"))
+            for page_id, own_digest, target, url, payload in zip(ids, digests, targets, urls, batch.column("payload"), strict=True):
+                if not payload.is_valid:
+                    mark = (page_id, own_digest, target)
+                    continue
+                refers_to = mark[2] if mark and mark[:2] == (page_id, own_digest) else None
+                member = gzipped(record(page_id, url, payload.as_py(), refers_to))
                 out.write(member)
                 own.update(member)
                 count += 1
@@ -116,13 +140,21 @@ def write_archives(pages: DataFrame, path: str, roll_bytes: int = ROLL_BYTES, le
     return pages.sparkSession.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
 
+#: Bytes given to the unpacker at once.
+CHUNK = 16 << 10
+
+
 def members(data: bytes) -> Iterator[bytes]:
-    """The contents of each gzip member."""
+    """The contents of each gzip member. Data is fed in chunks, so what stands after a member is not copied for each."""
     view, at = memoryview(data), 0
     while at < len(view):
-        unpacker = zlib.decompressobj(31)
-        yield unpacker.decompress(view[at:])
-        at = len(view) - len(unpacker.unused_data)
+        unpacker, parts = zlib.decompressobj(31), []
+        while not unpacker.eof:
+            if at >= len(view):
+                raise ValueError("the last member of an archive is cut off")
+            parts.append(unpacker.decompress(view[at : at + CHUNK]))
+            at = min(at + CHUNK, len(view)) - len(unpacker.unused_data)
+        yield b"".join(parts)
 
 
 def parsed(member: bytes) -> tuple:
