@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, neardup, packing, quality, repetition, secrets, token_files, urls, vectors, warc
+from tidemark.llm import bpe, mixing, neardup, packing, quality, repetition, resampling, runs, secrets, token_files, urls, vectors, warc
 from tidemark.llm.common import new_path
 
 
@@ -62,6 +62,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.stream_digest(spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op11_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.codec_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
+    return runs.run_digest(docs.withColumn("text", runs.looped(F.col("text"), F.col("doc_id"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_source_mixture": op2_source_mixture,
@@ -73,6 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_files": op10_token_files,
+    "op11_byte_level_bpe": op11_byte_level_bpe,
+    "op12_target_resampling": op12_target_resampling,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {"op3_embedding_multi_index": vectors.ORACLE}
