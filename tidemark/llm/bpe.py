@@ -11,6 +11,7 @@ into the text's bytes, so that any range of tokens can be decoded to its place.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import unicodedata
 from collections.abc import Iterator
@@ -171,6 +172,20 @@ def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - total + size, size) + np.arange(total[-1] if len(total) else 0)
 
 
+class Strings:
+    """A byte string for each id; empty where there is none."""
+
+    def __init__(self, values: list[bytes]):
+        self.size = np.fromiter(map(len, values), np.int64, len(values))
+        self.start = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(values), np.uint8)
+
+    def join(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of all ids on end."""
+        parts = (ids[k : k + TOKENS_AT_ONCE] for k in range(0, len(ids), TOKENS_AT_ONCE))
+        return np.concatenate([np.zeros(0, np.uint8), *(self.bytes[ranges(self.start[p], self.size[p])] for p in parts)])
+
+
 class Codec:
     """Encodes and decodes by one rank file; keeps the ids of the slices it has met."""
 
@@ -181,10 +196,8 @@ class Codec:
         if missing := [b for b in range(256) if bytes([b]) not in self.ranks]:
             raise ValueError(f"{len(missing)} single bytes have no rank")
         token = {rank: t for t, rank in self.ranks.items()}
-        self.size = np.zeros(max(token) + 1, np.int64)
-        self.size[list(token)] = [len(t) for t in token.values()]
-        self.start = np.cumsum(self.size) - self.size
-        self.bytes = np.frombuffer(b"".join(token[k] for k in sorted(token)), np.uint8)
+        self.tokens = Strings([token.get(k, b"") for k in range(max(token) + 1)])
+        self.decimals = Strings([b"%d " % k for k in range(max(token) + 1)])
         self.forget()
 
     def forget(self) -> None:
@@ -211,14 +224,15 @@ class Codec:
 
     def sizes(self, ids: np.ndarray) -> np.ndarray:
         """Bytes of each token; an id that the rank file doesn't have is an error."""
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.size) or not self.size[ids].all()):
+        size = self.tokens.size
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(size) or not size[ids].all()):
             raise ValueError("an id is not in the rank file")
-        return self.size[ids]
+        return size[ids]
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of all tokens on end."""
-        parts = (ids[k : k + TOKENS_AT_ONCE] for k in range(0, len(ids), TOKENS_AT_ONCE))
-        return np.concatenate([np.zeros(0, np.uint8), *(self.bytes[ranges(self.start[p], self.sizes(p))] for p in parts)])
+        self.sizes(ids)
+        return self.tokens.join(ids)
 
 
 @cache
@@ -289,8 +303,25 @@ def token_span(tokens: DataFrame, first: int, last: int) -> DataFrame:
     return decode(part).select("key", "start", "decoded")
 
 
-def codec_digest(docs: DataFrame, ranks: str | None = None) -> DataFrame:
-    """Per document: doc_id, n_tokens, and hashes of the ids and of the bytes they decode to."""
-    tokens = decode(encode(docs, ranks).drop("byte_ends"), ranks)
-    ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256)
-    return tokens.select(F.col("key").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+def hashes(raw: np.ndarray, size: np.ndarray, spare: int = 0) -> pa.Array:
+    """sha256 in lowercase hex of each stretch of ``size`` bytes, without its last ``spare`` ones."""
+    view, ends = memoryview(np.ascontiguousarray(raw)), np.concatenate([[0], np.cumsum(size)]).tolist()
+    return pa.array([hashlib.sha256(view[a : max(b - spare, a)]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
+
+
+def codec_digest(docs: DataFrame, ranks: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: doc_id, n_tokens, and hashes of the ids (decimal, joined by one space) and of the bytes they decode to.
+
+    Ids are encoded, decoded and hashed where they arise, so neither ids nor decoded texts travel. Edge cases as ``encode``.
+    """
+    path = ranks or default_ranks()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path)
+        for batch in batches:
+            for part in text_slices(batch):
+                ids, count = own.encode(part.column("text"))
+                decimals = hashes(own.decimals.join(ids), segment_sum(own.decimals.size[ids], count), 1)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(count), decimals, hashes(own.decode(ids), segment_sum(own.sizes(ids), count))], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
