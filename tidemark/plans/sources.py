@@ -224,6 +224,17 @@ def a19(spark, sf):
     return sinks.upsert(target, updates, ["k"], {"tag": "system"})
 
 
+@query("a19_upsert_table", "SELECT o_orderstatus AS scenario, o_orderkey AS k, o_totalprice + CASE WHEN o_orderstatus <> 'P' AND o_custkey % 3 = 0 THEN 1 ELSE 0 END AS v, CASE WHEN o_orderstatus <> 'P' AND o_custkey % 3 = 0 THEN CASE WHEN o_custkey % 2 = 0 THEN 'new' ELSE 'system' END ELSE 'old' END AS tag, CAST(2 AS BIGINT) AS rewritten FROM orders WHERE o_orderkey % 5 <> 0 OR (o_orderstatus <> 'P' AND o_custkey % 3 = 0)")
+def a19_table(spark, sf):
+    """A table partitioned by scenario of which two of three scenarios get updates and new keys."""
+    path, o = shared_path(spark, "upserted"), table(spark, sf, "orders")
+    rows = o.select(F.col("o_orderstatus").alias("scenario"), F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"), F.lit("old").alias("tag"), "o_custkey")
+    rows.where("k % 5 <> 0").drop("o_custkey").repartition("scenario").write.partitionBy("scenario").parquet(path)
+    news = rows.where("scenario <> 'P' and o_custkey % 3 = 0").select("scenario", "k", (F.col("v") + 1).alias("v"), F.when(F.col("o_custkey") % 2 == 0, "new").alias("tag"))
+    n = sinks.upsert_table(spark, path, news, ["scenario", "k"], ["scenario"], {"tag": "system"})
+    return spark.read.parquet(path).withColumn("rewritten", F.lit(n))
+
+
 @query("a20_replace_scenario", f"SELECT o_orderstatus AS scenario, o_orderkey, o_custkey, {big("CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END")} AS version FROM orders WHERE o_orderstatus <> 'F' OR o_custkey % 2 = 0")
 def a20(spark, sf):
     path = shared_path(spark, "replaced")
@@ -276,5 +287,5 @@ def j1(spark, sf):
             say("s0099", "nothing,here")
         send(own)
         incremental.stream_scenarios(spark, f"{base}/in", f"{base}/out", variables=["V1", "V7", "V10", "V33"])
-    errors = spark.read.parquet(f"{base}/out/errors").agg(F.array_join(F.array_sort(F.collect_set("scenario")), ",").alias("errors"))
-    return spark.read.parquet(f"{base}/out/results").select(*stats.MONTH, "value_avg", "sample_count").crossJoin(F.broadcast(errors))
+    errors = incremental.errors(spark, f"{base}/out").agg(F.array_join(F.array_sort(F.collect_set("scenario")), ",").alias("errors"))
+    return incremental.results(spark, f"{base}/out").select(*stats.MONTH, "value_avg", "sample_count").crossJoin(F.broadcast(errors))

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.scalars import map_of
 from tidemark.sources.exports import LABELS
+from tidemark.sources.shared import written
 
 
 def dss_lines(series: DataFrame) -> DataFrame:
@@ -42,9 +45,8 @@ def write_dss_csv(series: DataFrame, path: str) -> None:
 def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str], defaults: dict | None = None) -> DataFrame:
     """Target rows without an update, and all updates; of updates with one key the last in column order stays.
 
-    Keys that are null are equal to each other.
-
-    Where a table format has MERGE, that is the better way; on plain Parquet this is the rewrite of touched partitions.
+    Keys that are null are equal to each other. This reads the whole target; ``upsert_table`` is the form for a table
+    that is partitioned, and where a table format has MERGE, that is better still.
     """
     keys = list(key)
     rest = [c for c in updates.columns if c not in keys]
@@ -54,6 +56,51 @@ def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str], defaults:
     return unmatched(target, last, keys).unionByName(last, allowMissingColumns=True)
 
 
+#: Touched partitions whose values are put into the filter of the scan; beyond that they are joined, which reads all of them.
+MOST_TOUCHED = 2000
+
+
+def upsert_table(spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str], partition: Sequence[str], defaults: dict | None = None) -> int:
+    """Upserts into the Parquet table at ``path``, partitioned by ``partition``; how many partitions were rewritten.
+
+    Copy on write: only partitions with an update are read, merged and overwritten; files of others are not touched. The
+    key holds the partition columns, as a row would have to move otherwise. Merged partitions are written aside first, and
+    the table is overwritten from there by dynamic partition overwrite. Null is a key, and a partition, like any other.
+    Without updates nothing happens; where ``path`` holds no table yet, it is made.
+    """
+    if missing := set(partition) - set(key):
+        raise ValueError(f"the key must hold the partition columns, {', '.join(sorted(missing))} too")
+    news = written(updates, "updates")
+    touched = news.select(*partition).distinct()
+    count = touched.count()
+    if not count:
+        return 0
+    target = _table(spark, path, updates, partition)
+    if target is None:
+        merged = upsert(news.limit(0), news, key, defaults)
+    else:
+        if count <= MOST_TOUCHED:
+            these = reduce(lambda a, b: a | b, (reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.lit(row[c])) for c in partition)) for row in touched.collect()))
+            own = target.where(these)
+        else:
+            own = target.join(touched.select(*(F.col(c).alias(f"_{c}") for c in partition)), reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition)), "left_semi")
+        merged = upsert(own, news, key, defaults)
+    aside = written(merged, "merged")
+    aside.repartition(*partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
+    return count
+
+
+def _table(spark: SparkSession, path: str, like: DataFrame, partition: Sequence[str]) -> DataFrame | None:
+    """The table at ``path`` with its partition columns as ``like`` has them, or None where nothing is there."""
+    try:
+        found = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return spark.read.schema(StructType([like.schema[f.name] if f.name in partition else f for f in found.schema])).parquet(path)
+
+
 def unmatched(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key, nulls included, is not in ``other``."""
     there = other.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
