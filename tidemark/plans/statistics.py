@@ -9,6 +9,7 @@ from tidemark.operators import families, stats
 from tidemark.operators.stats import ENTITY, EXCEEDANCES, MONTH, QUANTILES, YEAR
 from tidemark.plans.bindings import OBS, OBS_RES, obs, reservoirs
 from tidemark.plans.registry import big, query, r, table
+from tidemark.sources.layout import SeriesTable
 
 E_, M_, Y_ = ", ".join(ENTITY), f"{', '.join(ENTITY)}, {big('water_month')} AS water_month", f"{', '.join(ENTITY)}, {big('water_year')} AS water_year"
 GM = "GROUP BY scenario, entity, water_month"
@@ -57,6 +58,12 @@ def d2(spark, sf):
     return stats.storage_monthly(obs(spark, sf), reservoirs(spark, sf))
 
 
+@query("d2_series_table", f"{OBS_RES} SELECT {M_}, {STORAGE} FROM held {GM}, capacity_taf")
+def d2_table(spark, sf):
+    """The same statistics from the bucketed table, without a shuffle of the series."""
+    return stats.storage_monthly(SeriesTable.create(obs(spark, sf)).read(), reservoirs(spark, sf))
+
+
 BANDS = f"{q_sql('storage', '(100.0 / capacity_taf)', '', False)}, {r('avg(storage) * (100.0 / capacity_taf)')} AS mean, {q_sql('storage', '1.0', '_taf', False)}, {r('avg(storage)')} AS mean_taf"
 BAND_NAMES = [f"q{p}" for p in QUANTILES] + ["mean"] + [f"q{p}_taf" for p in QUANTILES] + ["mean_taf"]
 

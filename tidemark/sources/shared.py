@@ -29,6 +29,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder, wherever it is stored."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read again, which cuts the lineage and holds no memory."""
     path = shared_path(df.sparkSession, name)
