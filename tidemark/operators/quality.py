@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import rounded
+from tidemark.sources.shared import written
 
 KEY = ("b", "c", "date")
 
@@ -19,13 +20,46 @@ def overlap(ref: DataFrame, test: DataFrame) -> DataFrame:
     return of(ref, 1).crossJoin(of(test, 2)).select(F.greatest("_lo1", "_lo2").alias("first_date"), F.least("_hi1", "_hi2").alias("last_date"))
 
 
+BLOCK = ("b", "c", "block")
+
+
+def digests(cells: DataFrame) -> DataFrame:
+    """Rows (b, c, block, n, x, y, odd): a digest of each column's cells in a year, whatever their order.
+
+    Blocks with a date twice, and with a value that doesn't equal itself by difference (NaN, infinite), are ``odd``.
+    """
+    rows = cells.where("b is not null and c is not null and date is not null").withColumn("block", F.year("date"))
+    cell = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "date", F.col("value").isNull(), "value"))
+    finite = F.col("value").isNull() | (F.abs("value") < float("inf"))
+    return rows.groupBy(*BLOCK).agg(F.count("*").alias("n"), cell(1).alias("x"), cell(2).alias("y"), ((F.size(F.collect_set("date")) < F.count("*")) | F.bool_or(~finite)).alias("odd"))
+
+
+def block_kinds(ref: DataFrame, test: DataFrame) -> DataFrame:
+    """Rows (b, c, block, kind) of the blocks that are not surely equal: ``differing``, or ``alone`` on one side.
+
+    Of two sides that agree there is none, so this is as small as their disagreement. Written to the shared folder, so that
+    the planner knows its size.
+    """
+    a, b = digests(ref).withColumn("_r", F.lit(True)), digests(test).select(*BLOCK, *(F.col(c).alias(f"{c}2") for c in ("n", "x", "y", "odd")), F.lit(True).alias("_t"))
+    same = (F.col("n") == F.col("n2")) & (F.col("x") == F.col("x2")) & (F.col("y") == F.col("y2")) & ~F.col("odd") & ~F.col("odd2")
+    kind = F.when(F.col("_r").isNull() | F.col("_t").isNull(), "alone").when(~same, "differing")
+    return written(a.join(b, list(BLOCK), "full").select(*BLOCK, kind.alias("kind")).where("kind is not null"), "blocks")
+
+
 def compare_series(ref: DataFrame, test: DataFrame, atol: float = 1e-6, rtol: float = 1e-6) -> DataFrame:
     """Cells (b, c, date) that both have, within the overlap: ref_value, file_value, abs_diff, equal.
 
-    Cells are equal if both are missing or differ by at most atol + rtol × the size of the test value.
+    Cells are equal if both are missing or differ by at most atol + rtol × the size of the test value. Years of a column
+    with the same digest on both sides have the same cells: they are read from one side, and only cells of other years
+    are joined.
     """
     span = F.broadcast(overlap(ref, test))
-    rows = ref.select(*KEY, F.col("value").alias("ref_value")).join(test.select(*KEY, F.col("value").alias("file_value")), list(KEY)).join(span, F.col("date").between(F.col("first_date"), F.col("last_date")))
+    kinds = block_kinds(ref, test)
+    of = lambda df, how, which: df.withColumn("block", F.year("date")).join(which, list(BLOCK), how).drop("block")
+    differing = kinds.where("kind = 'differing'")
+    joined = of(ref, "left_semi", differing).select(*KEY, F.col("value").alias("ref_value")).join(of(test, "left_semi", differing).select(*KEY, F.col("value").alias("file_value")), list(KEY))
+    same = of(ref.where("b is not null and c is not null and date is not null"), "left_anti", kinds).select(*KEY, F.col("value").alias("ref_value"), F.col("value").alias("file_value"))
+    rows = joined.unionByName(same).join(span, F.col("date").between(F.col("first_date"), F.col("last_date")))
     near = F.abs(F.col("ref_value") - F.col("file_value")) <= atol + rtol * F.abs("file_value")
     equal = (F.col("ref_value").isNull() & F.col("file_value").isNull()) | F.coalesce(near, F.lit(False))
     return rows.select(*KEY, "ref_value", "file_value", F.abs(F.col("ref_value") - F.col("file_value")).alias("abs_diff"), equal.alias("equal"))
