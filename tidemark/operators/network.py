@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.shared import written
+from tidemark.sources.shared import delete_path, shared_path, written
 
 DIRECTIONS = ("upstream", "downstream", "both")
 
@@ -39,6 +41,70 @@ def categorised(nodes: DataFrame, reservoirs: DataFrame) -> DataFrame:
     return out.withColumns({"is_reservoir": held | code.isin("STR", "STR-SIM", "STR-NSM"), "map_category": map_category(code, held)}).drop("_r")
 
 
+#: Longitudes and latitudes are cut into 2^16 steps each, so a place on the curve has 32 bits.
+CURVE_BITS = 16
+#: Most ranges of the curve that a box is covered by; with fewer, some places outside the box are read too.
+MOST_RANGES = 24
+WORLD = (-180.0, -90.0, 180.0, 90.0)
+
+
+def curve_steps(lon: Column, lat: Column) -> tuple[Column, Column]:
+    step = lambda x, low, high: F.greatest(F.lit(0), F.least(F.lit((1 << CURVE_BITS) - 1), F.floor((x - low) / (high - low) * (1 << CURVE_BITS)))).cast("long")
+    return step(lon, WORLD[0], WORLD[2]), step(lat, WORLD[1], WORLD[3])
+
+
+def curve_place(lon: Column, lat: Column) -> Column:
+    """The place on a Z-shaped curve through all places: the bits of both steps in turn. Null without a position."""
+    x, y = curve_steps(lon, lat)
+    bits = [F.shiftleft(F.shiftright(v, k).bitwiseAND(F.lit(1)), 2 * k + odd) for odd, v in enumerate((x, y)) for k in range(CURVE_BITS)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
+def curve_ranges(box: Sequence[float], most: int = MOST_RANGES) -> list[tuple[int, int]]:
+    """Ranges of the curve, both ends in, that cover a box: squares inside it whole, squares on its edge cut ever finer."""
+    span = [(WORLD[2] - WORLD[0]) / (1 << CURVE_BITS), (WORLD[3] - WORLD[1]) / (1 << CURVE_BITS)]
+    top = (1 << CURVE_BITS) - 1
+    low = [min(max(int((box[i] - WORLD[i]) // span[i]), 0), top) for i in (0, 1)]
+    high = [min(max(int((box[i + 2] - WORLD[i]) // span[i]), 0), top) for i in (0, 1)]
+    whole: list[tuple[int, int]] = []
+    edge = [(0, 0, CURVE_BITS, 0)]  # x, y, size as a power of two, place of its first corner
+    while edge and len(whole) + 4 * len(edge) <= 4 * most:
+        finer = []
+        for x, y, k, place in edge:
+            x2, y2 = x + (1 << k) - 1, y + (1 << k) - 1
+            if x2 < low[0] or x > high[0] or y2 < low[1] or y > high[1]:
+                continue
+            if low[0] <= x and x2 <= high[0] and low[1] <= y and y2 <= high[1]:
+                whole.append((place, place + (1 << 2 * k) - 1))
+                continue
+            half = 1 << (k - 1)
+            finer += [(x + half * (q & 1), y + half * (q >> 1), k - 1, place + (q << 2 * (k - 1))) for q in range(4)]
+        edge = finer
+    cut = whole + [(place, place + (1 << 2 * k) - 1) for x, y, k, place in edge if not (x + (1 << k) - 1 < low[0] or x > high[0] or y + (1 << k) - 1 < low[1] or y > high[1])]
+    joined: list[tuple[int, int]] = []
+    for a, b in sorted(cut):
+        if joined and a <= joined[-1][1] + 1:
+            joined[-1] = (joined[-1][0], max(b, joined[-1][1]))
+        else:
+            joined.append((a, b))
+    while len(joined) > most:  # the smallest gap is read too
+        gap = min(range(1, len(joined)), key=lambda i: joined[i][0] - joined[i - 1][1])
+        joined[gap - 1 : gap + 1] = [(joined[gap - 1][0], joined[gap][1])]
+    return joined
+
+
+def write_located(nodes: DataFrame, path: str, row_group_kb: int = 1024) -> None:
+    """Writes nodes (…, lon, lat) in the order of the curve, with ``curve``; nodes without a position come first."""
+    ordered = nodes.withColumn("curve", curve_place(F.col("lon"), F.col("lat")))
+    ordered.repartitionByRange("curve").sortWithinPartitions("curve").write.option("parquet.block.size", row_group_kb << 10).parquet(path)
+
+
+def read_box(spark: SparkSession, path: str, box: Sequence[float]) -> DataFrame:
+    """The nodes in a box out of what ``write_located`` wrote: row groups off the box's part of the curve are not read."""
+    ranges = reduce(lambda a, b: a | b, (F.col("curve").between(a, b) for a, b in curve_ranges(box)))
+    return in_box(spark.read.parquet(path).where(ranges), box).drop("curve")
+
+
 def nodes_in_bbox(nodes: DataFrame, reservoirs: DataFrame, box: Sequence[float], limit: int) -> DataFrame:
     """Points in a box: storage first, then projects, pumps, sources; larger capacities first, then by name."""
     code = F.coalesce("type", F.lit(""))
@@ -74,41 +140,70 @@ def steps(arcs: DataFrame, direction: str) -> DataFrame:
     return out.where("here <> there").distinct()
 
 
+@contextmanager
+def adjacency(arcs: DataFrame, direction: str) -> Iterator[DataFrame]:
+    """The steps as a table bucketed by ``here``, which joins on ``here`` read without a shuffle; dropped at the end."""
+    spark = arcs.sparkSession
+    path = shared_path(spark, "steps")
+    name, buckets = path.rsplit("/", 1)[-1].replace("-", "_"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    steps(arcs, direction).repartition(buckets, "here").write.bucketBy(buckets, "here").sortBy("here").format("parquet").option("path", path).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        delete_path(spark, path)
+
+
+def onward(front: DataFrame, edges: DataFrame) -> DataFrame:
+    """The frontier's rows with ``there``, one for each step from ``node``: the frontier is dealt like the edges, or
+    sent to all of them where it is small."""
+    return front.join(edges, F.col("node") == F.col("here")).drop("here")
+
+
 def traverse(arcs: DataFrame, start: int, direction: str = "downstream", max_depth: int = 100) -> DataFrame:
     """Simple paths from a node, one row each: node, depth, path. Rounds end when no path grows.
 
     The number of simple paths may be exponential; ``reach`` is the form for large depths. Every level is written to the
     shared folder, so nothing is held in memory and a lost executor costs one level.
     """
-    edges = written(steps(arcs, direction), "steps")
     level = arcs.sparkSession.range(1).select(F.lit(start).cast("long").alias("node"), F.lit(0).alias("depth"), F.array(F.lit(start).cast("long")).alias("path"))
     out = level
-    for depth in range(1, max_depth + 1):
-        level = level.join(edges, F.col("node") == F.col("here")).where(~F.array_contains("path", F.col("there"))).select(F.col("there").cast("long").alias("node"), F.lit(depth).alias("depth"), F.array_append("path", F.col("there").cast("long")).alias("path"))
-        level = written(level, "paths")
-        if level.isEmpty():
-            break
-        out = out.unionByName(level)
+    with adjacency(arcs, direction) as edges:
+        for depth in range(1, max_depth + 1):
+            level = onward(level, edges).where(~F.array_contains("path", F.col("there"))).select(F.col("there").cast("long").alias("node"), F.lit(depth).alias("depth"), F.array_append("path", F.col("there").cast("long")).alias("path"))
+            level = written(level, "paths")
+            if level.isEmpty():
+                break
+            out = out.unionByName(level)
     return out
 
 
-def reach(arcs: DataFrame, start: int, direction: str = "downstream", max_depth: int = 10) -> DataFrame:
-    """Nodes that can be reached with their smallest distance, the start at 0: one join and one anti-join a round.
+def reach_from(arcs: DataFrame, starts: DataFrame, direction: str = "downstream", max_depth: int = 10) -> DataFrame:
+    """Rows (source, node, distance): the nodes that each start (``source``) can reach, itself at 0, all in one run.
 
-    Every round is written to the shared folder.
+    A round takes all sources one step on, so there are as many rounds as for the farthest of them alone, at most
+    ``max_depth``. The edges are bucketed once and are not shuffled after that; a node that many sources reach at once
+    has a row for each. Every round is written to the shared folder. Null starts are left out, repeats count once, and a
+    start that no arc touches reaches itself.
     """
-    edges = written(steps(arcs, direction), "steps")
-    seen = arcs.sparkSession.range(1).select(F.lit(start).cast("long").alias("node"), F.lit(0).alias("distance"))
-    front = seen
-    for distance in range(1, max_depth + 1):
-        front = front.join(edges, F.col("node") == F.col("here")).select(F.col("there").cast("long").alias("node")).distinct().join(seen, "node", "left_anti").select("node", F.lit(distance).alias("distance"))
-        front = written(front, "reached")
-        if front.isEmpty():
-            break
-        seen = seen.unionByName(front)
+    front = starts.select(F.col("source").cast("long").alias("source")).where("source is not null").distinct()
+    seen = front = written(front.select("source", F.col("source").alias("node"), F.lit(0).alias("distance")), "reached")
+    with adjacency(arcs, direction) as edges:
+        for distance in range(1, max_depth + 1):
+            there = onward(front, edges).select("source", F.col("there").cast("long").alias("node")).distinct()
+            front = written(there.join(seen, ["source", "node"], "left_anti").select("source", "node", F.lit(distance).alias("distance")), "reached")
+            if front.isEmpty():
+                break
+            seen = seen.unionByName(front)
     return seen
 
 
+def reach(arcs: DataFrame, start: int, direction: str = "downstream", max_depth: int = 10) -> DataFrame:
+    """Nodes that can be reached from one node with their smallest distance, the start at 0."""
+    one = arcs.sparkSession.range(1).select(F.lit(start).alias("source"))
+    return reach_from(arcs, one, direction, max_depth).drop("source")
+
+
 def arcs_of(nodes: DataFrame, arcs: DataFrame, names: DataFrame) -> DataFrame:
     """Arcs with an end in a set of nodes (id), with the codes of both ends."""
     ids = nodes.select("id").distinct()

@@ -9,6 +9,7 @@ from tidemark.operators import serving as V
 from tidemark.operators import stats
 from tidemark.plans.bindings import OBS, obs
 from tidemark.plans.registry import big, query, r, table
+from tidemark.sources.shared import shared_path
 
 VALUES = ("delivery_avg", "q50", "exc_p90")
 STAT_SQL = f"stat AS (SELECT scenario, entity, {big('water_month')} AS water_month, {r('avg(delivery)')} AS delivery_avg, {r('quantile_cont(delivery, 0.5)')} AS q50, nullif({r('quantile_cont(delivery, 0.1)')}, 0.0) AS exc_p90 FROM obs WHERE delivery IS NOT NULL GROUP BY 1, 2, water_month)"
@@ -189,6 +190,28 @@ for _way, _start, _depth, _far in (("downstream", 1, 10, 40), ("upstream", 100,
     )(lambda spark, sf, way=_way, start=_start, far=_far: N.reach(arcs(spark, sf), start, way, far))
 
 
+FROM_MANY = f"WITH RECURSIVE {ARCS}, steps AS ({STEPS['upstream']}), walk(source, node, distance) AS (SELECT c_custkey, c_custkey, CAST(0 AS BIGINT) FROM customer WHERE c_nationkey = 3 UNION SELECT source, CAST(b AS BIGINT), distance + 1 FROM walk JOIN steps ON a = node WHERE distance < 40)"
+
+
+@query("g6_reach_from_many", f"{FROM_MANY} SELECT source, node, min(distance) AS distance FROM walk GROUP BY 1, 2")
+def g6_many(spark, sf):
+    """Everything upstream of all nodes of one nation, in one run."""
+    starts = table(spark, sf, "customer").where("c_nationkey = 3").select(F.col("c_custkey").alias("source"))
+    return N.reach_from(arcs(spark, sf), starts, "upstream", 40)
+
+
+LOCATED = "placed AS (SELECT o_orderkey AS id, -124.5 + (o_custkey * 37 % 1009) / 100.0::DOUBLE AS lon, 32.0 + (o_orderkey * 53 % 997) / 100.0::DOUBLE AS lat FROM orders WHERE o_orderkey % 11 <> 0)"
+
+
+@query("g2_nodes_by_curve", f"WITH {LOCATED} SELECT id, lon, lat FROM placed WHERE lon BETWEEN -122.3 AND -120.9 AND lat BETWEEN 37.1 AND 38.7")
+def g2_curve(spark, sf):
+    """Nodes written along a space-filling curve and read back by a box, whose ranges are filters on the scan."""
+    k, at = F.col("o_orderkey"), lambda c: F.when(F.col("o_orderkey") % 11 != 0, c)
+    path = shared_path(spark, "located")
+    N.write_located(table(spark, sf, "orders").select(k.alias("id"), at(F.lit(-124.5) + (F.col("o_custkey") * 37 % 1009) / 100).alias("lon"), at(F.lit(32.0) + (k * 53 % 997) / 100).alias("lat")), path)
+    return N.read_box(spark, path, (-122.3, 37.1, -120.9, 38.7))
+
+
 @query("g7_arcs_of", f"WITH {ARCS} SELECT {big('id')} AS id, {big('from_id')} AS from_id, {big('to_id')} AS to_id, a.c_name AS from_code, b.c_name AS to_code FROM arcs LEFT JOIN customer a ON a.c_custkey = from_id LEFT JOIN customer b ON b.c_custkey = to_id WHERE from_id IN (SELECT c_custkey FROM customer WHERE c_nationkey = 7) OR to_id IN (SELECT c_custkey FROM customer WHERE c_nationkey = 7)")
 def g7(spark, sf):
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("short_code"), "c_nationkey")
