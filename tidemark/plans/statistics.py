@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import calendar, scalars
-from tidemark.operators import families, stats
+from tidemark.operators import families, selection, stats
 from tidemark.operators.stats import ENTITY, EXCEEDANCES, MONTH, QUANTILES, YEAR
 from tidemark.plans.bindings import OBS, OBS_RES, obs, reservoirs
 from tidemark.plans.registry import big, query, r, table
@@ -58,6 +58,17 @@ def d2(spark, sf):
     return stats.storage_monthly(obs(spark, sf), reservoirs(spark, sf))
 
 
+SELECTED = ", ".join(f"{r(f'quantile_cont(l_extendedprice, {p})', 4)} AS q{i}" for i, p in enumerate(stats.LEVELS))
+
+
+@query("d1_exact_quantiles", f"WITH x AS (SELECT l_extendedprice, l_returnflag, 'all' AS kind FROM lineitem UNION ALL SELECT l_extendedprice, l_returnflag, 'flag ' || l_returnflag FROM lineitem) SELECT kind, {SELECTED}, count(l_extendedprice) AS sample_count FROM x GROUP BY kind")
+def d1_selection(spark, sf):
+    """Quantiles of all rows as one group, and of three large ones, with no group held by a task."""
+    rows = table(spark, sf, "lineitem").select("l_extendedprice", F.explode(F.array(F.lit("all"), F.concat(F.lit("flag "), "l_returnflag"))).alias("kind"))
+    out = selection.exact_quantiles(rows, ["kind"], "l_extendedprice", stats.LEVELS, "q")
+    return out.select("kind", *(scalars.rounded(F.get("q", F.lit(i)), 4).alias(f"q{i}") for i in range(len(stats.LEVELS))), "sample_count")
+
+
 @query("d2_series_table", f"{OBS_RES} SELECT {M_}, {STORAGE} FROM held {GM}, capacity_taf")
 def d2_table(spark, sf):
     """The same statistics from the bucketed table, without a shuffle of the series."""
