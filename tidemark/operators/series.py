@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import clip
+from tidemark.sources.shared import written
 
 NOT_FOUND = "NOT_FOUND"
 
@@ -99,18 +100,28 @@ def exclude_regions(df: DataFrame, zones: Sequence[str], column: str = "zone") -
     return df.where(~F.coalesce(F.col(column).isin(*zones), F.lit(False)))
 
 
+ROLES = ("delivery", "shortage", "allocation")
+
+
 def back_calculate_demand(series: DataFrame, terms: DataFrame) -> DataFrame:
     """Demand of each district: the sum over its terms of (delivery + shortage) / (allocation / 100), and the share met.
 
     ``terms`` has (district, delivery_variable, shortage_variable, allocation_variable). A term without an allocation
-    over 0 gives no demand.
+    over 0 gives no demand. Rows are those of the delivery variables; repeated points of a variable are summed.
+
+    Each variable is told its terms and roles by one map, so the series is read once and only the named variables are
+    shuffled, once, by (district, scenario, time); the roles of a term meet in that aggregation. The map is written to
+    the shared folder first, so that the planner knows its size and sends it to all tasks where it is small.
     """
-    rows = terms
-    for role in ("delivery", "shortage", "allocation"):
-        own = series.select(F.col("scenario").alias(f"_{role}_s"), F.col("ts").alias(f"_{role}_t"), F.col("variable").alias(f"{role}_variable"), F.col("value").alias(role))
-        rows = rows.join(own, f"{role}_variable") if role == "delivery" else rows.join(own, [rows[f"{role}_variable"] == own[f"{role}_variable"], rows["_delivery_s"] == own[f"_{role}_s"], rows["_delivery_t"] == own[f"_{role}_t"]], "left").drop(own[f"{role}_variable"], f"_{role}_s", f"_{role}_t")
+    numbered = terms.select("district", *(f"{role}_variable" for role in ROLES)).withColumn("_term", F.struct(*(f"{role}_variable" for role in ROLES)))
+    each = F.explode(F.array(*(F.struct(F.col(f"{role}_variable").alias("variable"), F.lit(role).alias("_role")) for role in ROLES))).alias("_e")
+    roles = numbered.groupBy("district", "_term", *(f"{role}_variable" for role in ROLES)).agg(F.count("*").alias("_times")).select("district", "_term", "_times", each)
+    roles = roles.select("district", "_term", "_times", "_e.variable", "_e._role")
+    points = series.select("scenario", "ts", "variable", "value").join(written(roles.where("variable is not null"), "roles"), "variable")
+    place = ["district", "scenario", "ts"]  # both aggregations below find their groups together
+    one = points.repartition(*place).groupBy(*place, "_term").agg(F.max("_times").alias("_times"), F.max(F.col("_role") == "delivery").alias("_there"), *(F.sum(F.when(F.col("_role") == role, F.col("value"))).alias(role) for role in ROLES))
     need = F.when(F.col("allocation") > 0, F.try_divide(F.coalesce("delivery", F.lit(0.0)) + F.coalesce("shortage", F.lit(0.0)), F.col("allocation") / 100))
-    out = rows.groupBy("district", F.col("_delivery_s").alias("scenario"), F.col("_delivery_t").alias("ts")).agg(F.sum(need).alias("demand"), F.sum("delivery").alias("delivery"))
+    out = one.where("_there").groupBy(*place).agg(F.sum(need * F.col("_times")).alias("demand"), F.sum(F.col("delivery") * F.col("_times")).alias("delivery"))
     return out.withColumn("pct_of_demand", F.when(F.col("demand") > 0, F.try_divide(F.col("delivery") * 100, F.col("demand"))))
 
 

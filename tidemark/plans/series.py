@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import rounded
+from tidemark.operators import search
 from tidemark.operators import series as S
 from tidemark.plans.bindings import OBS, obs
 from tidemark.plans.registry import big, query, r, table
+from tidemark.sources.shared import shared_path
 
 SERIES_SQL = """series AS (SELECT o_orderstatus AS scenario, 'V' || o_custkey % 60 AS variable, CAST(o_orderdate AS DATE) AS ts,
   CASE WHEN o_orderkey % 71 <> 0 THEN o_totalprice END AS value FROM orders)"""
@@ -172,6 +174,19 @@ def c13(spark, sf):
     return S.search_elements(nodes, arcs, "9", 20)
 
 
+@query(
+    "c13_search_indexed",
+    "WITH n AS (SELECT 'node' AS element, CAST(c_custkey AS BIGINT) AS id, 'N' || c_custkey AS short_code, c_name AS name, c_mktsegment AS description FROM customer WHERE contains('n' || c_custkey, '#0000012') OR contains(lower(c_name), '#0000012') OR contains(lower(c_mktsegment), '#0000012') ORDER BY short_code, id LIMIT 1000), "
+    "a AS (SELECT 'arc' AS element, p_partkey AS id, 'A' || p_partkey AS short_code, p_name AS name, p_brand AS description FROM part WHERE contains('a' || p_partkey, '#0000012') OR contains(lower(p_name), '#0000012') OR contains(lower(p_brand), '#0000012') ORDER BY short_code, id LIMIT 1000) SELECT * FROM n UNION ALL SELECT * FROM a",
+)
+def c13_indexed(spark, sf):
+    """Elements indexed by trigrams, then searched."""
+    element = lambda kind, df, key, name, about: df.select(F.lit(kind).alias("element"), F.col(key).cast("long").alias("id"), F.concat(F.lit(kind[0].upper()), F.col(key).cast("string")).alias("short_code"), F.col(name).alias("name"), F.col(about).alias("description"))
+    path = shared_path(spark, "search")
+    search.write_search_index(element("node", table(spark, sf, "customer"), "c_custkey", "c_name", "c_mktsegment").unionByName(element("arc", table(spark, sf, "part"), "p_partkey", "p_name", "p_brand")), path)
+    return search.search_indexed(spark, path, "#0000012", 2000)
+
+
 for _name, _mod in (("some", 4), ("none", 1000)):
     query(
         f"c14_active_or_all_{_name}",
