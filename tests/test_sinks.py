@@ -1,10 +1,11 @@
 """Sinks that rewrite part of a table: what they touch, and what they leave alone."""
 
+import datetime
 import os
 
 import pytest
 
-from tidemark.sources import sinks
+from tidemark.sources import exports, sinks
 
 SCHEMA = "scenario string, k int, v string"
 
@@ -50,3 +51,28 @@ def test_only_touched_partitions_are_scanned(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sinks, "upsert", lambda target, *a: seen.append(target._jdf.queryExecution().executedPlan().toString()) or real(target, *a))
     sinks.upsert_table(spark, path, spark.createDataFrame([("b", 1, "y")], SCHEMA), ["scenario", "k"], ["scenario"])
     assert "PartitionFilters: [(scenario" in seen[0] and "<=> b" in seen[0]
+
+
+def test_one_export_by_many_tasks(spark, tmp_path):
+    months = [datetime.date(1990 + k // 12, k % 12 + 1, 28) for k in range(240)]
+    rows = [("s0001", f"V{v}", d, float(k * v), "CFS") for k, d in enumerate(months) for v in (1, 2)] + [("s0002", "V1", datetime.date(1960, 1, 31), 5.0, None)]
+    series = spark.createDataFrame(rows, "scenario string, variable string, ts date, value double, units string")
+    whole, parts = str(tmp_path / "whole"), str(tmp_path / "parts")
+    sinks.write_dss_csv(series, whole)
+    sinks.write_dss_parts(series, parts, part_lines=1000)
+    manifest = sorted(spark.read.schema(sinks.MANIFEST).json(f"{parts}/manifest").collect())
+    own = [r for r in manifest if r.scenario == "s0001"]
+    assert len(own) in (8, 9) and sum(r.lines for r in own) == 247 and own[0].lines == 7
+    text = ""
+    for r in own:  # parts put end to end are the export
+        (file,) = (tmp_path / "parts" / "lines" / "scenario=s0001" / f"part={r.part}").glob("*.txt")
+        text += file.read_text()
+    (one,) = (tmp_path / "whole" / "scenario=s0001").glob("*.txt")
+    assert text == one.read_text()
+    lines = sinks.read_dss_parts(spark, parts)
+    assert {r.data_start for r in exports.detect_header_rows(lines).collect()} == {7}
+    back = exports.long_series(lines, exports.series_meta(lines)).select("scenario", "variable", "ts", "value")
+    assert sorted(map(tuple, back.collect())) == sorted(r[:4] for r in rows)
+    file.unlink()
+    with pytest.raises(ValueError, match="1 parts"):
+        sinks.read_dss_parts(spark, parts)

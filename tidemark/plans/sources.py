@@ -209,6 +209,16 @@ def a16(spark, sf):
     return days.select("scenario", "variable", "day", rounded(scalars.null_if_nan(F.col("text").cast("double"))).alias("value"))
 
 
+@query("a16_write_dss_parts", f"{FULL} SELECT scenario, variable, ts, {r('value')} AS value FROM cells")
+def a16_parts(spark, sf):
+    """Exports in parts of a year's lines by many tasks, read back as series."""
+    path = shared_path(spark, "parts")
+    sinks.write_dss_parts(numbered(monthly(spark, sf)).withColumn("units", F.lit("CFS")), path, 366)
+    lines = sinks.read_dss_parts(spark, path)
+    out = X.long_series(lines, X.first_column_wins(X.series_meta(lines)))
+    return out.select("scenario", "variable", "ts", rounded(F.col("value")).alias("value"))
+
+
 @query("a17_read_seed", f"SELECT s_suppkey AS id, s_name || ', \"' || s_nationkey || '\"' AS name, s_suppkey % 2 = 0 AS flag, CASE WHEN s_suppkey % 4 = 0 THEN 0.0 ELSE s_acctbal END AS capacity, {big('s_suppkey + s_nationkey')} AS total FROM supplier")
 def a17(spark, sf):
     path, k = shared_path(spark, "seed"), F.col("s_suppkey")

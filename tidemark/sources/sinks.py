@@ -15,6 +15,10 @@ from tidemark.sources.exports import LABELS
 from tidemark.sources.shared import written
 
 
+#: The place of the line of 1970-01-01; lines of the header have places from 0.
+DAY_ZERO = 10_000_000
+
+
 def dss_lines(series: DataFrame) -> DataFrame:
     """Rows (scenario, place, line) of wide exports from (scenario, variable, ts, value, units): header, then dates.
 
@@ -32,16 +36,64 @@ def dss_lines(series: DataFrame) -> DataFrame:
     header = heads.select("scenario", F.posexplode(F.array(*map(head, LABELS))).alias("place", "line")).withColumn("place", F.col("place").cast("long"))
     days = series.where("value is not null").groupBy("scenario", "ts").agg(map_of(F.collect_list(F.struct(F.col("variable").alias("key"), "value"))).alias("cells"))
     cells = F.array_join(F.transform("columns", lambda c: F.coalesce(F.try_element_at(F.col("cells"), c["variable"]).cast("string"), F.lit("NaN"))), ",")
-    body = days.join(heads, "scenario").select("scenario", (F.unix_date("ts") + 10_000_000).cast("long").alias("place"), F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd"), cells).alias("line"))
+    body = days.join(heads, "scenario").select("scenario", (F.unix_date("ts") + DAY_ZERO).cast("long").alias("place"), F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd"), cells).alias("line"))
     return header.unionByName(body)
 
 
 def write_dss_csv(series: DataFrame, path: str) -> None:
-    """One file for each scenario in ``path``/scenario=…; an export is one file by its nature."""
+    """One file for each scenario in ``path``/scenario=…, for readers that take an export as one file.
+
+    A scenario's lines come from one task; ``write_dss_parts`` is the form for long exports.
+    """
     lines = dss_lines(series)
     lines.repartition("scenario").sortWithinPartitions("scenario", "place").select("scenario", F.col("line").alias("value")).write.partitionBy("scenario").text(path)
 
 
+#: Lines of a part of an export; 10,000 columns make a line of some 100 KB.
+PART_LINES = 500
+MANIFEST = "scenario string, part long, first_place long, lines long"
+
+
+def write_dss_parts(series: DataFrame, path: str, part_lines: int = PART_LINES) -> None:
+    """Each scenario's export as parts in ``path``/lines/scenario=…/part=…, written by many tasks, with a manifest.
+
+    A part holds all lines of a range of dates, of ``part_lines`` days at most, in order; the header is part 0. The
+    manifest (``MANIFEST``, in ``path``/manifest) gives the parts' order; it is written last, so a reader
+    that finds it finds every part. Parts put end to end in its order are the export that ``write_dss_csv`` writes.
+    """
+    part = F.when(F.col("place") < len(LABELS), 0).otherwise(F.floor(F.col("place") / part_lines) + 1)
+    lines = dss_lines(series).withColumn("part", part.cast("long"))
+    rows = lines.repartition("scenario", "part").sortWithinPartitions("scenario", "part", "place")
+    rows.select("scenario", "part", F.col("line").alias("value")).write.partitionBy("scenario", "part").text(f"{path}/lines")
+    back = _parts(series.sparkSession, path)
+    back.groupBy("scenario", "part").agg(F.min("place").alias("first_place"), F.count("*").alias("lines")).write.json(f"{path}/manifest")
+
+
+def _parts(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (scenario, part, place, value); a line's place is told by its label or date."""
+    found = spark.read.schema("value string, scenario string, part long").text(f"{path}/lines")
+    first = F.substring_index("value", ",", 1)
+    label = F.array_position(F.array(*map(F.lit, LABELS)), first) - 1
+    return found.withColumn("place", F.when(F.col("part") == 0, label).otherwise(F.unix_date(F.to_date(first)) + DAY_ZERO).cast("long"))
+
+
+def read_dss_parts(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (file, block, at, cells) as ``exports.read_lines`` gives them, a scenario's parts as one file.
+
+    ``at`` ascends, with the first date at the number of header lines. Parts that the manifest doesn't list, or that
+    have not the lines it says, are an error.
+    """
+    listed = spark.read.schema(MANIFEST).json(f"{path}/manifest")
+    lines = _parts(spark, path)
+    there = lines.groupBy("scenario", "part").agg(F.count("*").alias("_lines"))
+    wrong = there.join(listed, ["scenario", "part"], "full").where("not (_lines <=> lines)").count()
+    if wrong:
+        raise ValueError(f"{wrong} parts are not as the manifest says")
+    began = listed.where("part > 0").groupBy("scenario").agg(F.min("first_place").alias("_first"))
+    at = F.when(F.col("part") == 0, F.col("place")).otherwise(F.col("place") - F.col("_first") + len(LABELS))
+    return lines.join(began, "scenario", "left").select(F.concat(F.lit(f"{path}/"), "scenario").alias("file"), F.lit(0).cast("long").alias("block"), at.alias("at"), F.split("value", ",", -1).alias("cells"))
+
+
 def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str], defaults: dict | None = None) -> DataFrame:
     """Target rows without an update, and all updates; of updates with one key the last in column order stays.
 
