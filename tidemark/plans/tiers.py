@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import wba_id_to_map_id
@@ -41,27 +44,47 @@ def scores(spark, sf):
     return T.tier_scores(T.tier_counts(locations(spark, sf)))
 
 
-PLACES = [f"L{i}" for i in range(12)]
-WIDE = f"wide AS (SELECT scenario, {', '.join(f"max(CASE WHEN location = '{p}' THEN CAST(level AS VARCHAR) END) AS {p}" for p in PLACES)} FROM loc WHERE indicator = 'I0' GROUP BY scenario)"
+PLACES = [f"L{i}" for i in range(97)]
+INDICATORS = [f"I{i}" for i in range(4)]
+
 
+def of_each(rows, make):
+    """What ``make`` makes of the rows of every indicator, on end."""
+    return reduce(DataFrame.unionByName, (make(rows.where(F.col("indicator") == i), i) for i in INDICATORS))
 
-def matrix(spark, sf):
+
+def matrix(rows):
     """Scenario by location; NA where the level is missing, and a header with a line break."""
-    rows = locations(spark, sf).where("indicator = 'I0'")
     out = rows.groupBy("scenario").pivot("location", PLACES).agg(F.max(F.col("level").cast("string"))).fillna("NA")
     return out.withColumnRenamed("L0", "L0\n")
 
 
-@query("e1_unpivot_tiers", f"WITH {LOC} SELECT scenario, 'I0' AS indicator, location, {big('level')} AS level FROM loc WHERE indicator = 'I0' AND level IS NOT NULL AND scenario IN ('O', 'F') AND location IN ({', '.join(repr(p) for p in PLACES)})")
+@query(
+    "e1_unpivot_tiers",
+    f"WITH {LOC} SELECT scenario, indicator, location, {big('level')} AS level FROM loc "
+    "WHERE level IS NOT NULL AND scenario IN ('O', 'F')",
+)
 def e1(spark, sf):
+    """A matrix of all 97 locations for each of the four indicators."""
     allowed = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("scenario")).where("scenario in ('O', 'F')").distinct()
-    return T.unpivot_tiers(matrix(spark, sf), "I0", allowed)
+    return of_each(locations(spark, sf), lambda rows, i: T.unpivot_tiers(matrix(rows), i, allowed))
 
 
-@query("e2_unpivot_station_matrix", f"WITH {LOC}, w AS (SELECT location, max(CASE WHEN scenario = 'F' THEN level END) AS a, max(CASE WHEN scenario = 'O' THEN level END) AS b, max(CASE WHEN scenario = 'P' THEN level END) AS c FROM loc WHERE indicator = 'I1' GROUP BY 1) SELECT 's0042' AS scenario, 'I1' AS indicator, location, {big('coalesce(a, b)')} AS level FROM w WHERE coalesce(a, b) IS NOT NULL UNION ALL SELECT 's0043', 'I1', location, {big('c')} FROM w WHERE c IS NOT NULL")
+@query(
+    "e2_unpivot_station_matrix",
+    f"WITH {LOC}, w AS (SELECT indicator, location, max(CASE WHEN scenario = 'F' THEN level END) AS a, max(CASE WHEN scenario = 'O' THEN level END) AS b, "
+    "max(CASE WHEN scenario = 'P' THEN level END) AS c FROM loc GROUP BY 1, 2) "
+    f"SELECT 's0042' AS scenario, indicator, location, {big('coalesce(a, b)')} AS level FROM w WHERE coalesce(a, b) IS NOT NULL "
+    f"UNION ALL SELECT 's0043', indicator, location, {big('c')} FROM w WHERE c IS NOT NULL",
+)
 def e2(spark, sf):
-    w = locations(spark, sf).where("indicator = 'I1'").groupBy(F.col("location").alias("station")).pivot("scenario", ["F", "O", "P"]).agg(F.max("level"))
-    return T.unpivot_station_matrix(w.toDF("station", "s0042(1)", "s0042(2)", "s0043"), "I1")
+    """A matrix of stations for each of the four indicators."""
+
+    def stations(rows, i):
+        w = rows.groupBy(F.col("location").alias("station")).pivot("scenario", ["F", "O", "P"]).agg(F.max("level"))
+        return T.unpivot_station_matrix(w.toDF("station", "s0042(1)", "s0042(2)", "s0043"), i)
+
+    return of_each(locations(spark, sf), stations)
 
 
 @query("e3_long_tiers", f"WITH {LOC} SELECT scenario, 'AG' AS indicator, location, {big('level')} AS level FROM loc WHERE level IS NOT NULL")
@@ -69,13 +92,25 @@ def e3(spark, sf):
     return T.long_tiers(locations(spark, sf).select("scenario", F.col("location").alias("region"), F.col("level").alias("tier")), "AG")
 
 
-@query("e4_groundwater_levels", f"WITH {LOC}, x AS (SELECT scenario, CAST(substring(location, 2) AS INTEGER) AS n, level FROM loc WHERE indicator = 'I2'), y AS (SELECT scenario, CASE WHEN n < 10 THEN '0' ELSE '' END || n || CASE WHEN n % 3 = 0 THEN 'N' ELSE '' END AS location, n, CASE WHEN level = 4 THEN 1 ELSE level END AS level FROM x) SELECT scenario, location, {big('level')} AS level, CASE WHEN n % 2 = 0 THEN 'Zone ' || n ELSE location END AS display_name FROM y")
+@query(
+    "e4_groundwater_levels",
+    f"WITH {LOC}, x AS (SELECT indicator, scenario, CAST(substring(location, 2) AS INTEGER) AS n, level FROM loc), "
+    "y AS (SELECT indicator, scenario, CASE WHEN n < 10 THEN '0' ELSE '' END || n || CASE WHEN n % 3 = 0 THEN 'N' ELSE '' END AS location, n, "
+    "CASE WHEN level = 4 THEN 1 ELSE level END AS level FROM x) "
+    f"SELECT indicator, scenario, location, {big('level')} AS level, CASE WHEN n % 2 = 0 THEN 'Zone ' || n ELSE location END AS display_name FROM y",
+)
 def e4(spark, sf):
-    n = F.substring("location", 2, 9).cast("int")
-    rows = locations(spark, sf).where("indicator = 'I2'").withColumn("n", n)
-    zones = rows.select("scenario", "n", F.concat(F.lit("WBA"), F.col("n").cast("string"), F.when(F.col("n") % 3 == 0, "N").otherwise("")).alias("zone"), F.when(F.col("level") == 4, 0).otherwise(F.col("level")).alias("level"))
-    names = zones.where("n % 2 = 0").select(wba_id_to_map_id(F.col("zone")).alias("location"), F.concat(F.lit("Zone "), F.col("n").cast("string")).alias("display_name")).distinct()
-    return T.groundwater_levels(zones, names).select("scenario", "location", "level", "display_name")
+    """Levels of the zones of each of the four indicators."""
+
+    def levels(rows, i):
+        rows = rows.withColumn("n", F.substring("location", 2, 9).cast("int"))
+        zone = F.concat(F.lit("WBA"), F.col("n").cast("string"), F.when(F.col("n") % 3 == 0, "N").otherwise("")).alias("zone")
+        zones = rows.select("scenario", "n", zone, F.when(F.col("level") == 4, 0).otherwise(F.col("level")).alias("level"))
+        name = F.concat(F.lit("Zone "), F.col("n").cast("string")).alias("display_name")
+        names = zones.where("n % 2 = 0").select(wba_id_to_map_id(F.col("zone")).alias("location"), name).distinct()
+        return T.groundwater_levels(zones, names).select(F.lit(i).alias("indicator"), "scenario", "location", "level", "display_name")
+
+    return of_each(locations(spark, sf), levels)
 
 
 @query("e5_display_order", f"WITH {LOC} SELECT scenario, indicator, location, {big('row_number() OVER (PARTITION BY scenario ORDER BY pos)')} AS display_order FROM loc")
