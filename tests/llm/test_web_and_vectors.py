@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 import time
 from collections import Counter
@@ -282,6 +283,45 @@ def test_verdicts_equal_plain_naive_bayes(spark):
     assert got[0].verdict == got[6].verdict == "block" and got[3].verdict == "allow"
 
 
+def labelled_pages(spark, n):
+    """Pages of n hosts whose names run words together; those with winbig or hotdeal are unwanted, and no seed says so."""
+    rng = random.Random(7)
+    parts = (["winbig", "hotdeal"], ["garden", "school", "museum"], ["north", "river", "green", "daily"])
+    hosts = [(f"{rng.choice(parts[k % 2])}{rng.choice(parts[2])}{rng.randrange(900)}.org", 1 - k % 2) for k in range(n)]
+    text = "<p>" + " ".join("win big hot deal garden school museum north river green daily winbig hotdeal".split() * 3) + "</p>"
+    return spark.createDataFrame([(k, f"http://{h}/{k}", text) for k, (h, _) in enumerate(hosts)], "page_id long, url string, html string"), hosts
+
+
+def test_labels_of_hosts_teach_the_verdicts(spark):
+    pages, hosts = labelled_pages(spark, 240)
+    rows = [*hosts, (None, 1), (hosts[0][0], None), (hosts[1][0], 7), ("elsewhere.org", 1)]
+    labels = spark.createDataFrame(rows, "host string, label int")
+    (good, bad) = sorted(map(tuple, urls.held_out_agreement(pages, labels).collect()))
+    assert good[0] == 0 and bad[0] == 1 and good[1] + bad[1] > 50
+    assert good[2] >= 0.95 * good[1] and bad[2] >= 0.95 * bad[1]
+    half = labels.where("crc32(host) % 2 = 0")
+    got = {r.host: r.verdict for r in urls.judge_urls(pages, labels=half).collect()}
+    assert sum((got[h] == "block") == bool(label) for h, label in hosts) >= 0.95 * len(hosts)
+    blind = urls.judge_urls(pages, labels=labels.limit(0)).collect()
+    assert {r.verdict for r in blind} == {"allow"} and {r.log_odds for r in blind} == {0.0}
+
+
+def test_seed_labels_agree_with_the_default(spark):
+    texts = [*URLS, *[r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]]
+    pages = spark.createDataFrame([(i, u, "<p>free win bets for the casino</p>") for i, u in enumerate(texts)], "page_id long, url string, html string")
+    labels = urls.seed_labels(pages)
+    assert {r.host: r.label for r in labels.collect()} | {"casinowin.example.org": 1, "freebets.example.org": 1, "x.com": 0, "": 0} == {r.host: r.label for r in labels.collect()}
+    assert sorted(urls.judge_urls(pages, labels=labels).collect()) == sorted(urls.judge_urls(pages).collect())
+
+
+def test_words_in_every_host_are_dealt_in_parts(spark):
+    df = spark.range(4_000).select("id", F.lit("com").alias("token"))
+    joined = urls.salted(df, spark.createDataFrame([("com", 1.0), ("org", 2.0)], "token string, odds double"), "token", "id")
+    assert sorted(r.id for r in joined.collect()) == list(range(4_000)) and joined.columns == ["token", "id", "odds"]
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "_part" in plan
+
+
 def test_urls_of_very_long_names(spark):
     long = "news" * 200_000
     frame = spark.createDataFrame([(1, f"http://{long}.org/{long}", "<p>news</p>"), (2, "http://casino.org/" + "a/" * 100_000, None)], "page_id long, url string, html string")

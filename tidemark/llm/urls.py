@@ -2,10 +2,11 @@
 
 Host names often run words together. A unigram model, counted over the words of all pages, splits each run of letters of
 a host or path by Viterbi into its likeliest words. Multinomial naive Bayes then scores the words of the host and of the
-path. Its counts come from all pages: one class is made of URLs whose host words hold a seed word, the other of the
-rest; so what else stands in the names of such hosts is learned. There are no labels for URLs, and the rules are no
-labels either, as they allow and block whole domains whatever is on them. Both classes have the same prior, as seeds
-name only a part of the unwanted hosts.
+path. It learns from a table of labelled hosts (1 unwanted, 0 wanted) and the pages they have; hosts without a label
+teach nothing. Where no labels are given, a host is taken to be unwanted if its words hold a seed word, else wanted,
+so what else stands in the names of such hosts is learned (``seed_labels``). The rules are no labels, as they allow and
+block whole domains whatever is on them. Both classes have the same prior, as labels name only a part of the unwanted
+hosts. ``held_out_agreement`` tells how well a third of the labels is found again from the rest.
 
 Hosts and path shapes (paths with numbers folded together) are few against pages, so all work on words is done once
 for each distinct host and shape, and joined back. Nothing that grows with the corpus is broadcast by this code.
@@ -133,6 +134,16 @@ def split_words(labels: DataFrame, counts: DataFrame) -> DataFrame:
     return each.join(known, "label", "left").mapInPandas(split, "label string, words array<string>")
 
 
+def salted(df: DataFrame, keys: DataFrame, on: str, *by: str) -> DataFrame:
+    """``df`` joined to ``keys`` (one row for each ``on``), where a value like ``com`` may stand in nearly every row.
+
+    Rows are dealt in ``SALTS`` parts by the columns ``by``, and ``keys`` has a copy for each part.
+    """
+    dealt = df.withColumn("_part", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
+    copies = keys.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(copies, [on, "_part"]).drop("_part")
+
+
 def words_of_urls(keys: DataFrame, counts: DataFrame) -> DataFrame:
     """Rows (side, key, word): the words of the distinct hosts (all labels, without a port) and path shapes.
 
@@ -141,12 +152,16 @@ def words_of_urls(keys: DataFrame, counts: DataFrame) -> DataFrame:
     host = keys.select(F.lit("host").alias("side"), F.col("host_key").alias("key"), F.regexp_replace("host", "(:[0-9]*)?$", "").alias("own")).distinct()
     path = keys.select(F.lit("path").alias("side"), F.col("shape_key").alias("key"), F.col("shape").alias("own")).distinct()
     labels = stage(host.unionByName(path).select("side", "key", F.explode(runs_of(F.col("own"))).alias("label")), "url-labels")
-    return labels.join(split_words(labels, counts), "label").select("side", "key", F.explode("words").alias("word"))
+    return salted(labels, split_words(labels, counts), "label", "key").select("side", "key", F.explode("words").alias("word"))
 
 
-def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, seeds: tuple[str, ...] = SEEDS, labels: DataFrame | None = None) -> DataFrame:
     """Rows page_id, host, path, rule, verdict, log_odds (of block; null where a rule decides).
 
+    ``labels`` has rows (host, label), label 1 for unwanted hosts and 0 for wanted ones; of a host's labels the largest
+    counts, others than 0 and 1 and null hosts don't. Without it hosts are labelled by ``seeds``, which otherwise only
+    help to split names.
+
     A null URL or one without ``://`` has an empty host and path, fits no rule and is allowed, as no word
     speaks against it; so is one whose words speak for both alike. Rows that repeat are all answered; a null page_id
     stays null. Other columns are ignored.
@@ -157,18 +172,23 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, seeds: tuple[s
     keys = stage(rows.groupBy("host_key", "shape_key", "host", "shape").agg(F.count("*").alias("n")), "url-keys")
     counts = stage(word_counts(pages, seeds), "url-words")
     words = stage(words_of_urls(keys, counts), "url-words-of")
-    own = words.groupBy("side", "key").agg(F.collect_list(F.when(F.col("side") == "path", F.concat(F.lit("/"), "word")).otherwise(F.col("word"))).alias("words"), F.max(F.col("word").isin(*seeds)).alias("seeded"))
+    own = words.groupBy("side", "key").agg(F.collect_list(F.when(F.col("side") == "path", F.concat(F.lit("/"), "word")).otherwise(F.col("word"))).alias("words"), F.max(F.col("word").isin(*seeds)).cast("int").alias("label"))
     of = lambda side, key, *more: own.where(F.col("side") == side).select(F.col("key").alias(key), F.col("words").alias(f"{side}_words"), *more)
     none = F.array().cast("array<string>")
-    both = keys.drop("host", "shape").join(of("host", "host_key", "seeded"), "host_key", "left").join(of("path", "shape_key"), "shape_key", "left")
-    tokens = both.select("host_key", "shape_key", "n", F.coalesce("seeded", F.lit(False)).alias("seeded"), F.explode(F.concat(F.coalesce("host_words", none), F.coalesce("path_words", none))).alias("token"))
+    by_seeds = [F.coalesce("label", F.lit(0)).alias("label")] if labels is None else []
+    both = keys.drop("host", "shape").join(of("host", "host_key", *(["label"] if by_seeds else [])), "host_key", "left").join(of("path", "shape_key"), "shape_key", "left")
+    if labels is not None:
+        given = labels.where("host is not null and label in (0, 1)").groupBy(F.sha1(F.encode("host", "UTF-8")).alias("host_key")).agg(F.max("label").cast("int").alias("label"))
+        both, by_seeds = both.join(given, "host_key", "left"), [F.col("label")]
+    tokens = both.select("host_key", "shape_key", "n", *by_seeds, F.explode(F.concat(F.coalesce("host_words", none), F.coalesce("path_words", none))).alias("token"))
     tokens = stage(tokens, "url-tokens")
-    times = lambda seeded: F.sum(F.when(F.col("seeded") == seeded, F.col("n")).otherwise(0))
-    model = tokens.groupBy("token").agg(times(True).alias("bad"), times(False).alias("good"))
+    times = lambda label: F.sum(F.when(F.col("label") == label, F.col("n")).otherwise(0))
+    model = tokens.groupBy("token").agg(times(1).alias("bad"), times(0).alias("good"))
     bad, good = (float(x or 0) for x in model.agg(F.sum("bad"), F.sum("good")).first())
     more = (F.col("bad") + F.col("good")) * (SMOOTHING / max(bad + good, 1.0))
-    odds = model.select("token", (F.log((F.col("bad") + more) / (bad + SMOOTHING)) - F.log((F.col("good") + more) / (good + SMOOTHING))).alias("odds"))
-    scores = stage(tokens.join(odds, "token").groupBy("host_key", "shape_key").agg(F.sum("odds").alias("odds")), "url-scores")
+    ratio = F.log((F.col("bad") + more) / (bad + SMOOTHING)) - F.log((F.col("good") + more) / (good + SMOOTHING))
+    odds = model.select("token", F.when(F.col("bad") + F.col("good") > 0, ratio).otherwise(0.0).alias("odds"))  # words of no labelled URL speak for neither
+    scores = stage(salted(tokens, odds, "token", "host_key", "shape_key").groupBy("host_key", "shape_key").agg(F.sum("odds").alias("odds")), "url-scores")
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     # one host may have a third of all pages, so pages are dealt in parts
     parts = scores.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -177,3 +197,25 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, seeds: tuple[s
     log_odds = F.round(F.coalesce("odds", F.lit(0.0)), 6)
     judged = F.coalesce("ruled", F.when(log_odds > 0, "block").otherwise("allow"))
     return out.select("page_id", "host", "path", "rule", judged.alias("verdict"), F.when(F.col("ruled").isNull(), log_odds).alias("log_odds"))
+
+
+def seed_labels(pages: DataFrame, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
+    """Rows (host, label) of all hosts of the pages: 1 where a host's words hold a seed word, else 0."""
+    host, _ = url_parts(F.col("url").cast("string"))
+    keys = stage(pages.select(host.alias("host")).distinct().withColumns({"host_key": F.sha1(F.encode("host", "UTF-8")), "shape_key": F.sha1(F.lit("")), "shape": F.lit("")}), "url-hosts")
+    words = words_of_urls(keys, stage(word_counts(pages, seeds), "url-words")).where("side = 'host'")
+    bad = words.where(F.col("word").isin(*seeds)).select(F.col("key").alias("host_key"), F.lit(1).alias("label")).distinct()
+    return keys.join(bad, "host_key", "left").select("host", F.coalesce("label", F.lit(0)).alias("label"))
+
+
+def held_out_agreement(pages: DataFrame, labels: DataFrame, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
+    """Rows (label, n_hosts, agreed): how many held-out hosts of each label are judged as labelled.
+
+    Hosts whose crc32 leaves 1 when divided by 3 are held out: the classifier learns from the others' labels, judges all
+    pages without any rule, and a host is judged as most of its pages are.
+    """
+    out = F.pmod(F.crc32(F.encode("host", "UTF-8")), F.lit(3)) == 1
+    judged = judge_urls(pages, (), seeds, labels.where(~out)).where(out)
+    hosts = judged.groupBy("host").agg((F.count_if(F.col("verdict") == "block") * 2 > F.count("*")).cast("int").alias("_judged"))
+    own = labels.where(out & F.col("label").isin(0, 1)).groupBy("host").agg(F.max("label").alias("label"))
+    return own.join(hosts, "host").groupBy("label").agg(F.count("*").alias("n_hosts"), F.count_if(F.col("_judged") == F.col("label")).alias("agreed"))
