@@ -5,7 +5,8 @@ import os
 
 import pytest
 
-from tidemark.sources import exports, sinks
+from tidemark.operators import network
+from tidemark.sources import exports, shared, sinks
 
 SCHEMA = "scenario string, k int, v string"
 
@@ -76,3 +77,20 @@ def test_one_export_by_many_tasks(spark, tmp_path):
     file.unlink()
     with pytest.raises(ValueError, match="1 parts"):
         sinks.read_dss_parts(spark, parts)
+
+
+def test_a_run_leaves_nothing_behind(spark, tmp_path):
+    arcs = spark.createDataFrame([(1, 1, 2), (2, 2, 3)], "id long, from_id long, to_id long")
+    with shared.run_folder(spark) as folder:
+        found = network.reach(arcs, 1)
+        assert os.path.isdir(folder)
+        with shared.run_folder(spark) as inner:
+            shared.row_numbers(arcs, ["id"], "n").write.parquet(str(tmp_path / "numbered"))
+        assert inner.startswith(folder) and not os.path.exists(inner)
+        assert found.count() == 3
+    assert not os.path.exists(folder) and spark.read.parquet(str(tmp_path / "numbered")).count() == 2
+    assert "run-" not in shared.shared_path(spark, "x")
+    with pytest.raises(KeyError), shared.run_folder(spark) as folder:
+        shared.written(arcs, "arcs")
+        raise KeyError
+    assert not os.path.exists(folder)

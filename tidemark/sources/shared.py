@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,9 +26,28 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_run: ContextVar[str | None] = ContextVar("run", default=None)
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for all that is written between steps in this block; it is deleted at its end.
+
+    Results of steps are lazy and read those files, so they must be written or collected inside the block. Blocks may be
+    nested; without one, files stay in the shared folder until someone clears it.
+    """
+    path = f"{_run.get() or shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    token = _run.set(path)
+    try:
+        yield path
+    finally:
+        _run.reset(token)
+        delete_path(spark, path)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path that no other step uses, in the run's folder, or else in the shared one."""
+    return f"{_run.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
