@@ -49,6 +49,7 @@ def resolve_variable(entities: DataFrame, available: DataFrame, special: DataFra
     e = F.col("entity")
     zone, groundwater = e.rlike(ZONE), F.contains(e, F.lit("_NU"))
     named = F.contains(e, F.lit("_")) | F.endswith(e, F.lit("3"))
+    # The naming rules, in order of rank.
     rules: list[tuple[Column, Column]] = [
         (zone | named, F.concat(F.lit("DN_"), e)),
         (zone & groundwater, F.concat(F.lit("GP_"), e)),
