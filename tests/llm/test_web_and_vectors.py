@@ -361,7 +361,8 @@ def raked(spark, targets, **more):
     return mixing.rake(frame, spark.createDataFrame(rows, "dimension string, value string, share double"), **more).collect()
 
 
-def test_raking_equals_plain_fitting(spark):
+@pytest.mark.parametrize("most_here", [0, 1000])
+def test_raking_equals_plain_fitting(spark, most_here):
     targets = {"_source": {"a": 0.7, "b": 0.3, "c": 0.4}, "_lang": {"x": 0.5, "y": 0.5}}
     w = {c[:3]: c[3] / 100 for c in CELLS if c[3]}
     for _ in range(200):
@@ -370,13 +371,23 @@ def test_raking_equals_plain_fitting(spark):
             for v in {c[i] for c in w}:
                 now = sum(x for c, x in w.items() if c[i] == v)
                 w |= {c: x * share[v] / sum(share.values()) / now for c, x in w.items() if c[i] == v}
-    out = raked(spark, targets)
+    out = raked(spark, targets, most_here=most_here)
     got = {(r._source, r._lang, r._topic): r.weight for r in out}
     assert got.keys() == w.keys() and all(abs(got[c] - w[c]) < 1e-5 for c in w) and all(r.converged for r in out)
 
 
-def test_raking_says_where_targets_contradict(spark):
-    out = raked(spark, {"_source": {"a": 0.1, "b": 0.9}, "_lang": {"x": 0.0, "y": 1.0}, "_topic": {"u": 0.9, "t": 0.1}}, rounds=4)
+@pytest.mark.parametrize("rounds", [2, 5, 40])
+def test_raking_by_the_driver_equals_raking_by_joins(spark, rounds):
+    for targets in ({"_source": {"a": 0.7, "b": 0.3}, "_lang": {"x": 0.5, "y": 0.5}, "_topic": {"t": 1.0, "u": 2.0}}, {"_lang": {"x": 0.0, "y": 3.0}}, {"_lang": {"z": 1.0}}, {}):
+        here, joins = ({(r._source, r._lang, r._topic): r for r in raked(spark, targets, rounds=rounds, most_here=n)} for n in (1000, 0))
+        assert here.keys() == joins.keys()
+        for k, r in here.items():
+            assert abs(r.weight - joins[k].weight) < 1e-12 and abs(r.ratio - joins[k].ratio) < 1e-9 and (r.converged, r.words) == (joins[k].converged, joins[k].words)
+
+
+@pytest.mark.parametrize("most_here", [0, 1000])
+def test_raking_says_where_targets_contradict(spark, most_here):
+    out = raked(spark, {"_source": {"a": 0.1, "b": 0.9}, "_lang": {"x": 0.0, "y": 1.0}, "_topic": {"u": 0.9, "t": 0.1}}, rounds=4, most_here=most_here)
     assert out == [] or not any(r.converged for r in out)
 
 
