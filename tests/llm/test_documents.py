@@ -435,7 +435,8 @@ def plain_groups(texts, similarity=0.8, share=None):
     return [top(i) for i in range(len(texts))]
 
 
-def test_near_duplicates_of_edited_texts(spark, monkeypatch):
+@pytest.mark.parametrize("least_equal", [0, neardup.LEAST_EQUAL])
+def test_near_duplicates_of_edited_texts(spark, monkeypatch, least_equal):
     rng = np.random.default_rng(3)
     words = [f"w{i}" for i in range(3000)]
     base = [" ".join(rng.choice(words, 150)) for _ in range(8)]
@@ -452,7 +453,7 @@ def test_near_duplicates_of_edited_texts(spark, monkeypatch):
         w[3 * k] = f"v{k}"
         texts.append(" ".join(w))
     monkeypatch.setattr(neardup, "BLOCK", 8)
-    got = sorted((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(frame(spark, texts)).collect())
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(frame(spark, texts), least_equal=least_equal).collect())
     want = plain_groups(texts)
     assert got == [(i, g, i == g) for i, g in enumerate(want)]
 

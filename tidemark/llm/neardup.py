@@ -15,7 +15,8 @@
 7. Connected components of the verified links are the groups.
 
 No pair is left out by a cap. Two filters are probable, not certain: a pair at a similarity of 0.8 shares no bucket in
-one case of 4,600 (less above it), and in step 6 pairs with fewer than ``LEAST_EQUAL`` equal samples are not verified.
+one case of 4,600 (less above it), and in step 6 pairs with fewer than ``least_equal`` equal samples are not verified;
+with 0 all pairs of a bucket that are in different components are.
 Texts without a word have no shingles and are linked with nothing but equal texts are.
 """
 
@@ -39,7 +40,7 @@ SKETCH = 1 << 17
 IDF_SHARE, IDF_FLOOR = 0.05, 1e-3
 BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
-#: Equal samples (of 64) below which a pair is not verified in step 6; at a similarity of 0.8 one in 100,000 has fewer.
+#: Equal samples (of 64) below which a pair is not verified in step 6 unless told otherwise; at 0.8 one in 100,000 has fewer.
 LEAST_EQUAL = 36
 #: Parts that a bucket, or the pairs of one text, are dealt in, so that no task gets a whole large one.
 SALTS = 32
@@ -257,7 +258,7 @@ BLOCK_KEY = ["bucket", "block", "part"]
 MEMBERS = "cell long, band int, role int, node long, component long, main long"
 
 
-def candidates(run: pa.Table, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def candidates(run: pa.Table, band: int, least_equal: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of the pairs (outsider, member) of a run that are in different components, whose signatures agree, and that
     share no earlier band than this one; two outsiders meet once. Pairs that agree most come first. The third array says
     how many samples of each pair are equal."""
@@ -275,7 +276,7 @@ def candidates(run: pa.Table, band: int) -> tuple[np.ndarray, np.ndarray, np.nda
         for y in range(0, len(i), 50_000):
             u, v = i[y : y + 50_000], j[y : y + 50_000]
             equal = (signature[u] == signature[v]).sum(axis=1)
-            keep = np.flatnonzero(equal >= LEAST_EQUAL)
+            keep = np.flatnonzero(equal >= least_equal)
             keep = keep[(bands[u[keep]] == bands[v[keep]]).argmax(axis=1) == band]
             found.append(np.stack([u[keep], v[keep], equal[keep]]))
     u, v, equal = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
@@ -283,11 +284,11 @@ def candidates(run: pa.Table, band: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return u[order], v[order], equal[order]
 
 
-def involved(run: pa.Table) -> Iterator[pa.RecordBatch]:
+def involved(run: pa.Table, least_equal: int) -> Iterator[pa.RecordBatch]:
     """The texts of a block that are in a pair to verify, once for each cell (of at most about ``CELL`` texts a side) that
     holds such a pair of theirs."""
     there = np.flatnonzero(bucket_hashes(as_matrix(run.column("signature").slice(0, 1).combine_chunks()))[0] == run.column("bucket")[0].as_py())
-    u, v, _ = candidates(run, int(there[0])) if len(there) else (np.zeros(0, np.int64),) * 3
+    u, v, _ = candidates(run, int(there[0]), least_equal) if len(there) else (np.zeros(0, np.int64),) * 3
     if not len(u):
         return
     node, comp, main = (run.column(c).to_numpy() for c in ("node", "component", "main"))
@@ -302,7 +303,7 @@ def involved(run: pa.Table) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(np.full(len(at), there[0], np.int32)), pa.array(rows[1].astype(np.int32)), *map(pa.array, (node[at], comp[at], main[at]))], names=[c.split()[0] for c in MEMBERS.split(", ")])
 
 
-def open_cells(members: DataFrame, found: DataFrame, reps: DataFrame) -> DataFrame:
+def open_cells(members: DataFrame, found: DataFrame, reps: DataFrame, least_equal: int) -> DataFrame:
     """Cells of texts to verify, from the buckets whose texts are in several components.
 
     A bucket of n texts, m of them outside its largest component, is cut in n / ``BLOCK`` blocks of members and
@@ -320,12 +321,12 @@ def open_cells(members: DataFrame, found: DataFrame, reps: DataFrame) -> DataFra
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, BLOCK_KEY):
-            yield from involved(run)
+            yield from involved(run, least_equal)
 
     return sent.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY).mapInArrow(compare, MEMBERS)
 
 
-def cell_links(cells: DataFrame, texts: DataFrame, held: Broadcast) -> DataFrame:
+def cell_links(cells: DataFrame, texts: DataFrame, held: Broadcast, least_equal: int) -> DataFrame:
     """Links (a, b) among the pairs of each cell, whose texts are sent there once; pairs that agree most go first.
 
     Pairs that are by then in one component are skipped, as they can't change the groups. Pairs that fail leave no row.
@@ -344,7 +345,7 @@ def cell_links(cells: DataFrame, texts: DataFrame, held: Broadcast) -> DataFrame
 
             node, comp, links = run.column("node").to_pylist(), run.column("component").to_pylist(), []
             known = held.value.described(run.column("text").combine_chunks())
-            u, v, _ = candidates(run, run.column("band")[0].as_py())
+            u, v, _ = candidates(run, run.column("band")[0].as_py(), least_equal)
             for i, j in zip(u.tolist(), v.tolist(), strict=True):
                 x, y = top(comp[i]), top(comp[j])
                 if x != y and held.value.linked(known[i], known[j]):
@@ -355,21 +356,24 @@ def cell_links(cells: DataFrame, texts: DataFrame, held: Broadcast) -> DataFrame
     return rows.select(*columns).repartition("cell").sortWithinPartitions("cell").mapInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, least_equal: int = LEAST_EQUAL) -> DataFrame:
     """Rows doc_id, class_id, component_id, kept: one for each document.
 
+    ``least_equal`` of 0 verifies every pair that shares a bucket and isn't in one component yet; more skips pairs with
+    fewer equal samples of 64.
+
     ``class_id`` is the smallest doc_id with an equal text, ``component_id`` the smallest doc_id of the near-duplicate
     group, and ``kept`` marks that document. A null text is empty; empty texts and texts without a word form classes of
     equal texts and are linked with nothing else. A null doc_id joins no class: its row has null ids and is kept. Rows
     that repeat in full are answered alike. Other columns are ignored.
     """
-    return judged(docs, similarity).select("doc_id", "class_id", "component_id", "kept")
+    return judged(docs, similarity, least_equal).select("doc_id", "class_id", "component_id", "kept")
 
 
 KEYS = {"key1": lambda text: F.xxhash64(text), "key2": lambda text: F.xxhash64(F.lit(1), text)}
 
 
-def judged(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def judged(docs: DataFrame, similarity: float = SIMILARITY, least_equal: int = LEAST_EQUAL) -> DataFrame:
     """The rows of ``near_duplicates`` with key1 and key2, hashes of the text, and ``group``, one value for each group."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumns({name: of(F.col("text")) for name, of in KEYS.items()})
@@ -389,9 +393,9 @@ def judged(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = stage(texts_of(members.select("node"), rows, classes), "texts")
     links = stage(star_links(members.where("node <> anchor").select(F.col("anchor").alias("a"), F.col("node").alias("b")).distinct(), texts, held), "links")
     found = components(links)
-    cells = stage(open_cells(members, found, reps), "cells")
+    cells = stage(open_cells(members, found, reps, least_equal), "cells")
     if not cells.isEmpty():
-        found = components(links.unionByName(stage(cell_links(cells, texts, held), "links")))
+        found = components(links.unionByName(stage(cell_links(cells, texts, held, least_equal), "links")))
     held.destroy()
     found = found.join(classes.select("node", "class_id"), "node")
     lowest = found.groupBy("component").agg(F.min("class_id").alias("component_id"))
@@ -403,14 +407,14 @@ def judged(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return out.select("doc_id", F.when(known, F.col("class_id")).alias("class_id"), F.when(known, F.col("component_id")).alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), *KEYS, "group")
 
 
-def without_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, least_equal: int = LEAST_EQUAL) -> DataFrame:
     """One document of each near-duplicate group, that with the smallest doc_id, with all columns of ``docs``.
 
     Documents without a doc_id stay. Rows are told apart by doc_id and text, so unlike texts under one doc_id all stay.
     Where several texts of a group have its smallest doc_id, that with the smallest hash stays; where rows repeat a kept
     id and text, one of them stays.
     """
-    found = judged(docs, similarity).where("kept and doc_id is not null")
+    found = judged(docs, similarity, least_equal).where("kept and doc_id is not null")
     texts = found.groupBy("group", "doc_id", *KEYS).agg(F.count("*").alias("rows"))
     id_, one, two = (unused(docs, n) for n in ("_id", "_key1", "_key2"))
     least = texts.groupBy("group").agg(F.min(F.struct("key1", "key2", "doc_id", "rows")).alias("least"))
