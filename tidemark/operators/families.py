@@ -72,7 +72,10 @@ def farm_period_summary(series: DataFrame) -> DataFrame:
     values = ["demand", "delivery", "pumping", "shortage"]
     annual = rows.groupBy(*stats.YEAR).agg(*(F.coalesce(F.sum(v), F.lit(0.0)).alias(v) for v in values), F.count("shortage").alias("_seen"))
     short = F.col("shortage") > SHORTAGE_FLOOR
-    out = annual.groupBy(*ENTITY).agg(*raw("demand"), *raw("delivery"), *raw("pumping"), F.avg("shortage").alias("_s_avg"), F.count_if(short).alias("_s_years"), F.count("*").alias("_years"), F.sum("_seen").alias("_seen"), F.avg(ratio_or(F.col("shortage") * 100, F.col("demand"), 0.0)).alias("_s_pct"))
+    out = annual.groupBy(*ENTITY).agg(
+        *raw("demand"), *raw("delivery"), *raw("pumping"), F.avg("shortage").alias("_s_avg"), F.count_if(short).alias("_s_years"),
+        F.count("*").alias("_years"), F.sum("_seen").alias("_seen"), F.avg(ratio_or(F.col("shortage") * 100, F.col("demand"), 0.0)).alias("_s_pct")
+    )
     there = lambda c: F.when(F.col("_seen") > 0, c)
     out = out.select(
         *ENTITY, mean_of("demand").alias("annual_demand_avg_taf"), variation_of("demand").alias("annual_demand_cv"), *passed("demand", "demand"),
@@ -87,7 +90,11 @@ def farm_period_summary(series: DataFrame) -> DataFrame:
 def metric_names(code: str) -> dict[str, str]:
     """Names of a reservoir's metrics by kind."""
     gap = "" if code in IRREGULAR else "_"
-    return {"flood_all": f"All_Prob_S_{code}_flood", "flood_sep": f"Sep_Prob_S_{code}_flood", "dead_all": f"All_Prob_S_{code}_dead", "dead_sep": f"Sep_Prob_S_{code}_dead", "avg_apr": f"Apr_Avg_S_{code}{gap}TAF", "avg_sep": f"Sep_Avg_S_{code}{gap}TAF", "cv_apr": f"Apr_S_{code}{gap}CV", "cv_sep": f"Sep_S_{code}{gap}CV"}
+    return {
+        "flood_all": f"All_Prob_S_{code}_flood", "flood_sep": f"Sep_Prob_S_{code}_flood", "dead_all": f"All_Prob_S_{code}_dead",
+        "dead_sep": f"Sep_Prob_S_{code}_dead", "avg_apr": f"Apr_Avg_S_{code}{gap}TAF", "avg_sep": f"Sep_Avg_S_{code}{gap}TAF",
+        "cv_apr": f"Apr_S_{code}{gap}CV", "cv_sep": f"Sep_S_{code}{gap}CV"
+    }
 
 
 def metric_rows(series: DataFrame) -> DataFrame:
@@ -102,9 +109,17 @@ def metric_rows(series: DataFrame) -> DataFrame:
         *(stats.cv_of([m]).alias(f"cv_{n}") for n, m in (("apr", 4), ("sep", 9))),
     )
     names = {"flood_all": ("All_Prob_S_", "_flood"), "flood_sep": ("Sep_Prob_S_", "_flood"), "dead_all": ("All_Prob_S_", "_dead"), "dead_sep": ("Sep_Prob_S_", "_dead")}
-    items = [F.struct(F.concat(F.lit(a), code, F.lit(b)).alias("metric"), F.when(F.col("_f" if k.startswith("flood") else "_d") > 0, F.col(k)).alias("value")) for k, (a, b) in names.items()]
-    items += [F.struct(F.concat(F.lit(a), code, gap, F.lit(u)).alias("metric"), F.col(k).alias("value")) for k, a, u in (("avg_apr", "Apr_Avg_S_", "TAF"), ("avg_sep", "Sep_Avg_S_", "TAF"), ("cv_apr", "Apr_S_", "CV"), ("cv_sep", "Sep_S_", "CV"))]
-    return values.select("scenario", F.explode(F.array(*items)).alias("m")).select("scenario", "m.metric", rounded(F.col("m.value"), 6).alias("value")).where("value is not null")
+    items = [
+        F.struct(F.concat(F.lit(a), code, F.lit(b)).alias("metric"), F.when(F.col("_f" if k.startswith("flood") else "_d") > 0, F.col(k)).alias("value")) for k,
+        (a, b) in names.items()
+    ]
+    items += [
+        F.struct(F.concat(F.lit(a), code, gap, F.lit(u)).alias("metric"), F.col(k).alias("value")) for k, a,
+        u in (("avg_apr", "Apr_Avg_S_", "TAF"), ("avg_sep", "Sep_Avg_S_", "TAF"), ("cv_apr", "Apr_S_", "CV"), ("cv_sep", "Sep_S_", "CV"))
+    ]
+    return values.select("scenario", F.explode(F.array(*items)).alias("m")).select(
+        "scenario", "m.metric", rounded(F.col("m.value"), 6).alias("value")
+    ).where("value is not null")
 
 
 def metrics_wide(series: DataFrame, codes: list[str]) -> DataFrame:
@@ -138,13 +153,19 @@ def processing_counts(mapping: DataFrame, results: DataFrame) -> DataFrame:
     first = mapping.groupBy("entity").agg(F.min_by("category", F.struct("rank", "category")).alias("category"))
     by = results.groupBy("entity").agg(F.bool_or("has_delivery").alias("d"), F.bool_or("has_shortage").alias("s"))
     out = first.join(by, "entity", "left")
-    return out.groupBy("category").agg(F.count("*").alias("units"), F.count("d").alias("processed"), F.count_if(F.col("d")).alias("with_delivery"), F.count_if(F.col("s")).alias("with_shortage"))
+    return out.groupBy("category").agg(
+        F.count("*").alias("units"), F.count("d").alias("processed"), F.count_if(F.col("d")).alias("with_delivery"),
+        F.count_if(F.col("s")).alias("with_shortage")
+    )
 
 
 def delivery_monthly(rows: DataFrame) -> DataFrame:
     """Monthly delivery with demand and the share of demand that was met, in one aggregation."""
     out = rows.groupBy(*MONTH).agg(*stats.raw_stats(F.col("delivery")), F.avg("demand").alias("_demand")).where("sample_count > 0")
-    out = out.select(*MONTH, rounded(F.col("_avg")).alias("delivery_avg_taf"), stats.variation(F.col("_avg"), F.col("_std")).alias("delivery_cv"), *stats.bands(), "sample_count", rounded(F.col("_demand")).alias("demand_avg_taf"))
+    out = out.select(
+        *MONTH, rounded(F.col("_avg")).alias("delivery_avg_taf"), stats.variation(F.col("_avg"), F.col("_std")).alias("delivery_cv"), *stats.bands(),
+        "sample_count", rounded(F.col("_demand")).alias("demand_avg_taf")
+    )
     return out.withColumn("percent_of_demand_avg", rounded(clip(ratio_or(F.col("delivery_avg_taf") * 100, F.col("demand_avg_taf"), None), 0, 100)))
 
 
@@ -154,8 +175,14 @@ def unit_period(rows: DataFrame, shortage_floor: float = SHORTAGE_FLOOR, reliabi
     One aggregation by year and one over the years serve all columns.
     """
     annual = stats.annual_totals(rows, ["delivery", "shortage", "demand"])
-    met = {"of_means": ratio_or(F.avg("delivery") * 100, F.avg("demand"), None), "mean_of_years": F.avg(clip(ratio_or(F.col("delivery") * 100, F.col("demand"), None), 0, 100))}[demand_mode]
-    out = annual.groupBy(*ENTITY).agg(*raw("delivery"), *raw("shortage"), F.avg("demand").alias("_demand"), F.count_if(F.col("shortage") > shortage_floor).alias("shortage_years_count"), F.count("*").alias("_years"), met.alias("_met"))
+    met = {
+        "of_means": ratio_or(F.avg("delivery") * 100, F.avg("demand"), None),
+        "mean_of_years": F.avg(clip(ratio_or(F.col("delivery") * 100, F.col("demand"), None), 0, 100))
+    }[demand_mode]
+    out = annual.groupBy(*ENTITY).agg(
+        *raw("delivery"), *raw("shortage"), F.avg("demand").alias("_demand"),
+        F.count_if(F.col("shortage") > shortage_floor).alias("shortage_years_count"), F.count("*").alias("_years"), met.alias("_met")
+    )
     out = out.select(
         *ENTITY, mean_of("delivery").alias("annual_delivery_avg_taf"), variation_of("delivery").alias("annual_delivery_cv"), rounded(stats.level(F.col("_delivery_q"), 0.0)).alias("annual_delivery_min_taf"), rounded(stats.level(F.col("_delivery_q"), 1.0)).alias("annual_delivery_max_taf"), *passed("delivery", "delivery"),
         mean_of("shortage").alias("annual_shortage_avg_taf"), "shortage_years_count", rounded(F.col("shortage_years_count") * 100.0 / F.col("_years")).alias("shortage_frequency_pct"), *passed("shortage", "shortage"),
@@ -183,7 +210,9 @@ def contractor_stats(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def project_aggregates(rows: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The same for project totals: ``members`` maps an entity to its project (entity, project)."""
-    total = rows.join(members, "entity").groupBy("scenario", F.col("project").alias("entity"), "ts", *[c for c in ("calendar_month", "water_month", "water_year") if c in rows.columns]).agg(*(F.sum(c).alias(c) for c in ("delivery", "shortage", "demand")))
+    total = rows.join(members, "entity").groupBy(
+        "scenario", F.col("project").alias("entity"), "ts", *[c for c in ("calendar_month", "water_month", "water_year") if c in rows.columns]
+    ).agg(*(F.sum(c).alias(c) for c in ("delivery", "shortage", "demand")))
     return contractor_stats(total)
 
 
@@ -191,7 +220,9 @@ def farm_unit_stats(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Monthly demand, delivery and pumping side by side, monthly shortage with its share of demand, period summary."""
     rows = with_pumping(rows)
     names = ("demand", "delivery", "pumping")
-    monthly = rows.groupBy(*MONTH).agg(*(c for v in names for c in (F.avg(v).alias(f"_{v}_avg"), F.stddev_samp(v).alias(f"_{v}_std"), F.count(v).alias(f"_{v}_n")))).where("_demand_n > 0")
+    monthly = rows.groupBy(*MONTH).agg(*(c for v in names for c in (
+        F.avg(v).alias(f"_{v}_avg"), F.stddev_samp(v).alias(f"_{v}_std"), F.count(v).alias(f"_{v}_n")
+    ))).where("_demand_n > 0")
     monthly = monthly.select(*MONTH, *(c for v in names for c in (mean_of(v).alias(f"{v}_avg"), F.when(F.col(f"_{v}_n") > 0, variation_of(v)).alias(f"{v}_cv"))))
     short = stats.shortage_monthly(rows).join(stats.shortage_pct_of_demand(rows), list(MONTH), "left")
     return monthly, short, farm_period_summary(rows)

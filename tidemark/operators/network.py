@@ -18,12 +18,16 @@ def node_list(nodes: DataFrame, types: DataFrame, regions: DataFrame, region: st
     """Located nodes with type, region and a JSON object of attributes, by id, the first ``limit``."""
     rows = nodes.where("lon is not null and lat is not null").join(types, "type_id", "left").join(regions, "region_id", "left")
     rows = rows if region is None else rows.where(F.col("region") == region)
-    return rows.select("id", "short_code", "type", "region", "lon", "lat", F.to_json(F.struct("short_code", "type", "region")).alias("attributes")).orderBy("id").limit(limit)
+    return rows.select(
+        "id", "short_code", "type", "region", "lon", "lat", F.to_json(F.struct("short_code", "type", "region")).alias("attributes")
+    ).orderBy("id").limit(limit)
 
 
 def map_category(code: Column, is_reservoir: Column) -> Column:
     return (
-        F.when(is_reservoir | code.isin("STR", "STR-SIM", "STR-NSM"), "reservoir").when(F.startswith(code, F.lit("PS")), "pump_station").when(F.startswith(code, F.lit("WTP")), "water_treatment")
+        F.when(
+            is_reservoir | code.isin("STR", "STR-SIM", "STR-NSM"), "reservoir"
+        ).when(F.startswith(code, F.lit("PS")), "pump_station").when(F.startswith(code, F.lit("WTP")), "water_treatment")
         .when(code == "WWTP", "wastewater_treatment").when(F.startswith(code, F.lit("PR-")), "project").when(F.startswith(code, F.lit("S-")), "source").otherwise("other")
     )
 
@@ -80,7 +84,10 @@ def curve_ranges(box: Sequence[float], most: int = MOST_RANGES) -> list[tuple[in
             half = 1 << (k - 1)
             finer += [(x + half * (q & 1), y + half * (q >> 1), k - 1, place + (q << 2 * (k - 1))) for q in range(4)]
         edge = finer
-    cut = whole + [(place, place + (1 << 2 * k) - 1) for x, y, k, place in edge if not (x + (1 << k) - 1 < low[0] or x > high[0] or y + (1 << k) - 1 < low[1] or y > high[1])]
+    cut = whole + [
+        (place, place + (1 << 2 * k) - 1) for x, y, k,
+        place in edge if not (x + (1 << k) - 1 < low[0] or x > high[0] or y + (1 << k) - 1 < low[1] or y > high[1])
+    ]
     joined: list[tuple[int, int]] = []
     for a, b in sorted(cut):
         if joined and a <= joined[-1][1] + 1:
@@ -170,7 +177,10 @@ def traverse(arcs: DataFrame, start: int, direction: str = "downstream", max_dep
     out = level
     with adjacency(arcs, direction) as edges:
         for depth in range(1, max_depth + 1):
-            level = onward(level, edges).where(~F.array_contains("path", F.col("there"))).select(F.col("there").cast("long").alias("node"), F.lit(depth).alias("depth"), F.array_append("path", F.col("there").cast("long")).alias("path"))
+            level = onward(level, edges).where(~F.array_contains("path", F.col("there"))).select(
+                F.col("there").cast("long").alias("node"), F.lit(depth).alias("depth"),
+                F.array_append("path", F.col("there").cast("long")).alias("path")
+            )
             level = written(level, "paths")
             if level.isEmpty():
                 break
@@ -207,14 +217,22 @@ def reach(arcs: DataFrame, start: int, direction: str = "downstream", max_depth:
 def arcs_of(nodes: DataFrame, arcs: DataFrame, names: DataFrame) -> DataFrame:
     """Arcs with an end in a set of nodes (id), with the codes of both ends."""
     ids = nodes.select("id").distinct()
-    touched = arcs.join(ids.withColumnRenamed("id", "from_id"), "from_id", "left_semi").unionByName(arcs.join(ids.withColumnRenamed("id", "to_id"), "to_id", "left_semi")).distinct()
+    touched = arcs.join(
+        ids.withColumnRenamed("id", "from_id"), "from_id", "left_semi"
+    ).unionByName(arcs.join(ids.withColumnRenamed("id", "to_id"), "to_id", "left_semi")).distinct()
     code = lambda end: names.select(F.col("id").alias(f"{end}_id"), F.col("short_code").alias(f"{end}_code"))
     return touched.join(code("from"), "from_id", "left").join(code("to"), "to_id", "left")
 
 
 def arc_ends(arcs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Two rows for each arc: its from and its to node."""
-    ends = arcs.select(F.col("id").alias("arc_id"), F.explode(F.array(F.struct(F.lit("from").alias("end"), F.col("from_id").alias("node_id")), F.struct(F.lit("to").alias("end"), F.col("to_id").alias("node_id")))).alias("e")).select("arc_id", "e.end", "e.node_id")
+    ends = arcs.select(
+        F.col("id").alias("arc_id"),
+        F.explode(F.array(
+            F.struct(F.lit("from").alias("end"), F.col("from_id").alias("node_id")),
+            F.struct(F.lit("to").alias("end"), F.col("to_id").alias("node_id"))
+        )).alias("e")
+    ).select("arc_id", "e.end", "e.node_id")
     return ends.join(nodes.select(F.col("id").alias("node_id"), "short_code"), "node_id")
 
 
@@ -224,10 +242,14 @@ REGION_IDS = {"SAC": 1, "SJR": 2, "DELTA": 3, "TULARE": 4, "SOCAL": 5, "SC": 1}
 
 def map_types(elements: DataFrame, types: DataFrame) -> DataFrame:
     """type_id by ``type-subtype``, else by type, else null; region_id by code."""
-    pair, plain = types.select(F.col("type_code").alias("_pair"), F.col("type_id").alias("_a")), types.select(F.col("type_code").alias("_plain"), F.col("type_id").alias("_b"))
+    pair, plain = types.select(F.col("type_code").alias("_pair"), F.col("type_id").alias("_a")), types.select(
+        F.col("type_code").alias("_plain"), F.col("type_id").alias("_b")
+    )
     rows = elements.withColumns({"_pair": F.concat_ws("-", "type", "sub_type"), "_plain": F.col("type")})
     region = F.create_map(*[F.lit(x) for item in REGION_IDS.items() for x in item])
-    return rows.join(pair, "_pair", "left").join(plain, "_plain", "left").withColumns({"type_id": F.coalesce("_a", "_b"), "region_id": F.try_element_at(region, F.upper("region"))}).drop("_pair", "_plain", "_a", "_b")
+    return rows.join(pair, "_pair", "left").join(plain, "_plain", "left").withColumns({
+        "type_id": F.coalesce("_a", "_b"), "region_id": F.try_element_at(region, F.upper("region"))
+    }).drop("_pair", "_plain", "_a", "_b")
 
 
 def arc_connectivity(arcs: DataFrame) -> DataFrame:
@@ -238,7 +260,9 @@ def arc_connectivity(arcs: DataFrame) -> DataFrame:
 
 def node_connectivity(nodes: DataFrame, arcs: DataFrame) -> DataFrame:
     """connected or isolated."""
-    return nodes.join(node_degree(arcs), "id", "left").withColumn("connectivity", F.when(F.col("connected_arcs") > 0, "connected").otherwise("isolated")).drop("connected_arcs")
+    return nodes.join(node_degree(arcs), "id", "left").withColumn(
+        "connectivity", F.when(F.col("connected_arcs") > 0, "connected").otherwise("isolated")
+    ).drop("connected_arcs")
 
 
 def geometry_table(arcs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -249,4 +273,6 @@ def geometry_table(arcs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def units_by_zone_prefix(nodes: DataFrame) -> DataFrame:
     """Units of each three-character zone prefix, and how many have a geometry."""
-    return nodes.where(F.col("short_code").rlike(r"^[0-9]{2}[NS_]")).groupBy(F.substring("short_code", 1, 3).alias("prefix")).agg(F.count("*").alias("units"), F.count("wkt").alias("with_geometry"))
+    return nodes.where(F.col("short_code").rlike(r"^[0-9]{2}[NS_]")).groupBy(F.substring("short_code", 1, 3).alias("prefix")).agg(
+        F.count("*").alias("units"), F.count("wkt").alias("with_geometry")
+    )

@@ -31,7 +31,10 @@ def digests(cells: DataFrame) -> DataFrame:
     rows = cells.where("b is not null and c is not null and date is not null").withColumn("block", F.year("date"))
     cell = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "date", F.col("value").isNull(), "value"))
     finite = F.col("value").isNull() | (F.abs("value") < float("inf"))
-    return rows.groupBy(*BLOCK).agg(F.count("*").alias("n"), cell(1).alias("x"), cell(2).alias("y"), ((F.size(F.collect_set("date")) < F.count("*")) | F.bool_or(~finite)).alias("odd"))
+    return rows.groupBy(*BLOCK).agg(
+        F.count("*").alias("n"), cell(1).alias("x"), cell(2).alias("y"),
+        ((F.size(F.collect_set("date")) < F.count("*")) | F.bool_or(~finite)).alias("odd")
+    )
 
 
 def block_kinds(ref: DataFrame, test: DataFrame) -> DataFrame:
@@ -57,8 +60,12 @@ def compare_series(ref: DataFrame, test: DataFrame, atol: float = 1e-6, rtol: fl
     kinds = block_kinds(ref, test)
     of = lambda df, how, which: df.withColumn("block", F.year("date")).join(which, list(BLOCK), how).drop("block")
     differing = kinds.where("kind = 'differing'")
-    joined = of(ref, "left_semi", differing).select(*KEY, F.col("value").alias("ref_value")).join(of(test, "left_semi", differing).select(*KEY, F.col("value").alias("file_value")), list(KEY))
-    same = of(ref.where("b is not null and c is not null and date is not null"), "left_anti", kinds).select(*KEY, F.col("value").alias("ref_value"), F.col("value").alias("file_value"))
+    joined = of(ref, "left_semi", differing).select(*KEY, F.col("value").alias("ref_value")).join(
+        of(test, "left_semi", differing).select(*KEY, F.col("value").alias("file_value")), list(KEY)
+    )
+    same = of(
+        ref.where("b is not null and c is not null and date is not null"), "left_anti", kinds
+    ).select(*KEY, F.col("value").alias("ref_value"), F.col("value").alias("file_value"))
     rows = joined.unionByName(same).join(span, F.col("date").between(F.col("first_date"), F.col("last_date")))
     near = F.abs(F.col("ref_value") - F.col("file_value")) <= atol + rtol * F.abs("file_value")
     equal = (F.col("ref_value").isNull() & F.col("file_value").isNull()) | F.coalesce(near, F.lit(False))
@@ -68,8 +75,14 @@ def compare_series(ref: DataFrame, test: DataFrame, atol: float = 1e-6, rtol: fl
 def compare_summary(ref: DataFrame, test: DataFrame, atol: float = 1e-6, rtol: float = 1e-6) -> DataFrame:
     """One row: PASSED or FAILED, columns on each side, the overlap, mismatching columns and cells."""
     a, b = ref.select("b", "c").distinct(), test.select("b", "c").distinct()
-    keys = a.withColumn("_r", F.lit(1)).join(b.withColumn("_t", F.lit(1)), ["b", "c"], "full").agg(F.count("_r").alias("ref_columns"), F.count("_t").alias("file_columns"), F.count_if(F.col("_r").isNotNull() & F.col("_t").isNotNull()).alias("common_columns"), F.count_if(F.col("_t").isNull()).alias("only_in_ref"), F.count_if(F.col("_r").isNull()).alias("only_in_file"))
-    bad = compare_series(ref, test, atol, rtol).where("not equal").groupBy("b", "c").agg(F.count("*").alias("n")).agg(F.count("*").alias("mismatch_columns"), F.coalesce(F.sum("n"), F.lit(0)).alias("mismatch_cells"))
+    keys = a.withColumn("_r", F.lit(1)).join(b.withColumn("_t", F.lit(1)), ["b", "c"], "full").agg(
+        F.count("_r").alias("ref_columns"), F.count("_t").alias("file_columns"),
+        F.count_if(F.col("_r").isNotNull() & F.col("_t").isNotNull()).alias("common_columns"), F.count_if(F.col("_t").isNull()).alias("only_in_ref"),
+        F.count_if(F.col("_r").isNull()).alias("only_in_file")
+    )
+    bad = compare_series(ref, test, atol, rtol).where("not equal").groupBy("b", "c").agg(F.count("*").alias("n")).agg(
+        F.count("*").alias("mismatch_columns"), F.coalesce(F.sum("n"), F.lit(0)).alias("mismatch_cells")
+    )
     out = keys.crossJoin(bad).crossJoin(overlap(ref, test))
     return out.withColumn("status", F.when(F.col("mismatch_cells") == 0, "PASSED").otherwise("FAILED"))
 
@@ -82,17 +95,24 @@ def mismatch_detail(cells: DataFrame, large: float = 1.0) -> DataFrame:
 
 def mismatch_rates(cells: DataFrame) -> DataFrame:
     """Cells, mismatches and their rate in percent of each column."""
-    return cells.groupBy("b", "c").agg(F.count("*").alias("cells"), F.count_if(~F.col("equal")).alias("mismatches")).withColumn("mismatch_rate_pct", rounded(F.col("mismatches") * 100.0 / F.col("cells"), 4))
+    return cells.groupBy("b", "c").agg(F.count("*").alias("cells"), F.count_if(~F.col("equal")).alias("mismatches")).withColumn(
+        "mismatch_rate_pct", rounded(F.col("mismatches") * 100.0 / F.col("cells"), 4)
+    )
 
 
 def mismatch_patterns(mismatches: DataFrame, top: int = 10) -> DataFrame:
     """The commonest kinds and places with count and mean, median and largest difference."""
-    return mismatches.groupBy("mismatch_type", "b").agg(F.count("*").alias("n"), rounded(F.avg("abs_diff"), 6).alias("mean_diff"), rounded(F.percentile("abs_diff", 0.5), 6).alias("median_diff"), rounded(F.max("abs_diff"), 6).alias("max_diff")).orderBy(F.desc("n"), "mismatch_type", "b").limit(top)
+    return mismatches.groupBy("mismatch_type", "b").agg(
+        F.count("*").alias("n"), rounded(F.avg("abs_diff"), 6).alias("mean_diff"), rounded(F.percentile("abs_diff", 0.5), 6).alias("median_diff"),
+        rounded(F.max("abs_diff"), 6).alias("max_diff")
+    ).orderBy(F.desc("n"), "mismatch_type", "b").limit(top)
 
 
 def pass_rates(runs: DataFrame) -> DataFrame:
     """Per scenario the runs and the share that passed (status PASSED)."""
-    return runs.groupBy("scenario").agg(F.count("*").alias("runs"), F.count_if(F.col("status") == "PASSED").alias("passed")).withColumn("pass_rate_pct", rounded(F.col("passed") * 100.0 / F.col("runs")))
+    return runs.groupBy("scenario").agg(
+        F.count("*").alias("runs"), F.count_if(F.col("status") == "PASSED").alias("passed")
+    ).withColumn("pass_rate_pct", rounded(F.col("passed") * 100.0 / F.col("runs")))
 
 
 def verify_metrics(calculated: DataFrame, expected: DataFrame, tolerance: float = 1e-4) -> DataFrame:
@@ -100,12 +120,17 @@ def verify_metrics(calculated: DataFrame, expected: DataFrame, tolerance: float
 
     The error is relative, but absolute where 0 is expected.
     """
-    rows = calculated.select("metric", F.col("value").alias("calculated")).join(expected.select("metric", F.col("value").alias("_given"), F.lit(True).alias("_there")), "metric", "left")
+    rows = calculated.select("metric", F.col("value").alias("calculated")).join(
+        expected.select("metric", F.col("value").alias("_given"), F.lit(True).alias("_there")), "metric", "left"
+    )
     wanted = F.when(F.contains("metric", F.lit("Prob_")) & (F.col("_given") > 1), F.col("_given") / 100).otherwise(F.col("_given"))
     rows = rows.withColumn("expected", wanted)
     error = F.when(F.col("expected") == 0, F.abs("calculated")).otherwise(F.abs(F.try_divide(F.col("calculated") - F.col("expected"), F.col("expected"))))
     rows = rows.withColumn("error", error)
-    return rows.select("metric", "calculated", "expected", "error", F.when(F.col("_there").isNull(), "MISSING").when(F.col("error") < tolerance, "PASS").otherwise("FAIL").alias("status"))
+    return rows.select(
+        "metric", "calculated", "expected", "error",
+        F.when(F.col("_there").isNull(), "MISSING").when(F.col("error") < tolerance, "PASS").otherwise("FAIL").alias("status")
+    )
 
 
 def compare_percentiles(calculated: DataFrame, expected: DataFrame, keys: Sequence[str], columns: Sequence[str], tolerance: float = 1e-4) -> DataFrame:
@@ -147,7 +172,11 @@ def table_profile(tables: dict[str, DataFrame], audit: Sequence[str] = ("created
     def one(name: str, df: DataFrame) -> DataFrame:
         by, at = audit
         has = lambda c: c in df.columns
-        return df.agg(F.count("*").alias("rows"), (F.countDistinct(by) if has(by) else F.lit(None).cast("long")).alias("creators"), (F.min(at) if has(at) else F.lit(None)).cast("timestamp").alias("first_created"), (F.max(at) if has(at) else F.lit(None)).cast("timestamp").alias("last_created")).select(
+        return df.agg(
+            F.count("*").alias("rows"), (F.countDistinct(by) if has(by) else F.lit(None).cast("long")).alias("creators"),
+            (F.min(at) if has(at) else F.lit(None)).cast("timestamp").alias("first_created"),
+            (F.max(at) if has(at) else F.lit(None)).cast("timestamp").alias("last_created")
+        ).select(
             F.lit(name).alias("table"), "rows", F.lit(len(df.columns)).alias("columns"), F.lit(", ".join(f"{c}:{t}" for c, t in df.dtypes)).alias("types"), F.lit(all(has(c) for c in audit)).alias("has_audit_columns"), "creators", "first_created", "last_created"
         )
 
@@ -156,7 +185,9 @@ def table_profile(tables: dict[str, DataFrame], audit: Sequence[str] = ("created
 
 def schema_diff(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Columns (table, column) on one side only."""
-    both = expected.select("table", "column").distinct().withColumn("_e", F.lit(1)).join(actual.select("table", "column").distinct().withColumn("_a", F.lit(1)), ["table", "column"], "full")
+    both = expected.select("table", "column").distinct().withColumn("_e", F.lit(1)).join(
+        actual.select("table", "column").distinct().withColumn("_a", F.lit(1)), ["table", "column"], "full"
+    )
     return both.where("_e is null or _a is null").select("table", "column", F.when(F.col("_a").isNull(), "only_expected").otherwise("only_actual").alias("side"))
 
 

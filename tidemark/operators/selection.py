@@ -34,7 +34,10 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, levels: Sequ
     stretch = ranged.groupBy(*group, "_part").agg(F.sum("_n").alias("_rows"))
     own = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(1))
     earlier = own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    stretch = stretch.select(*(F.col(g).alias(f"{g}_") for g in group), F.col("_part").alias("_part_"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"), F.sum("_rows").over(own).alias("_total"))
+    stretch = stretch.select(
+        *(F.col(g).alias(f"{g}_") for g in group), F.col("_part").alias("_part_"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"), F.sum("_rows").over(own).alias("_total")
+    )
     same = F.col("_part") == F.col("_part_")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"{g}_"))
@@ -42,12 +45,18 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, levels: Sequ
     ranked = ranged.withColumn("_here", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(stretch, same).withColumn("_first", F.col("_here") + F.col("_before"))
     holds = lambda rank: (rank >= F.col("_first")) & (rank < F.col("_first") + F.col("_n"))
     place = [(F.col("_total") - 1) * F.lit(float(p)) for p in levels]
-    picks = [F.max(F.when(holds(end(at).cast("long")), F.col("_v"))).alias(f"_{name}{i}") for i, at in enumerate(place) for name, end in (("low", F.floor), ("high", F.ceil))]
+    picks = [
+        F.max(F.when(holds(end(at).cast("long")), F.col("_v"))).alias(f"_{name}{i}") for i, at in enumerate(place) for name,
+        end in (("low", F.floor), ("high", F.ceil))
+    ]
     found = ranked.groupBy(*group).agg(F.max("_total").alias("_total"), *picks)
 
     def between(i: int):
         low, high, at = F.col(f"_low{i}"), F.col(f"_high{i}"), place[i]
         return F.when(low == high, low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high)
 
-    out = found.where("_total is not null").select(*(F.col(g).alias(k) for g, k in zip(group, keys, strict=True)), F.array(*(between(i) for i in range(len(levels)))).alias(into), F.col("_total").alias("sample_count"))
+    out = found.where("_total is not null").select(
+        *(F.col(g).alias(k) for g, k in zip(group, keys, strict=True)), F.array(*(between(i) for i in range(len(levels)))).alias(into),
+        F.col("_total").alias("sample_count")
+    )
     return out

@@ -32,7 +32,9 @@ def sum_arcs(series: DataFrame, arcs: DataFrame, strict: bool = False) -> DataFr
     Lenient: a missing value counts 0 and an absent variable is ignored. Strict: any that lacks makes the sum missing.
     """
     counted = arcs.join(arcs.groupBy("entity").agg(F.count("*").alias("_arcs")), "entity") if strict else arcs.withColumn("_arcs", F.lit(0))
-    out = series.join(counted, "variable").groupBy("scenario", "entity", "ts").agg(F.sum("value").alias("_sum"), F.count("value").alias("_n"), F.max("_arcs").alias("_arcs"))
+    out = series.join(counted, "variable").groupBy("scenario", "entity", "ts").agg(
+        F.sum("value").alias("_sum"), F.count("value").alias("_n"), F.max("_arcs").alias("_arcs")
+    )
     value = F.when(F.col("_n") == F.col("_arcs"), F.col("_sum")) if strict else F.coalesce("_sum", F.lit(0.0))
     return out.select("scenario", "entity", "ts", value.alias("value"))
 
@@ -120,7 +122,10 @@ def back_calculate_demand(series: DataFrame, terms: DataFrame) -> DataFrame:
     roles = roles.select("district", "_term", "_times", "_e.variable", "_e._role")
     points = series.select("scenario", "ts", "variable", "value").join(written(roles.where("variable is not null"), "roles"), "variable")
     place = ["district", "scenario", "ts"]  # both aggregations below find their groups together
-    one = points.repartition(*place).groupBy(*place, "_term").agg(F.max("_times").alias("_times"), F.max(F.col("_role") == "delivery").alias("_there"), *(F.sum(F.when(F.col("_role") == role, F.col("value"))).alias(role) for role in ROLES))
+    one = points.repartition(*place).groupBy(*place, "_term").agg(
+        F.max("_times").alias("_times"), F.max(F.col("_role") == "delivery").alias("_there"),
+        *(F.sum(F.when(F.col("_role") == role, F.col("value"))).alias(role) for role in ROLES)
+    )
     need = F.when(F.col("allocation") > 0, F.try_divide(F.coalesce("delivery", F.lit(0.0)) + F.coalesce("shortage", F.lit(0.0)), F.col("allocation") / 100))
     out = one.where("_there").groupBy(*place).agg(F.sum(need * F.col("_times")).alias("demand"), F.sum(F.col("delivery") * F.col("_times")).alias("delivery"))
     return out.withColumn("pct_of_demand", F.when(F.col("demand") > 0, F.try_divide(F.col("delivery") * 100, F.col("demand"))))

@@ -31,7 +31,10 @@ def nest_monthly(stats: DataFrame, entities: DataFrame, values: Sequence[str]) -
 def group_members(groups: DataFrame, members: DataFrame, entities: DataFrame) -> DataFrame:
     """Groups with their active members in display order, and how many those are (0 for none)."""
     named = members.where("is_active").join(entities, "entity")
-    own = named.groupBy("group_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("display_order", "entity", "name"))), lambda s: s["name"]).alias("members"), F.count("*").alias("member_count"))
+    own = named.groupBy("group_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("display_order", "entity", "name"))), lambda s: s["name"]).alias("members"),
+        F.count("*").alias("member_count")
+    )
     out = groups.join(own, "group_id", "left")
     return out.withColumns({"members": F.coalesce("members", F.array().cast("array<string>")), "member_count": F.coalesce("member_count", F.lit(0).cast("long"))})
 
@@ -57,7 +60,9 @@ def scenario_bundle(scenarios: Sequence[str], tables: dict[str, tuple[DataFrame,
         df, values = tables[kind]
         rows = df.where(F.col("scenario").isin(*scenarios))
         entry = F.struct(F.col("water_month").cast("int").alias("key"), F.to_json(F.struct(*served(values))).alias("value"))
-        return rows.groupBy(*ENTITY).agg(map_of(F.collect_list(entry)).alias("monthly")).select("scenario", F.lit(kind).alias("kind"), F.col("entity").cast("string").alias("entity"), "monthly")
+        return rows.groupBy(*ENTITY).agg(map_of(F.collect_list(entry)).alias("monthly")).select(
+            "scenario", F.lit(kind).alias("kind"), F.col("entity").cast("string").alias("entity"), "monthly"
+        )
 
     return reduce(DataFrame.unionByName, [one(k) for k in kinds])
 
@@ -73,10 +78,16 @@ def scenario_detail(scenarios: DataFrame, climates: DataFrame, links: dict[str,
 
 def units_by_group(groups: DataFrame, members: DataFrame, entities: DataFrame, variables: DataFrame) -> DataFrame:
     """Units of active variable groups, with project and display name, in display order."""
-    rows = groups.where(F.col("is_active") & F.startswith("group_code", F.lit("var_"))).join(members.where("is_active").withColumnRenamed("display_order", "unit_order").drop("is_active"), "group_id").join(entities, "entity", "left").join(variables, "entity", "left")
+    rows = groups.where(F.col("is_active") & F.startswith("group_code", F.lit("var_"))).join(
+        members.where("is_active").withColumnRenamed("display_order", "unit_order").drop("is_active"), "group_id"
+    ).join(entities, "entity", "left").join(variables, "entity", "left")
     project = F.when(F.col("group_code") == "var_swp_contractor", "SWP").when(F.col("group_code") == "var_gw_only", "GW").when(F.col("region").isin("SAC", "SJR"), "CVP")
-    named = F.when(F.coalesce(F.col("agency"), F.lit("")) != "", F.concat(F.col("entity").cast("string"), F.lit(" - "), F.substring("agency", 1, 50))).otherwise(F.col("entity").cast("string"))
-    return rows.withColumns({"project": project, "display_name": named}).select("group_code", "display_order", "unit_order", "entity", "display_name", "project", "variable")
+    named = F.when(
+        F.coalesce(F.col("agency"), F.lit("")) != "", F.concat(F.col("entity").cast("string"), F.lit(" - "), F.substring("agency", 1, 50))
+    ).otherwise(F.col("entity").cast("string"))
+    return rows.withColumns({"project": project, "display_name": named}).select(
+        "group_code", "display_order", "unit_order", "entity", "display_name", "project", "variable"
+    )
 
 
 def single_unit_record(entity: DataFrame, period: DataFrame, delivery: DataFrame, shortage: DataFrame, values: Sequence[str]) -> DataFrame:

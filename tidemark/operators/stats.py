@@ -63,7 +63,10 @@ def storage_monthly(series: DataFrame, reservoirs: DataFrame, month: str = "wate
     rows = with_capacity(series, reservoirs).where("storage is not null")
     out = rows.groupBy(*keys, "capacity_taf").agg(*raw_stats(F.col("storage")))
     to_pct = F.lit(100.0) / F.col("capacity_taf")
-    return out.select(*keys, rounded(F.col("_avg")).alias("storage_avg_taf"), variation(F.col("_avg"), F.col("_std")).alias("storage_cv"), rounded(F.col("_avg") * to_pct).alias("storage_pct_capacity"), *bands(to_pct), *bands(1.0, "_taf"), "capacity_taf", "sample_count")
+    return out.select(
+        *keys, rounded(F.col("_avg")).alias("storage_avg_taf"), variation(F.col("_avg"), F.col("_std")).alias("storage_cv"),
+        rounded(F.col("_avg") * to_pct).alias("storage_pct_capacity"), *bands(to_pct), *bands(1.0, "_taf"), "capacity_taf", "sample_count"
+    )
 
 
 def percentile_bands(series: DataFrame, reservoirs: DataFrame, fill_empty: bool = False, month: str = "water_month") -> DataFrame:
@@ -72,7 +75,10 @@ def percentile_bands(series: DataFrame, reservoirs: DataFrame, fill_empty: bool
     rows = with_capacity(series, reservoirs)
     out = rows.where("storage is not null").groupBy(*keys, "capacity_taf").agg(*raw_stats(F.col("storage")))
     to_pct = F.lit(100.0) / F.col("capacity_taf")
-    out = out.select(*keys, *bands(to_pct, "", exceedances=()), rounded(F.col("_avg") * to_pct).alias("mean"), *bands(1.0, "_taf", exceedances=()), rounded(F.col("_avg")).alias("mean_taf"))
+    out = out.select(
+        *keys, *bands(to_pct, "", exceedances=()), rounded(F.col("_avg") * to_pct).alias("mean"), *bands(1.0, "_taf", exceedances=()),
+        rounded(F.col("_avg")).alias("mean_taf")
+    )
     if not fill_empty:
         return out
     grid = rows.select(*ENTITY).distinct().withColumn(month, F.explode(F.sequence(F.lit(1), F.lit(12))))
@@ -88,15 +94,26 @@ def spill_monthly(series: DataFrame, reservoirs: DataFrame) -> DataFrame:
     spills = F.col("spill") > 0
     own = F.when(spills, F.col("spill"))
     rows = with_capacity(series, reservoirs).where("spill is not null")
-    out = rows.groupBy(*MONTH).agg(F.count_if(spills).alias("spill_months_count"), F.count("*").alias("total_months"), F.avg(own).alias("_avg"), F.max(own).alias("_max"), F.percentile(own, [0.5, 0.9, 1.0]).alias("_q"), F.avg(F.when(spills, pct_of_capacity(F.col("storage"), F.col("capacity_taf")))).alias("_at"))
+    out = rows.groupBy(*MONTH).agg(
+        F.count_if(spills).alias("spill_months_count"), F.count("*").alias("total_months"), F.avg(own).alias("_avg"), F.max(own).alias("_max"),
+        F.percentile(own, [0.5, 0.9, 1.0]).alias("_q"), F.avg(F.when(spills, pct_of_capacity(F.col("storage"), F.col("capacity_taf")))).alias("_at")
+    )
     zero = lambda c: F.coalesce(rounded(c), F.lit(0.0))
-    return out.select(*MONTH, "spill_months_count", "total_months", rounded(F.col("spill_months_count") * 100.0 / F.col("total_months")).alias("spill_frequency_pct"), zero(F.col("_avg")).alias("spill_avg_cfs"), zero(F.col("_max")).alias("spill_max_cfs"), *(zero(F.get("_q", F.lit(i))).alias(f"spill_q{p}") for i, p in enumerate((50, 90, 100))), rounded(F.col("_at")).alias("storage_at_spill_avg_pct"))
+    return out.select(
+        *MONTH, "spill_months_count", "total_months",
+        rounded(F.col("spill_months_count") * 100.0 / F.col("total_months")).alias("spill_frequency_pct"), zero(F.col("_avg")).alias("spill_avg_cfs"),
+        zero(F.col("_max")).alias("spill_max_cfs"), *(zero(F.get("_q", F.lit(i))).alias(f"spill_q{p}") for i, p in enumerate((50, 90, 100))),
+        rounded(F.col("_at")).alias("storage_at_spill_avg_pct")
+    )
 
 
 def shortage_monthly(df: DataFrame, floor: float = SHORTAGE_FLOOR) -> DataFrame:
     """Distribution of shortage and the share of values over the floor."""
     out = df.where("shortage is not null").groupBy(*MONTH).agg(*raw_stats(F.col("shortage")), F.count_if(F.col("shortage") > floor).alias("_over"))
-    return out.select(*MONTH, rounded(F.col("_avg")).alias("shortage_avg_taf"), variation(F.col("_avg"), F.col("_std")).alias("shortage_cv"), rounded(F.col("_over") * 100.0 / F.col("sample_count")).alias("shortage_frequency_pct"), *bands(), "sample_count")
+    return out.select(
+        *MONTH, rounded(F.col("_avg")).alias("shortage_avg_taf"), variation(F.col("_avg"), F.col("_std")).alias("shortage_cv"),
+        rounded(F.col("_over") * 100.0 / F.col("sample_count")).alias("shortage_frequency_pct"), *bands(), "sample_count"
+    )
 
 
 def shortage_pct_of_demand(df: DataFrame) -> DataFrame:
@@ -107,7 +124,9 @@ def shortage_pct_of_demand(df: DataFrame) -> DataFrame:
 def monthly_demand_met(df: DataFrame) -> DataFrame:
     """Rounded monthly means of delivery and demand, and their ratio in percent, 0 to 100; null without demand."""
     out = df.groupBy(*MONTH).agg(rounded(F.avg("delivery")).alias("delivery_avg_taf"), rounded(F.avg("demand")).alias("demand_avg_taf"))
-    return out.where("delivery_avg_taf is not null").withColumn("percent_of_demand_avg", rounded(clip(ratio_or(F.col("delivery_avg_taf") * 100, F.col("demand_avg_taf"), None), 0, 100)))
+    return out.where("delivery_avg_taf is not null").withColumn(
+        "percent_of_demand_avg", rounded(clip(ratio_or(F.col("delivery_avg_taf") * 100, F.col("demand_avg_taf"), None), 0, 100))
+    )
 
 
 def annual_totals(df: DataFrame, values: Sequence[str]) -> DataFrame:
@@ -117,19 +136,30 @@ def annual_totals(df: DataFrame, values: Sequence[str]) -> DataFrame:
 
 def period_span(df: DataFrame) -> DataFrame:
     """First, last and number of water years of each scenario, over all its rows."""
-    return df.groupBy("scenario").agg(F.min("water_year").alias("simulation_start_year"), F.max("water_year").alias("simulation_end_year"), F.countDistinct("water_year").alias("total_years"))
+    return df.groupBy("scenario").agg(
+        F.min("water_year").alias("simulation_start_year"), F.max("water_year").alias("simulation_end_year"),
+        F.countDistinct("water_year").alias("total_years")
+    )
 
 
 def annual_summary(annual: DataFrame, value: str, prefix: str) -> DataFrame:
     """Mean, cv, least, most and exceedances of yearly totals."""
     out = annual.groupBy(*ENTITY).agg(*raw_stats(F.col(value)))
-    return out.select(*ENTITY, rounded(F.col("_avg")).alias(f"annual_{prefix}_avg_taf"), variation(F.col("_avg"), F.col("_std")).alias(f"annual_{prefix}_cv"), rounded(level(F.col("_q"), 0.0)).alias(f"annual_{prefix}_min_taf"), rounded(level(F.col("_q"), 1.0)).alias(f"annual_{prefix}_max_taf"), *(rounded(level(F.col("_q"), (100 - p) / 100)).alias(f"{prefix}_exc_p{p}") for p in EXCEEDANCES))
+    return out.select(
+        *ENTITY, rounded(F.col("_avg")).alias(f"annual_{prefix}_avg_taf"), variation(F.col("_avg"), F.col("_std")).alias(f"annual_{prefix}_cv"),
+        rounded(level(F.col("_q"), 0.0)).alias(f"annual_{prefix}_min_taf"), rounded(level(F.col("_q"), 1.0)).alias(f"annual_{prefix}_max_taf"),
+        *(rounded(level(F.col("_q"), (100 - p) / 100)).alias(f"{prefix}_exc_p{p}") for p in EXCEEDANCES)
+    )
 
 
 def annual_shortage_summary(annual: DataFrame, threshold: float = SHORTAGE_FLOOR) -> DataFrame:
     """Mean yearly shortage, years over the threshold and their share, exceedances."""
     out = annual.groupBy(*ENTITY).agg(*raw_stats(F.col("shortage")), F.count_if(F.col("shortage") > threshold).alias("shortage_years_count"))
-    return out.select(*ENTITY, rounded(F.col("_avg")).alias("annual_shortage_avg_taf"), "shortage_years_count", rounded(F.col("shortage_years_count") * 100.0 / F.col("sample_count")).alias("shortage_frequency_pct"), *(rounded(level(F.col("_q"), (100 - p) / 100)).alias(f"shortage_exc_p{p}") for p in EXCEEDANCES))
+    return out.select(
+        *ENTITY, rounded(F.col("_avg")).alias("annual_shortage_avg_taf"), "shortage_years_count",
+        rounded(F.col("shortage_years_count") * 100.0 / F.col("sample_count")).alias("shortage_frequency_pct"),
+        *(rounded(level(F.col("_q"), (100 - p) / 100)).alias(f"shortage_exc_p{p}") for p in EXCEEDANCES)
+    )
 
 
 def reliability(summary: DataFrame, mode: str) -> DataFrame:
@@ -179,7 +209,9 @@ def spill_years(rows: DataFrame) -> DataFrame:
     own = F.when(spills, F.col("spill"))
     return rows.groupBy(*YEAR).agg(
         F.sum(own).alias("_sum"), F.count(own).alias("_n"), F.min(own).alias("_min"), F.max(own).alias("_max"), F.coalesce(F.sum(spill_volume_taf(own)), F.lit(0.0)).alias("_volume"),
-        F.sum(F.when(spills, pct_of_capacity(F.col("storage"), F.col("capacity_taf")))).alias("_at"), F.count(F.when(spills, F.col("storage"))).alias("_at_n"), F.avg("storage").alias("_mean"),
+        F.sum(F.when(
+            spills, pct_of_capacity(F.col("storage"), F.col("capacity_taf"))
+        )).alias("_at"), F.count(F.when(spills, F.col("storage"))).alias("_at_n"), F.avg("storage").alias("_mean"),
     )
 
 
@@ -193,7 +225,9 @@ def spill_summary(years: DataFrame) -> DataFrame:
     return out.select(
         *ENTITY, "spill_years_count", rounded(F.col("spill_years_count") * 100.0 / F.col("_years")).alias("spill_frequency_pct"), zero(F.try_divide("_sum", "_n")).alias("spill_mean_cfs"), zero(F.col("_max")).alias("spill_peak_cfs"),
         zero(F.col("_vavg")).alias("annual_spill_avg_taf"), F.coalesce(variation(F.col("_vavg"), F.col("_vstd")), F.lit(0.0)).alias("annual_spill_cv"), zero(F.col("_vmax")).alias("annual_spill_max_taf"),
-        *(zero(F.get("_q", F.lit(i))).alias(f"annual_max_spill_q{p}") for i, p in enumerate((50, 90, 100))), rounded(F.try_divide("_at", "_at_n")).alias("storage_at_spill_avg_pct"), rounded(F.col("_min")).alias("spill_threshold_cfs"), rounded(F.col("_mean")).alias("annual_avg_taf"),
+        *(
+            zero(F.get("_q", F.lit(i))).alias(f"annual_max_spill_q{p}") for i, p in enumerate((50, 90, 100))
+        ), rounded(F.try_divide("_at", "_at_n")).alias("storage_at_spill_avg_pct"), rounded(F.col("_min")).alias("spill_threshold_cfs"), rounded(F.col("_mean")).alias("annual_avg_taf"),
     )
 
 

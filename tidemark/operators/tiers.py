@@ -45,7 +45,9 @@ def unpivot_station_matrix(matrix: DataFrame, indicator: str) -> DataFrame:
 
 def long_tiers(df: DataFrame, indicator: str) -> DataFrame:
     """Rows that are long already, (scenario, region, tier)."""
-    return df.where("tier is not null").select("scenario", F.lit(indicator).alias("indicator"), F.col("region").alias("location"), F.col("tier").cast("int").alias("level"))
+    return df.where("tier is not null").select(
+        "scenario", F.lit(indicator).alias("indicator"), F.col("region").alias("location"), F.col("tier").cast("int").alias("level")
+    )
 
 
 def groundwater_levels(df: DataFrame, names: DataFrame) -> DataFrame:
@@ -65,7 +67,11 @@ def tier_counts(df: DataFrame, denominator: int | None = None, digits: int = 4)
     """Locations at each level and their shares, of the non-missing locations or of a given number."""
     out = df.groupBy("scenario", "indicator").agg(*(F.count_if(F.col("level") == t).alias(f"tier_{t}_value") for t in TIERS), F.count("level").alias("total_value"))
     out = out if denominator is None else out.withColumn("total_value", F.lit(denominator).cast("long"))
-    return out.select("scenario", "indicator", *(f"tier_{t}_value" for t in TIERS), *(rounded(F.try_divide(F.col(f"tier_{t}_value").cast("double"), F.col("total_value")), digits).alias(f"norm_tier_{t}") for t in TIERS), "total_value")
+    return out.select(
+        "scenario", "indicator", *(f"tier_{t}_value" for t in TIERS),
+        *(rounded(F.try_divide(F.col(f"tier_{t}_value").cast("double"), F.col("total_value")), digits).alias(f"norm_tier_{t}") for t in TIERS),
+        "total_value"
+    )
 
 
 def tier_scores(results: DataFrame) -> DataFrame:
@@ -75,10 +81,15 @@ def tier_scores(results: DataFrame) -> DataFrame:
     mean = reduce(Column.__add__, [s * t for s, t in zip(n, TIERS, strict=True)])
     spread = reduce(Column.__add__, [n[i] * n[j] * abs(i - j) for i in range(4) for j in range(4)])
     there = total > 0
-    best, worst = F.coalesce(*(F.when(s > 0, t) for s, t in zip(n, TIERS, strict=True))), F.coalesce(*(F.when(s > 0, t) for s, t in reversed(list(zip(n, TIERS, strict=True)))))
+    best, worst = F.coalesce(*(F.when(s > 0, t) for s, t in zip(n, TIERS, strict=True))), F.coalesce(*(
+        F.when(s > 0, t) for s, t in reversed(list(zip(n, TIERS, strict=True)))
+    ))
     out = results.withColumn("weighted_score", F.when(there, rounded(F.try_divide(mean, total), 3)))
     height = lambda level: F.when(there, rounded((4.0 - level) / 3.0, 3))
-    return out.withColumns({"normalized_score": height(F.col("weighted_score")), "gini": F.when(there, rounded(F.try_divide(spread, mean * 2), 3)), "band_upper": height(best), "band_lower": height(worst)})
+    return out.withColumns({
+        "normalized_score": height(F.col("weighted_score")), "gini": F.when(there, rounded(F.try_divide(spread, mean * 2), 3)),
+        "band_upper": height(best), "band_lower": height(worst)
+    })
 
 
 def single_tier_scores(results: DataFrame) -> DataFrame:
@@ -91,13 +102,17 @@ def single_tier_scores(results: DataFrame) -> DataFrame:
 def compare_scenarios(scores: DataFrame, a: str, b: str) -> DataFrame:
     """Scores of two scenarios side by side; a side that lacks, or a normalised score of 0, is null."""
     own = lambda s, c: F.max(F.when(F.col("scenario") == s, F.nullif(F.col(c), F.lit(0.0))))
-    return scores.where(F.col("scenario").isin(a, b)).groupBy("indicator").agg(*(own(s, c).alias(f"{c}_{n}") for n, s in (("a", a), ("b", b)) for c in ("weighted_score", "normalized_score", "gini")))
+    return scores.where(F.col("scenario").isin(a, b)).groupBy("indicator").agg(*(
+        own(s, c).alias(f"{c}_{n}") for n, s in (("a", a), ("b", b)) for c in ("weighted_score", "normalized_score", "gini")
+    ))
 
 
 def indicator_averages(scores: DataFrame) -> DataFrame:
     """Mean, least and most weighted score of each indicator, best first."""
     w = F.col("weighted_score")
-    return scores.groupBy("indicator").agg(rounded(F.avg(w), 4).alias("avg_score"), F.min(w).alias("min_score"), F.max(w).alias("max_score"), F.count(w).alias("scenarios")).orderBy("avg_score", "indicator")
+    return scores.groupBy("indicator").agg(
+        rounded(F.avg(w), 4).alias("avg_score"), F.min(w).alias("min_score"), F.max(w).alias("max_score"), F.count(w).alias("scenarios")
+    ).orderBy("avg_score", "indicator")
 
 
 def tier_availability(results: DataFrame) -> DataFrame:
@@ -119,7 +134,13 @@ def scenario_location_counts(locations: DataFrame) -> DataFrame:
 def tier_locations(locations: DataFrame, definitions: DataFrame) -> DataFrame:
     """Per scenario and indicator the ordered list of locations and the number at each level."""
     rows = locations.join(definitions.select("indicator", "name"), "indicator")
-    return rows.groupBy("scenario", "indicator", "name").agg(F.transform(F.array_sort(F.collect_list(F.struct("display_order", "location", "level"))), lambda s: F.struct(s["location"].alias("location"), s["level"].alias("level"))).alias("locations"), *(F.count_if(F.col("level") == t).alias(f"tier_{t}_count") for t in TIERS))
+    return rows.groupBy("scenario", "indicator", "name").agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("display_order", "location", "level"))),
+            lambda s: F.struct(s["location"].alias("location"), s["level"].alias("level"))
+        ).alias("locations"),
+        *(F.count_if(F.col("level") == t).alias(f"tier_{t}_count") for t in TIERS)
+    )
 
 
 def tier_features(locations: DataFrame, geometries: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -129,7 +150,10 @@ def tier_features(locations: DataFrame, geometries: DataFrame, aliases: DataFram
     to one geometry.
     """
     rows = locations.join(aliases, "location", "left").withColumn("geometry_id", F.coalesce("geometry_id", "location"))
-    return rows.join(geometries, ["location_type", "geometry_id"]).select("scenario", "indicator", "location", "geometry", F.to_json(F.struct("location", "location_type", F.col("level").alias("tier_level"))).alias("properties"))
+    return rows.join(geometries, ["location_type", "geometry_id"]).select(
+        "scenario", "indicator", "location", "geometry",
+        F.to_json(F.struct("location", "location_type", F.col("level").alias("tier_level"))).alias("properties")
+    )
 
 
 def reconcile_tiers(locations: DataFrame, results: DataFrame) -> DataFrame:
@@ -141,4 +165,6 @@ def reconcile_tiers(locations: DataFrame, results: DataFrame) -> DataFrame:
 
 def tier_type_summary(results: DataFrame, definitions: DataFrame) -> DataFrame:
     """Per tier type the results, and those with counts and with a single level."""
-    return results.join(definitions.select("indicator", "tier_type"), "indicator").groupBy("tier_type").agg(F.count("*").alias("results"), F.count("tier_1_value").alias("multi_value"), F.count("single_tier_level").alias("single_value"))
+    return results.join(definitions.select("indicator", "tier_type"), "indicator").groupBy("tier_type").agg(
+        F.count("*").alias("results"), F.count("tier_1_value").alias("multi_value"), F.count("single_tier_level").alias("single_value")
+    )

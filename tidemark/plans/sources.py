@@ -41,7 +41,10 @@ def header_lines(spark, sf):
     n, header = (k / 20).cast("long"), F.lit(7) + F.col("file_no") % 3
     rows = p.select(n.alias("file_no"), (k % 20).alias("line"), "p_size")
     first = F.when(F.col("line") < header, F.concat(F.lit("h"), F.col("line").cast("string"))).otherwise(F.format_string("2001-%02d-01", F.col("line") % 12 + 1))
-    return rows.select(F.concat(F.lit("f"), F.col("file_no").cast("string")).alias("file"), F.lit(0).cast("long").alias("block"), (F.col("file_no") * 100 + F.col("line")).alias("at"), F.array(first, F.col("p_size").cast("string")).alias("cells"))
+    return rows.select(
+        F.concat(F.lit("f"), F.col("file_no").cast("string")).alias("file"), F.lit(0).cast("long").alias("block"),
+        (F.col("file_no") * 100 + F.col("line")).alias("at"), F.array(first, F.col("p_size").cast("string")).alias("cells")
+    )
 
 
 @query("a1_read_dss_csv", f"{FULL} SELECT scenario, variable, ts, {r('value')} AS value FROM cells WHERE variable IN ('V1', 'V7', 'V10')")
@@ -51,7 +54,10 @@ def a1(spark, sf):
     return out.select("scenario", "variable", "ts", rounded(F.col("value")).alias("value"))
 
 
-@query("a1_series_table", f"{FULL} SELECT scenario, variable AS entity, {big('(month(ts) + 2) % 12 + 1')} AS water_month, {r('avg(CASE WHEN scenario = \'s0002\' THEN value + 1 ELSE value END)')} AS avg, count(value) AS sample_count FROM cells WHERE value IS NOT NULL GROUP BY 1, 2, 3")
+@query(
+    "a1_series_table",
+    f"{FULL} SELECT scenario, variable AS entity, {big('(month(ts) + 2) % 12 + 1')} AS water_month, {r('avg(CASE WHEN scenario = \'s0002\' THEN value + 1 ELSE value END)')} AS avg, count(value) AS sample_count FROM cells WHERE value IS NOT NULL GROUP BY 1, 2, 3"
+)
 def a1_series_table(spark, sf):
     """All exports converted once into the bucketed table, one of them sent again with other values; monthly statistics
     of every variable are read from there without a shuffle."""
@@ -66,18 +72,29 @@ def a1_series_table(spark, sf):
 ANNUAL = f"WITH ex AS (SELECT {NUMBERED.replace('scenario', 'o_orderstatus')} AS scenario, 'V' || o_custkey % 60 AS variable, make_date(CAST(year(o_orderdate) AS INTEGER), 9, 30) AS ts, sum(o_totalprice) AS value FROM orders GROUP BY 1, 2, 3), days AS (SELECT DISTINCT scenario, ts FROM ex), vars AS (SELECT DISTINCT scenario, variable FROM ex)"
 
 
-@query("a1_read_annual", f"{ANNUAL} SELECT scenario, variable, ts, {big('0')} AS water_month, {big('year(ts)')} AS water_year, {big('365')} AS days_in_month, {r('value')} AS value FROM days JOIN vars USING (scenario) LEFT JOIN ex USING (scenario, variable, ts)")
+@query(
+    "a1_read_annual",
+    f"{ANNUAL} SELECT scenario, variable, ts, {big('0')} AS water_month, {big('year(ts)')} AS water_year, {big('365')} AS days_in_month, {r('value')} AS value FROM days JOIN vars USING (scenario) LEFT JOIN ex USING (scenario, variable, ts)"
+)
 def a1_annual(spark, sf):
     """Exports whose first column holds bare years."""
-    o = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("scenario"), F.concat(F.lit("V"), (F.col("o_custkey") % 60).cast("string")).alias("variable"), F.make_date(F.year("o_orderdate"), F.lit(9), F.lit(30)).alias("ts"), "o_totalprice")
+    o = table(spark, sf, "orders").select(
+        F.col("o_orderstatus").alias("scenario"), F.concat(F.lit("V"), (F.col("o_custkey") % 60).cast("string")).alias("variable"),
+        F.make_date(F.year("o_orderdate"), F.lit(9), F.lit(30)).alias("ts"), "o_totalprice"
+    )
     lines = sinks.dss_lines(numbered(o.groupBy("scenario", "variable", "ts").agg(F.sum("o_totalprice").alias("value"))).withColumn("units", F.lit("TAF")))
     path = shared_path(spark, "annual")
-    lines.repartition("scenario").sortWithinPartitions("scenario", "place").select("scenario", F.regexp_replace("line", r"^(\d{4})-09-30", "$1").alias("value")).write.partitionBy("scenario").text(path)
+    lines.repartition("scenario").sortWithinPartitions("scenario", "place").select(
+        "scenario", F.regexp_replace("line", r"^(\d{4})-09-30", "$1").alias("value")
+    ).write.partitionBy("scenario").text(path)
     out = X.with_series_calendar(X.read_dss_csv(spark, path))
     return out.select("scenario", "variable", "ts", "water_month", "water_year", "days_in_month", rounded(F.col("value")).alias("value"))
 
 
-@query("a2_detect_header_rows", "SELECT 'f' || n AS file, CAST(7 + n % 3 AS BIGINT) AS data_start FROM (SELECT DISTINCT CAST(floor(p_partkey / 20) AS BIGINT) AS n FROM part)")
+@query(
+    "a2_detect_header_rows",
+    "SELECT 'f' || n AS file, CAST(7 + n % 3 AS BIGINT) AS data_start FROM (SELECT DISTINCT CAST(floor(p_partkey / 20) AS BIGINT) AS n FROM part)"
+)
 def a2(spark, sf):
     return X.detect_header_rows(header_lines(spark, sf))
 
@@ -86,7 +103,10 @@ META = "WITH meta AS (SELECT 'f' || p_size AS file, CAST(p_partkey % 40 + 1 AS I
 
 
 def meta(spark, sf):
-    return table(spark, sf, "part").select(F.concat(F.lit("f"), F.col("p_size").cast("string")).alias("file"), (F.col("p_partkey") % 40 + 1).alias("col_idx"), F.upper(F.replace("p_name", F.lit(" "), F.lit("_"))).alias("b"))
+    return table(spark, sf, "part").select(
+        F.concat(F.lit("f"), F.col("p_size").cast("string")).alias("file"), (F.col("p_partkey") % 40 + 1).alias("col_idx"),
+        F.upper(F.replace("p_name", F.lit(" "), F.lit("_"))).alias("b")
+    )
 
 
 @query("a3_select_variables", f"{META} SELECT file, {big('col_idx')} AS col_idx, b FROM meta WHERE b IN (SELECT b FROM meta WHERE file = 'f1')")
@@ -117,20 +137,34 @@ def paths(spark, sf):
     return o.select(s.alias("scenario"), F.concat_ws("/", F.lit("scenario"), s, folder, F.concat(name, F.when(k % 5 == 0, "/").otherwise(""))).alias("path"))
 
 
-@query("a6_pick_first_existing", f"{PATHS}, x AS (SELECT scenario, path, CASE WHEN path LIKE '%/csv/a\\_output.csv' ESCAPE '\\' THEN 1 WHEN path LIKE '%/run/%csv' THEN 2 WHEN path LIKE '%.csv' THEN 3 END AS rank FROM paths) SELECT scenario, arg_min(path, (rank, path)) AS path FROM x WHERE rank IS NOT NULL GROUP BY 1")
+@query(
+    "a6_pick_first_existing",
+    f"{PATHS}, x AS (SELECT scenario, path, CASE WHEN path LIKE '%/csv/a\\_output.csv' ESCAPE '\\' THEN 1 WHEN path LIKE '%/run/%csv' THEN 2 WHEN path LIKE '%.csv' THEN 3 END AS rank FROM paths) SELECT scenario, arg_min(path, (rank, path)) AS path FROM x WHERE rank IS NOT NULL GROUP BY 1"
+)
 def a6(spark, sf):
-    patterns = table(spark, sf, "region").where("r_regionkey < 3").select(F.get(F.array(F.lit(r"/csv/a_output\.csv$"), F.lit(r"/run/.*csv$"), F.lit(r"\.csv$")), F.col("r_regionkey")).alias("pattern"), (F.col("r_regionkey") + 1).alias("rank"))
+    patterns = table(spark, sf, "region").where("r_regionkey < 3").select(
+        F.get(F.array(F.lit(r"/csv/a_output\.csv$"), F.lit(r"/run/.*csv$"), F.lit(r"\.csv$")), F.col("r_regionkey")).alias("pattern"),
+        (F.col("r_regionkey") + 1).alias("rank")
+    )
     return X.pick_first_existing(paths(spark, sf), patterns)
 
 
-@query("a7_scenario_from_path", "SELECT p_partkey AS k, CASE p_partkey % 3 WHEN 0 THEN 's' || lpad(CAST(p_size AS VARCHAR), 4, '0') WHEN 1 THEN 's' || lpad(CAST(p_size AS VARCHAR), 4, '0') ELSE left(lower(regexp_replace(p_name, '[^A-Za-z0-9._-]+', '_', 'g')), 12) END AS scenario FROM part")
+@query(
+    "a7_scenario_from_path",
+    "SELECT p_partkey AS k, CASE p_partkey % 3 WHEN 0 THEN 's' || lpad(CAST(p_size AS VARCHAR), 4, '0') WHEN 1 THEN 's' || lpad(CAST(p_size AS VARCHAR), 4, '0') ELSE left(lower(regexp_replace(p_name, '[^A-Za-z0-9._-]+', '_', 'g')), 12) END AS scenario FROM part"
+)
 def a7(spark, sf):
     k, s = F.col("p_partkey"), F.concat(F.lit("S"), F.lpad(F.col("p_size").cast("string"), 4, "0"))
-    path = F.when(k % 3 == 0, F.concat(F.lit("scenario/"), s, F.lit("/csv/x.csv"))).when(k % 3 == 1, F.concat(F.lit("in/"), s, F.lit("_DV.csv"))).otherwise(F.concat(F.lit("in/"), F.col("p_name"), F.lit(".zip")))
+    path = F.when(
+        k % 3 == 0, F.concat(F.lit("scenario/"), s, F.lit("/csv/x.csv"))
+    ).when(k % 3 == 1, F.concat(F.lit("in/"), s, F.lit("_DV.csv"))).otherwise(F.concat(F.lit("in/"), F.col("p_name"), F.lit(".zip")))
     return table(spark, sf, "part").select(k.alias("k"), scalars.scenario_from_path(path).alias("scenario"))
 
 
-@query("a8_catalogue_files", f"{PATHS}, x AS (SELECT scenario, path FROM paths WHERE path NOT LIKE '%/') SELECT scenario, bool_or(path LIKE '%.zip') AS has_zip, bool_or(regexp_matches(path, 'output[^/]*\\.csv$')) AS has_output_csv, bool_or(regexp_matches(path, 'sv[^/]*\\.csv$')) AS has_sv_csv FROM x GROUP BY 1")
+@query(
+    "a8_catalogue_files",
+    f"{PATHS}, x AS (SELECT scenario, path FROM paths WHERE path NOT LIKE '%/') SELECT scenario, bool_or(path LIKE '%.zip') AS has_zip, bool_or(regexp_matches(path, 'output[^/]*\\.csv$')) AS has_output_csv, bool_or(regexp_matches(path, 'sv[^/]*\\.csv$')) AS has_sv_csv FROM x GROUP BY 1"
+)
 def a8(spark, sf):
     return X.catalogue_files(paths(spark, sf))
 
@@ -147,8 +181,12 @@ def a9(spark, sf):
     k = F.col("p_partkey")
     f, b = k % 3, k % 7
     folder = F.when(F.col("p_size") % 2 != 0, "x/").when(f == 0, "DSS\\Input\\").when(f == 1, "dss/output/").otherwise("other/")
-    name = F.when(b == 0, "a_SV.dss").when(b == 1, F.concat(F.lit("input"), k.cast("string"), F.lit(".dss"))).when(b == 2, "r_DV.dss").when(b == 3, "results.dss").when(b == 4, "CVGroundwaterOut.dss").when(b == 5, "plain.dss").otherwise("out.dss")
-    rows = table(spark, sf, "part").select(F.concat("p_brand", F.col("p_size").cast("string")).alias("package"), k.alias("position"), F.concat(folder, name).alias("path"))
+    name = F.when(b == 0, "a_SV.dss").when(
+        b == 1, F.concat(F.lit("input"), k.cast("string"), F.lit(".dss"))
+    ).when(b == 2, "r_DV.dss").when(b == 3, "results.dss").when(b == 4, "CVGroundwaterOut.dss").when(b == 5, "plain.dss").otherwise("out.dss")
+    rows = table(spark, sf, "part").select(
+        F.concat("p_brand", F.col("p_size").cast("string")).alias("package"), k.alias("position"), F.concat(folder, name).alias("path")
+    )
     return X.classify_dss_paths(rows).withColumns({c: F.replace(c, F.lit("\\"), F.lit("/")) for c in ("sv_path", "output_path")})
 
 
@@ -158,8 +196,14 @@ POINTS = """WITH pts AS (SELECT o_orderkey AS read_order, o_orderstatus || '|V'
 
 def points(spark, sf):
     k = F.col("o_orderkey")
-    name = F.concat_ws("/", F.lit(""), F.col("o_orderstatus"), F.concat(F.lit("V"), (F.col("o_custkey") % 30).cast("string")), F.lit("FLOW"), F.lit("01JAN1920"), F.lit("1MON"), F.lit("L2020A"), F.lit(""))
-    return table(spark, sf, "orders").select(k.alias("read_order"), F.when(k % 11 == 0, "/A/B/").otherwise(name).alias("pathname"), F.col("o_orderdate").alias("ts"), F.when(k % 13 == 0, scalars.MISSING_CODE).otherwise(F.col("o_totalprice")).alias("value"))
+    name = F.concat_ws(
+        "/", F.lit(""), F.col("o_orderstatus"), F.concat(F.lit("V"), (F.col("o_custkey") % 30).cast("string")), F.lit("FLOW"), F.lit("01JAN1920"),
+        F.lit("1MON"), F.lit("L2020A"), F.lit("")
+    )
+    return table(spark, sf, "orders").select(
+        k.alias("read_order"), F.when(k % 11 == 0, "/A/B/").otherwise(name).alias("pathname"), F.col("o_orderdate").alias("ts"),
+        F.when(k % 13 == 0, scalars.MISSING_CODE).otherwise(F.col("o_totalprice")).alias("value")
+    )
 
 
 @query("a10_parse_pathnames", f"{POINTS} SELECT read_order, series_key FROM pts WHERE NOT short")
@@ -175,8 +219,14 @@ def a10(spark, sf):
 def a11(spark, sf):
     k, s = F.col("p_partkey"), F.col("p_size")
     even = (k % 2 == 0) & (s % 2 == 0)
-    parts = [F.when(s % 2 == 1, "SV1").otherwise("RUN"), F.when(even, "S").otherwise("SHSTA"), F.when(k % 5 != 0, "FLOW").otherwise("flow-x"), F.when((k % 2 == 1) | (s % 2 == 1), "INPUT").otherwise("01JAN1920"), F.lit("1MON"), F.when(k % 3 == 0, "CFS").otherwise("L2020A")]
-    rows = table(spark, sf, "part").select(F.concat(F.lit("f"), s.cast("string")).alias("file"), k.alias("position"), F.concat(F.lit("/"), F.concat_ws("/", *parts), F.lit("/")).alias("pathname"))
+    parts = [
+        F.when(s % 2 == 1, "SV1").otherwise("RUN"), F.when(even, "S").otherwise("SHSTA"), F.when(k % 5 != 0, "FLOW").otherwise("flow-x"),
+        F.when((k % 2 == 1) | (s % 2 == 1), "INPUT").otherwise("01JAN1920"), F.lit("1MON"), F.when(k % 3 == 0, "CFS").otherwise("L2020A")
+    ]
+    rows = table(spark, sf, "part").select(
+        F.concat(F.lit("f"), s.cast("string")).alias("file"), k.alias("position"),
+        F.concat(F.lit("/"), F.concat_ws("/", *parts), F.lit("/")).alias("pathname")
+    )
     return X.detect_series_type(rows)
 
 
@@ -185,11 +235,20 @@ def a12(spark, sf):
     return points(spark, sf).select("read_order", scalars.missing_code_to_null(F.col("value")).alias("value"))
 
 
-for _mode, _sql in (("end_of_month", "CASE WHEN day(o_orderdate) = 1 THEN o_orderdate - INTERVAL 1 DAY ELSE last_day(o_orderdate) END"), ("start_of_month", "date_trunc('month', o_orderdate)"), ("none", "o_orderdate")):
-    query(f"a13_adjust_timestamp_{_mode}", f"SELECT o_orderkey AS k, CAST({_sql} AS DATE) AS ts FROM orders")(lambda spark, sf, mode=_mode: table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), scalars.adjusted_timestamp(F.col("o_orderdate"), mode).alias("ts")))
+for _mode, _sql in (
+    ("end_of_month", "CASE WHEN day(o_orderdate) = 1 THEN o_orderdate - INTERVAL 1 DAY ELSE last_day(o_orderdate) END"),
+    ("start_of_month", "date_trunc('month', o_orderdate)"), ("none", "o_orderdate")
+):
+    query(f"a13_adjust_timestamp_{_mode}", f"SELECT o_orderkey AS k, CAST({_sql} AS DATE) AS ts FROM orders")(
+        lambda spark, sf,
+        mode=_mode: table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), scalars.adjusted_timestamp(F.col("o_orderdate"), mode).alias("ts"))
+    )
 
 
-@query("a14_merge_series_points", f"{POINTS} SELECT series_key, ts, arg_max(CASE WHEN value IS NULL THEN -1 ELSE value END, read_order) AS value FROM pts WHERE NOT short GROUP BY 1, 2")
+@query(
+    "a14_merge_series_points",
+    f"{POINTS} SELECT series_key, ts, arg_max(CASE WHEN value IS NULL THEN -1 ELSE value END, read_order) AS value FROM pts WHERE NOT short GROUP BY 1, 2"
+)
 def a14(spark, sf):
     return X.clean_points(points(spark, sf)).withColumn("value", F.coalesce("value", F.lit(-1.0)))
 
@@ -219,19 +278,31 @@ def a16_parts(spark, sf):
     return out.select("scenario", "variable", "ts", rounded(F.col("value")).alias("value"))
 
 
-@query("a17_read_seed", f"SELECT s_suppkey AS id, s_name || ', \"' || s_nationkey || '\"' AS name, s_suppkey % 2 = 0 AS flag, CASE WHEN s_suppkey % 4 = 0 THEN 0.0 ELSE s_acctbal END AS capacity, {big('s_suppkey + s_nationkey')} AS total FROM supplier")
+@query(
+    "a17_read_seed",
+    f"SELECT s_suppkey AS id, s_name || ', \"' || s_nationkey || '\"' AS name, s_suppkey % 2 = 0 AS flag, CASE WHEN s_suppkey % 4 = 0 THEN 0.0 ELSE s_acctbal END AS capacity, {big('s_suppkey + s_nationkey')} AS total FROM supplier"
+)
 def a17(spark, sf):
     path, k = shared_path(spark, "seed"), F.col("s_suppkey")
-    rows = table(spark, sf, "supplier").select(k.alias("id"), F.concat("s_name", F.lit(', "'), F.col("s_nationkey").cast("string"), F.lit('"')).alias("name"), (k % 2 == 0).alias("flag"), F.when(k % 4 != 0, F.col("s_acctbal")).alias("capacity"), F.concat(F.lit("{"), k.cast("string"), F.lit(","), F.col("s_nationkey").cast("string"), F.lit("}")).alias("source_ids"))
+    rows = table(spark, sf, "supplier").select(
+        k.alias("id"), F.concat("s_name", F.lit(', "'), F.col("s_nationkey").cast("string"), F.lit('"')).alias("name"), (k % 2 == 0).alias("flag"),
+        F.when(k % 4 != 0, F.col("s_acctbal")).alias("capacity"),
+        F.concat(F.lit("{"), k.cast("string"), F.lit(","), F.col("s_nationkey").cast("string"), F.lit("}")).alias("source_ids")
+    )
     rows.write.option("header", True).option("escape", '"').csv(path)
     out = X.read_seed(spark, path, "id long, name string, flag boolean, capacity double, source_ids string", ["capacity"])
     return out.withColumn("total", F.aggregate(scalars.int_array(F.col("source_ids")), F.lit(0).cast("long"), lambda a, x: a + x)).drop("source_ids")
 
 
-@query("a18_expand_entity_variables", f"WITH e AS (SELECT s_suppkey AS id, 'R' || s_suppkey AS sc, s_name AS name, row_number() OVER (ORDER BY s_suppkey) AS n FROM supplier), k(i, suffix, t, label, about) AS (VALUES (0, '', 'release_total', 'Total Release', 'Total release from {{}}'), (1, '_NCF', 'release_normal', 'Normal Release', 'Normal controlled release from {{}} (≤ release capacity)'), (2, '_FLOOD', 'release_flood', 'Flood Spill', 'Flood spill from {{}} (above release capacity)')) SELECT {big('(n - 1) * 3 + i + 196')} AS variable_id, 'C_' || sc || suffix AS calsim_id, name || ' ' || label AS variable_name, replace(about, '{{}}', name) AS description, id AS entity_id, t AS variable_type FROM e, k")
+@query(
+    "a18_expand_entity_variables",
+    f"WITH e AS (SELECT s_suppkey AS id, 'R' || s_suppkey AS sc, s_name AS name, row_number() OVER (ORDER BY s_suppkey) AS n FROM supplier), k(i, suffix, t, label, about) AS (VALUES (0, '', 'release_total', 'Total Release', 'Total release from {{}}'), (1, '_NCF', 'release_normal', 'Normal Release', 'Normal controlled release from {{}} (≤ release capacity)'), (2, '_FLOOD', 'release_flood', 'Flood Spill', 'Flood spill from {{}} (above release capacity)')) SELECT {big('(n - 1) * 3 + i + 196')} AS variable_id, 'C_' || sc || suffix AS calsim_id, name || ' ' || label AS variable_name, replace(about, '{{}}', name) AS description, id AS entity_id, t AS variable_type FROM e, k"
+)
 def a18(spark, sf):
     k = F.col("s_suppkey")
-    return X.expand_entity_variables(table(spark, sf, "supplier").select(k.alias("id"), F.concat(F.lit("R"), k.cast("string")).alias("short_code"), F.col("s_name").alias("name")))
+    return X.expand_entity_variables(table(spark, sf, "supplier").select(
+        k.alias("id"), F.concat(F.lit("R"), k.cast("string")).alias("short_code"), F.col("s_name").alias("name")
+    ))
 
 
 def _halves(spark, sf):
@@ -240,24 +311,35 @@ def _halves(spark, sf):
     return target, c.where("c_custkey % 2 = 0").select(k.alias("k"), (F.col("c_acctbal") + 1).alias("v"), F.when(k % 4 == 0, "new").alias("tag"))
 
 
-@query("a19_upsert", "SELECT c_custkey AS k, c_acctbal + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS v, CASE WHEN c_custkey % 2 = 1 THEN 'old' WHEN c_custkey % 4 = 0 THEN 'new' ELSE 'system' END AS tag FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0")
+@query(
+    "a19_upsert",
+    "SELECT c_custkey AS k, c_acctbal + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS v, CASE WHEN c_custkey % 2 = 1 THEN 'old' WHEN c_custkey % 4 = 0 THEN 'new' ELSE 'system' END AS tag FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0"
+)
 def a19(spark, sf):
     target, updates = _halves(spark, sf)
     return sinks.upsert(target, updates, ["k"], {"tag": "system"})
 
 
-@query("a19_upsert_table", "SELECT o_orderstatus AS scenario, o_orderkey AS k, o_totalprice + CASE WHEN o_orderstatus <> 'P' AND o_custkey % 3 = 0 THEN 1 ELSE 0 END AS v, CASE WHEN o_orderstatus <> 'P' AND o_custkey % 3 = 0 THEN CASE WHEN o_custkey % 2 = 0 THEN 'new' ELSE 'system' END ELSE 'old' END AS tag, CAST(2 AS BIGINT) AS rewritten FROM orders WHERE o_orderkey % 5 <> 0 OR (o_orderstatus <> 'P' AND o_custkey % 3 = 0)")
+@query(
+    "a19_upsert_table",
+    "SELECT o_orderstatus AS scenario, o_orderkey AS k, o_totalprice + CASE WHEN o_orderstatus <> 'P' AND o_custkey % 3 = 0 THEN 1 ELSE 0 END AS v, CASE WHEN o_orderstatus <> 'P' AND o_custkey % 3 = 0 THEN CASE WHEN o_custkey % 2 = 0 THEN 'new' ELSE 'system' END ELSE 'old' END AS tag, CAST(2 AS BIGINT) AS rewritten FROM orders WHERE o_orderkey % 5 <> 0 OR (o_orderstatus <> 'P' AND o_custkey % 3 = 0)"
+)
 def a19_table(spark, sf):
     """A table partitioned by scenario of which two of three scenarios get updates and new keys."""
     path, o = shared_path(spark, "upserted"), table(spark, sf, "orders")
     rows = o.select(F.col("o_orderstatus").alias("scenario"), F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"), F.lit("old").alias("tag"), "o_custkey")
     rows.where("k % 5 <> 0").drop("o_custkey").repartition("scenario").write.partitionBy("scenario").parquet(path)
-    news = rows.where("scenario <> 'P' and o_custkey % 3 = 0").select("scenario", "k", (F.col("v") + 1).alias("v"), F.when(F.col("o_custkey") % 2 == 0, "new").alias("tag"))
+    news = rows.where("scenario <> 'P' and o_custkey % 3 = 0").select(
+        "scenario", "k", (F.col("v") + 1).alias("v"), F.when(F.col("o_custkey") % 2 == 0, "new").alias("tag")
+    )
     n = sinks.upsert_table(spark, path, news, ["scenario", "k"], ["scenario"], {"tag": "system"})
     return spark.read.parquet(path).withColumn("rewritten", F.lit(n))
 
 
-@query("a20_replace_scenario", f"SELECT o_orderstatus AS scenario, o_orderkey, o_custkey, {big("CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END")} AS version FROM orders WHERE o_orderstatus <> 'F' OR o_custkey % 2 = 0")
+@query(
+    "a20_replace_scenario",
+    f"SELECT o_orderstatus AS scenario, o_orderkey, o_custkey, {big("CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END")} AS version FROM orders WHERE o_orderstatus <> 'F' OR o_custkey % 2 = 0"
+)
 def a20(spark, sf):
     path = shared_path(spark, "replaced")
     o = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("scenario"), "o_orderkey", "o_custkey")
@@ -266,14 +348,20 @@ def a20(spark, sf):
     return spark.read.parquet(path).select("scenario", "o_orderkey", "o_custkey", "version")
 
 
-@query("a21_insert_new", "SELECT c_custkey AS k, c_acctbal + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS v FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0")
+@query(
+    "a21_insert_new",
+    "SELECT c_custkey AS k, c_acctbal + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS v FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0"
+)
 def a21(spark, sf):
     target, updates = _halves(spark, sf)
     return sinks.insert_new(target, updates, ["k"]).select("k", "v")
 
 
 for _fmt in sinks.FORMATS:
-    query(f"a22_write_results_{_fmt}", f"WITH {OBS} SELECT scenario, entity, {big('water_month')} AS water_month, {r('avg(storage)')} AS storage_avg FROM obs GROUP BY 1, 2, water_month")(lambda spark, sf, fmt=_fmt: _results(spark, sf, fmt))
+    query(
+        f"a22_write_results_{_fmt}",
+        f"WITH {OBS} SELECT scenario, entity, {big('water_month')} AS water_month, {r('avg(storage)')} AS storage_avg FROM obs GROUP BY 1, 2, water_month"
+    )(lambda spark, sf, fmt=_fmt: _results(spark, sf, fmt))
 
 
 def _results(spark, sf, fmt):
@@ -284,7 +372,10 @@ def _results(spark, sf, fmt):
     return (reader.option("header", True) if fmt == "csv" else reader).load(path)
 
 
-@query("j1_stream_scenarios", f"{FULL} SELECT scenario, variable AS entity, {big('(month(ts) + 2) % 12 + 1')} AS water_month, {r('avg(value)')} AS value_avg, count(value) AS sample_count, 's0077,s0099' AS errors FROM cells WHERE value IS NOT NULL AND variable IN ('V1', 'V7', 'V10', 'V33') GROUP BY 1, 2, 3")
+@query(
+    "j1_stream_scenarios",
+    f"{FULL} SELECT scenario, variable AS entity, {big('(month(ts) + 2) % 12 + 1')} AS water_month, {r('avg(value)')} AS value_avg, count(value) AS sample_count, 's0077,s0099' AS errors FROM cells WHERE value IS NOT NULL AND variable IN ('V1', 'V7', 'V10', 'V33') GROUP BY 1, 2, 3"
+)
 def j1(spark, sf):
     """Two drops: scenarios one by one, one sent twice in the first (its older file with other values) and again in the
     second; an annual file with a year that is none, which fails; and a file that is no export."""

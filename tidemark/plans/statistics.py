@@ -45,7 +45,10 @@ FLOOD_SQL, DEAD_SQL = "storage - flood_threshold + 1e-6 >= 0", "storage <= dead_
 IN = "CASE WHEN calendar_month = {} THEN storage END"
 
 
-@query("d1_distribution_stats", f"WITH {OBS} SELECT {M_}, {r('avg(delivery)')} AS delivery_avg, {cv_sql('delivery')} AS delivery_cv, {q_sql('delivery')}, count(delivery) AS sample_count FROM obs WHERE delivery IS NOT NULL {GM}")
+@query(
+    "d1_distribution_stats",
+    f"WITH {OBS} SELECT {M_}, {r('avg(delivery)')} AS delivery_avg, {cv_sql('delivery')} AS delivery_cv, {q_sql('delivery')}, count(delivery) AS sample_count FROM obs WHERE delivery IS NOT NULL {GM}"
+)
 def d1(spark, sf):
     return stats.distribution_stats(obs(spark, sf), MONTH, "delivery", "delivery_")
 
@@ -61,7 +64,10 @@ def d2(spark, sf):
 SELECTED = ", ".join(f"{r(f'quantile_cont(l_extendedprice, {p})', 4)} AS q{i}" for i, p in enumerate(stats.LEVELS))
 
 
-@query("d1_exact_quantiles", f"WITH x AS (SELECT l_extendedprice, l_returnflag, 'all' AS kind FROM lineitem UNION ALL SELECT l_extendedprice, l_returnflag, 'flag ' || l_returnflag FROM lineitem) SELECT kind, {SELECTED}, count(l_extendedprice) AS sample_count FROM x GROUP BY kind")
+@query(
+    "d1_exact_quantiles",
+    f"WITH x AS (SELECT l_extendedprice, l_returnflag, 'all' AS kind FROM lineitem UNION ALL SELECT l_extendedprice, l_returnflag, 'flag ' || l_returnflag FROM lineitem) SELECT kind, {SELECTED}, count(l_extendedprice) AS sample_count FROM x GROUP BY kind"
+)
 def d1_selection(spark, sf):
     """Quantiles of all rows as one group, and of three large ones, with no group held by a task."""
     rows = table(spark, sf, "lineitem").select("l_extendedprice", F.explode(F.array(F.lit("all"), F.concat(F.lit("flag "), "l_returnflag"))).alias("kind"))
@@ -94,7 +100,10 @@ def d3_filled(spark, sf):
     return stats.percentile_bands(obs(spark, sf).where("water_month <= 9 or entity % 2 = 0"), reservoirs(spark, sf), fill_empty=True)
 
 
-@query("d4_calendar_month_percentiles", f"{OBS_RES} SELECT scenario, entity, {big('calendar_month')} AS calendar_month, {BANDS} FROM held {GE}, calendar_month, capacity_taf")
+@query(
+    "d4_calendar_month_percentiles",
+    f"{OBS_RES} SELECT scenario, entity, {big('calendar_month')} AS calendar_month, {BANDS} FROM held {GE}, calendar_month, capacity_taf"
+)
 def d4(spark, sf):
     return stats.calendar_month_percentiles(obs(spark, sf), reservoirs(spark, sf))
 
@@ -132,7 +141,10 @@ MET = "CASE WHEN demand_avg_taf > 0 THEN least(greatest(delivery_avg_taf * 100 /
 MET_CTE = f"met AS (SELECT scenario, entity, water_month, {r('avg(delivery)')} AS delivery_avg_taf, {r('avg(demand)')} AS demand_avg_taf FROM obs {GM})"
 
 
-@query("d8_monthly_demand_met", f"WITH {OBS}, {MET_CTE} SELECT {M_}, delivery_avg_taf, demand_avg_taf, {r(MET)} AS percent_of_demand_avg FROM met WHERE delivery_avg_taf IS NOT NULL")
+@query(
+    "d8_monthly_demand_met",
+    f"WITH {OBS}, {MET_CTE} SELECT {M_}, delivery_avg_taf, demand_avg_taf, {r(MET)} AS percent_of_demand_avg FROM met WHERE delivery_avg_taf IS NOT NULL"
+)
 def d8(spark, sf):
     return stats.monthly_demand_met(obs(spark, sf))
 
@@ -182,16 +194,23 @@ SUMMARY = f"summary AS (SELECT {E_}, {r('avg(delivery)')} AS annual_delivery_avg
 
 def _summary(spark, sf):
     annual = stats.annual_totals(obs(spark, sf), ["delivery", "shortage", "demand"])
-    return annual.groupBy(*ENTITY).agg(*(scalars.rounded(F.avg(c)).alias(f"annual_{c}_avg_taf") for c in ("delivery", "shortage", "demand")), scalars.rounded(F.count_if(F.col("shortage") > scalars.SHORTAGE_FLOOR) * 100.0 / F.count("shortage")).alias("shortage_frequency_pct"))
+    return annual.groupBy(*ENTITY).agg(
+        *(scalars.rounded(F.avg(c)).alias(f"annual_{c}_avg_taf") for c in ("delivery", "shortage", "demand")),
+        scalars.rounded(F.count_if(F.col("shortage") > scalars.SHORTAGE_FLOOR) * 100.0 / F.count("shortage")).alias("shortage_frequency_pct")
+    )
 
 
 for _mode, _sql in RELIABLE.items():
-    query(f"d13_reliability_{_mode}", f"WITH {OBS}, {YEARLY}, {SUMMARY} SELECT *, {_sql} AS reliability_pct FROM summary")(lambda spark, sf, mode=_mode: stats.reliability(_summary(spark, sf), mode))
+    query(
+        f"d13_reliability_{_mode}", f"WITH {OBS}, {YEARLY}, {SUMMARY} SELECT *, {_sql} AS reliability_pct FROM summary"
+    )(lambda spark, sf, mode=_mode: stats.reliability(_summary(spark, sf), mode))
 
 OF_MEANS = r("CASE WHEN avg(demand) > 0 THEN least(greatest(avg(delivery) * 100 / avg(demand), 0.0), 100.0) END")
 OF_YEARS = r("avg(CASE WHEN demand > 0 THEN least(greatest(delivery * 100 / demand, 0.0), 100.0) END)")
 for _mode, _sql in (("of_means", OF_MEANS), ("mean_of_years", OF_YEARS)):
-    query(f"d14_annual_demand_met_{_mode}", f"WITH {OBS}, {YEARLY} SELECT {E_}, {_sql} AS avg_pct_demand_met FROM yearly {GE}")(lambda spark, sf, mode=_mode: stats.annual_demand_met(stats.annual_totals(obs(spark, sf), ["delivery", "demand"]), mode))
+    query(f"d14_annual_demand_met_{_mode}", f"WITH {OBS}, {YEARLY} SELECT {E_}, {_sql} AS avg_pct_demand_met FROM yearly {GE}")(
+        lambda spark, sf, mode=_mode: stats.annual_demand_met(stats.annual_totals(obs(spark, sf), ["delivery", "demand"]), mode)
+    )
 
 PUMPED = "pumped AS (SELECT * REPLACE (coalesce(pumping, greatest(demand - coalesce(delivery, 0.0), 0.0)) AS pumping) FROM obs)"
 FARM = (
@@ -211,7 +230,10 @@ def d15(spark, sf):
     return families.farm_period_summary(obs(spark, sf))
 
 
-@query("d16_storage_exceedance", f"{OBS_RES} SELECT {E_}, {', '.join(f'{r(f"quantile_cont(storage, {(100 - p) / 100}) * 100 / capacity_taf")} AS storage_exc_p{p}' for p in EXCEEDANCES)} FROM held {GE}, capacity_taf")
+@query(
+    "d16_storage_exceedance",
+    f"{OBS_RES} SELECT {E_}, {', '.join(f'{r(f"quantile_cont(storage, {(100 - p) / 100}) * 100 / capacity_taf")} AS storage_exc_p{p}' for p in EXCEEDANCES)} FROM held {GE}, capacity_taf"
+)
 def d16(spark, sf):
     return stats.storage_exceedance(obs(spark, sf), reservoirs(spark, sf))
 
@@ -229,10 +251,16 @@ def d17(spark, sf):
 
 
 for _name, _months, _list in (("all", None, ""), ("september", [9], "9"), ("april", [4], "4")):
-    query(f"d18_flood_probability_{_name}", f"WITH {OBS} SELECT {E_}, {r(share_sql(FLOOD_SQL, _list), 6)} AS flood_probability FROM obs {GE}")(lambda spark, sf, months=_months: stats.flood_probability(obs(spark, sf), months))
-    query(f"d20_cv_{_name}", f"WITH {OBS} SELECT {E_}, {cv6_sql('storage' if not _list else IN.format(_list))} AS cv FROM obs {GE}")(lambda spark, sf, months=_months: stats.cv(obs(spark, sf), months))
+    query(
+        f"d18_flood_probability_{_name}", f"WITH {OBS} SELECT {E_}, {r(share_sql(FLOOD_SQL, _list), 6)} AS flood_probability FROM obs {GE}"
+    )(lambda spark, sf, months=_months: stats.flood_probability(obs(spark, sf), months))
+    query(
+        f"d20_cv_{_name}", f"WITH {OBS} SELECT {E_}, {cv6_sql('storage' if not _list else IN.format(_list))} AS cv FROM obs {GE}"
+    )(lambda spark, sf, months=_months: stats.cv(obs(spark, sf), months))
     if _name != "april":
-        query(f"d19_dead_pool_probability_{_name}", f"WITH {OBS} SELECT {E_}, {r(share_sql(DEAD_SQL, _list), 6)} AS dead_pool_probability FROM obs {GE}")(lambda spark, sf, months=_months: stats.dead_pool_probability(obs(spark, sf), months))
+        query(
+            f"d19_dead_pool_probability_{_name}", f"WITH {OBS} SELECT {E_}, {r(share_sql(DEAD_SQL, _list), 6)} AS dead_pool_probability FROM obs {GE}"
+        )(lambda spark, sf, months=_months: stats.dead_pool_probability(obs(spark, sf), months))
 
 AVERAGE = f"ya AS (SELECT scenario, entity, water_year, avg(storage) AS y FROM obs {GE}, water_year), aa AS (SELECT {E_}, {r('avg(y)')} AS annual_avg_taf FROM ya {GE})"
 
@@ -270,7 +298,11 @@ CODE_SQL = "CASE entity WHEN 1 THEN 'S1' WHEN 2 THEN 'S2' WHEN 3 THEN 'SLUIS_CVP
 
 
 def _wide_sql() -> str:
-    parts = {"flood_all": share_sql(FLOOD_SQL), "flood_sep": share_sql(FLOOD_SQL, "9"), "dead_all": share_sql(DEAD_SQL), "dead_sep": share_sql(DEAD_SQL, "9"), "avg_apr": f"avg({IN.format(4)})", "avg_sep": f"avg({IN.format(9)})", "cv_apr": cv6_sql(IN.format(4)), "cv_sep": cv6_sql(IN.format(9))}
+    parts = {
+        "flood_all": share_sql(FLOOD_SQL), "flood_sep": share_sql(FLOOD_SQL, "9"), "dead_all": share_sql(DEAD_SQL),
+        "dead_sep": share_sql(DEAD_SQL, "9"), "avg_apr": f"avg({IN.format(4)})", "avg_sep": f"avg({IN.format(9)})", "cv_apr": cv6_sql(IN.format(4)),
+        "cv_sep": cv6_sql(IN.format(9))
+    }
     inner = f"c AS (SELECT scenario, {CODE_SQL} AS code, " + ", ".join(f"{r(x, 6)} AS {k}" for k, x in parts.items()) + " FROM obs WHERE entity BETWEEN 1 AND 4 GROUP BY scenario, entity)"
     outer = ", ".join(f"max(CASE WHEN code = '{code}' THEN {k} END) AS \"{name}\"" for code in CODES for k, name in families.metric_names(code).items())
     return f"WITH {OBS}, {inner} SELECT scenario, {outer} FROM c GROUP BY scenario"
@@ -300,8 +332,13 @@ def d25(spark, sf):
 )
 def d26(spark, sf):
     s = table(spark, sf, "supplier")
-    mapping = s.select(F.col("s_suppkey").alias("entity"), F.concat(F.lit("c"), (F.col("s_nationkey") % 4).cast("string")).alias("category"), F.lit(1).alias("rank")).unionByName(s.where("s_suppkey % 9 = 0").select(F.col("s_suppkey").alias("entity"), F.lit("zone").alias("category"), F.lit(0).alias("rank")))
-    results = table(spark, sf, "lineitem").where("l_suppkey % 11 <> 0").select(F.col("l_suppkey").alias("entity"), (F.col("l_quantity") > 49).alias("has_delivery"), ((F.col("l_tax") > 0.07) & (F.col("l_discount") > 0.09)).alias("has_shortage"))
+    mapping = s.select(
+        F.col("s_suppkey").alias("entity"), F.concat(F.lit("c"), (F.col("s_nationkey") % 4).cast("string")).alias("category"), F.lit(1).alias("rank")
+    ).unionByName(s.where("s_suppkey % 9 = 0").select(F.col("s_suppkey").alias("entity"), F.lit("zone").alias("category"), F.lit(0).alias("rank")))
+    results = table(spark, sf, "lineitem").where("l_suppkey % 11 <> 0").select(
+        F.col("l_suppkey").alias("entity"), (F.col("l_quantity") > 49).alias("has_delivery"),
+        ((F.col("l_tax") > 0.07) & (F.col("l_discount") > 0.09)).alias("has_shortage")
+    )
     return families.processing_counts(mapping, results)
 
 
@@ -336,7 +373,10 @@ def _projects(spark, sf):
 
 _FAMILY = {
     "d27_contractor": (lambda spark, sf: families.contractor_stats(obs(spark, sf)), f"WITH {OBS}", "obs", "0.1::DOUBLE", "ratio", OF_MEANS),
-    "d28_project": (lambda spark, sf: families.project_aggregates(obs(spark, sf), _projects(spark, sf)), f"WITH {OBS}, {PROJECTS}", "tot", "0.1::DOUBLE", "ratio", OF_MEANS),
+    "d28_project": (
+        lambda spark, sf: families.project_aggregates(obs(spark, sf), _projects(spark, sf)), f"WITH {OBS}, {PROJECTS}", "tot", "0.1::DOUBLE", "ratio",
+        OF_MEANS
+    ),
     "d29_urban_unit": (lambda spark, sf: families.urban_unit_stats(_gaps(spark, sf)), f"WITH {OBS}, {GAPS}", "good", "0.0", "frequency", OF_YEARS),
 }
 for _name, (_make, _with, _src, _floor, _mode, _met) in _FAMILY.items():
@@ -345,7 +385,10 @@ for _name, (_make, _with, _src, _floor, _mode, _met) in _FAMILY.items():
     query(f"{_name}_period", f"{_with}, {period_sql(_src, _floor, _mode, _met)} SELECT * FROM ux")(lambda spark, sf, make=_make: make(spark, sf)[2])
 
 
-@query("d30_farm_unit_monthly", f"WITH {OBS}, {PUMPED} SELECT {M_}, " + ", ".join(f"{r(f'avg({v})')} AS {v}_avg, CASE WHEN count({v}) > 0 THEN {cv_sql(v)} END AS {v}_cv" for v in ("demand", "delivery", "pumping")) + f" FROM pumped {GM}")
+@query(
+    "d30_farm_unit_monthly",
+    f"WITH {OBS}, {PUMPED} SELECT {M_}, " + ", ".join(f"{r(f'avg({v})')} AS {v}_avg, CASE WHEN count({v}) > 0 THEN {cv_sql(v)} END AS {v}_cv" for v in ("demand", "delivery", "pumping")) + f" FROM pumped {GM}"
+)
 def d30_monthly(spark, sf):
     return families.farm_unit_stats(obs(spark, sf))[0]
 
@@ -363,7 +406,10 @@ def d30_period(spark, sf):
 # B: calendar, units, identifiers
 
 
-@query("b1_water_calendar", f"WITH {OBS} SELECT ts, {', '.join(f'{big(c)} AS {c}' for c in ('calendar_month', 'calendar_year', 'days_in_month', 'water_month', 'water_year'))}, count(*) AS n FROM obs GROUP BY ALL")
+@query(
+    "b1_water_calendar",
+    f"WITH {OBS} SELECT ts, {', '.join(f'{big(c)} AS {c}' for c in ('calendar_month', 'calendar_year', 'days_in_month', 'water_month', 'water_year'))}, count(*) AS n FROM obs GROUP BY ALL"
+)
 def b1(spark, sf):
     return obs(spark, sf).groupBy("ts", "calendar_month", "calendar_year", "days_in_month", "water_month", "water_year").count().withColumnRenamed("count", "n")
 
@@ -376,12 +422,17 @@ def b1(spark, sf):
 )
 def b2(spark, sf):
     d, kind = F.col("o_orderdate"), F.col("o_orderkey") % 4
-    text = F.when(kind == 0, F.date_format(d, "yyyy-MM-dd HH:mm:ss")).when(kind == 1, F.concat(F.upper(F.date_format(d, "ddMMMyyyy")), F.lit(" 2400"))).when(kind == 2, F.when(F.col("o_orderkey") % 10 == 0, "no date").otherwise(F.date_format(d, "yyyy-MM-dd"))).otherwise(F.date_format(d, "yyyy"))
+    text = F.when(kind == 0, F.date_format(d, "yyyy-MM-dd HH:mm:ss")).when(kind == 1, F.concat(F.upper(F.date_format(d, "ddMMMyyyy")), F.lit(" 2400"))).when(
+        kind == 2, F.when(F.col("o_orderkey") % 10 == 0, "no date").otherwise(F.date_format(d, "yyyy-MM-dd"))
+    ).otherwise(F.date_format(d, "yyyy"))
     rows = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), text.alias("text"), F.concat(F.lit("f"), kind.cast("string")).alias("file"))
     return calendar.with_model_calendar(rows, "text", "file").select("k", "ts", "water_month", "days_in_month")
 
 
-@query("b3_cfs_to_taf", f"WITH {OBS} SELECT scenario, entity, {big('water_month')} AS water_month, {r('sum(CASE WHEN entity % 2 = 0 THEN delivery * days_in_month * 0.001983471 ELSE delivery END)', 4)} AS taf FROM obs {GM}")
+@query(
+    "b3_cfs_to_taf",
+    f"WITH {OBS} SELECT scenario, entity, {big('water_month')} AS water_month, {r('sum(CASE WHEN entity % 2 = 0 THEN delivery * days_in_month * 0.001983471 ELSE delivery END)', 4)} AS taf FROM obs {GM}"
+)
 def b3(spark, sf):
     rows = obs(spark, sf).withColumn("taf", scalars.cfs_to_taf(F.col("delivery"), F.col("days_in_month"), F.when(F.col("entity") % 2 == 0, "cfs").otherwise("TAF")))
     return rows.groupBy(*MONTH).agg(scalars.rounded(F.sum("taf"), 4).alias("taf"))
@@ -394,16 +445,26 @@ def b4(spark, sf):
 
 @query("b5_pct_of_capacity", f"{OBS_RES} SELECT scenario, entity, {r('avg(storage * 100 / capacity_taf)', 4)} AS pct FROM held {GE}")
 def b5(spark, sf):
-    return stats.with_capacity(obs(spark, sf), reservoirs(spark, sf)).groupBy(*ENTITY).agg(scalars.rounded(F.avg(scalars.pct_of_capacity(F.col("storage"), F.col("capacity_taf"))), 4).alias("pct"))
+    return stats.with_capacity(obs(spark, sf), reservoirs(spark, sf)).groupBy(*ENTITY).agg(scalars.rounded(
+        F.avg(scalars.pct_of_capacity(F.col("storage"), F.col("capacity_taf"))), 4
+    ).alias("pct"))
 
 
-@query("b6_to_number", "SELECT l_returnflag AS scenario, count(*) AS n, count(v) AS numbers, CAST(sum(v) AS BIGINT) AS total FROM (SELECT l_returnflag, CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_quantity END AS v FROM lineitem) GROUP BY 1")
+@query(
+    "b6_to_number",
+    "SELECT l_returnflag AS scenario, count(*) AS n, count(v) AS numbers, CAST(sum(v) AS BIGINT) AS total FROM (SELECT l_returnflag, CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_quantity END AS v FROM lineitem) GROUP BY 1"
+)
 def b6(spark, sf):
     text = F.when(F.col("l_orderkey") % 7 == 0, "NaN").when(F.col("l_orderkey") % 5 == 0, "n/a").otherwise(F.col("l_quantity").cast("string"))
-    return table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("scenario"), scalars.to_number(text).alias("v")).groupBy("scenario").agg(F.count("*").alias("n"), F.count("v").alias("numbers"), F.sum("v").cast("long").alias("total"))
+    return table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("scenario"), scalars.to_number(text).alias("v")).groupBy("scenario").agg(
+        F.count("*").alias("n"), F.count("v").alias("numbers"), F.sum("v").cast("long").alias("total")
+    )
 
 
-@query("b7_clip", f"WITH {OBS} SELECT scenario, {r('sum(CASE WHEN delivery IS NOT NULL THEN least(greatest(delivery, 10.0), 40.0) END)', 4)} AS clipped, count(delivery) AS n FROM obs GROUP BY scenario")
+@query(
+    "b7_clip",
+    f"WITH {OBS} SELECT scenario, {r('sum(CASE WHEN delivery IS NOT NULL THEN least(greatest(delivery, 10.0), 40.0) END)', 4)} AS clipped, count(delivery) AS n FROM obs GROUP BY scenario"
+)
 def b7(spark, sf):
     return obs(spark, sf).groupBy("scenario").agg(scalars.rounded(F.sum(scalars.clip(F.col("delivery"), 10, 40)), 4).alias("clipped"), F.count("delivery").alias("n"))
 
@@ -413,20 +474,37 @@ def b8(spark, sf):
     return obs(spark, sf).groupBy(*ENTITY).agg(scalars.rounded(F.sum(scalars.ratio_or(F.col("demand"), F.col("spill"), -1.0)), 4).alias("ratio"))
 
 
-@query("b9_wba_id_to_map_id", "SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 0 THEN 'DETAW' ELSE CASE WHEN p_size < 10 THEN '0' ELSE '' END || CAST(p_size AS VARCHAR) || CASE WHEN p_partkey % 3 = 0 THEN 'N' ELSE '' END END AS map_id FROM part")
+@query(
+    "b9_wba_id_to_map_id",
+    "SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 0 THEN 'DETAW' ELSE CASE WHEN p_size < 10 THEN '0' ELSE '' END || CAST(p_size AS VARCHAR) || CASE WHEN p_partkey % 3 = 0 THEN 'N' ELSE '' END END AS map_id FROM part"
+)
 def b9(spark, sf):
-    zone = F.when(F.col("p_partkey") % 10 == 0, "DETAW").otherwise(F.concat(F.lit("WBA"), F.col("p_size").cast("string"), F.when(F.col("p_partkey") % 3 == 0, "N").otherwise("")))
+    zone = F.when(F.col("p_partkey") % 10 == 0, "DETAW").otherwise(F.concat(
+        F.lit("WBA"), F.col("p_size").cast("string"), F.when(F.col("p_partkey") % 3 == 0, "N").otherwise("")
+    ))
     return table(spark, sf, "part").select(F.col("p_partkey").alias("k"), scalars.wba_id_to_map_id(zone).alias("map_id"))
 
 
 @query("b10_strip_variable_prefix", "SELECT p_partkey AS k, upper(replace(p_name, ' ', '_')) AS code, p_partkey % 3 <> 2 AS prefixed FROM part")
 def b10(spark, sf):
-    code = F.concat(F.element_at(F.array(F.lit("S_"), F.lit("C_"), F.lit("")), (F.col("p_partkey") % 3 + 1).cast("int")), F.upper(F.replace("p_name", F.lit(" "), F.lit("_"))))
+    code = F.concat(
+        F.element_at(F.array(F.lit("S_"), F.lit("C_"), F.lit("")), (F.col("p_partkey") % 3 + 1).cast("int")),
+        F.upper(F.replace("p_name", F.lit(" "), F.lit("_")))
+    )
     rows = table(spark, sf, "part").select(F.col("p_partkey").alias("k"), code.alias("c"))
-    return rows.select("k", F.when(scalars.has_variable_prefix(F.col("c")) & (F.col("k") % 3 == 2), F.col("c")).otherwise(scalars.strip_variable_prefix(F.col("c"))).alias("code"), (scalars.has_variable_prefix(F.col("c")) & (F.col("k") % 3 != 2)).alias("prefixed"))
+    return rows.select(
+        "k",
+        F.when(scalars.has_variable_prefix(F.col("c")) & (F.col("k") % 3 == 2), F.col("c")).otherwise(scalars.strip_variable_prefix(F.col("c"))).alias("code"),
+        (scalars.has_variable_prefix(F.col("c")) & (F.col("k") % 3 != 2)).alias("prefixed")
+    )
 
 
-@query("b11_wkt_point", "SELECT s_suppkey AS k, CASE WHEN s_suppkey % 8 <> 0 THEN -125.5 + s_suppkey % 10 END AS lon, CASE WHEN s_suppkey % 8 <> 0 THEN 32.25 + s_suppkey % 9 END AS lat FROM supplier".replace("-125.5 +", "-125.5::DOUBLE +").replace("32.25 +", "32.25::DOUBLE +"))
+@query(
+    "b11_wkt_point",
+    "SELECT s_suppkey AS k, CASE WHEN s_suppkey % 8 <> 0 THEN -125.5 + s_suppkey % 10 END AS lon, CASE WHEN s_suppkey % 8 <> 0 THEN 32.25 + s_suppkey % 9 END AS lat FROM supplier".replace("-125.5 +", "-125.5::DOUBLE +").replace("32.25 +", "32.25::DOUBLE +")
+)
 def b11(spark, sf):
-    wkt = F.when(F.col("s_suppkey") % 8 == 0, "LINESTRING (1 2, 3 4)").otherwise(F.concat(F.lit("POINT ("), (F.col("s_suppkey") % 10 - 125.5).cast("string"), F.lit(" "), (F.col("s_suppkey") % 9 + 32.25).cast("string"), F.lit(")")))
+    wkt = F.when(F.col("s_suppkey") % 8 == 0, "LINESTRING (1 2, 3 4)").otherwise(F.concat(
+        F.lit("POINT ("), (F.col("s_suppkey") % 10 - 125.5).cast("string"), F.lit(" "), (F.col("s_suppkey") % 9 + 32.25).cast("string"), F.lit(")")
+    ))
     return table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), scalars.point_longitude(wkt).alias("lon"), scalars.point_latitude(wkt).alias("lat"))

@@ -32,12 +32,19 @@ def locations(spark, sf):
     o, k = table(spark, sf, "orders"), F.col("o_orderkey")
     level = F.when(k % 31 != 0, F.least(F.substring("o_orderpriority", 1, 1).cast("int"), F.lit(4))).otherwise(0)
     name = lambda p, n: F.concat(F.lit(p), (F.col("o_custkey") % n).cast("string"))
-    return o.groupBy(F.col("o_orderstatus").alias("scenario"), name("I", 4).alias("indicator"), name("L", 97).alias("location")).agg(F.min(k * 10 + level).alias("first")).select("scenario", "indicator", "location", F.nullif(F.col("first") % 10, F.lit(0)).cast("int").alias("level"), F.expr("first div 10").alias("pos"))
+    return o.groupBy(
+        F.col("o_orderstatus").alias("scenario"), name("I", 4).alias("indicator"), name("L", 97).alias("location")
+    ).agg(F.min(k * 10 + level).alias("first")).select(
+        "scenario", "indicator", "location", F.nullif(F.col("first") % 10, F.lit(0)).cast("int").alias("level"), F.expr("first div 10").alias("pos")
+    )
 
 
 def definitions(spark):
     n = F.col("id").cast("string")
-    return spark.range(4).select(F.concat(F.lit("I"), n).alias("indicator"), F.concat(F.lit("Indicator "), n).alias("name"), F.when(F.col("id") % 2 == 0, "multi_value").otherwise("single_value").alias("tier_type"), (F.col("id") != 3).alias("is_active"))
+    return spark.range(4).select(
+        F.concat(F.lit("I"), n).alias("indicator"), F.concat(F.lit("Indicator "), n).alias("name"),
+        F.when(F.col("id") % 2 == 0, "multi_value").otherwise("single_value").alias("tier_type"), (F.col("id") != 3).alias("is_active")
+    )
 
 
 def scores(spark, sf):
@@ -128,7 +135,10 @@ def e6(spark, sf):
     return T.tier_counts(locations(spark, sf))
 
 
-@query("e6_tier_counts_fixed", f"WITH {CNT} SELECT scenario, indicator, tier_1_value, tier_2_value, tier_3_value, tier_4_value, {', '.join(f"{r(f'tier_{t}_value / 132.0::DOUBLE', 3)} AS norm_tier_{t}" for t in (1, 2, 3, 4))}, {big('132')} AS total_value FROM cnt")
+@query(
+    "e6_tier_counts_fixed",
+    f"WITH {CNT} SELECT scenario, indicator, tier_1_value, tier_2_value, tier_3_value, tier_4_value, {', '.join(f"{r(f'tier_{t}_value / 132.0::DOUBLE', 3)} AS norm_tier_{t}" for t in (1, 2, 3, 4))}, {big('132')} AS total_value FROM cnt"
+)
 def e6_fixed(spark, sf):
     return T.tier_counts(locations(spark, sf), 132, 3)
 
@@ -143,15 +153,23 @@ NORMAL = f"CASE WHEN coalesce(single_tier_level, 0) > 0 THEN {r('(4.0 - single_t
 
 
 def _single(spark, sf):
-    return locations(spark, sf).groupBy("scenario", "indicator").agg(F.min("level").alias("m")).select("scenario", "indicator", F.when(F.col("indicator") != "I3", F.col("m")).alias("single_tier_level"))
+    return locations(spark, sf).groupBy("scenario", "indicator").agg(F.min("level").alias("m")).select(
+        "scenario", "indicator", F.when(F.col("indicator") != "I3", F.col("m")).alias("single_tier_level")
+    )
 
 
-@query("e8_single_tier_scores", f"WITH {SINGLE} SELECT scenario, indicator, {big('single_tier_level')} AS single_tier_level, CAST(coalesce(single_tier_level, 0) AS DOUBLE) AS weighted_score, {NORMAL} AS normalized_score, 0.0::DOUBLE AS gini, {NORMAL} AS band_upper, {NORMAL} AS band_lower FROM one")
+@query(
+    "e8_single_tier_scores",
+    f"WITH {SINGLE} SELECT scenario, indicator, {big('single_tier_level')} AS single_tier_level, CAST(coalesce(single_tier_level, 0) AS DOUBLE) AS weighted_score, {NORMAL} AS normalized_score, 0.0::DOUBLE AS gini, {NORMAL} AS band_upper, {NORMAL} AS band_lower FROM one"
+)
 def e8(spark, sf):
     return T.single_tier_scores(_single(spark, sf))
 
 
-SIDE = ", ".join(f"max(CASE WHEN scenario = '{s}' THEN nullif({c}, 0.0) END) AS {c}_{n}" for n, s in (("a", "F"), ("b", "O")) for c in ("weighted_score", "normalized_score", "gini"))
+SIDE = ", ".join(
+    f"max(CASE WHEN scenario = '{s}' THEN nullif({c}, 0.0) END) AS {c}_{n}" for n,
+    s in (("a", "F"), ("b", "O")) for c in ("weighted_score", "normalized_score", "gini")
+)
 
 
 @query("e9_compare_scenarios", f"WITH {SCORE} SELECT indicator, {SIDE} FROM scores WHERE scenario IN ('F', 'O') GROUP BY indicator")
@@ -159,27 +177,42 @@ def e9(spark, sf):
     return T.compare_scenarios(scores(spark, sf), "F", "O")
 
 
-@query("e10_indicator_averages", f"WITH {SCORE} SELECT indicator, {r('avg(weighted_score)', 4)} AS avg_score, min(weighted_score) AS min_score, max(weighted_score) AS max_score, count(weighted_score) AS scenarios FROM scores GROUP BY 1")
+@query(
+    "e10_indicator_averages",
+    f"WITH {SCORE} SELECT indicator, {r('avg(weighted_score)', 4)} AS avg_score, min(weighted_score) AS min_score, max(weighted_score) AS max_score, count(weighted_score) AS scenarios FROM scores GROUP BY 1"
+)
 def e10(spark, sf):
     return T.indicator_averages(scores(spark, sf))
 
 
-@query("e11_tier_availability", f"WITH {CNT} SELECT scenario, list_sort(list(DISTINCT indicator)) AS indicators, count(DISTINCT indicator) AS indicator_count FROM shares GROUP BY 1")
+@query(
+    "e11_tier_availability",
+    f"WITH {CNT} SELECT scenario, list_sort(list(DISTINCT indicator)) AS indicators, count(DISTINCT indicator) AS indicator_count FROM shares GROUP BY 1"
+)
 def e11(spark, sf):
     return T.tier_availability(T.tier_counts(locations(spark, sf)))
 
 
-@query("e12_tier_location_summary", f"WITH {LOC}, {DEF} SELECT indicator, name, count(*) AS location_count, count(DISTINCT level) AS levels_used FROM loc JOIN def USING (indicator) WHERE scenario = 'F' AND is_active GROUP BY 1, 2")
+@query(
+    "e12_tier_location_summary",
+    f"WITH {LOC}, {DEF} SELECT indicator, name, count(*) AS location_count, count(DISTINCT level) AS levels_used FROM loc JOIN def USING (indicator) WHERE scenario = 'F' AND is_active GROUP BY 1, 2"
+)
 def e12(spark, sf):
     return T.tier_location_summary(locations(spark, sf), definitions(spark), "F")
 
 
-@query("e12_scenario_location_counts", f"WITH {LOC} SELECT scenario, count(DISTINCT indicator) AS tier_count, count(DISTINCT location) AS location_count FROM loc GROUP BY 1")
+@query(
+    "e12_scenario_location_counts",
+    f"WITH {LOC} SELECT scenario, count(DISTINCT indicator) AS tier_count, count(DISTINCT location) AS location_count FROM loc GROUP BY 1"
+)
 def e12_counts(spark, sf):
     return T.scenario_location_counts(locations(spark, sf))
 
 
-@query("e13_tier_locations", f"WITH {LOC}, {DEF} SELECT scenario, indicator, name, string_agg(location || ':' || coalesce(CAST(level AS VARCHAR), '-'), ',' ORDER BY pos) AS listed, {', '.join(f'count(*) FILTER (WHERE level = {t}) AS tier_{t}_count' for t in (1, 2, 3, 4))} FROM loc JOIN def USING (indicator) GROUP BY 1, 2, 3")
+@query(
+    "e13_tier_locations",
+    f"WITH {LOC}, {DEF} SELECT scenario, indicator, name, string_agg(location || ':' || coalesce(CAST(level AS VARCHAR), '-'), ',' ORDER BY pos) AS listed, {', '.join(f'count(*) FILTER (WHERE level = {t}) AS tier_{t}_count' for t in (1, 2, 3, 4))} FROM loc JOIN def USING (indicator) GROUP BY 1, 2, 3"
+)
 def e13(spark, sf):
     out = T.tier_locations(locations(spark, sf).withColumnRenamed("pos", "display_order"), definitions(spark))
     listed = F.array_join(F.transform("locations", lambda s: F.concat_ws(":", s["location"], F.coalesce(s["level"].cast("string"), F.lit("-")))), ",")
@@ -195,7 +228,9 @@ def e14(spark, sf):
     n = F.substring("location", 2, 9).cast("int")
     rows = locations(spark, sf).withColumn("location_type", F.when(n % 2 == 0, "node").otherwise("zone"))
     near = rows.where(n < 40)
-    geo = near.select("location_type", F.col("location").alias("geometry_id"), F.concat(F.lit("POINT ("), n.cast("string"), F.lit(" 1)")).alias("geometry")).where("geometry_id <> 'L6'").distinct()
+    geo = near.select(
+        "location_type", F.col("location").alias("geometry_id"), F.concat(F.lit("POINT ("), n.cast("string"), F.lit(" 1)")).alias("geometry")
+    ).where("geometry_id <> 'L6'").distinct()
     aliases = near.where("location = 'L6'").select("location", F.lit("L4").alias("geometry_id")).distinct()
     return T.tier_features(rows, geo, aliases)
 
@@ -203,14 +238,22 @@ def e14(spark, sf):
 STORED = "stored AS (SELECT scenario, indicator, tier_1_value + CASE WHEN indicator = 'I1' THEN 1 ELSE 0 END AS tier_1_value, tier_2_value, tier_3_value, tier_4_value FROM cnt WHERE indicator <> 'I2' OR scenario <> 'P')"
 
 
-@query("e15_reconcile_tiers", f"WITH {CNT}, {STORED} SELECT c.scenario, c.indicator, c.tier_1_value AS found_1, c.tier_2_value AS found_2, c.tier_3_value AS found_3, c.tier_4_value AS found_4, s.tier_1_value, s.tier_2_value, s.tier_3_value, s.tier_4_value, coalesce(c.tier_1_value = s.tier_1_value, false) AS matches FROM cnt c LEFT JOIN stored s USING (scenario, indicator)")
+@query(
+    "e15_reconcile_tiers",
+    f"WITH {CNT}, {STORED} SELECT c.scenario, c.indicator, c.tier_1_value AS found_1, c.tier_2_value AS found_2, c.tier_3_value AS found_3, c.tier_4_value AS found_4, s.tier_1_value, s.tier_2_value, s.tier_3_value, s.tier_4_value, coalesce(c.tier_1_value = s.tier_1_value, false) AS matches FROM cnt c LEFT JOIN stored s USING (scenario, indicator)"
+)
 def e15(spark, sf):
     rows = locations(spark, sf)
-    stored = T.tier_counts(rows).where("indicator <> 'I2' or scenario <> 'P'").withColumn("tier_1_value", F.col("tier_1_value") + F.when(F.col("indicator") == "I1", 1).otherwise(0))
+    stored = T.tier_counts(rows).where("indicator <> 'I2' or scenario <> 'P'").withColumn(
+        "tier_1_value", F.col("tier_1_value") + F.when(F.col("indicator") == "I1", 1).otherwise(0)
+    )
     return T.reconcile_tiers(rows, stored)
 
 
-@query("e16_tier_type_summary", f"WITH {CNT}, {DEF} SELECT tier_type, count(*) AS results, count(CASE WHEN indicator IN ('I0', 'I2') THEN 1 END) AS multi_value, count(CASE WHEN indicator NOT IN ('I0', 'I2') THEN 1 END) AS single_value FROM cnt JOIN def USING (indicator) GROUP BY 1")
+@query(
+    "e16_tier_type_summary",
+    f"WITH {CNT}, {DEF} SELECT tier_type, count(*) AS results, count(CASE WHEN indicator IN ('I0', 'I2') THEN 1 END) AS multi_value, count(CASE WHEN indicator NOT IN ('I0', 'I2') THEN 1 END) AS single_value FROM cnt JOIN def USING (indicator) GROUP BY 1"
+)
 def e16(spark, sf):
     multi = F.col("indicator").isin("I0", "I2")
     rows = T.tier_counts(locations(spark, sf)).withColumns({"single_tier_level": F.when(~multi, 1), "tier_1_value": F.when(multi, F.col("tier_1_value"))})

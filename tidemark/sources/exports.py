@@ -42,7 +42,10 @@ def is_dated(cells: Column) -> Column:
 
 def detect_header_rows(lines: DataFrame) -> DataFrame:
     """Rows (file, data_start): 7, or the first line with a date among the first 15 where line 7 has none."""
-    return first_lines(lines).groupBy("file").agg(F.coalesce(F.max(F.when((F.col("line") == len(LABELS)) & is_dated(F.col("cells")), F.lit(len(LABELS)))), F.min(F.when(is_dated(F.col("cells")), F.col("line")))).alias("data_start"))
+    return first_lines(lines).groupBy("file").agg(F.coalesce(
+        F.max(F.when((F.col("line") == len(LABELS)) & is_dated(F.col("cells")), F.lit(len(LABELS)))),
+        F.min(F.when(is_dated(F.col("cells")), F.col("line")))
+    ).alias("data_start"))
 
 
 def series_meta(lines: DataFrame) -> DataFrame:
@@ -90,15 +93,23 @@ def long_series(lines: DataFrame, meta: DataFrame) -> DataFrame:
     kinds = dated.groupBy("file").agg(F.bool_and("_bare").alias("annual"))
     year = F.try_to_number(F.substring(text, 1, 4), F.lit("9999")).cast("int")
     checked = F.when(year.between(1900, 2100), year).otherwise(F.raise_error(F.concat(F.lit("not a year from 1900 to 2100: "), text)).cast("int"))
-    rows = dated.join(columns.join(kinds, "file"), "file").withColumn("ts", F.when(F.col("annual"), F.make_date(checked, F.lit(9), F.lit(30))).otherwise(F.col("ts"))).where("ts is not null")
+    rows = dated.join(columns.join(kinds, "file"), "file").withColumn(
+        "ts", F.when(F.col("annual"), F.make_date(checked, F.lit(9), F.lit(30))).otherwise(F.col("ts"))
+    ).where("ts is not null")
     cell = F.explode(F.transform("_columns", lambda c: F.struct(c["b"].alias("variable"), F.get(F.col("cells"), c["col_idx"]).alias("text"), c["units"].alias("units"))))
-    return rows.select("file", "ts", "annual", cell.alias("c")).select("file", scenario_from_path(F.col("file")).alias("scenario"), "c.variable", "ts", to_number(F.trim("c.text")).alias("value"), "c.units", "annual")
+    return rows.select("file", "ts", "annual", cell.alias("c")).select(
+        "file", scenario_from_path(F.col("file")).alias("scenario"), "c.variable", "ts", to_number(F.trim("c.text")).alias("value"), "c.units",
+        "annual"
+    )
 
 
 def with_series_calendar(series: DataFrame) -> DataFrame:
     """The water calendar of rows with ``ts`` and ``annual``; annual rows have water_month 0 and 365 days."""
     out = with_water_calendar(series)
-    return out.withColumns({"water_month": F.when(F.col("annual"), F.lit(0)).otherwise(F.col("water_month")), "days_in_month": F.when(F.col("annual"), F.lit(ANNUAL_DAYS)).otherwise(F.col("days_in_month"))})
+    return out.withColumns({
+        "water_month": F.when(F.col("annual"), F.lit(0)).otherwise(F.col("water_month")),
+        "days_in_month": F.when(F.col("annual"), F.lit(ANNUAL_DAYS)).otherwise(F.col("days_in_month"))
+    })
 
 
 def read_dss_csv(spark: SparkSession, paths: str | Sequence[str], wanted: DataFrame | None = None) -> DataFrame:
@@ -145,7 +156,9 @@ def classify_dss_paths(paths: DataFrame, sv: tuple[str, Sequence[str]] = SV_TOKE
     """
     slug = F.concat(F.lit("/"), F.lower(F.replace("path", F.lit("\\"), F.lit("/"))), F.lit("/"))
     base = F.lower(F.regexp_extract(F.replace("path", F.lit("\\"), F.lit("/")), r"([^/]*)$", 1))
-    rows = paths.withColumns({"_in": F.contains(slug, F.lit("/dss/input/")), "_out": F.contains(slug, F.lit("/dss/output/")) & ~base.isin(*GROUNDWATER_FILES), "_base": base})
+    rows = paths.withColumns({
+        "_in": F.contains(slug, F.lit("/dss/input/")), "_out": F.contains(slug, F.lit("/dss/output/")) & ~base.isin(*GROUNDWATER_FILES), "_base": base
+    })
     folders = rows.groupBy("package").agg(F.bool_or(F.col("_in") | F.col("_out")).alias("_folders"))
     rows = rows.join(folders, "package")
 

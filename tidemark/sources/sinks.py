@@ -36,7 +36,10 @@ def dss_lines(series: DataFrame) -> DataFrame:
     header = heads.select("scenario", F.posexplode(F.array(*map(head, LABELS))).alias("place", "line")).withColumn("place", F.col("place").cast("long"))
     days = series.where("value is not null").groupBy("scenario", "ts").agg(map_of(F.collect_list(F.struct(F.col("variable").alias("key"), "value"))).alias("cells"))
     cells = F.array_join(F.transform("columns", lambda c: F.coalesce(F.try_element_at(F.col("cells"), c["variable"]).cast("string"), F.lit("NaN"))), ",")
-    body = days.join(heads, "scenario").select("scenario", (F.unix_date("ts") + DAY_ZERO).cast("long").alias("place"), F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd"), cells).alias("line"))
+    body = days.join(heads, "scenario").select(
+        "scenario", (F.unix_date("ts") + DAY_ZERO).cast("long").alias("place"),
+        F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd"), cells).alias("line")
+    )
     return header.unionByName(body)
 
 
@@ -91,7 +94,10 @@ def read_dss_parts(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"{wrong} parts are not as the manifest says")
     began = listed.where("part > 0").groupBy("scenario").agg(F.min("first_place").alias("_first"))
     at = F.when(F.col("part") == 0, F.col("place")).otherwise(F.col("place") - F.col("_first") + len(LABELS))
-    return lines.join(began, "scenario", "left").select(F.concat(F.lit(f"{path}/"), "scenario").alias("file"), F.lit(0).cast("long").alias("block"), at.alias("at"), F.split("value", ",", -1).alias("cells"))
+    return lines.join(began, "scenario", "left").select(
+        F.concat(F.lit(f"{path}/"), "scenario").alias("file"), F.lit(0).cast("long").alias("block"), at.alias("at"),
+        F.split("value", ",", -1).alias("cells")
+    )
 
 
 def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str], defaults: dict | None = None) -> DataFrame:
@@ -135,7 +141,10 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, key: Sequen
             these = reduce(lambda a, b: a | b, (reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.lit(row[c])) for c in partition)) for row in touched.collect()))
             own = target.where(these)
         else:
-            own = target.join(touched.select(*(F.col(c).alias(f"_{c}") for c in partition)), reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition)), "left_semi")
+            own = target.join(
+                touched.select(*(F.col(c).alias(f"_{c}") for c in partition)),
+                reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition)), "left_semi"
+            )
         merged = upsert(own, news, key, defaults)
     aside = written(merged, "merged")
     aside.repartition(*partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)

@@ -71,7 +71,10 @@ def errors(spark: SparkSession, out_dir: str) -> DataFrame:
     return CommitLog(spark, out_dir).errors()
 
 
-def stream_scenarios(spark: SparkSession, in_dir: str, out_dir: str, compute: Callable[[DataFrame], DataFrame] = monthly_of, variables: list[str] | None = None, most_files: int = 100, tries: int = TRIES, first_wait: float = FIRST_WAIT) -> None:
+def stream_scenarios(
+    spark: SparkSession, in_dir: str, out_dir: str, compute: Callable[[DataFrame], DataFrame] = monthly_of, variables: list[str] | None = None,
+    most_files: int = 100, tries: int = TRIES, first_wait: float = FIRST_WAIT
+) -> None:
     """Takes in all new files of ``in_dir`` and returns when they are done; a later call takes in later files.
 
     Each file's scenario is replaced, and of files of one scenario the one that was written last counts, so a file that is
@@ -141,4 +144,7 @@ def change_log(old: DataFrame, new: DataFrame, key: str, table: str) -> DataFram
     changed = F.array_compact(F.array(*(F.when(~F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")), F.lit(c)) for c in fields)))
     operation = F.when(F.col("_k").isNull(), "INSERT").when(F.col("_k2").isNull(), "DELETE").when(F.size(changed) > 0, "UPDATE")
     rows = rows.withColumns({"operation": operation, "changed": changed}).where("operation is not null")
-    return rows.select(F.lit(table).alias("table_name"), F.coalesce("_k", "_k2").alias("record_id"), "operation", F.to_json("o").alias("old_values"), F.to_json("n").alias("new_values"), F.when(F.col("operation") == "UPDATE", F.col("changed")).alias("changed_fields"))
+    return rows.select(
+        F.lit(table).alias("table_name"), F.coalesce("_k", "_k2").alias("record_id"), "operation", F.to_json("o").alias("old_values"),
+        F.to_json("n").alias("new_values"), F.when(F.col("operation") == "UPDATE", F.col("changed")).alias("changed_fields")
+    )
