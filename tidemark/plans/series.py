@@ -47,7 +47,9 @@ def rounded_rows(df, *keys):
 
 @query(
     "c1_map_entity_series",
-    f"WITH {SERIES_SQL}, m AS (SELECT s_suppkey AS entity, CASE WHEN s_suppkey % 6 = 0 THEN 'NOT_FOUND' WHEN s_suppkey % 7 <> 0 THEN 'V' || s_suppkey % 60 END AS variable FROM supplier WHERE s_suppkey % 5 <> 0) SELECT scenario, entity, ts, {r('value')} AS value FROM series JOIN m USING (variable)"
+    f"WITH {SERIES_SQL}, m AS (SELECT s_suppkey AS entity, CASE WHEN s_suppkey % 6 = 0 THEN 'NOT_FOUND' WHEN s_suppkey % 7 <> 0 THEN 'V' || "
+    f"s_suppkey % 60 END AS variable FROM supplier WHERE s_suppkey % 5 <> 0) SELECT scenario, entity, ts, {r('value')} AS value FROM series JOIN "
+    "m USING (variable)"
 )
 def c1(spark, sf):
     k = F.col("s_suppkey")
@@ -67,7 +69,8 @@ def _arcs(spark, sf):
 
 @query(
     "c2_sum_arcs_lenient",
-    f"WITH {MONTHLY_SQL}, {ARCS_SQL}, x AS (SELECT scenario, entity, ts, coalesce(sum(value), 0.0) AS value FROM monthly JOIN arcs USING (variable) GROUP BY 1, 2, 3) SELECT scenario, entity, ts, {r('value')} AS value FROM x"
+    f"WITH {MONTHLY_SQL}, {ARCS_SQL}, x AS (SELECT scenario, entity, ts, coalesce(sum(value), 0.0) AS value FROM monthly JOIN arcs USING "
+    f"(variable) GROUP BY 1, 2, 3) SELECT scenario, entity, ts, {r('value')} AS value FROM x"
 )
 def c2(spark, sf):
     return rounded_rows(S.sum_arcs(monthly(spark, sf), _arcs(spark, sf)), "scenario", "entity", "ts")
@@ -75,22 +78,30 @@ def c2(spark, sf):
 
 @query(
     "c3_sum_arcs_strict",
-    f"WITH {MONTHLY_SQL}, {ARCS_SQL}, x AS (SELECT scenario, entity, ts, CASE WHEN count(value) = 2 THEN sum(value) END AS value FROM monthly JOIN arcs USING (variable) GROUP BY 1, 2, 3) SELECT scenario, entity, ts, {r('value')} AS value FROM x"
+    f"WITH {MONTHLY_SQL}, {ARCS_SQL}, x AS (SELECT scenario, entity, ts, CASE WHEN count(value) = 2 THEN sum(value) END AS value FROM monthly "
+    f"JOIN arcs USING (variable) GROUP BY 1, 2, 3) SELECT scenario, entity, ts, {r('value')} AS value FROM x"
 )
 def c3(spark, sf):
     return rounded_rows(S.sum_arcs(monthly(spark, sf), _arcs(spark, sf), strict=True), "scenario", "entity", "ts")
 
 
-UNIT = "CASE WHEN p_partkey % 3 = 0 THEN lpad(CAST(p_partkey % 50 AS VARCHAR), 2, '0') || CASE WHEN p_partkey % 2 = 0 THEN '_NU' ELSE '_PU' END || CAST(p_partkey AS VARCHAR) WHEN p_partkey % 3 = 1 THEN 'TOWN' || CAST(p_partkey AS VARCHAR) ELSE 'CITY_NU' || CAST(p_partkey AS VARCHAR) END"
+UNIT = (
+    "CASE WHEN p_partkey % 3 = 0 THEN lpad(CAST(p_partkey % 50 AS VARCHAR), 2, '0') || CASE WHEN p_partkey % 2 = 0 THEN '_NU' ELSE '_PU' END || "
+    "CAST(p_partkey AS VARCHAR) WHEN p_partkey % 3 = 1 THEN 'TOWN' || CAST(p_partkey AS VARCHAR) ELSE 'CITY_NU' || CAST(p_partkey AS VARCHAR) END"
+)
 
 
 @query(
     "c4_resolve_variable",
-    f"WITH e AS (SELECT p_partkey AS k, {UNIT} AS entity FROM part), a AS (SELECT CASE k % 5 WHEN 0 THEN 'DN_' WHEN 1 THEN 'GP_' WHEN 2 THEN 'D_' WHEN 3 THEN 'XX_' ELSE 'D_' END || entity || CASE WHEN k % 5 = 4 THEN '_NU' ELSE '' END AS variable FROM e), "
+    f"WITH e AS (SELECT p_partkey AS k, {UNIT} AS entity FROM part), a AS (SELECT CASE k % 5 WHEN 0 THEN 'DN_' WHEN 1 THEN 'GP_' WHEN 2 THEN "
+    "'D_' WHEN 3 THEN 'XX_' ELSE 'D_' END || entity || CASE WHEN k % 5 = 4 THEN '_NU' ELSE '' END AS variable FROM e), "
     "s AS (SELECT entity, CASE WHEN k % 22 = 0 THEN 'DN_' || entity END AS variable FROM e WHERE k % 11 = 0), "
     "t AS (SELECT entity, unnest([1, 2, 3, 4, 5, 6]) AS rank FROM e WHERE entity NOT IN (SELECT entity FROM s)), "
-    "n AS (SELECT entity, rank, CASE WHEN rank = 1 AND (regexp_matches(entity, '^(\\d+[NS]?)_(PU|NU|SU)\\d*$') OR contains(entity, '_') OR entity LIKE '%3') THEN 'DN_' || entity WHEN rank = 2 AND regexp_matches(entity, '^(\\d+[NS]?)_(PU|NU|SU)\\d*$') AND contains(entity, '_NU') THEN 'GP_' || entity "
-    "WHEN rank = 3 THEN 'D_' || entity || '_NU' WHEN rank = 4 THEN 'D_' || entity WHEN rank = 5 THEN 'DN_' || entity WHEN rank = 6 AND contains(entity, '_NU') THEN 'GP_' || entity END AS variable FROM t UNION ALL SELECT entity, 0, variable FROM s), "
+    "n AS (SELECT entity, rank, CASE WHEN rank = 1 AND (regexp_matches(entity, '^(\\d+[NS]?)_(PU|NU|SU)\\d*$') OR contains(entity, '_') OR "
+    "entity LIKE '%3') THEN 'DN_' || entity WHEN rank = 2 AND regexp_matches(entity, '^(\\d+[NS]?)_(PU|NU|SU)\\d*$') AND contains(entity, "
+    "'_NU') THEN 'GP_' || entity "
+    "WHEN rank = 3 THEN 'D_' || entity || '_NU' WHEN rank = 4 THEN 'D_' || entity WHEN rank = 5 THEN 'DN_' || entity WHEN rank = 6 AND "
+    "contains(entity, '_NU') THEN 'GP_' || entity END AS variable FROM t UNION ALL SELECT entity, 0, variable FROM s), "
     "b AS (SELECT entity, arg_min(variable, rank) AS variable FROM n WHERE variable IN (SELECT variable FROM a) GROUP BY entity) SELECT e.entity, b.variable FROM e LEFT JOIN b USING (entity)",
 )
 def c4(spark, sf):
@@ -109,7 +120,9 @@ def c4(spark, sf):
 
 @query(
     "c5_overlay_sources",
-    f"WITH {SERIES_SQL}, o AS (SELECT scenario, variable, ts, value * 0.5 AS value FROM series WHERE variable IN ('V1', 'V2', 'V3') AND scenario <> 'F' AND day(ts) <= 20), u AS (SELECT scenario, variable, ts, value, 'CFS' AS unit FROM series WHERE (scenario, variable) NOT IN (SELECT (scenario, variable) FROM o) UNION ALL SELECT *, 'TAF' FROM o) SELECT scenario, variable, unit, ts, {r('value')} AS value FROM u"
+    f"WITH {SERIES_SQL}, o AS (SELECT scenario, variable, ts, value * 0.5 AS value FROM series WHERE variable IN ('V1', 'V2', 'V3') AND scenario "
+    "<> 'F' AND day(ts) <= 20), u AS (SELECT scenario, variable, ts, value, 'CFS' AS unit FROM series WHERE (scenario, variable) NOT IN (SELECT "
+    f"(scenario, variable) FROM o) UNION ALL SELECT *, 'TAF' FROM o) SELECT scenario, variable, unit, ts, {r('value')} AS value FROM u"
 )
 def c5(spark, sf):
     main = series(spark, sf).withColumn("unit", F.lit("CFS"))
@@ -129,7 +142,8 @@ def c6(spark, sf):
 
 @query(
     "c7_groundwater_pumping",
-    f"WITH {OBS}, x AS (SELECT scenario, entity, pumping IS NULL AS is_calculated, greatest(coalesce(pumping, demand - coalesce(delivery, 0.0)), 0.0) AS gw FROM obs) SELECT scenario, entity, is_calculated, {r('sum(gw)', 4)} AS gw_pumping FROM x GROUP BY 1, 2, 3"
+    f"WITH {OBS}, x AS (SELECT scenario, entity, pumping IS NULL AS is_calculated, greatest(coalesce(pumping, demand - coalesce(delivery, 0.0)), "
+    f"0.0) AS gw FROM obs) SELECT scenario, entity, is_calculated, {r('sum(gw)', 4)} AS gw_pumping FROM x GROUP BY 1, 2, 3"
 )
 def c7(spark, sf):
     return S.groundwater_pumping(obs(spark, sf)).groupBy("scenario", "entity", "is_calculated").agg(rounded(F.sum("gw_pumping"), 4).alias("gw_pumping"))
@@ -147,9 +161,15 @@ def c8(spark, sf):
 
 @query(
     "c9_back_calculate_demand",
-    f"WITH {MONTHLY_SQL}, terms AS (SELECT n_nationkey AS district, 'V' || n_nationkey AS dv, 'V' || n_nationkey + 25 AS sv, 'V' || (n_nationkey + 7) % 60 AS av FROM nation UNION ALL SELECT n_nationkey, 'V' || n_nationkey + 30, 'V' || n_nationkey + 31, 'V' || n_nationkey % 3 FROM nation WHERE n_nationkey % 4 = 0), "
-    "x AS (SELECT t.district, d.scenario, d.ts, d.value AS delivery, CASE WHEN a.value > 0 THEN (coalesce(d.value, 0.0) + coalesce(s.value, 0.0)) / (a.value / 100) END AS need FROM terms t JOIN monthly d ON d.variable = t.dv LEFT JOIN monthly s ON s.variable = t.sv AND s.scenario = d.scenario AND s.ts = d.ts LEFT JOIN monthly a ON a.variable = t.av AND a.scenario = d.scenario AND a.ts = d.ts), "
-    f"y AS (SELECT district, scenario, ts, sum(need) AS demand, sum(delivery) AS delivery FROM x GROUP BY 1, 2, 3) SELECT {big('district')} AS district, scenario, ts, {r('demand', 4)} AS demand, {r('CASE WHEN demand > 0 THEN delivery * 100 / demand END', 4)} AS pct_of_demand FROM y",
+    f"WITH {MONTHLY_SQL}, terms AS (SELECT n_nationkey AS district, 'V' || n_nationkey AS dv, 'V' || n_nationkey + 25 AS sv, 'V' || (n_nationkey "
+    "+ 7) % 60 AS av FROM nation UNION ALL SELECT n_nationkey, 'V' || n_nationkey + 30, 'V' || n_nationkey + 31, 'V' || n_nationkey % 3 FROM "
+    "nation WHERE n_nationkey % 4 = 0), "
+    "x AS (SELECT t.district, d.scenario, d.ts, d.value AS delivery, CASE WHEN a.value > 0 THEN (coalesce(d.value, 0.0) + coalesce(s.value, "
+    "0.0)) / (a.value / 100) END AS need FROM terms t JOIN monthly d ON d.variable = t.dv LEFT JOIN monthly s ON s.variable = t.sv AND "
+    "s.scenario = d.scenario AND s.ts = d.ts LEFT JOIN monthly a ON a.variable = t.av AND a.scenario = d.scenario AND a.ts = d.ts), "
+    f"y AS (SELECT district, scenario, ts, sum(need) AS demand, sum(delivery) AS delivery FROM x GROUP BY 1, 2, 3) SELECT {big('district')} AS "
+    f"district, scenario, ts, {r('demand', 4)} AS demand, {r('CASE WHEN demand > 0 THEN delivery * 100 / demand END', 4)} AS pct_of_demand FROM "
+    "y",
 )
 def c9(spark, sf):
     k = F.col("n_nationkey")
@@ -162,7 +182,12 @@ def c9(spark, sf):
     return out.select("district", "scenario", "ts", rounded(F.col("demand"), 4).alias("demand"), rounded(F.col("pct_of_demand"), 4).alias("pct_of_demand"))
 
 
-THRESHOLD_SQL = f"WITH {MONTHLY_SQL}, t AS (SELECT s_suppkey AS entity, CASE WHEN s_suppkey % 3 = 0 THEN 'V' || s_suppkey % 70 END AS variable, CASE WHEN s_suppkey % 3 = 1 THEN 1000.0::DOUBLE + s_suppkey END AS constant, s_acctbal AS dead_pool_taf FROM supplier), rows AS (SELECT DISTINCT o_orderstatus AS scenario, t.entity, CAST(date_trunc('month', o_orderdate) AS DATE) AS ts, t.dead_pool_taf FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN t ON t.entity = l_suppkey)"
+THRESHOLD_SQL = (
+    f"WITH {MONTHLY_SQL}, t AS (SELECT s_suppkey AS entity, CASE WHEN s_suppkey % 3 = 0 THEN 'V' || s_suppkey % 70 END AS variable, CASE WHEN "
+    "s_suppkey % 3 = 1 THEN 1000.0::DOUBLE + s_suppkey END AS constant, s_acctbal AS dead_pool_taf FROM supplier), rows AS (SELECT DISTINCT "
+    "o_orderstatus AS scenario, t.entity, CAST(date_trunc('month', o_orderdate) AS DATE) AS ts, t.dead_pool_taf FROM orders JOIN lineitem ON "
+    "l_orderkey = o_orderkey JOIN t ON t.entity = l_suppkey)"
+)
 
 
 def _threshold(spark, sf, kind):
@@ -184,7 +209,9 @@ def _threshold(spark, sf, kind):
 for _kind, _last in (("flood", "NULL"), ("dead", "CASE WHEN r.dead_pool_taf > 0 THEN r.dead_pool_taf END")):
     query(
         f"c10_resolve_threshold_{_kind}",
-        f"{THRESHOLD_SQL}, x AS (SELECT r.scenario, r.entity, coalesce(m.value, t.constant, {_last}) AS th FROM rows r JOIN t USING (entity) LEFT JOIN monthly m ON m.variable = t.variable AND m.scenario = r.scenario AND m.ts = r.ts) SELECT scenario, entity, {r('sum(th)')} AS threshold, count(th) AS n FROM x GROUP BY 1, 2"
+        f"{THRESHOLD_SQL}, x AS (SELECT r.scenario, r.entity, coalesce(m.value, t.constant, {_last}) AS th FROM rows r JOIN t USING (entity) "
+        f"LEFT JOIN monthly m ON m.variable = t.variable AND m.scenario = r.scenario AND m.ts = r.ts) SELECT scenario, entity, {r('sum(th)')} AS "
+        "threshold, count(th) AS n FROM x GROUP BY 1, 2"
     )(lambda spark, sf, kind=_kind: _threshold(spark, sf, kind))
 
 
@@ -217,8 +244,12 @@ def c12(spark, sf):
 
 @query(
     "c13_search_elements",
-    "WITH n AS (SELECT 'node' AS element, CAST(s_suppkey AS BIGINT) AS id, 'N' || s_suppkey AS short_code, s_name AS name, CAST(NULL AS VARCHAR) AS description FROM supplier WHERE contains('n' || s_suppkey, '9') OR contains(lower(s_name), '9') ORDER BY short_code, id LIMIT 10), "
-    "a AS (SELECT 'arc' AS element, p_partkey AS id, 'A' || p_partkey AS short_code, p_name AS name, p_brand AS description FROM part WHERE contains('a' || p_partkey, '9') OR contains(lower(p_name), '9') OR contains(lower(p_brand), '9') ORDER BY short_code, id LIMIT 10) SELECT * FROM n UNION ALL SELECT * FROM a",
+    "WITH n AS (SELECT 'node' AS element, CAST(s_suppkey AS BIGINT) AS id, 'N' || s_suppkey AS short_code, s_name AS name, CAST(NULL AS "
+    "VARCHAR) AS description FROM supplier WHERE contains('n' || s_suppkey, '9') OR contains(lower(s_name), '9') ORDER BY short_code, id LIMIT "
+    "10), "
+    "a AS (SELECT 'arc' AS element, p_partkey AS id, 'A' || p_partkey AS short_code, p_name AS name, p_brand AS description FROM part WHERE "
+    "contains('a' || p_partkey, '9') OR contains(lower(p_name), '9') OR contains(lower(p_brand), '9') ORDER BY short_code, id LIMIT 10) SELECT "
+    "* FROM n UNION ALL SELECT * FROM a",
 )
 def c13(spark, sf):
     nodes = suppliers(spark, sf).select(
@@ -234,8 +265,12 @@ def c13(spark, sf):
 
 @query(
     "c13_search_indexed",
-    "WITH n AS (SELECT 'node' AS element, CAST(c_custkey AS BIGINT) AS id, 'N' || c_custkey AS short_code, c_name AS name, c_mktsegment AS description FROM customer WHERE contains('n' || c_custkey, '#0000012') OR contains(lower(c_name), '#0000012') OR contains(lower(c_mktsegment), '#0000012') ORDER BY short_code, id LIMIT 1000), "
-    "a AS (SELECT 'arc' AS element, p_partkey AS id, 'A' || p_partkey AS short_code, p_name AS name, p_brand AS description FROM part WHERE contains('a' || p_partkey, '#0000012') OR contains(lower(p_name), '#0000012') OR contains(lower(p_brand), '#0000012') ORDER BY short_code, id LIMIT 1000) SELECT * FROM n UNION ALL SELECT * FROM a",
+    "WITH n AS (SELECT 'node' AS element, CAST(c_custkey AS BIGINT) AS id, 'N' || c_custkey AS short_code, c_name AS name, c_mktsegment AS "
+    "description FROM customer WHERE contains('n' || c_custkey, '#0000012') OR contains(lower(c_name), '#0000012') OR "
+    "contains(lower(c_mktsegment), '#0000012') ORDER BY short_code, id LIMIT 1000), "
+    "a AS (SELECT 'arc' AS element, p_partkey AS id, 'A' || p_partkey AS short_code, p_name AS name, p_brand AS description FROM part WHERE "
+    "contains('a' || p_partkey, '#0000012') OR contains(lower(p_name), '#0000012') OR contains(lower(p_brand), '#0000012') ORDER BY short_code, "
+    "id LIMIT 1000) SELECT * FROM n UNION ALL SELECT * FROM a",
 )
 def c13_indexed(spark, sf):
     """Elements indexed by trigrams, then searched."""
@@ -253,7 +288,9 @@ def c13_indexed(spark, sf):
 for _name, _mod in (("some", 4), ("none", 1000)):
     query(
         f"c14_active_or_all_{_name}",
-        f"WITH x AS (SELECT c_custkey AS k, c_custkey % 1000 = 1 AND {_mod} = 4 AS is_active, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS t, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS n FROM customer) SELECT k, coalesce(t, n, 'C' || k) AS display_name FROM x WHERE is_active OR NOT EXISTS (SELECT 1 FROM x WHERE is_active)",
+        f"WITH x AS (SELECT c_custkey AS k, c_custkey % 1000 = 1 AND {_mod} = 4 AS is_active, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END "
+        "AS t, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS n FROM customer) SELECT k, coalesce(t, n, 'C' || k) AS display_name FROM x WHERE "
+        "is_active OR NOT EXISTS (SELECT 1 FROM x WHERE is_active)",
     )(
         lambda spark, sf, mod=_mod: S.active_or_all(
             table(spark, sf, "customer").select(

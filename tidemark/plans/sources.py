@@ -19,8 +19,14 @@ from tidemark.streaming import incremental
 
 # Exports of three scenarios out of the monthly series; the scenario's id is s0001 … by order status.
 NUMBERED = "CASE scenario WHEN 'F' THEN 's0001' WHEN 'O' THEN 's0002' ELSE 's0003' END"
-EXPORT = f"WITH {MONTHLY_SQL}, ex AS (SELECT {NUMBERED} AS scenario, variable, ts, value FROM monthly), days AS (SELECT scenario, ts FROM ex GROUP BY 1, 2 HAVING count(value) > 0), vars AS (SELECT DISTINCT scenario, variable FROM ex)"
-FULL = f"{EXPORT}, cells AS (SELECT d.scenario, v.variable, d.ts, e.value FROM days d JOIN vars v USING (scenario) LEFT JOIN ex e ON e.scenario = d.scenario AND e.variable = v.variable AND e.ts = d.ts)"
+EXPORT = (
+    f"WITH {MONTHLY_SQL}, ex AS (SELECT {NUMBERED} AS scenario, variable, ts, value FROM monthly), days AS (SELECT scenario, ts FROM ex GROUP BY 1, "
+    "2 HAVING count(value) > 0), vars AS (SELECT DISTINCT scenario, variable FROM ex)"
+)
+FULL = (
+    f"{EXPORT}, cells AS (SELECT d.scenario, v.variable, d.ts, e.value FROM days d JOIN vars v USING (scenario) LEFT JOIN ex e ON e.scenario = "
+    "d.scenario AND e.variable = v.variable AND e.ts = d.ts)"
+)
 
 
 def numbered(df):
@@ -56,7 +62,9 @@ def a1(spark, sf):
 
 @query(
     "a1_series_table",
-    f"{FULL} SELECT scenario, variable AS entity, {big('(month(ts) + 2) % 12 + 1')} AS water_month, {r('avg(CASE WHEN scenario = \'s0002\' THEN value + 1 ELSE value END)')} AS avg, count(value) AS sample_count FROM cells WHERE value IS NOT NULL GROUP BY 1, 2, 3"
+    f"{FULL} SELECT scenario, variable AS entity, {big('(month(ts) + 2) % 12 + 1')} AS water_month, "
+    f"{r('avg(CASE WHEN scenario = \'s0002\' THEN value + 1 ELSE value END)')} AS avg, count(value) AS sample_count FROM cells WHERE value IS "
+    "NOT NULL GROUP BY 1, 2, 3"
 )
 def a1_series_table(spark, sf):
     """All exports converted once into the bucketed table, one of them sent again with other values; monthly statistics
@@ -69,12 +77,17 @@ def a1_series_table(spark, sf):
     return stats.distribution_stats(series, stats.MONTH, "value").select(*stats.MONTH, "avg", "sample_count")
 
 
-ANNUAL = f"WITH ex AS (SELECT {NUMBERED.replace('scenario', 'o_orderstatus')} AS scenario, 'V' || o_custkey % 60 AS variable, make_date(CAST(year(o_orderdate) AS INTEGER), 9, 30) AS ts, sum(o_totalprice) AS value FROM orders GROUP BY 1, 2, 3), days AS (SELECT DISTINCT scenario, ts FROM ex), vars AS (SELECT DISTINCT scenario, variable FROM ex)"
+ANNUAL = (
+    f"WITH ex AS (SELECT {NUMBERED.replace('scenario', 'o_orderstatus')} AS scenario, 'V' || o_custkey % 60 AS variable, "
+    "make_date(CAST(year(o_orderdate) AS INTEGER), 9, 30) AS ts, sum(o_totalprice) AS value FROM orders GROUP BY 1, 2, 3), days AS (SELECT DISTINCT "
+    "scenario, ts FROM ex), vars AS (SELECT DISTINCT scenario, variable FROM ex)"
+)
 
 
 @query(
     "a1_read_annual",
-    f"{ANNUAL} SELECT scenario, variable, ts, {big('0')} AS water_month, {big('year(ts)')} AS water_year, {big('365')} AS days_in_month, {r('value')} AS value FROM days JOIN vars USING (scenario) LEFT JOIN ex USING (scenario, variable, ts)"
+    f"{ANNUAL} SELECT scenario, variable, ts, {big('0')} AS water_month, {big('year(ts)')} AS water_year, {big('365')} AS days_in_month, "
+    f"{r('value')} AS value FROM days JOIN vars USING (scenario) LEFT JOIN ex USING (scenario, variable, ts)"
 )
 def a1_annual(spark, sf):
     """Exports whose first column holds bare years."""
@@ -126,7 +139,12 @@ def a5(spark, sf):
     return X.select_column_block(meta(spark, sf), 20, "SMALL").select("file", "col_idx", "b")
 
 
-PATHS = "WITH paths AS (SELECT 's' || lpad(CAST(o_custkey % 9000 AS VARCHAR), 4, '0') AS scenario, 'scenario/s' || lpad(CAST(o_custkey % 9000 AS VARCHAR), 4, '0') || '/' || CASE o_orderkey % 4 WHEN 0 THEN 'run' WHEN 1 THEN 'csv' WHEN 2 THEN 'old' ELSE 'verify' END || '/' || CASE o_orderkey % 3 WHEN 0 THEN 'a_output.csv' WHEN 1 THEN 'b_sv.csv' ELSE 'c.zip' END || CASE WHEN o_orderkey % 5 = 0 THEN '/' ELSE '' END AS path FROM orders)"
+PATHS = (
+    "WITH paths AS (SELECT 's' || lpad(CAST(o_custkey % 9000 AS VARCHAR), 4, '0') AS scenario, 'scenario/s' || lpad(CAST(o_custkey % 9000 AS "
+    "VARCHAR), 4, '0') || '/' || CASE o_orderkey % 4 WHEN 0 THEN 'run' WHEN 1 THEN 'csv' WHEN 2 THEN 'old' ELSE 'verify' END || '/' || CASE "
+    "o_orderkey % 3 WHEN 0 THEN 'a_output.csv' WHEN 1 THEN 'b_sv.csv' ELSE 'c.zip' END || CASE WHEN o_orderkey % 5 = 0 THEN '/' ELSE '' END AS path "
+    "FROM orders)"
+)
 
 
 def paths(spark, sf):
@@ -139,7 +157,9 @@ def paths(spark, sf):
 
 @query(
     "a6_pick_first_existing",
-    f"{PATHS}, x AS (SELECT scenario, path, CASE WHEN path LIKE '%/csv/a\\_output.csv' ESCAPE '\\' THEN 1 WHEN path LIKE '%/run/%csv' THEN 2 WHEN path LIKE '%.csv' THEN 3 END AS rank FROM paths) SELECT scenario, arg_min(path, (rank, path)) AS path FROM x WHERE rank IS NOT NULL GROUP BY 1"
+    f"{PATHS}, x AS (SELECT scenario, path, CASE WHEN path LIKE '%/csv/a\\_output.csv' ESCAPE '\\' THEN 1 WHEN path LIKE '%/run/%csv' THEN 2 "
+    "WHEN path LIKE '%.csv' THEN 3 END AS rank FROM paths) SELECT scenario, arg_min(path, (rank, path)) AS path FROM x WHERE rank IS NOT NULL "
+    "GROUP BY 1"
 )
 def a6(spark, sf):
     patterns = table(spark, sf, "region").where("r_regionkey < 3").select(
@@ -151,7 +171,8 @@ def a6(spark, sf):
 
 @query(
     "a7_scenario_from_path",
-    "SELECT p_partkey AS k, CASE p_partkey % 3 WHEN 0 THEN 's' || lpad(CAST(p_size AS VARCHAR), 4, '0') WHEN 1 THEN 's' || lpad(CAST(p_size AS VARCHAR), 4, '0') ELSE left(lower(regexp_replace(p_name, '[^A-Za-z0-9._-]+', '_', 'g')), 12) END AS scenario FROM part"
+    "SELECT p_partkey AS k, CASE p_partkey % 3 WHEN 0 THEN 's' || lpad(CAST(p_size AS VARCHAR), 4, '0') WHEN 1 THEN 's' || lpad(CAST(p_size AS "
+    "VARCHAR), 4, '0') ELSE left(lower(regexp_replace(p_name, '[^A-Za-z0-9._-]+', '_', 'g')), 12) END AS scenario FROM part"
 )
 def a7(spark, sf):
     k, s = F.col("p_partkey"), F.concat(F.lit("S"), F.lpad(F.col("p_size").cast("string"), 4, "0"))
@@ -163,7 +184,9 @@ def a7(spark, sf):
 
 @query(
     "a8_catalogue_files",
-    f"{PATHS}, x AS (SELECT scenario, path FROM paths WHERE path NOT LIKE '%/') SELECT scenario, bool_or(path LIKE '%.zip') AS has_zip, bool_or(regexp_matches(path, 'output[^/]*\\.csv$')) AS has_output_csv, bool_or(regexp_matches(path, 'sv[^/]*\\.csv$')) AS has_sv_csv FROM x GROUP BY 1"
+    f"{PATHS}, x AS (SELECT scenario, path FROM paths WHERE path NOT LIKE '%/') SELECT scenario, bool_or(path LIKE '%.zip') AS has_zip, "
+    "bool_or(regexp_matches(path, 'output[^/]*\\.csv$')) AS has_output_csv, bool_or(regexp_matches(path, 'sv[^/]*\\.csv$')) AS has_sv_csv FROM "
+    "x GROUP BY 1"
 )
 def a8(spark, sf):
     return X.catalogue_files(paths(spark, sf))
@@ -172,10 +195,13 @@ def a8(spark, sf):
 @query(
     "a9_classify_dss_paths",
     "WITH x AS (SELECT p_brand || p_size AS package, p_partkey AS position, p_partkey % 3 AS f, p_partkey % 7 AS b, p_size % 2 = 0 AS folders FROM part), "
-    "p AS (SELECT *, CASE WHEN NOT folders THEN 'x/' WHEN f = 0 THEN 'DSS/Input/' WHEN f = 1 THEN 'dss/output/' ELSE 'other/' END || CASE b WHEN 0 THEN 'a_SV.dss' WHEN 1 THEN 'input' || position || '.dss' WHEN 2 THEN 'r_DV.dss' WHEN 3 THEN 'results.dss' WHEN 4 THEN 'CVGroundwaterOut.dss' WHEN 5 THEN 'plain.dss' ELSE 'out.dss' END AS path FROM x), "
+    "p AS (SELECT *, CASE WHEN NOT folders THEN 'x/' WHEN f = 0 THEN 'DSS/Input/' WHEN f = 1 THEN 'dss/output/' ELSE 'other/' END || CASE b "
+    "WHEN 0 THEN 'a_SV.dss' WHEN 1 THEN 'input' || position || '.dss' WHEN 2 THEN 'r_DV.dss' WHEN 3 THEN 'results.dss' WHEN 4 THEN "
+    "'CVGroundwaterOut.dss' WHEN 5 THEN 'plain.dss' ELSE 'out.dss' END AS path FROM x), "
     "g AS (SELECT package, bool_or(folders AND (f = 0 OR (f = 1 AND b <> 4))) AS any_folder FROM p GROUP BY 1), "
     "q AS (SELECT p.*, any_folder, CASE WHEN b = 0 THEN 0 WHEN b = 1 THEN 1 END AS sr, CASE WHEN b = 2 THEN 0 WHEN b IN (3, 6) THEN 1 END AS orank FROM p JOIN g USING (package)) "
-    "SELECT package, arg_min(path, (sr, position)) FILTER (WHERE sr IS NOT NULL AND (NOT any_folder OR f = 0)) AS sv_path, arg_min(path, (orank, position)) FILTER (WHERE orank IS NOT NULL AND (NOT any_folder OR f = 1)) AS output_path FROM q GROUP BY 1",
+    "SELECT package, arg_min(path, (sr, position)) FILTER (WHERE sr IS NOT NULL AND (NOT any_folder OR f = 0)) AS sv_path, arg_min(path, "
+    "(orank, position)) FILTER (WHERE orank IS NOT NULL AND (NOT any_folder OR f = 1)) AS output_path FROM q GROUP BY 1",
 )
 def a9(spark, sf):
     k = F.col("p_partkey")
@@ -213,7 +239,10 @@ def a10(spark, sf):
 
 @query(
     "a11_detect_series_type",
-    "WITH x AS (SELECT p_size AS file, p_partkey, row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) AS n FROM part), y AS (SELECT file, CASE WHEN p_partkey % 2 = 0 AND file % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 5 <> 0 THEN 1 ELSE 0 END AS o, CASE WHEN file % 2 = 1 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 2 = 1 OR file % 2 = 1 THEN 1 ELSE 0 END AS i FROM x WHERE n <= 10) "
+    "WITH x AS (SELECT p_size AS file, p_partkey, row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) AS n FROM part), y AS (SELECT "
+    "file, CASE WHEN p_partkey % 2 = 0 AND file % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey "
+    "% 5 <> 0 THEN 1 ELSE 0 END AS o, CASE WHEN file % 2 = 1 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 2 = 1 OR file % 2 = 1 THEN 1 ELSE 0 END "
+    "AS i FROM x WHERE n <= 10) "
     "SELECT 'f' || file AS file, CASE WHEN sum(o) > sum(i) THEN 'calsim_output' ELSE 'sv_input' END AS series_type FROM y GROUP BY 1",
 )
 def a11(spark, sf):
@@ -280,7 +309,8 @@ def a16_parts(spark, sf):
 
 @query(
     "a17_read_seed",
-    f"SELECT s_suppkey AS id, s_name || ', \"' || s_nationkey || '\"' AS name, s_suppkey % 2 = 0 AS flag, CASE WHEN s_suppkey % 4 = 0 THEN 0.0 ELSE s_acctbal END AS capacity, {big('s_suppkey + s_nationkey')} AS total FROM supplier"
+    "SELECT s_suppkey AS id, s_name || ', \"' || s_nationkey || '\"' AS name, s_suppkey % 2 = 0 AS flag, CASE WHEN s_suppkey % 4 = 0 THEN 0.0 "
+    f"ELSE s_acctbal END AS capacity, {big('s_suppkey + s_nationkey')} AS total FROM supplier"
 )
 def a17(spark, sf):
     path, k = shared_path(spark, "seed"), F.col("s_suppkey")
@@ -296,7 +326,12 @@ def a17(spark, sf):
 
 @query(
     "a18_expand_entity_variables",
-    f"WITH e AS (SELECT s_suppkey AS id, 'R' || s_suppkey AS sc, s_name AS name, row_number() OVER (ORDER BY s_suppkey) AS n FROM supplier), k(i, suffix, t, label, about) AS (VALUES (0, '', 'release_total', 'Total Release', 'Total release from {{}}'), (1, '_NCF', 'release_normal', 'Normal Release', 'Normal controlled release from {{}} (≤ release capacity)'), (2, '_FLOOD', 'release_flood', 'Flood Spill', 'Flood spill from {{}} (above release capacity)')) SELECT {big('(n - 1) * 3 + i + 196')} AS variable_id, 'C_' || sc || suffix AS calsim_id, name || ' ' || label AS variable_name, replace(about, '{{}}', name) AS description, id AS entity_id, t AS variable_type FROM e, k"
+    "WITH e AS (SELECT s_suppkey AS id, 'R' || s_suppkey AS sc, s_name AS name, row_number() OVER (ORDER BY s_suppkey) AS n FROM supplier), "
+    f"k(i, suffix, t, label, about) AS (VALUES (0, '', 'release_total', 'Total Release', 'Total release from {{}}'), (1, '_NCF', "
+    f"'release_normal', 'Normal Release', 'Normal controlled release from {{}} (≤ release capacity)'), (2, '_FLOOD', 'release_flood', 'Flood "
+    f"Spill', 'Flood spill from {{}} (above release capacity)')) SELECT {big('(n - 1) * 3 + i + 196')} AS variable_id, 'C_' || sc || suffix AS "
+    f"calsim_id, name || ' ' || label AS variable_name, replace(about, '{{}}', name) AS description, id AS entity_id, t AS variable_type FROM e, "
+    "k"
 )
 def a18(spark, sf):
     k = F.col("s_suppkey")
@@ -313,7 +348,8 @@ def _halves(spark, sf):
 
 @query(
     "a19_upsert",
-    "SELECT c_custkey AS k, c_acctbal + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS v, CASE WHEN c_custkey % 2 = 1 THEN 'old' WHEN c_custkey % 4 = 0 THEN 'new' ELSE 'system' END AS tag FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0"
+    "SELECT c_custkey AS k, c_acctbal + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS v, CASE WHEN c_custkey % 2 = 1 THEN 'old' WHEN "
+    "c_custkey % 4 = 0 THEN 'new' ELSE 'system' END AS tag FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0"
 )
 def a19(spark, sf):
     target, updates = _halves(spark, sf)
@@ -322,7 +358,9 @@ def a19(spark, sf):
 
 @query(
     "a19_upsert_table",
-    "SELECT o_orderstatus AS scenario, o_orderkey AS k, o_totalprice + CASE WHEN o_orderstatus <> 'P' AND o_custkey % 3 = 0 THEN 1 ELSE 0 END AS v, CASE WHEN o_orderstatus <> 'P' AND o_custkey % 3 = 0 THEN CASE WHEN o_custkey % 2 = 0 THEN 'new' ELSE 'system' END ELSE 'old' END AS tag, CAST(2 AS BIGINT) AS rewritten FROM orders WHERE o_orderkey % 5 <> 0 OR (o_orderstatus <> 'P' AND o_custkey % 3 = 0)"
+    "SELECT o_orderstatus AS scenario, o_orderkey AS k, o_totalprice + CASE WHEN o_orderstatus <> 'P' AND o_custkey % 3 = 0 THEN 1 ELSE 0 END "
+    "AS v, CASE WHEN o_orderstatus <> 'P' AND o_custkey % 3 = 0 THEN CASE WHEN o_custkey % 2 = 0 THEN 'new' ELSE 'system' END ELSE 'old' END AS "
+    "tag, CAST(2 AS BIGINT) AS rewritten FROM orders WHERE o_orderkey % 5 <> 0 OR (o_orderstatus <> 'P' AND o_custkey % 3 = 0)"
 )
 def a19_table(spark, sf):
     """A table partitioned by scenario of which two of three scenarios get updates and new keys."""
@@ -374,7 +412,8 @@ def _results(spark, sf, fmt):
 
 @query(
     "j1_stream_scenarios",
-    f"{FULL} SELECT scenario, variable AS entity, {big('(month(ts) + 2) % 12 + 1')} AS water_month, {r('avg(value)')} AS value_avg, count(value) AS sample_count, 's0077,s0099' AS errors FROM cells WHERE value IS NOT NULL AND variable IN ('V1', 'V7', 'V10', 'V33') GROUP BY 1, 2, 3"
+    f"{FULL} SELECT scenario, variable AS entity, {big('(month(ts) + 2) % 12 + 1')} AS water_month, {r('avg(value)')} AS value_avg, count(value) "
+    "AS sample_count, 's0077,s0099' AS errors FROM cells WHERE value IS NOT NULL AND variable IN ('V1', 'V7', 'V10', 'V33') GROUP BY 1, 2, 3"
 )
 def j1(spark, sf):
     """Two drops: scenarios one by one, one sent twice in the first (its older file with other values) and again in the

@@ -53,7 +53,11 @@ def d1(spark, sf):
     return stats.distribution_stats(obs(spark, sf), MONTH, "delivery", "delivery_")
 
 
-STORAGE = f"{r('avg(storage)')} AS storage_avg_taf, {cv_sql('storage')} AS storage_cv, {r('avg(storage) * (100.0 / capacity_taf)')} AS storage_pct_capacity, {q_sql('storage', '(100.0 / capacity_taf)')}, {q_sql('storage', '1.0', '_taf')}, capacity_taf, count(storage) AS sample_count"
+STORAGE = (
+    f"{r('avg(storage)')} AS storage_avg_taf, {cv_sql('storage')} AS storage_cv, {r('avg(storage) * (100.0 / capacity_taf)')} AS "
+    f"storage_pct_capacity, {q_sql('storage', '(100.0 / capacity_taf)')}, {q_sql('storage', '1.0', '_taf')}, capacity_taf, count(storage) AS "
+    "sample_count"
+)
 
 
 @query("d2_storage_monthly", f"{OBS_RES} SELECT {M_}, {STORAGE} FROM held {GM}, capacity_taf")
@@ -66,7 +70,8 @@ SELECTED = ", ".join(f"{r(f'quantile_cont(l_extendedprice, {p})', 4)} AS q{i}" f
 
 @query(
     "d1_exact_quantiles",
-    f"WITH x AS (SELECT l_extendedprice, l_returnflag, 'all' AS kind FROM lineitem UNION ALL SELECT l_extendedprice, l_returnflag, 'flag ' || l_returnflag FROM lineitem) SELECT kind, {SELECTED}, count(l_extendedprice) AS sample_count FROM x GROUP BY kind"
+    "WITH x AS (SELECT l_extendedprice, l_returnflag, 'all' AS kind FROM lineitem UNION ALL SELECT l_extendedprice, l_returnflag, 'flag ' || "
+    f"l_returnflag FROM lineitem) SELECT kind, {SELECTED}, count(l_extendedprice) AS sample_count FROM x GROUP BY kind"
 )
 def d1_selection(spark, sf):
     """Quantiles of all rows as one group, and of three large ones, with no group held by a task."""
@@ -94,7 +99,8 @@ def d3(spark, sf):
     "d3_percentile_bands_filled",
     f"{OBS_RES}, part AS (SELECT * FROM held WHERE water_month <= 9 OR entity % 2 = 0), b AS (SELECT scenario, entity, water_month, {BANDS} FROM part {GM}, capacity_taf), "
     f"grid AS (SELECT e.scenario, e.entity, m.m AS water_month FROM (SELECT DISTINCT scenario, entity FROM part) e, range(1, 13) m(m)) "
-    f"SELECT g.scenario, g.entity, {big('g.water_month')} AS water_month, {', '.join(f'coalesce(b.{c}, 0.0) AS {c}' for c in BAND_NAMES)} FROM grid g LEFT JOIN b ON b.scenario = g.scenario AND b.entity = g.entity AND b.water_month = g.water_month",
+    f"SELECT g.scenario, g.entity, {big('g.water_month')} AS water_month, {', '.join(f'coalesce(b.{c}, 0.0) AS {c}' for c in BAND_NAMES)} FROM "
+    "grid g LEFT JOIN b ON b.scenario = g.scenario AND b.entity = g.entity AND b.water_month = g.water_month",
 )
 def d3_filled(spark, sf):
     return stats.percentile_bands(obs(spark, sf).where("water_month <= 9 or entity % 2 = 0"), reservoirs(spark, sf), fill_empty=True)
@@ -113,15 +119,21 @@ OWN = "CASE WHEN spill > 0 THEN spill END"
 
 @query(
     "d5_spill_monthly",
-    f"{OBS_RES} SELECT {M_}, count(*) FILTER (WHERE spill > 0) AS spill_months_count, count(*) AS total_months, {r('count(*) FILTER (WHERE spill > 0) * 100.0::DOUBLE / count(*)')} AS spill_frequency_pct, "
-    f"coalesce({r(f'avg({OWN})')}, 0.0) AS spill_avg_cfs, coalesce({r(f'max({OWN})')}, 0.0) AS spill_max_cfs, {', '.join(f'coalesce({r(f"quantile_cont({OWN}, {p / 100})")}, 0.0) AS spill_q{p}' for p in (50, 90, 100))}, "
+    f"{OBS_RES} SELECT {M_}, count(*) FILTER (WHERE spill > 0) AS spill_months_count, count(*) AS total_months, "
+    f"{r('count(*) FILTER (WHERE spill > 0) * 100.0::DOUBLE / count(*)')} AS spill_frequency_pct, "
+    f"coalesce({r(f'avg({OWN})')}, 0.0) AS spill_avg_cfs, coalesce({r(f'max({OWN})')}, 0.0) AS spill_max_cfs, "
+    f"{', '.join(f'coalesce({r(f"quantile_cont({OWN}, {p / 100})")}, 0.0) AS spill_q{p}' for p in (50, 90, 100))}, "
     f"{r('avg(CASE WHEN spill > 0 THEN storage * 100 / capacity_taf END)')} AS storage_at_spill_avg_pct FROM held {GM}",
 )
 def d5(spark, sf):
     return stats.spill_monthly(obs(spark, sf), reservoirs(spark, sf))
 
 
-SHORT_M = f"{r('avg(shortage)')} AS shortage_avg_taf, {cv_sql('shortage')} AS shortage_cv, {r('count(*) FILTER (WHERE shortage > 0.1::DOUBLE) * 100.0::DOUBLE / count(shortage)')} AS shortage_frequency_pct, {q_sql('shortage')}, count(shortage) AS sample_count"
+SHORT_M = (
+    f"{r('avg(shortage)')} AS shortage_avg_taf, {cv_sql('shortage')} AS shortage_cv, "
+    f"{r('count(*) FILTER (WHERE shortage > 0.1::DOUBLE) * 100.0::DOUBLE / count(shortage)')} AS shortage_frequency_pct, {q_sql('shortage')}, "
+    "count(shortage) AS sample_count"
+)
 
 
 @query("d6_shortage_monthly", f"WITH {OBS} SELECT {M_}, {SHORT_M} FROM obs WHERE shortage IS NOT NULL {GM}")
@@ -149,7 +161,10 @@ def d8(spark, sf):
     return stats.monthly_demand_met(obs(spark, sf))
 
 
-YEARLY = f"yearly AS (SELECT scenario, entity, water_year, coalesce(sum(delivery), 0.0) AS delivery, coalesce(sum(shortage), 0.0) AS shortage, coalesce(sum(demand), 0.0) AS demand FROM obs {GE}, water_year)"
+YEARLY = (
+    "yearly AS (SELECT scenario, entity, water_year, coalesce(sum(delivery), 0.0) AS delivery, coalesce(sum(shortage), 0.0) AS shortage, "
+    f"coalesce(sum(demand), 0.0) AS demand FROM obs {GE}, water_year)"
+)
 
 
 @query("d9_annual_totals", f"WITH {OBS}, {YEARLY} SELECT {Y_}, {r('delivery', 6)} AS delivery, {r('shortage', 6)} AS shortage, {r('demand', 6)} AS demand FROM yearly")
@@ -167,11 +182,18 @@ def d10(spark, sf):
 
 
 def annual_sql(v: str, prefix: str) -> str:
-    return f"{r(f'avg({v})')} AS annual_{prefix}_avg_taf, {cv_sql(v)} AS annual_{prefix}_cv, {r(f'min({v})')} AS annual_{prefix}_min_taf, {r(f'max({v})')} AS annual_{prefix}_max_taf, {exc_sql(v, prefix)}"
+    return (
+        f"{r(f'avg({v})')} AS annual_{prefix}_avg_taf, {cv_sql(v)} AS annual_{prefix}_cv, {r(f'min({v})')} AS annual_{prefix}_min_taf, "
+        f"{r(f'max({v})')} AS annual_{prefix}_max_taf, {exc_sql(v, prefix)}"
+    )
 
 
 def short_sql(floor: str) -> str:
-    return f"{r('avg(shortage)')} AS annual_shortage_avg_taf, count(*) FILTER (WHERE shortage > {floor}) AS shortage_years_count, {r(f'count(*) FILTER (WHERE shortage > {floor}) * 100.0::DOUBLE / count(shortage)')} AS shortage_frequency_pct, {exc_sql('shortage', 'shortage')}"
+    return (
+        f"{r('avg(shortage)')} AS annual_shortage_avg_taf, count(*) FILTER (WHERE shortage > {floor}) AS shortage_years_count, "
+        f"{r(f'count(*) FILTER (WHERE shortage > {floor}) * 100.0::DOUBLE / count(shortage)')} AS shortage_frequency_pct, "
+        f"{exc_sql('shortage', 'shortage')}"
+    )
 
 
 @query("d11_annual_summary", f"WITH {OBS}, {YEARLY} SELECT {E_}, {annual_sql('delivery', 'delivery')} FROM yearly {GE}")
@@ -189,7 +211,11 @@ RELIABLE = {
     "frequency": r("100 - shortage_frequency_pct"),
     "demand": f"CASE WHEN annual_demand_avg_taf > 0 AND annual_shortage_avg_taf IS NOT NULL THEN {r('(annual_demand_avg_taf - annual_shortage_avg_taf) * 100 / annual_demand_avg_taf')} ELSE 100.0 END",
 }
-SUMMARY = f"summary AS (SELECT {E_}, {r('avg(delivery)')} AS annual_delivery_avg_taf, {r('avg(shortage)')} AS annual_shortage_avg_taf, {r('avg(demand)')} AS annual_demand_avg_taf, {r('count(*) FILTER (WHERE shortage > 0.1::DOUBLE) * 100.0::DOUBLE / count(shortage)')} AS shortage_frequency_pct FROM yearly {GE})"
+SUMMARY = (
+    f"summary AS (SELECT {E_}, {r('avg(delivery)')} AS annual_delivery_avg_taf, {r('avg(shortage)')} AS annual_shortage_avg_taf, {r('avg(demand)')} "
+    f"AS annual_demand_avg_taf, {r('count(*) FILTER (WHERE shortage > 0.1::DOUBLE) * 100.0::DOUBLE / count(shortage)')} AS shortage_frequency_pct "
+    f"FROM yearly {GE})"
+)
 
 
 def _summary(spark, sf):
@@ -214,13 +240,21 @@ for _mode, _sql in (("of_means", OF_MEANS), ("mean_of_years", OF_YEARS)):
 
 PUMPED = "pumped AS (SELECT * REPLACE (coalesce(pumping, greatest(demand - coalesce(delivery, 0.0), 0.0)) AS pumping) FROM obs)"
 FARM = (
-    f"WITH {OBS}, {PUMPED}, yearly AS (SELECT scenario, entity, water_year, coalesce(sum(demand), 0.0) AS demand, coalesce(sum(delivery), 0.0) AS delivery, coalesce(sum(pumping), 0.0) AS pumping, coalesce(sum(shortage), 0.0) AS shortage FROM pumped {GE}, water_year), "
+    f"WITH {OBS}, {PUMPED}, yearly AS (SELECT scenario, entity, water_year, coalesce(sum(demand), 0.0) AS demand, coalesce(sum(delivery), 0.0) "
+    f"AS delivery, coalesce(sum(pumping), 0.0) AS pumping, coalesce(sum(shortage), 0.0) AS shortage FROM pumped {GE}, water_year), "
     f"seen AS (SELECT scenario, entity, count(shortage) AS n FROM pumped {GE}), "
-    f"agg AS (SELECT {E_}, {r('avg(demand)')} AS annual_demand_avg_taf, {cv_sql('demand')} AS annual_demand_cv, {exc_sql('demand', 'demand')}, {r('avg(delivery)')} AS annual_sw_delivery_avg_taf, {cv_sql('delivery')} AS annual_sw_delivery_cv, {r('avg(pumping)')} AS annual_gw_pumping_avg_taf, {cv_sql('pumping')} AS annual_gw_pumping_cv, "
-    f"{r('avg(shortage)')} AS s_avg, count(*) FILTER (WHERE shortage > 0.1::DOUBLE) AS s_years, {r('count(*) FILTER (WHERE shortage > 0.1::DOUBLE) * 100.0::DOUBLE / count(shortage)')} AS s_freq, {r('avg(CASE WHEN demand > 0 THEN shortage * 100 / demand ELSE 0.0 END)')} AS s_pct FROM yearly {GE}), "
+    f"agg AS (SELECT {E_}, {r('avg(demand)')} AS annual_demand_avg_taf, {cv_sql('demand')} AS annual_demand_cv, {exc_sql('demand', 'demand')}, "
+    f"{r('avg(delivery)')} AS annual_sw_delivery_avg_taf, {cv_sql('delivery')} AS annual_sw_delivery_cv, {r('avg(pumping)')} AS "
+    f"annual_gw_pumping_avg_taf, {cv_sql('pumping')} AS annual_gw_pumping_cv, "
+    f"{r('avg(shortage)')} AS s_avg, count(*) FILTER (WHERE shortage > 0.1::DOUBLE) AS s_years, "
+    f"{r('count(*) FILTER (WHERE shortage > 0.1::DOUBLE) * 100.0::DOUBLE / count(shortage)')} AS s_freq, "
+    f"{r('avg(CASE WHEN demand > 0 THEN shortage * 100 / demand ELSE 0.0 END)')} AS s_pct FROM yearly {GE}), "
     f"span AS (SELECT scenario, {SPAN} FROM obs GROUP BY scenario), "
-    f"j AS (SELECT a.* EXCLUDE (s_avg, s_years, s_freq, s_pct), CASE WHEN n > 0 THEN s_avg END AS annual_shortage_avg_taf, CASE WHEN n > 0 THEN s_years END AS shortage_years_count, CASE WHEN n > 0 THEN s_freq END AS shortage_frequency_pct, CASE WHEN n > 0 THEN s_pct END AS annual_shortage_pct_of_demand, "
-    f"CASE WHEN annual_demand_avg_taf > 0 THEN {r('annual_gw_pumping_avg_taf * 100 / annual_demand_avg_taf')} ELSE {r('0.0')} END AS gw_pumping_pct_of_demand FROM agg a JOIN seen USING (scenario, entity)) "
+    "j AS (SELECT a.* EXCLUDE (s_avg, s_years, s_freq, s_pct), CASE WHEN n > 0 THEN s_avg END AS annual_shortage_avg_taf, CASE WHEN n > 0 THEN "
+    "s_years END AS shortage_years_count, CASE WHEN n > 0 THEN s_freq END AS shortage_frequency_pct, CASE WHEN n > 0 THEN s_pct END AS "
+    "annual_shortage_pct_of_demand, "
+    f"CASE WHEN annual_demand_avg_taf > 0 THEN {r('annual_gw_pumping_avg_taf * 100 / annual_demand_avg_taf')} ELSE {r('0.0')} END AS "
+    "gw_pumping_pct_of_demand FROM agg a JOIN seen USING (scenario, entity)) "
     f"SELECT j.*, {RELIABLE['demand']} AS reliability_pct, simulation_start_year, simulation_end_year, total_years FROM j JOIN span USING (scenario)"
 )
 
@@ -239,9 +273,15 @@ def d16(spark, sf):
 
 
 SPILL_P = (
-    f"sy AS (SELECT scenario, entity, water_year, sum({OWN}) AS s, count({OWN}) AS n, min({OWN}) AS lo, max({OWN}) AS hi, coalesce(sum({OWN} * 0.0603), 0.0) AS volume, sum(CASE WHEN spill > 0 THEN storage * 100 / capacity_taf END) AS at_sum, count(CASE WHEN spill > 0 THEN storage END) AS at_n FROM held {GE}, water_year), "
-    f"sp AS (SELECT {E_}, count(hi) AS spill_years_count, {r('count(hi) * 100.0::DOUBLE / count(*)')} AS spill_frequency_pct, coalesce({r('sum(s) / nullif(sum(n), 0)')}, 0.0) AS spill_mean_cfs, coalesce({r('max(hi)')}, 0.0) AS spill_peak_cfs, coalesce({r('avg(volume)')}, 0.0) AS annual_spill_avg_taf, coalesce({cv_sql('volume')}, 0.0) AS annual_spill_cv, coalesce({r('max(volume)')}, 0.0) AS annual_spill_max_taf, "
-    f"{', '.join(f'coalesce({r(f"quantile_cont(hi, {p / 100})")}, 0.0) AS annual_max_spill_q{p}' for p in (50, 90, 100))}, {r('sum(at_sum) / nullif(sum(at_n), 0)')} AS storage_at_spill_avg_pct, {r('min(lo)')} AS spill_threshold_cfs FROM sy {GE})"
+    f"sy AS (SELECT scenario, entity, water_year, sum({OWN}) AS s, count({OWN}) AS n, min({OWN}) AS lo, max({OWN}) AS hi, coalesce(sum({OWN} * "
+    "0.0603), 0.0) AS volume, sum(CASE WHEN spill > 0 THEN storage * 100 / capacity_taf END) AS at_sum, count(CASE WHEN spill > 0 THEN storage "
+    f"END) AS at_n FROM held {GE}, water_year), "
+    f"sp AS (SELECT {E_}, count(hi) AS spill_years_count, {r('count(hi) * 100.0::DOUBLE / count(*)')} AS spill_frequency_pct, "
+    f"coalesce({r('sum(s) / nullif(sum(n), 0)')}, 0.0) AS spill_mean_cfs, coalesce({r('max(hi)')}, 0.0) AS spill_peak_cfs, "
+    f"coalesce({r('avg(volume)')}, 0.0) AS annual_spill_avg_taf, coalesce({cv_sql('volume')}, 0.0) AS annual_spill_cv, "
+    f"coalesce({r('max(volume)')}, 0.0) AS annual_spill_max_taf, "
+    f"{', '.join(f'coalesce({r(f"quantile_cont(hi, {p / 100})")}, 0.0) AS annual_max_spill_q{p}' for p in (50, 90, 100))}, "
+    f"{r('sum(at_sum) / nullif(sum(at_n), 0)')} AS storage_at_spill_avg_pct, {r('min(lo)')} AS spill_threshold_cfs FROM sy {GE})"
 )
 
 
@@ -284,7 +324,10 @@ PERIOD = (
     + ", ".join(f"{cv6_sql('storage' if not m else IN.format(m))} AS storage_cv_{n}" for n, m in (("all", ""), ("september", "9"), ("april", "4")))
     + f", {r(f'avg({IN.format(4)})')} AS april_avg_taf, {r(f'avg({IN.format(9)})')} AS september_avg_taf, max(capacity_taf) AS capacity_taf, "
     + ", ".join(f"{r(f'quantile_cont(storage, {(100 - p) / 100}) * 100 / max(capacity_taf)')} AS storage_exc_p{p}" for p in EXCEEDANCES)
-    + f" FROM held {GE}), span AS (SELECT scenario, {SPAN} FROM obs GROUP BY scenario), ps AS (SELECT * FROM single JOIN aa USING (scenario, entity) JOIN sp USING (scenario, entity) JOIN span USING (scenario))"
+    + (
+        f" FROM held {GE}), span AS (SELECT scenario, {SPAN} FROM obs GROUP BY scenario), ps AS (SELECT * FROM single JOIN aa USING (scenario, "
+        "entity) JOIN sp USING (scenario, entity) JOIN span USING (scenario))"
+    )
 )
 
 
@@ -316,8 +359,10 @@ def d24(spark, sf):
 
 @query(
     "d25_risk_labels",
-    f"{PERIOD} SELECT {E_}, CASE WHEN flood_pool_prob_all IS NULL THEN 'not calculated' WHEN flood_pool_prob_all < 0.01 THEN 'very low' WHEN flood_pool_prob_all < 0.05 THEN 'low' WHEN flood_pool_prob_all < 0.10 THEN 'moderate' ELSE 'elevated' END AS flood_risk, "
-    "CASE WHEN dead_pool_prob_all IS NULL THEN 'not calculated' WHEN dead_pool_prob_all < 0.001 THEN 'very low' WHEN dead_pool_prob_all < 0.01 THEN 'low' WHEN dead_pool_prob_all < 0.05 THEN 'moderate' ELSE 'elevated' END AS drought_risk, "
+    f"{PERIOD} SELECT {E_}, CASE WHEN flood_pool_prob_all IS NULL THEN 'not calculated' WHEN flood_pool_prob_all < 0.01 THEN 'very low' WHEN "
+    "flood_pool_prob_all < 0.05 THEN 'low' WHEN flood_pool_prob_all < 0.10 THEN 'moderate' ELSE 'elevated' END AS flood_risk, "
+    "CASE WHEN dead_pool_prob_all IS NULL THEN 'not calculated' WHEN dead_pool_prob_all < 0.001 THEN 'very low' WHEN dead_pool_prob_all < 0.01 "
+    "THEN 'low' WHEN dead_pool_prob_all < 0.05 THEN 'moderate' ELSE 'elevated' END AS drought_risk, "
     "CASE WHEN storage_cv_all IS NULL THEN 'not calculated' WHEN storage_cv_all < 0.15 THEN 'low' WHEN storage_cv_all < 0.30 THEN 'moderate' ELSE 'high' END AS variability FROM ps",
 )
 def d25(spark, sf):
@@ -327,8 +372,10 @@ def d25(spark, sf):
 @query(
     "d26_processing_counts",
     "WITH m AS (SELECT s_suppkey AS entity, 'c' || s_nationkey % 4 AS category, 1 AS rank FROM supplier UNION ALL SELECT s_suppkey, 'zone', 0 FROM supplier WHERE s_suppkey % 9 = 0), "
-    "f AS (SELECT entity, arg_min(category, rank) AS category FROM m GROUP BY entity), b AS (SELECT l_suppkey AS entity, bool_or(l_quantity > 49) AS d, bool_or(l_tax > 0.07 AND l_discount > 0.09) AS s FROM lineitem WHERE l_suppkey % 11 <> 0 GROUP BY 1) "
-    "SELECT category, count(*) AS units, count(d) AS processed, count(*) FILTER (WHERE d) AS with_delivery, count(*) FILTER (WHERE s) AS with_shortage FROM f LEFT JOIN b USING (entity) GROUP BY category",
+    "f AS (SELECT entity, arg_min(category, rank) AS category FROM m GROUP BY entity), b AS (SELECT l_suppkey AS entity, bool_or(l_quantity > "
+    "49) AS d, bool_or(l_tax > 0.07 AND l_discount > 0.09) AS s FROM lineitem WHERE l_suppkey % 11 <> 0 GROUP BY 1) "
+    "SELECT category, count(*) AS units, count(d) AS processed, count(*) FILTER (WHERE d) AS with_delivery, count(*) FILTER (WHERE s) AS "
+    "with_shortage FROM f LEFT JOIN b USING (entity) GROUP BY category",
 )
 def d26(spark, sf):
     s = table(spark, sf, "supplier")
@@ -344,22 +391,33 @@ def d26(spark, sf):
 
 def delivery_sql(src: str = "obs") -> str:
     return (
-        f"dm AS (SELECT scenario, entity, water_month, {r('avg(delivery)')} AS delivery_avg_taf, {cv_sql('delivery')} AS delivery_cv, {q_sql('delivery')}, count(delivery) AS sample_count FROM {src} WHERE delivery IS NOT NULL {GM}), "
-        f"dd AS (SELECT scenario, entity, water_month, {r('avg(demand)')} AS demand_avg_taf FROM {src} {GM}), dx AS (SELECT dm.*, demand_avg_taf, {r(MET)} AS percent_of_demand_avg FROM dm JOIN dd USING (scenario, entity, water_month))"
+        f"dm AS (SELECT scenario, entity, water_month, {r('avg(delivery)')} AS delivery_avg_taf, {cv_sql('delivery')} AS delivery_cv, "
+        f"{q_sql('delivery')}, count(delivery) AS sample_count FROM {src} WHERE delivery IS NOT NULL {GM}), "
+        f"dd AS (SELECT scenario, entity, water_month, {r('avg(demand)')} AS demand_avg_taf FROM {src} {GM}), dx AS (SELECT dm.*, "
+        f"demand_avg_taf, {r(MET)} AS percent_of_demand_avg FROM dm JOIN dd USING (scenario, entity, water_month))"
     )
 
 
 def period_sql(src: str, floor: str, mode: str, met: str) -> str:
     return (
-        f"yearly AS (SELECT scenario, entity, water_year, coalesce(sum(delivery), 0.0) AS delivery, coalesce(sum(shortage), 0.0) AS shortage, coalesce(sum(demand), 0.0) AS demand FROM {src} {GE}, water_year), "
+        "yearly AS (SELECT scenario, entity, water_year, coalesce(sum(delivery), 0.0) AS delivery, coalesce(sum(shortage), 0.0) AS shortage, "
+        f"coalesce(sum(demand), 0.0) AS demand FROM {src} {GE}, water_year), "
         f"up AS (SELECT {E_}, {annual_sql('delivery', 'delivery')}, {short_sql(floor)}, {r('avg(demand)')} AS annual_demand_avg_taf, {met} AS avg_pct_demand_met FROM yearly {GE}), "
-        f"span AS (SELECT scenario, {SPAN} FROM {src} GROUP BY scenario), ux AS (SELECT up.*, {RELIABLE[mode]} AS reliability_pct, simulation_start_year, simulation_end_year, total_years FROM up JOIN span USING (scenario))"
+        f"span AS (SELECT scenario, {SPAN} FROM {src} GROUP BY scenario), ux AS (SELECT up.*, {RELIABLE[mode]} AS reliability_pct, "
+        "simulation_start_year, simulation_end_year, total_years FROM up JOIN span USING (scenario))"
     )
 
 
 MONTHS = f"* REPLACE ({big('water_month')} AS water_month)"
-GAPS = "gaps AS (SELECT * REPLACE (CASE WHEN entity % 13 <> 0 THEN delivery END AS delivery, CASE WHEN entity % 13 <> 0 THEN demand END AS demand) FROM obs), good AS (SELECT * FROM gaps WHERE (scenario, entity) IN (SELECT (scenario, entity) FROM gaps GROUP BY scenario, entity HAVING count(delivery) > 0 OR count(demand) > 0))"
-PROJECTS = "tot AS (SELECT scenario, 'P' || entity % 6 AS entity, ts, calendar_month, water_month, water_year, sum(delivery) AS delivery, sum(shortage) AS shortage, sum(demand) AS demand FROM obs GROUP BY ALL)"
+GAPS = (
+    "gaps AS (SELECT * REPLACE (CASE WHEN entity % 13 <> 0 THEN delivery END AS delivery, CASE WHEN entity % 13 <> 0 THEN demand END AS demand) "
+    "FROM obs), good AS (SELECT * FROM gaps WHERE (scenario, entity) IN (SELECT (scenario, entity) FROM gaps GROUP BY scenario, entity HAVING "
+    "count(delivery) > 0 OR count(demand) > 0))"
+)
+PROJECTS = (
+    "tot AS (SELECT scenario, 'P' || entity % 6 AS entity, ts, calendar_month, water_month, water_year, sum(delivery) AS delivery, sum(shortage) AS "
+    "shortage, sum(demand) AS demand FROM obs GROUP BY ALL)"
+)
 
 
 def _gaps(spark, sf):
@@ -431,7 +489,8 @@ def b2(spark, sf):
 
 @query(
     "b3_cfs_to_taf",
-    f"WITH {OBS} SELECT scenario, entity, {big('water_month')} AS water_month, {r('sum(CASE WHEN entity % 2 = 0 THEN delivery * days_in_month * 0.001983471 ELSE delivery END)', 4)} AS taf FROM obs {GM}"
+    f"WITH {OBS} SELECT scenario, entity, {big('water_month')} AS water_month, "
+    f"{r('sum(CASE WHEN entity % 2 = 0 THEN delivery * days_in_month * 0.001983471 ELSE delivery END)', 4)} AS taf FROM obs {GM}"
 )
 def b3(spark, sf):
     rows = obs(spark, sf).withColumn("taf", scalars.cfs_to_taf(F.col("delivery"), F.col("days_in_month"), F.when(F.col("entity") % 2 == 0, "cfs").otherwise("TAF")))
@@ -452,7 +511,8 @@ def b5(spark, sf):
 
 @query(
     "b6_to_number",
-    "SELECT l_returnflag AS scenario, count(*) AS n, count(v) AS numbers, CAST(sum(v) AS BIGINT) AS total FROM (SELECT l_returnflag, CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_quantity END AS v FROM lineitem) GROUP BY 1"
+    "SELECT l_returnflag AS scenario, count(*) AS n, count(v) AS numbers, CAST(sum(v) AS BIGINT) AS total FROM (SELECT l_returnflag, CASE WHEN "
+    "l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_quantity END AS v FROM lineitem) GROUP BY 1"
 )
 def b6(spark, sf):
     text = F.when(F.col("l_orderkey") % 7 == 0, "NaN").when(F.col("l_orderkey") % 5 == 0, "n/a").otherwise(F.col("l_quantity").cast("string"))
@@ -476,7 +536,8 @@ def b8(spark, sf):
 
 @query(
     "b9_wba_id_to_map_id",
-    "SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 0 THEN 'DETAW' ELSE CASE WHEN p_size < 10 THEN '0' ELSE '' END || CAST(p_size AS VARCHAR) || CASE WHEN p_partkey % 3 = 0 THEN 'N' ELSE '' END END AS map_id FROM part"
+    "SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 0 THEN 'DETAW' ELSE CASE WHEN p_size < 10 THEN '0' ELSE '' END || CAST(p_size AS "
+    "VARCHAR) || CASE WHEN p_partkey % 3 = 0 THEN 'N' ELSE '' END END AS map_id FROM part"
 )
 def b9(spark, sf):
     zone = F.when(F.col("p_partkey") % 10 == 0, "DETAW").otherwise(F.concat(
@@ -501,7 +562,10 @@ def b10(spark, sf):
 
 @query(
     "b11_wkt_point",
-    "SELECT s_suppkey AS k, CASE WHEN s_suppkey % 8 <> 0 THEN -125.5 + s_suppkey % 10 END AS lon, CASE WHEN s_suppkey % 8 <> 0 THEN 32.25 + s_suppkey % 9 END AS lat FROM supplier".replace("-125.5 +", "-125.5::DOUBLE +").replace("32.25 +", "32.25::DOUBLE +")
+    (
+        "SELECT s_suppkey AS k, CASE WHEN s_suppkey % 8 <> 0 THEN -125.5 + s_suppkey % 10 END AS lon, CASE WHEN s_suppkey % 8 <> 0 THEN 32.25 + "
+        "s_suppkey % 9 END AS lat FROM supplier"
+    ).replace("-125.5 +", "-125.5::DOUBLE +").replace("32.25 +", "32.25::DOUBLE +")
 )
 def b11(spark, sf):
     wkt = F.when(F.col("s_suppkey") % 8 == 0, "LINESTRING (1 2, 3 4)").otherwise(F.concat(

@@ -137,7 +137,8 @@ def e6(spark, sf):
 
 @query(
     "e6_tier_counts_fixed",
-    f"WITH {CNT} SELECT scenario, indicator, tier_1_value, tier_2_value, tier_3_value, tier_4_value, {', '.join(f"{r(f'tier_{t}_value / 132.0::DOUBLE', 3)} AS norm_tier_{t}" for t in (1, 2, 3, 4))}, {big('132')} AS total_value FROM cnt"
+    f"WITH {CNT} SELECT scenario, indicator, tier_1_value, tier_2_value, tier_3_value, tier_4_value, "
+    f"{', '.join(f"{r(f'tier_{t}_value / 132.0::DOUBLE', 3)} AS norm_tier_{t}" for t in (1, 2, 3, 4))}, {big('132')} AS total_value FROM cnt"
 )
 def e6_fixed(spark, sf):
     return T.tier_counts(locations(spark, sf), 132, 3)
@@ -160,7 +161,8 @@ def _single(spark, sf):
 
 @query(
     "e8_single_tier_scores",
-    f"WITH {SINGLE} SELECT scenario, indicator, {big('single_tier_level')} AS single_tier_level, CAST(coalesce(single_tier_level, 0) AS DOUBLE) AS weighted_score, {NORMAL} AS normalized_score, 0.0::DOUBLE AS gini, {NORMAL} AS band_upper, {NORMAL} AS band_lower FROM one"
+    f"WITH {SINGLE} SELECT scenario, indicator, {big('single_tier_level')} AS single_tier_level, CAST(coalesce(single_tier_level, 0) AS DOUBLE) "
+    f"AS weighted_score, {NORMAL} AS normalized_score, 0.0::DOUBLE AS gini, {NORMAL} AS band_upper, {NORMAL} AS band_lower FROM one"
 )
 def e8(spark, sf):
     return T.single_tier_scores(_single(spark, sf))
@@ -179,7 +181,8 @@ def e9(spark, sf):
 
 @query(
     "e10_indicator_averages",
-    f"WITH {SCORE} SELECT indicator, {r('avg(weighted_score)', 4)} AS avg_score, min(weighted_score) AS min_score, max(weighted_score) AS max_score, count(weighted_score) AS scenarios FROM scores GROUP BY 1"
+    f"WITH {SCORE} SELECT indicator, {r('avg(weighted_score)', 4)} AS avg_score, min(weighted_score) AS min_score, max(weighted_score) AS "
+    "max_score, count(weighted_score) AS scenarios FROM scores GROUP BY 1"
 )
 def e10(spark, sf):
     return T.indicator_averages(scores(spark, sf))
@@ -211,7 +214,9 @@ def e12_counts(spark, sf):
 
 @query(
     "e13_tier_locations",
-    f"WITH {LOC}, {DEF} SELECT scenario, indicator, name, string_agg(location || ':' || coalesce(CAST(level AS VARCHAR), '-'), ',' ORDER BY pos) AS listed, {', '.join(f'count(*) FILTER (WHERE level = {t}) AS tier_{t}_count' for t in (1, 2, 3, 4))} FROM loc JOIN def USING (indicator) GROUP BY 1, 2, 3"
+    f"WITH {LOC}, {DEF} SELECT scenario, indicator, name, string_agg(location || ':' || coalesce(CAST(level AS VARCHAR), '-'), ',' ORDER BY pos) "
+    f"AS listed, {', '.join(f'count(*) FILTER (WHERE level = {t}) AS tier_{t}_count' for t in (1, 2, 3, 4))} FROM loc JOIN def USING (indicator) "
+    "GROUP BY 1, 2, 3"
 )
 def e13(spark, sf):
     out = T.tier_locations(locations(spark, sf).withColumnRenamed("pos", "display_order"), definitions(spark))
@@ -221,8 +226,11 @@ def e13(spark, sf):
 
 @query(
     "e14_tier_features",
-    f"WITH {LOC}, x AS (SELECT *, CASE WHEN CAST(substring(location, 2) AS INTEGER) % 2 = 0 THEN 'node' ELSE 'zone' END AS kind, CASE WHEN location IN ('L4', 'L6') THEN 'L4' ELSE location END AS g FROM loc) "
-    "SELECT scenario, indicator, location, 'POINT (' || substring(g, 2) || ' 1)' AS geometry, '{\"location\":\"' || location || '\",\"location_type\":\"' || kind || '\"' || CASE WHEN level IS NULL THEN '' ELSE ',\"tier_level\":' || level END || '}' AS properties FROM x WHERE CAST(substring(g, 2) AS INTEGER) < 40",
+    f"WITH {LOC}, x AS (SELECT *, CASE WHEN CAST(substring(location, 2) AS INTEGER) % 2 = 0 THEN 'node' ELSE 'zone' END AS kind, CASE WHEN "
+    "location IN ('L4', 'L6') THEN 'L4' ELSE location END AS g FROM loc) "
+    "SELECT scenario, indicator, location, 'POINT (' || substring(g, 2) || ' 1)' AS geometry, '{\"location\":\"' || location || "
+    "'\",\"location_type\":\"' || kind || '\"' || CASE WHEN level IS NULL THEN '' ELSE ',\"tier_level\":' || level END || '}' AS properties "
+    "FROM x WHERE CAST(substring(g, 2) AS INTEGER) < 40",
 )
 def e14(spark, sf):
     n = F.substring("location", 2, 9).cast("int")
@@ -235,12 +243,17 @@ def e14(spark, sf):
     return T.tier_features(rows, geo, aliases)
 
 
-STORED = "stored AS (SELECT scenario, indicator, tier_1_value + CASE WHEN indicator = 'I1' THEN 1 ELSE 0 END AS tier_1_value, tier_2_value, tier_3_value, tier_4_value FROM cnt WHERE indicator <> 'I2' OR scenario <> 'P')"
+STORED = (
+    "stored AS (SELECT scenario, indicator, tier_1_value + CASE WHEN indicator = 'I1' THEN 1 ELSE 0 END AS tier_1_value, tier_2_value, "
+    "tier_3_value, tier_4_value FROM cnt WHERE indicator <> 'I2' OR scenario <> 'P')"
+)
 
 
 @query(
     "e15_reconcile_tiers",
-    f"WITH {CNT}, {STORED} SELECT c.scenario, c.indicator, c.tier_1_value AS found_1, c.tier_2_value AS found_2, c.tier_3_value AS found_3, c.tier_4_value AS found_4, s.tier_1_value, s.tier_2_value, s.tier_3_value, s.tier_4_value, coalesce(c.tier_1_value = s.tier_1_value, false) AS matches FROM cnt c LEFT JOIN stored s USING (scenario, indicator)"
+    f"WITH {CNT}, {STORED} SELECT c.scenario, c.indicator, c.tier_1_value AS found_1, c.tier_2_value AS found_2, c.tier_3_value AS found_3, "
+    "c.tier_4_value AS found_4, s.tier_1_value, s.tier_2_value, s.tier_3_value, s.tier_4_value, coalesce(c.tier_1_value = s.tier_1_value, "
+    "false) AS matches FROM cnt c LEFT JOIN stored s USING (scenario, indicator)"
 )
 def e15(spark, sf):
     rows = locations(spark, sf)
@@ -252,7 +265,8 @@ def e15(spark, sf):
 
 @query(
     "e16_tier_type_summary",
-    f"WITH {CNT}, {DEF} SELECT tier_type, count(*) AS results, count(CASE WHEN indicator IN ('I0', 'I2') THEN 1 END) AS multi_value, count(CASE WHEN indicator NOT IN ('I0', 'I2') THEN 1 END) AS single_value FROM cnt JOIN def USING (indicator) GROUP BY 1"
+    f"WITH {CNT}, {DEF} SELECT tier_type, count(*) AS results, count(CASE WHEN indicator IN ('I0', 'I2') THEN 1 END) AS multi_value, count(CASE "
+    "WHEN indicator NOT IN ('I0', 'I2') THEN 1 END) AS single_value FROM cnt JOIN def USING (indicator) GROUP BY 1"
 )
 def e16(spark, sf):
     multi = F.col("indicator").isin("I0", "I2")
