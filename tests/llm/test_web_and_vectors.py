@@ -8,6 +8,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -425,6 +426,49 @@ def test_topics_of_plain_texts(spark):
     assert all(len(found) < 4 for found in topics.values())
 
 
+def many_texts(spark):
+    """Over 2,000 texts of two kinds; the second kind is not among the 1,500 texts with the smallest hashes."""
+    rng = np.random.default_rng(7)
+    texts = [(" ".join(f"{kind}{k}" for k in rng.integers(0, 40, 30)), lang) for kind in ("sea", "sky") for lang in ("en", "de") for _ in range(900)]
+    found = spark.createDataFrame(texts, "text string, lang string").withColumn("h", F.xxhash64("text", "lang")).orderBy("h").collect()
+    least = sorted(r.h for r in found if r.text.startswith("sea"))[1500]
+    kept = [(r.text, r.lang) for r in found if r.text.startswith("sea") or r.h > least]
+    odd = [*kept[:50] * 3, ("", "en"), (None, "de"), (" \n", None), *((f"sea{k} sky{k}", None) for k in range(9)), *((f"rare{k} sea{k}", "fr") for k in range(20))]
+    rows = [(i, t, lang, f"s{i % 2}") for i, (t, lang) in enumerate([*kept, *odd])]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+
+def plain_topics(docs):
+    """Topic of each document by k-means over all distinct texts, in one array."""
+    rows = docs.select("doc_id", "text", F.coalesce("lang", F.lit("(none)")).alias("lang")).withColumn("h", F.xxhash64("text", "lang")).collect()
+    once = sorted({r.h: r for r in rows if r.text and r.text.strip()}.values(), key=lambda r: r.h)
+    n = mixing.word_places(pa.array([r.text for r in once]))
+    idf = (np.log((len(n) + 1) / ((n > 0).sum(axis=0) + 1)) + 0.1).astype(np.float32)
+    x = mixing.units(np.log1p(n) * idf)
+    at = {v: np.array([r.lang == v for r in once]) for v in {r.lang for r in once}}
+    fine = np.rint(x * np.float32(mixing.FINE)).astype(np.int64)
+    mean = {v: fine[i].sum(axis=0) / i.sum() / mixing.FINE for v, i in at.items() if i.sum() >= mixing.LEAST_OF_LANG}
+    whole = fine.sum(axis=0) / len(fine) / mixing.FINE
+    x = np.rint(mixing.units(x - np.array([mean.get(r.lang, whole) for r in once], np.float32)) * np.float32(mixing.FINE)).astype(np.int64)
+    near = lambda c: (x @ np.rint(mixing.units(c.astype(float)) * (mixing.FINE // 2)).astype(np.int64).T).argmax(axis=1)
+    centres = x[: mixing.TOPICS]
+    for _ in range(10):
+        found = near(centres)
+        centres = np.array([x[found == k].sum(axis=0) if (found == k).any() else c for k, c in enumerate(centres)])
+    of = {r.h: f"topic {k}" for r, k in zip(once, near(centres), strict=True)}
+    return {r.doc_id: of.get(r.h, "(none)") for r in rows}
+
+
+def test_topics_are_fitted_on_every_text(spark):
+    docs = many_texts(spark)
+    expected = plain_topics(docs)
+    got = {r.doc_id: r.topic for r in mixing.mix(docs).collect()}
+    assert got == expected
+    sky = {got[r.doc_id] for r in docs.where("text like 'sky%'").collect()}
+    assert not sky & {got[r.doc_id] for r in docs.where("text like 'sea%' and text not like '%sky%' and lang in ('en', 'de')").collect()}
+    assert {r.doc_id: r.topic for r in mixing.mix(docs.repartition(7)).collect()} == expected
+
+
 # Pipeline
 
 

@@ -5,14 +5,13 @@ raked until every marginal has its target share; a cell's weight over its own to
 be drawn. Divided by the largest such ratio these are sampling probabilities, and a document is drawn by comparing its
 own hash with its probability, so the sample is the same in every run and on any number of machines.
 
-The tables have no topic, so topics are found here: spherical k-means on hashed word weights, fitted on a bounded sample
-and applied to every whole text.
+The tables have no topic, so topics are found here: spherical k-means on hashed word weights, over every distinct text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -35,28 +34,48 @@ ROUNDS_AT_ONCE = 2
 MOST_CELLS_HERE = 50_000
 SEED = 20240301
 TOPICS, PLACES = 6, 1024
-#: Distinct texts that topics are fitted on: those with the smallest hashes.
-TOPIC_SAMPLE = 1024
-#: Texts of a language in the sample from which it has a mean of its own.
+#: Distinct texts of a language from which it has a mean of its own.
 LEAST_OF_LANG = 16
 TEXTS_AT_ONCE = 2000
+#: Parts of 1 / FINE that weights and directions are rounded to. Sums of TEXTS_AT_ONCE of them, and their products with centres
+#: in parts of 2 / FINE, stay under 2 ** 24 and are exact in any order, so topics don't depend on batches or machines.
+FINE = 4096
+#: Sums that a task holds at once, 8 KB each.
+MOST_SUMS = 1000
+#: A word's place and how often words of a text fall on it.
+PAIR = np.dtype([("place", "<u2"), ("count", "<u4")])
 
 
 @dataclass(frozen=True)
 class Topics:
-    """Weights of hashed words, what texts of a language have in common, and the directions of the topics from there."""
+    """Weights of hashed words, what texts of a language have in common, and the directions of the topics from there.
+
+    ``langs`` names the rows of ``means``; the first row is the mean of all texts, which languages without a row have.
+    """
 
     idf: np.ndarray
-    means: dict[str | None, np.ndarray]
+    langs: dict[str, int]
+    means: np.ndarray
     centres: np.ndarray
 
-    def of(self, texts: pa.Array, langs: list[str | None]) -> list[str | None]:
+    def rows_of(self, langs: pa.Array) -> np.ndarray:
+        coded = langs.dictionary_encode()
+        return np.array([self.langs.get(v, 0) for v in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+
+    def directions(self, places: pa.Array, langs: pa.Array) -> np.ndarray:
+        """Directions of texts from the mean of their language, in whole parts."""
+        return np.rint(units(weighed(places, self.idf) - self.means[self.rows_of(langs)]) * np.float32(FINE))
+
+    def nearest(self, directions: np.ndarray) -> np.ndarray:
+        return (directions @ self.centres.T).argmax(axis=1)
+
+    def of(self, places: pa.Array, langs: pa.Array) -> list[str | None]:
         """The nearest topic of each text; null for a text without words."""
         out: list[str | None] = []
-        for x in range(0, len(texts), TEXTS_AT_ONCE):
-            count = word_places(texts.slice(x, TEXTS_AT_ONCE))
-            near = (turned(count, langs[x : x + TEXTS_AT_ONCE], self.idf, self.means) @ self.centres.T).argmax(axis=1)
-            out += [f"topic {k}" if there else None for k, there in zip(near.tolist(), count.any(axis=1).tolist(), strict=True)]
+        for x in range(0, len(places), TEXTS_AT_ONCE):
+            part = places.slice(x, TEXTS_AT_ONCE)
+            near = self.nearest(self.directions(part, langs.slice(x, TEXTS_AT_ONCE)))
+            out += [f"topic {k}" if there else None for k, there in zip(near.tolist(), pc.binary_length(part).to_pylist(), strict=True)]
         return out
 
 
@@ -64,11 +83,6 @@ def units(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
-def turned(count: np.ndarray, langs: list[str | None], idf: np.ndarray, means: dict[str | None, np.ndarray]) -> np.ndarray:
-    """Directions of texts from the mean of their language; those of other languages from the mean of all (None)."""
-    return units(units(np.log1p(count) * idf) - np.array([means[x if x in means else None] for x in langs], np.float32).reshape(-1, PLACES))
-
-
 def word_places(texts: pa.Array) -> np.ndarray:
     """How many words of each text fall on each of ``PLACES`` hashed places."""
     codes, words, count = words_of(pc.utf8_lower(filled(texts)))
@@ -77,65 +91,149 @@ def word_places(texts: pa.Array) -> np.ndarray:
     return np.bincount(at, minlength=len(texts) * PLACES).reshape(-1, PLACES).astype(np.float32)
 
 
-def fit_topics(docs: DataFrame, sample: int = TOPIC_SAMPLE, topics: int = TOPICS, rounds: int = 10) -> Topics:
-    """Topics of at most ``sample`` distinct texts with words; only their hashed counts (2 KB each) reach the driver.
+def packed_places(texts: pa.Array) -> pa.Array:
+    """The places of each text that words fall on, with their counts, as the bytes of ``PAIR``."""
+    out = []
+    for x in range(0, len(texts), TEXTS_AT_ONCE):
+        count = word_places(texts.slice(x, TEXTS_AT_ONCE))
+        row, place = np.nonzero(count)
+        pairs = np.empty(len(row), PAIR)
+        pairs["place"], pairs["count"] = place, count[row, place]
+        ends = np.concatenate([[0], np.cumsum(np.count_nonzero(count, axis=1))]) * PAIR.itemsize
+        out.append(pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(pairs.tobytes())]))
+    return pa.concat_arrays(out) if out else pa.array([], pa.binary())
 
-    Words say first of all which language a text is in, so texts are taken as directions from their language's mean.
-    Starts are evenly spaced in the order of hashes, so equal tables give equal topics.
+
+def unpacked_places(places: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """For each place of each text the text's row, and the pairs."""
+    size = pc.binary_length(places).to_numpy(zero_copy_only=False).astype(np.int64) // PAIR.itemsize
+    return np.repeat(np.arange(len(places)), size), np.frombuffer(b"".join(places.to_pylist()), PAIR)
+
+
+def weighed(places: pa.Array, idf: np.ndarray) -> np.ndarray:
+    """Unit vectors of the weights of texts' words."""
+    row, pairs = unpacked_places(places)
+    x = np.zeros((len(places), PLACES), np.float32)
+    x[row, pairs["place"]] = np.log1p(pairs["count"].astype(np.float32)) * idf[pairs["place"]]
+    return units(x)
+
+
+def summed(texts: DataFrame, parts: int, values: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over all rows (lang, places): of the texts in each part how many there are, and what their values add up to.
+
+    ``values`` gives a batch's parts and whole numbers for each place. Tasks add up what they read, so only sums are
+    shuffled, and one number for each part and place reaches the driver.
     """
-    own = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(F.col("text").rlike(r"\S"))
-    own = own.withColumn("h", F.xxhash64("text", "lang"))
-    keys = stage(own.groupBy("h").agg(F.lit(1).alias("one")).orderBy("h").limit(sample).select("h"), "topic-sample")
-    once = own.join(keys, "h", "left_semi").groupBy("h").agg(F.first(F.struct("text", "lang")).alias("t")).select("h", "t.*")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(held: dict[int, np.ndarray]) -> pa.RecordBatch:
+        keys, sums = np.array(list(held), np.int64), np.array(list(held.values()), np.int64).reshape(-1, PLACES + 1)
+        at, place = np.nonzero(sums)
+        return pa.RecordBatch.from_arrays([pa.array(keys[at], pa.int64()), pa.array(place, pa.int64()), pa.array(sums[at, place], pa.int64())], names=["part", "place", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
         for batch in batches:
-            for part in text_slices(batch):
-                for x in range(0, part.num_rows, TEXTS_AT_ONCE):
-                    rows = part.slice(x, TEXTS_AT_ONCE)
-                    places = np.minimum(word_places(rows.column("text")), 65535).astype("<u2")
-                    yield pa.RecordBatch.from_arrays([rows.column("h"), rows.column("lang"), pa.array([r.tobytes() for r in places], pa.binary())], names=["h", "lang", "places"])
-
-    found = once.select("h", "text", "lang").mapInArrow(count, "h long, lang string, places binary").orderBy("h").toArrow()
-    langs = found.column("lang").to_pylist()
-    n = np.array([np.frombuffer(r, "<u2") for r in found.column("places").to_pylist()], np.float32).reshape(-1, PLACES)
-    idf = (np.log((len(n) + 1) / ((n > 0).sum(axis=0) + 1)) + 0.1).astype(np.float32)
-    x = units(np.log1p(n) * idf)
-    of_lang = {k: np.array([v == k for v in langs], bool) for k in set(langs)}
-    means = {k: x[at].mean(axis=0) for k, at in of_lang.items() if at.sum() >= LEAST_OF_LANG} | {None: x.mean(axis=0) if len(x) else np.zeros(PLACES, np.float32)}
-    x = turned(n, langs, idf, means)
-    centres = x[np.linspace(0, max(len(x) - 1, 0), min(topics, len(x))).astype(int)]
+            for x in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part, own = values(batch.slice(x, TEXTS_AT_ONCE))
+                order = np.argsort(part, kind="stable")
+                keys, starts, count = np.unique(part[order], return_index=True, return_counts=True)
+                for k, n, total in zip(keys.tolist(), count, np.add.reduceat(own[order], starts, axis=0), strict=True):
+                    now = held.setdefault(k, np.zeros(PLACES + 1, np.int64))
+                    now[:PLACES] += total.astype(np.int64)
+                    now[PLACES] += n
+                if len(held) > MOST_SUMS:
+                    yield rows(held)
+                    held = {}
+        yield rows(held)
+
+    found = texts.select("lang", "places").mapInArrow(add, "part long, place long, n long").groupBy("part", "place").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros((parts, PLACES + 1), np.int64)
+    out[found.column("part").to_numpy(), found.column("place").to_numpy()] = found.column("n").to_numpy()
+    return out[:, PLACES], out[:, :PLACES]
+
+
+def fit_topics(texts: DataFrame, topics: int = TOPICS, rounds: int = 10) -> Topics:
+    """Topics of all rows (h, lang, places): one for each distinct text that has words, h being its hash.
+
+    Words say first of all which language a text is in, so texts are taken as directions from their language's mean.
+    Frequencies, means and, in each round, centres are sums over every text. Rounds start from the texts with the
+    smallest hashes and end early where no centre moves, so equal tables give equal topics. The driver and each task
+    hold the model: a row of ``PLACES`` numbers for each topic and each language with at least ``LEAST_OF_LANG`` texts.
+    """
+    spark = texts.sparkSession
+
+    def there(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        row, pairs = unpacked_places(batch.column("places"))
+        own = np.zeros((batch.num_rows, PLACES), np.float32)
+        own[row, pairs["place"]] = 1
+        return np.zeros(batch.num_rows, np.int64), own
+
+    count, found = summed(texts, 1, there)
+    idf = (np.log((count[0] + 1) / (found[0] + 1)) + 0.1).astype(np.float32)
+    often = texts.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_OF_LANG).select("lang").toArrow()
+    langs = {v: k for k, v in enumerate(sorted(often.column("lang").to_pylist()), 1)}
+    model = Topics(idf, langs, np.zeros((len(langs) + 1, PLACES), np.float32), np.zeros((1, PLACES), np.float32))
+
+    def of_langs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        own = held.value
+        return own.rows_of(batch.column("lang")), np.rint(weighed(batch.column("places"), own.idf) * np.float32(FINE))
+
+    def of_topics(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        x = held.value.directions(batch.column("places"), batch.column("lang"))
+        return held.value.nearest(x), x
+
+    held = spark.sparkContext.broadcast(model)
+    count, found = summed(texts, len(langs) + 1, of_langs)
+    count[0], found[0] = count.sum(), found.sum(axis=0)
+    model = replace(model, means=(found / np.maximum(count, 1)[:, None] / FINE).astype(np.float32))
+    first = texts.orderBy("h").limit(topics).select("lang", "places").toArrow().combine_chunks()
+    if not len(first):
+        return model
+    whole = lambda x: np.rint(units(x.astype(np.float64)) * (FINE // 2)).astype(np.float32)
+    model = replace(model, centres=whole(model.directions(*(pa.concat_arrays(first.column(c).chunks) for c in ("places", "lang")))))
     for _ in range(rounds):
-        near = (x @ centres.T).argmax(axis=1) if len(x) else np.zeros(0, int)
-        for k in np.unique(near):
-            centres[k] = units(x[near == k].mean(axis=0)[None])[0]
-    return Topics(idf, means, centres if len(centres) else np.zeros((1, PLACES), np.float32))
+        held = spark.sparkContext.broadcast(model)
+        count, found = summed(texts, len(model.centres), of_topics)
+        centres = np.where(count[:, None] > 0, whole(found), model.centres)
+        if (centres == model.centres).all():
+            break
+        model = replace(model, centres=centres)
+    return model
 
 
 def words_in(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+")).cast("long")
 
 
-def described(docs: DataFrame, seed: int = SEED) -> tuple[DataFrame, dict[str, str]]:
+def described(docs: DataFrame, seed: int = SEED, without: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with the document's cell, its words and its place in the draw (0 to 1), and the names of these columns.
 
     A null source or language, and the topic of a text without words, is a value of its own, ``(none)``. The names are
-    none of the table's own; keys are source, lang, topic, words and unit.
+    none of the table's own; keys are source, lang, topic, words and unit, and h and places for the text's hash and its
+    hashed words. Rows are written with these, but for columns in ``without``, so texts are read once.
     """
-    names = {k: unused(docs, f"_{k}") for k in (*DIMENSIONS, "words", "unit")}
-    held = docs.sparkSession.sparkContext.broadcast(fit_topics(docs))
+    names = {k: unused(docs, f"_{k}") for k in (*DIMENSIONS, "words", "unit", "h", "places")}
 
-    @F.arrow_udf("string")
-    def topic(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, langs in batches:
-            part = pa.RecordBatch.from_arrays([texts, langs], names=["text", "lang"])
-            yield pa.array([t for p in text_slices(part) for t in held.value.of(p.column("text"), p.column("lang").to_pylist())], pa.string())
+    @F.arrow_udf("binary")
+    def places(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            parts = [packed_places(p.column("text")) for p in text_slices(pa.RecordBatch.from_arrays([texts], names=["text"]))]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
     text = F.col("text").cast("string")
     own = lambda c: F.coalesce(c.cast("string"), F.lit("(none)"))
     unit = (F.xxhash64(F.lit(seed), F.col("doc_id"), text).cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
-    values = {"source": own(F.col("source")), "lang": own(F.col("lang")), "topic": own(topic(text, F.col("lang").cast("string"))), "words": words_in(text), "unit": unit}
-    return docs.withColumns({names[k]: c for k, c in values.items()}), names
+    values = {"source": own(F.col("source")), "lang": own(F.col("lang")), "words": words_in(text), "unit": unit, "h": F.xxhash64(text, own(F.col("lang"))), "places": places(text)}
+    rows = stage(docs.withColumns({names[k]: c for k, c in values.items()}).drop(*without), "described")
+    once = rows.where(F.col(names["words"]) > 0).select(*(F.col(names[k]).alias(k) for k in ("h", "lang", "places"))).dropDuplicates(["h"])
+    held = docs.sparkSession.sparkContext.broadcast(fit_topics(stage(once, "topic-texts")))
+
+    @F.arrow_udf("string")
+    def topic(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for found, langs in batches:
+            yield pa.array(held.value.of(found, langs), pa.string())
+
+    return rows.withColumn(names["topic"], own(topic(F.col(names["places"]), F.col(names["lang"])))), names
 
 
 def cell_totals(rows: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -262,8 +360,7 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, seed: int
     Documents in cells of equal weight have equal probabilities; their hashes decide, so there are no ties. Other
     columns are ignored.
     """
-    rows, names = described(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "source", "lang"), seed)
-    rows = stage(rows.drop("text"), "described")
+    rows, names = described(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "source", "lang"), seed, ("text",))
     drawn = draw(rows, names, targets)
     return drawn.select("doc_id", *(F.col(names[d]).alias(d) for d in DIMENSIONS), F.col(names["draw"])["ratio"].alias("ratio"), *(F.col(names["draw"])[k].alias(k) for k in ("probability", "sampled", "converged")))
 
@@ -271,5 +368,5 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, seed: int
 def sampled_documents(docs: DataFrame, targets: dict[str, DataFrame] | None = None, seed: int = SEED) -> DataFrame:
     """The documents that are drawn, with their own columns, whatever these are called."""
     rows, names = described(docs, seed)
-    drawn = draw(stage(rows, "described"), names, targets)
+    drawn = draw(rows, names, targets)
     return drawn.where(F.col(names["draw"])["sampled"]).select(*docs.columns)
