@@ -469,6 +469,20 @@ def test_topics_are_fitted_on_every_text(spark):
     assert {r.doc_id: r.topic for r in mixing.mix(docs.repartition(7)).collect()} == expected
 
 
+def test_pipeline_draws_by_topics_of_every_text(spark):
+    import corpus_pipeline as pipeline
+
+    docs = many_texts(spark).withColumn("n_chars", F.length("text").cast("long"))
+    topics = spark.createDataFrame(list(plain_topics(docs).items()), "doc_id long, _topic string")
+    unit = (F.xxhash64(F.lit(mixing.SEED), "doc_id", "text").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
+    own = docs.join(topics, "doc_id").select("doc_id", F.col("source").alias("_source"), F.coalesce("lang", F.lit("(none)")).alias("_lang"), "_topic", mixing.words_in(F.col("text")).alias("words"), unit.alias("unit"))
+    chances = mixing.probabilities(own.groupBy(*mixing.CELL).agg(F.sum("words").alias("words")))
+    expected = {r.doc_id for r in own.join(chances, mixing.CELL).where("words > 0 and unit < probability").collect()}
+    before = {r.doc_id: r for r in docs.collect()}
+    got = {r.doc_id: r for r in pipeline.mix_sources(spark, docs, SF).collect()}
+    assert set(got) == expected and 0 < len(got) < len(before) and all(before[i] == r for i, r in got.items())
+
+
 # Pipeline
 
 
