@@ -300,6 +300,35 @@ def test_training_equals_plain_follow_the_leader(spark):
     assert np.allclose(got, want, atol=1e-4) and np.abs(want).max() > 0.01
 
 
+def test_training_takes_every_labelled_row(spark):
+    """Half of the rows hold a word of their own and are dealt to several models: every row's word gets a weight."""
+    docs = frame(spark, [f"own{i}" if i % 2 else "plain words" for i in range(300)])
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 4 = 1 as int) quality")
+    learned = [i for i in range(1, 300, 2) if zlib.crc32(str(i).encode()) % 3 != 1]
+    place = lambda i: quality.features(pa.array([f"own{i}"]))[0]
+    for rows in (7, 40, 5000):
+        got = quality.train(docs.repartition(5), labels, "quality", rows)
+        assert all((got[place(i)] != 0).all() and (got[place(i)] > 0).all() == (i % 4 == 1) for i in learned)
+        assert np.array_equal(got, quality.train(docs.coalesce(1), labels.repartition(3), "quality", rows))
+
+
+def test_weights_are_means_of_models(spark):
+    """Of two models, learned apart, a place has the mean by the rows that hold it."""
+    texts = [f"{'good' if i % 3 else 'bad'} w{i % 5} of {i}" for i in range(90)]
+    docs, labels = frame(spark, texts), spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(90)], "doc_id long, quality int")
+    labels = labels.where(~quality.in_holdout(token_files.F.col("doc_id")))
+    half = token_files.F.expr("pmod(xxhash64(doc_id), 2)")
+    total, held = np.zeros(quality.BUCKETS + 1), np.zeros(quality.BUCKETS + 1)
+    for k in (0, 1):
+        own = labels.where(half == k)
+        rows = np.zeros(quality.BUCKETS + 1)
+        for r in own.collect():
+            rows[[*set(quality.features(pa.array([texts[r.doc_id]]))[0].tolist()), quality.BUCKETS]] += 1
+        total, held = total + quality.train(docs, own) * rows, held + rows
+    got = quality.train(docs, labels, rows_of_a_model=-(-labels.count() // 2))
+    assert np.allclose(got, total / np.maximum(held, 1), atol=1e-6) and np.abs(got).max() > 0.01
+
+
 def test_quality_keeps_own_columns(spark):
     docs = frame(spark, ODD).withColumn("score", token_files.F.lit(7))
     with pytest.raises(ValueError, match="score"):

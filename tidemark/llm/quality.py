@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import filled, hashed, mixed, segment_sum, stage, text_slices, words_of
 
 BUCKETS = 1 << 18
-#: Most labelled rows that a model is fitted on: those with the smallest hashes of their ids.
-MOST_TRAINING_ROWS = 5000
+#: Labelled rows that one model learns from; more rows are dealt out to as many models as it takes, and these averaged.
+ROWS_OF_A_MODEL = 5000
+#: Parts of 1 / FINE that models' weights are rounded to before they are added up, so that sums depend on no order.
+FINE = 1 << 26
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 1e-4, 1e-5
 SCALE = 30.0
@@ -69,45 +71,56 @@ def in_holdout(key: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string")), F.lit(3)) == 1, F.lit(False))
 
 
-STATE = "weights binary"
+STATE = "place int, weight long, rows long"
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MOST_TRAINING_ROWS) -> np.ndarray:
-    """Weights (float32, ``BUCKETS`` + 1) from at most ``most`` labelled rows outside the held-out fold.
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows_of_a_model: int = ROWS_OF_A_MODEL) -> np.ndarray:
+    """Weights (float32, ``BUCKETS`` + 1) from every labelled row outside the held-out fold.
 
     Rows without an id or a label teach nothing; of documents that share an id one teaches. Without any row all weights
-    are 0 and every score is 0.5. Rows are learned in the order of their ids' hashes, ``EPOCHS`` times, by one task that
-    holds a batch of them at a time; only the weights reach the driver.
+    are 0 and every score is 0.5. Rows are dealt by their ids' hashes to models of about ``rows_of_a_model`` rows each. A
+    model learns its rows in the order of these hashes, ``EPOCHS`` times, in one task that holds a batch of them at a
+    time. A place's weight is the mean over the models whose rows hold it, in proportion to how many of their rows do;
+    only these means reach the driver. Texts meet their labels where their model learns, so they are shuffled once.
+    Each epoch makes the features of its texts anew, as these are larger than the texts.
     """
     fold = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-    fold = fold.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~in_holdout(F.col("doc_id")))
-    sample = fold.distinct().withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "label").limit(most)
-
-    def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch):
-                at, each = features(part.column("text"))
-                rows = []
-                for piece in np.split(at, np.cumsum(each)[:-1]):
-                    place, times = np.unique(piece, return_counts=True)
-                    rows.append((place.astype("<i4").tobytes(), (times / max(len(piece), 1)).astype("<f4").tobytes()))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "label", "h", "key")), *(pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1))], names=["doc_id", "label", "h", "key", "at", "value"])
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(sample), "doc_id").withColumn("key", F.xxhash64("text")).mapInArrow(featurise, "doc_id long, label int, h long, key long, at binary, value binary")
-    rows = stage(rows.groupBy("h", "doc_id", "label").agg(F.min_by(F.struct("at", "value"), "key").alias("x")).select("h", "doc_id", "label", "x.*"), "training-rows")
+    fold = stage(fold.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~in_holdout(F.col("doc_id"))).distinct(), "training-labels")
+    models = -(-fold.count() // rows_of_a_model)
+    weights = np.zeros(BUCKETS + 1, np.float32)
+    if not models:
+        return weights
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & ~in_holdout(F.col("doc_id")))
+    both = own.withColumn("key", F.xxhash64("text")).unionByName(fold, allowMissingColumns=True).withColumn("h", F.xxhash64("doc_id"))
+    dealt = both.withColumn("model", F.pmod("h", F.lit(models)).cast("int")).repartitionById(models, "model").groupBy("model", "h", "doc_id")
+    found = dealt.agg(F.min_by(F.struct("text"), "key").alias("own"), F.collect_set("label").alias("labels")).where("own is not null")
+    rows = found.select("model", "h", "doc_id", F.explode("labels").alias("label"), "own.text").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS))))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = FollowTheLeader()
-        for batch in batches:
-            for at, value, y in zip(*(batch.column(c).to_pylist() for c in ("at", "value", "label")), strict=True):
-                model.learn(np.append(np.frombuffer(at, "<i4"), BUCKETS), np.append(np.frombuffer(value, "<f4") * SCALE, 1.0), y)
-        yield pa.RecordBatch.from_pydict({"weights": pa.array([model.weights(slice(None)).astype("<f4").tobytes()], pa.binary())})
-
-    order = ["epoch", "h", "doc_id", "label"]
-    again = rows.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS)))).coalesce(1).sortWithinPartitions(*order)
-    found = again.select("label", "at", "value").mapInArrow(learn, STATE).toArrow().column("weights").to_pylist()
-    return np.frombuffer(found[0], "<f4").copy() if found else np.zeros(BUCKETS + 1, np.float32)
+        now, model, held = None, FollowTheLeader(), np.zeros(BUCKETS + 1, np.int64)
+
+        def learned() -> pa.RecordBatch:
+            there = np.flatnonzero(held)
+            weight = np.rint(model.weights(there) * FINE).astype(np.int64) * held[there]
+            return pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), pa.array(weight, pa.int64()), pa.array(held[there], pa.int64())], names=["place", "weight", "rows"])
+
+        for part in (p for batch in batches for p in text_slices(batch)):
+            at, each = features(part.column("text"))
+            for k, epoch, y, piece in zip(*(part.column(c).to_pylist() for c in ("model", "epoch", "label")), np.split(at, np.cumsum(each)[:-1]), strict=True):
+                if k != now:
+                    yield learned()
+                    now, model, held = k, FollowTheLeader(), np.zeros(BUCKETS + 1, np.int64)
+                place, times = np.unique(piece, return_counts=True)
+                places = np.append(place, BUCKETS)
+                model.learn(places, np.append((times / max(len(piece), 1)).astype("<f4") * SCALE, 1.0), y)
+                held[places] += epoch == 1
+        yield learned()
+
+    ordered = rows.sortWithinPartitions("model", "epoch", "h", "doc_id", "label").select("model", "epoch", "label", "text")
+    mean = F.sum("weight") / F.sum("rows") / F.lit(float(FINE))
+    means = ordered.mapInArrow(learn, STATE).groupBy("place").agg(mean.cast("float").alias("weight")).toArrow()
+    weights[means.column("place").to_numpy()] = means.column("weight").to_numpy()
+    return weights
 
 
 def scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
