@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import registry
 from tidemark.functions import calendar, scalars
 from tidemark.operators import families, network, quality, series, serving, stats, tiers
 from tidemark.sources import exports, shared, sinks
@@ -207,3 +208,32 @@ def test_risk_labels(spark):
     a, b = families.risk_labels(df).collect()
     assert (a.flood_risk, a.drought_risk, a.variability) == ("very low", "moderate", "high")
     assert b.flood_risk == b.drought_risk == b.variability == "not calculated"
+
+
+def test_map_entity_series_keeps_null_and_repeated_entities_in_both_forms(spark, monkeypatch):
+    points = rows(spark, [("s", "A", D(2020, 1, 1), 1.0), ("s", "A", D(2020, 1, 1), None), ("s", "B", D(2020, 1, 1), 3.0), ("s", None, D(2020, 1, 1), 4.0)], "scenario string, variable string, ts date, value double")
+    mapping = rows(spark, [(1, "A", True), (1, "A", True), (None, "A", True), (2, "B", False), (3, None, True), (4, "NOT_FOUND", True), (5, "B", None), (6, "C", True)], "entity int, delivery string, is_active boolean")
+    for most in (series.SENT_ROWS, 0):
+        monkeypatch.setattr(series, "SENT_ROWS", most)
+        df = series.map_entity_series(points, mapping, "delivery")
+        assert df.columns == ["scenario", "entity", "ts", "value"]
+        assert sorted(map(str, [(r.entity, r.value) for r in df.collect()])) == sorted(map(str, [(e, v) for e in (1, 1, None) for v in (1.0, None)]))
+
+
+def test_map_entity_series_deals_out_the_points_of_one_variable(spark):
+    points = rows(spark, [("s", "A", D(2020, 1, 1) + datetime.timedelta(i), float(i)) for i in range(400)], "scenario string, variable string, ts date, value double")
+    mapping = rows(spark, [(e, "A", True) for e in range(50)], "entity int, delivery string, is_active boolean")
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")  # as for tables too large to be sent to all tasks unasked
+    try:
+        found = series.map_entity_series(points, mapping, "delivery").groupBy(F.spark_partition_id().alias("part")).count().collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert sum(r["count"] for r in found) == 20_000 and max(r["count"] for r in found) < 10_000
+
+
+def test_mapped_points_are_rounded_before_they_are_copied(spark):
+    plan = registry.QUERIES["c1_map_entity_series"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    above, found, below = plan.partition("Generate")
+    assert found and "round(" in below and "round(" not in above

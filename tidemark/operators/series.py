@@ -17,13 +17,28 @@ from tidemark.sources.shared import written
 NOT_FOUND = "NOT_FOUND"
 
 
+#: Mappings of up to so many rows are sent to all tasks, 8 MB of ids.
+SENT_ROWS = 1_000_000
+
+
 def map_entity_series(series: DataFrame, mapping: DataFrame, role: str) -> DataFrame:
     """Rows (scenario, entity, ts, value) of each entity's variable for a role (a column of ``mapping``).
 
     Mappings that are inactive, null or NOT_FOUND give nothing.
+
+    A variable may have many entities, and then the result is many times as large as the series. So the points of mapped
+    variables are dealt out evenly first, however few the files and variables are, in as many parts as shuffles have: by
+    ranges, for which the series is read twice, so that a part has few variables and files stay small. Each point meets
+    its variable's entities in one array, and all that is left to do for an entity is to unfold it. Mappings of more than
+    ``SENT_ROWS`` rows are joined row by row.
     """
     own = mapping.where(F.col("is_active") & F.col(role).isNotNull() & (F.col(role) != NOT_FOUND)).select("entity", F.col(role).alias("variable"))
-    return series.join(own, "variable").select("scenario", "entity", "ts", "value")
+    if own.count() > SENT_ROWS:
+        return series.join(own, "variable").select("scenario", "entity", "ts", "value")
+    parts = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = series.join(F.broadcast(own.select("variable").distinct()), "variable", "left_semi").repartitionByRange(parts, "variable", "ts", "scenario")
+    arrays = own.groupBy("variable").agg(F.collect_list(F.struct("entity")).alias("_entities"))  # structs, as null ids stay
+    return named.join(F.broadcast(arrays), "variable").select("scenario", F.inline("_entities"), "ts", "value")
 
 
 def sum_arcs(series: DataFrame, arcs: DataFrame, strict: bool = False) -> DataFrame:

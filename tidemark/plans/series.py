@@ -56,7 +56,8 @@ def c1(spark, sf):
     mapping = suppliers(spark, sf).select(
         k.alias("entity"), F.when(k % 6 == 0, S.NOT_FOUND).when(k % 7 != 0, v(k % 60)).alias("delivery"), (k % 5 != 0).alias("is_active")
     )
-    return rounded_rows(S.map_entity_series(series(spark, sf), mapping, "delivery"), "scenario", "entity", "ts")
+    points = series(spark, sf).withColumn("value", rounded(F.col("value")))  # once for a point, not for each of its entities
+    return S.map_entity_series(points, mapping, "delivery")
 
 
 ARCS_SQL = "arcs AS (SELECT s_suppkey AS entity, unnest(['V' || s_suppkey % 60, 'V' || s_suppkey * 7 % 65]) AS variable FROM supplier)"
